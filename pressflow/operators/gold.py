@@ -114,17 +114,3 @@ def articles(view: DataFrame) -> DataFrame:
         F.col("contenu").alias("content"),
         "word_count",
     )
-
-
-def gold_tables(silver: DataFrame, countries: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """All six gold tables over one silver DataFrame. Counts read only the few columns they
-    need, so scanning a columnar silver once per table is cheaper than caching its text."""
-    view = silver_view(silver, countries)
-    return {
-        "articles_per_day": articles_per_day(view),
-        "articles_per_source": articles_per_source(view),
-        "articles_per_theme": articles_per_theme(view),
-        "articles_per_country": articles_per_country(view),
-        "top_keywords": top_keywords(view),
-        "articles": articles(view),
-    }

@@ -34,6 +34,7 @@ def local_session(cpus: int | str = 8, memory: str = "8g") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("pressflow")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="pressflow-warehouse-"))

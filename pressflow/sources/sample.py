@@ -5,7 +5,7 @@ Documents have no date, title or category, so those come from ``events`` and ``l
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressflow.functions.keys import article_id
@@ -90,3 +90,110 @@ def article_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ingest_ts", F.col("event_id").alias("src_offset"),
         )
     )
+
+
+# Feeds list this many consecutive pages each, so a feed document stays small.
+PAGES_PER_FEED = 20
+
+
+def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with the source whose rules read them, by page language."""
+    pages = spread(table(spark, sf_dir, "pages"), "page_id")
+    lang = F.regexp_extract("html", r'<html lang="([a-z]+)"', 1)
+    return pages.select(
+        "page_id", "url", "html", lang.alias("lang"),
+        F.when(lang == "fr", "Hespress").otherwise("BBC News").alias("source"))
+
+
+def _escaped(c):
+    return F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+def page_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RSS documents that list the pages: one per source and run of consecutive page ids."""
+    pages = dated(page_sources(spark, sf_dir), spark, sf_dir, "page_id")
+    title = F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)
+    host = F.regexp_extract("url", r"^https?://([^/]+)", 1)
+    categories = F.when(F.col("lang") == "fr", "").otherwise(
+        F.concat(F.lit("<category>"), "lang", F.lit("</category><category>"), host,
+                 F.lit("</category>")))
+    item = F.concat(
+        F.lit("<item><title><![CDATA[ "), title, F.lit(" ]]></title>"),
+        F.lit("<link>"), _escaped(F.col("url")), F.lit("</link>"),
+        F.lit("<pubDate>"), F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"),
+        F.lit(" +0000</pubDate>"),
+        F.when(F.col("lang").isin("en", "es"), categories).otherwise(F.lit("")),
+        F.lit("<description>"), _escaped(title), F.lit("</description>"),
+        F.lit("<dc:creator>"), host, F.lit("</dc:creator></item>"),
+    )
+    # a run of ids holds at most PAGES_PER_FEED items
+    run = F.expr(f"page_id div {PAGES_PER_FEED}")
+    listed = F.array_sort(F.collect_list(F.struct("page_id", "item")))
+    return (
+        pages.where(F.col("ts").isNotNull())
+        .select("source", run.alias("run"), "page_id", item.alias("item"))
+        .groupBy("source", "run").agg(listed.alias("listed"))
+        .select(
+            F.concat_ws("/", "source", "run").alias("feed_id"),
+            "source",
+            F.concat(
+                F.lit('<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'),
+                F.array_join(F.col("listed.item"), ""),
+                F.lit("</channel></rss>")).alias("xml"),
+        )
+    )
+
+
+def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as metric samples, one scrape a minute: a message offset per event type, a usage
+    counter that restarts every day, and a gauge.
+
+    Events are summed per type and minute first, so the running sums cover minutes, not events.
+    """
+    per_minute = (
+        table(spark, sf_dir, "events")
+        .select("event_type", F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"),
+                F.col("value").cast("decimal(18,2)").alias("value"))
+        .groupBy("event_type", "ts")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("used"),
+             F.max("value").alias("peak"))
+    )
+    so_far = Window.partitionBy("event_type").orderBy("ts")
+    today = Window.partitionBy("event_type", F.to_date("ts")).orderBy("ts")
+
+    def sample(name: str, labels, value):
+        return F.struct(F.lit(name).alias("name"), labels.alias("labels"),
+                        value.cast("double").alias("value"))
+
+    by_name = F.create_map(F.lit("name"), F.col("event_type"))
+    by_partition = F.create_map(
+        F.lit("topic"), F.lit("raw_articles"), F.lit("partition"), F.col("event_type"))
+    samples = F.array(
+        sample("kafka_topic_partition_current_offset", by_partition, F.col("offset")),
+        sample("container_cpu_usage_seconds_total", by_name, F.col("cpu")),
+        sample("container_memory_usage_bytes", by_name, F.col("peak") * 1048576),
+    )
+    return (
+        per_minute
+        .withColumn("offset", F.sum("n").over(so_far))
+        .withColumn("cpu", F.sum("used").over(today))
+        .select("ts", F.inline(samples))
+    )
+
+
+def republished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles of a second load: labelled documents with a new category, and pages as new ids."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    url = F.concat(F.lit("http://"), "source", F.lit(".example.com/"), F.col("doc_id").cast("string"))
+    changed = documents.join(labels, "doc_id").select(
+        article_id(url).alias("id"),
+        F.substring_index("text", "\n", 1).alias("title"),
+        F.concat(F.lit("quality"), F.col("quality").cast("string"),
+                 F.lit("-toxic"), F.col("toxic").cast("string")).alias("category"),
+        url.alias("url"))
+    added = table(spark, sf_dir, "pages").select(
+        article_id(F.col("url")).alias("id"),
+        F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("title"),
+        F.lit("page").alias("category"), "url")
+    return changed.unionByName(added)

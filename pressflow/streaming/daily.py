@@ -8,6 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pressflow.functions.dates import iso_timestamp
 from pressflow.operators.latest import first_per_key
+from pressflow.schemas import SILVER
+
+
+def silver_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Stream the silver layer, batch after batch."""
+    return spark.readStream.schema(f"{SILVER}, batch_id BIGINT").parquet(path)
 
 
 def daily_counts(silver_stream: DataFrame, lateness: str = "7 days") -> DataFrame:
