@@ -1 +1,9 @@
 """pressflow: press-article analytics on Spark (bronze, silver, gold, warehouse, dashboards)."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors with the tasks that use them, so the package
+# need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -15,6 +15,11 @@ ISO_TIME = (
 )
 ISO_OFFSET = r"[+-][0-9]{2}(?::?[0-9]{2})?"
 ISO = rf"(?s)^({ISO_DATE})(?:.({ISO_TIME})({ISO_OFFSET})?)?\z"
+# The usual full form, which Spark's cast reads as it stands.
+FULL_ISO = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?"
+    r"(?:Z|[+-][0-9]{2}:[0-9]{2})?\z"
+)
 
 
 def _pieces(c: Column) -> tuple[Column, Column, Column]:
@@ -41,8 +46,11 @@ def iso_timestamp(c: Column) -> Column:
         F.when(offset == "", "+00:00").otherwise(
             F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2))),
     )
-    real_year = ~date.startswith("0000")
-    return F.when((date != "") & real_year, F.try_to_timestamp(canonical))
+    return (
+        F.when(F.startswith(c, F.lit("0000")), None)
+        .when(c.rlike(FULL_ISO), F.try_to_timestamp(c))
+        .when(date != "", F.try_to_timestamp(canonical))
+    )
 
 
 def iso_date_as_written(c: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pressflow.functions.text import TAG, decode_entities, drop_hidden_markup, ustrip
+from pressflow.functions.text import TAG, drop_hidden_markup, ustrip
 
 # Separators no page text can hold: NUL is not allowed in HTML and decoding never yields it.
 NODE_END = "\x00"
@@ -73,25 +73,33 @@ def _paragraph_nodes(block: Column) -> Column:
     return F.transform(inner, lambda p: F.array_join(_text_nodes(p), NODE_END))
 
 
-def paragraphs(blocks: Column) -> Column:
-    """Text of every paragraph of an array of blocks, in page order."""
-    marked = F.array_join(F.flatten(F.transform(blocks, _paragraph_nodes)), BLOCK_END)
-    # one decode per page; entities that decode to blanks are stripped afterwards
-    decoded = F.split(decode_entities(marked), BLOCK_END)
+def marked_paragraphs(blocks: Column) -> Column:
+    """All paragraphs of an array of blocks as one string, so that a page is decoded once;
+    null when there is no paragraph."""
+    nodes = F.flatten(F.transform(blocks, _paragraph_nodes))
+    return F.when(has_paragraph(blocks), F.array_join(nodes, BLOCK_END))
+
+
+def has_paragraph(blocks: Column) -> Column:
+    return F.exists(blocks, lambda b: b.rlike(start_tag("p")))
+
+
+def unmarked_paragraphs(decoded: Column) -> Column:
+    """Text of every paragraph, in page order, from the decoded string."""
 
     def text(nodes: Column) -> Column:
+        # entities may have decoded to blanks
         stripped = F.transform(F.split(nodes, NODE_END), ustrip)
         return F.array_join(F.filter(stripped, lambda t: t != ""), " ")
 
-    has_paragraph = F.exists(blocks, lambda b: b.rlike(start_tag("p")))
-    return F.when(has_paragraph, F.transform(decoded, text)).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    return F.coalesce(F.transform(F.split(decoded, BLOCK_END), text), none)
 
 
 def element_text(page: Column, pattern: str, group: int, separator: str) -> Column:
-    """Text of the first element a pattern finds, null when there is none."""
-    found = F.regexp_extract(page, pattern, group)
-    text = decode_entities(F.array_join(_text_nodes(found), separator))
-    return F.when(page.rlike(pattern), ustrip(text))
+    """Text of the first element a pattern finds, entities still encoded; null without one."""
+    nodes = _text_nodes(F.regexp_extract(page, pattern, group))
+    return F.when(page.rlike(pattern), F.array_join(nodes, separator))
 
 
 def element_pattern(attribute: str, tag: str = r"[a-zA-Z][a-zA-Z0-9]*") -> str:

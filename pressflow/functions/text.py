@@ -1,4 +1,8 @@
-"""Text expressions: strip, clean, count, tokenise."""
+"""Text expressions: strip, clean, count, tokenise.
+
+Several of these read their argument more than once. Give them a plain column and chain them
+with one ``withColumns`` per step, as ``clean_columns`` does, so each step runs once per row.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ import html
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -47,8 +51,8 @@ def strip_tags(c: Column) -> Column:
 
     Text without ``<`` skips the regex chain.
     """
-    return F.when(F.contains(c, F.lit("<")), F.regexp_replace(drop_hidden_markup(c), TAG, " ")
-                  ).otherwise(c)
+    stripped = F.regexp_replace(drop_hidden_markup(c), TAG, " ")
+    return F.when(F.contains(c, F.lit("<")), stripped).otherwise(c)
 
 
 def decode_entities(c: Column) -> Column:
@@ -73,7 +77,7 @@ def decode_entities_nfkc(c: Column) -> Column:
         return texts.map(
             lambda t: unicodedata.normalize("NFKC", html.unescape(t)), na_action="ignore")
 
-    needed = F.contains(c, F.lit("&")) | c.rlike(r"[^\x00-\x7F]")
+    needed = F.contains(c, F.lit("&")) | (F.octet_length(c) != F.length(c))
     return F.coalesce(decode(F.when(needed, c)), c)
 
 
@@ -82,11 +86,21 @@ def remove_urls(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("://")), F.regexp_replace(c, URL, " ")).otherwise(c)
 
 
-def clean_text(c: Column) -> Column:
-    """Markup, entities, Unicode forms, URLs and whitespace cleaned (O36); null becomes ''."""
-    return collapse_whitespace(
-        remove_urls(decode_entities_nfkc(strip_tags(F.coalesce(c, F.lit("")))))
-    )
+CLEANING_STEPS = [
+    lambda c: F.coalesce(c, F.lit("")),
+    strip_tags,
+    decode_entities_nfkc,
+    remove_urls,
+    collapse_whitespace,
+]
+
+
+def clean_columns(df: DataFrame, *names: str) -> DataFrame:
+    """Clean text columns in place (O36): markup, entities, Unicode forms, URLs and whitespace,
+    in this order; null becomes ''."""
+    for step in CLEANING_STEPS:
+        df = df.withColumns({name: step(F.col(name)) for name in names})
+    return df
 
 
 def word_count(clean: Column) -> Column:

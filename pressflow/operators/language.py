@@ -7,6 +7,8 @@ that bound is what allows it to be collected, broadcast and used row by row with
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from pressflow.fixed_values import MIN_LANGUAGE_CHARS
-from pressflow.functions.text import ustrip
 
 BUCKETS = 16384
 MAX_LANGUAGES = 256
@@ -27,23 +28,43 @@ def letters_only(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{M}]+", " "))
 
 
+def _buckets(text: str) -> np.ndarray:
+    c = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    return (c[:-2] * FACTORS[0] + c[1:-1] * FACTORS[1] + c[2:]) % BUCKETS
+
+
 def trigram_counts(labelled: DataFrame, text: str, lang: str) -> DataFrame:
-    """Trigrams per language and bucket. Summed inside each task before the shuffle, which
-    therefore carries at most BUCKETS rows per language and task."""
-    chars = F.split(letters_only(F.col(text)), "")
-    triples = F.arrays_zip(
-        chars.alias("a"),
-        F.slice(chars, F.lit(2), F.size(chars)).alias("b"),
-        F.slice(chars, F.lit(3), F.size(chars)).alias("c"),
-    )
-    bucket = (F.ascii("a").cast("bigint") * FACTORS[0] + F.ascii("b").cast("bigint") * FACTORS[1]
-              + F.ascii("c")) % BUCKETS
+    """Trigrams per language and bucket.
+
+    Each task adds its texts up in one array of BUCKETS numbers per language, and only those
+    arrays are shuffled. Exploding the text instead would make a row per character.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables: dict[str, np.ndarray] = {}
+
+        def rows() -> Iterator[pd.DataFrame]:
+            for lang, table in tables.items():
+                seen = np.flatnonzero(table)
+                yield pd.DataFrame({"lang": lang, "bucket": seen.astype("int32"), "n": table[seen]})
+
+        for batch in batches:
+            for lang, letters in zip(batch["lang"], batch["letters"]):
+                if lang not in tables:
+                    # stay small even if the labels are many
+                    if len(tables) == MAX_LANGUAGES:
+                        yield from rows()
+                        tables.clear()
+                    tables[lang] = np.zeros(BUCKETS, dtype=np.int64)
+                if len(letters) >= 3:
+                    tables[lang] += np.bincount(_buckets(letters), minlength=BUCKETS)
+        yield from rows()
+
     return (
         labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-        .select(F.col(lang).alias("lang"), F.inline(triples).alias("a", "b", "c"))
-        .where(F.col("c").isNotNull() & (F.col("c") != ""))
-        .groupBy("lang", bucket.cast("int").alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col(lang).alias("lang"), letters_only(F.col(text)).alias("letters"))
+        .mapInPandas(count, "lang STRING, bucket INT, n BIGINT")
+        .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     )
 
 
@@ -89,27 +110,25 @@ class LanguageModel:
         def most_likely(texts: pd.Series) -> pd.Series:
             languages, weights = shared.value
 
-            def score(text: str) -> str | None:
-                c = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
-                if len(c) < 3:
-                    return None
-                buckets = (c[:-2] * FACTORS[0] + c[1:-1] * FACTORS[1] + c[2:]) % BUCKETS
-                return languages[int(np.argmax(np.bincount(buckets, minlength=BUCKETS) @ weights))]
+            def score(text: str) -> str:
+                counts = np.bincount(_buckets(text), minlength=BUCKETS)
+                return languages[int(np.argmax(counts @ weights))]
 
             return texts.map(score, na_action="ignore")
 
         return most_likely(letters)
 
-    def first_detected(self, *texts: Column) -> Column:
-        """Language of the first text long enough to tell, null if none is.
+    def add_language(self, df: DataFrame, *texts: str, column: str = "language") -> DataFrame:
+        """Add the language of the first of the cleaned texts that is long enough to tell, null
+        if none is.
 
-        The text is chosen first, so only one goes through the UDF. The choice is the same as
-        trying each in turn: a text is passed over exactly when it is too short or has too few
-        letters.
+        The text is chosen first, so only one per row goes through the UDF. The choice is the
+        same as trying each in turn: a text is passed over exactly when it is too short or has
+        too few letters.
         """
-        chosen = F.coalesce(*[
-            F.when((F.length(ustrip(t)) >= MIN_LANGUAGE_CHARS)
-                   & (F.length(letters_only(t)) >= 3), letters_only(t))
-            for t in texts
-        ])
-        return self._score(chosen)
+        letters = {
+            f"_letters{i}": F.when(F.length(t) >= MIN_LANGUAGE_CHARS, letters_only(F.col(t)))
+            for i, t in enumerate(texts)
+        }
+        chosen = F.coalesce(*[F.when(F.length(name) >= 3, F.col(name)) for name in letters])
+        return df.withColumns(letters).withColumn(column, self._score(chosen)).drop(*letters)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pressflow.functions.dates import partition_date
 from pressflow.functions.keys import partition_key
-from pressflow.functions.text import char_count, clean_text, word_count
+from pressflow.functions.text import char_count, clean_columns, word_count
 from pressflow.operators.language import LanguageModel
 
 
@@ -26,15 +26,13 @@ def to_silver(
 
     Row-local: nothing is shuffled. Without a model the language is null.
     """
-    clean = events.withColumns({
-        "titre_article": clean_text(F.col("titre_article")),
-        "contenu": clean_text(F.col("contenu")),
-    })
-    title, content = F.col("titre_article"), F.col("contenu")
-    language = F.lit(None).cast("string") if model is None else model.first_detected(content, title)
-    return clean.withColumns({
-        "language": language,
-        "word_count": word_count(content),
-        "char_count": char_count(content),
+    clean = clean_columns(events, "titre_article", "contenu")
+    if model is None:
+        tagged = clean.withColumn("language", F.lit(None).cast("string"))
+    else:
+        tagged = model.add_language(clean, "contenu", "titre_article")
+    return tagged.withColumns({
+        "word_count": word_count(F.col("contenu")),
+        "char_count": char_count(F.col("contenu")),
         "silver_processed_at": F.current_timestamp() if processed_at is None else processed_at,
     })

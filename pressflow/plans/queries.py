@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressflow.functions.text import clean_text, word_count
+from pressflow.functions.text import clean_columns, word_count
 from pressflow.operators import gold, quality, series
 from pressflow.operators.language import LanguageModel, language_profile, trigram_counts
 from pressflow.operators.latest import latest_version
@@ -28,7 +28,6 @@ from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest, silver_rows
 
 AS_OF = date(2024, 1, 30)
 AS_OF_TIME = datetime(2024, 1, 31)
-RUN_AT = F.lit
 FIRST_LOAD = datetime(2024, 2, 1)
 SECOND_LOAD = datetime(2024, 2, 2)
 CHECKED_AT = datetime(2024, 1, 31)
@@ -208,7 +207,7 @@ def latest_articles_short(spark, sf_dir):
 
 def html_strip(spark, sf_dir):
     pages = sample.spread(sample.table(spark, sf_dir, "pages"), "page_id")
-    text = pages.select("page_id", clean_text(F.col("html")).alias("text"))
+    text = clean_columns(pages.select("page_id", F.col("html").alias("text")), "text")
     return text.withColumn("word_count", word_count(F.col("text")))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressflow.functions import html
+from pressflow.functions.text import decode_entities, ustrip
 
 
 @dataclass(frozen=True)
@@ -49,16 +50,9 @@ class SourceRule:
     # whether a later block is tried when the first is there but has no paragraph
     paragraphs_required: bool = field(default=False)
 
-    def body_paragraphs(self, page: Column) -> Column:
-        """Paragraphs of the first block rule that applies."""
-        chosen = F.array().cast("array<string>")
-        for block in reversed(self.blocks):
-            found = block.find(page)
-            usable = F.size(found) > 0
-            if self.paragraphs_required:
-                usable = F.exists(found, lambda b: b.rlike(html.start_tag("p")))
-            chosen = F.when(usable, found).otherwise(chosen)
-        return html.paragraphs(chosen)
+    def usable(self, blocks: Column) -> Column:
+        found = html.has_paragraph(blocks) if self.paragraphs_required else F.size(blocks) > 0
+        return F.coalesce(found, F.lit(False))
 
     def author(self, page: Column) -> Column:
         return F.coalesce(*[
@@ -105,12 +99,24 @@ def by_source(source: Column, value_of, rules: list[SourceRule] = SOURCE_RULES)
 
 def extract_pages(pages: DataFrame, rules: list[SourceRule] = SOURCE_RULES) -> DataFrame:
     """Body text and author of each page (O08, O09). Reads ``source``, ``url`` and ``html``;
-    row-local."""
+    row-local. One column per step, so that no step runs twice."""
     page, source = F.col("_page"), F.col("source")
+    blocks = F.col("_blocks")
+    df = pages.withColumn("_page", html.prepared(F.col("html"))).withColumn(
+        "_blocks", F.lit(None).cast("array<string>"))
+    for turn in range(max(len(rule.blocks) for rule in rules)):
+        with_turn = [rule for rule in rules if len(rule.blocks) > turn]
+        usable = by_source(source, lambda r: r.usable(blocks), with_turn)
+        found = F.coalesce(
+            by_source(source, lambda r: r.blocks[turn].find(page), with_turn), blocks)
+        df = df.withColumn("_blocks", F.when(usable, blocks).otherwise(found))
     return (
-        pages.withColumn("_page", html.prepared(F.col("html")))
-        .withColumn("page_paragraphs", by_source(source, lambda r: r.body_paragraphs(page), rules))
-        .withColumn("page_author", by_source(source, lambda r: r.author(page), rules))
+        df.withColumn("_author", by_source(source, lambda r: r.author(page), rules))
+        .withColumn("_body", html.marked_paragraphs(blocks))
+        .withColumns({"_body": decode_entities(F.col("_body")),
+                      "_author": decode_entities(F.col("_author"))})
+        .withColumn("page_paragraphs", html.unmarked_paragraphs(F.col("_body")))
+        .withColumn("page_author", ustrip(F.col("_author")))
         .withColumn("page_body", F.array_join("page_paragraphs", "\n"))
-        .drop("_page", "html")
+        .drop("_page", "_blocks", "_body", "_author", "html")
     )

@@ -41,7 +41,7 @@ def iso_utc(ts: str):
 def dated(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """Add ``ts``, the time of the first event that belongs to each row of ``df``."""
     events = table(spark, sf_dir, "events").where(f"event_id % {EVENTS_PER_DOCUMENT} = 0")
-    first = events.select((F.col("event_id") / EVENTS_PER_DOCUMENT).cast("bigint").alias(key), "ts")
+    first = events.select(F.expr(f"event_id div {EVENTS_PER_DOCUMENT}").alias(key), "ts")
     return df.join(first, key, "left")
 
 
