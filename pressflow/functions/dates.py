@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 # Spark's own cast accepts some strings this rejects ("2026", " 2026-01-01") and rejects some
 # it accepts ("20260101"), so the grammar is checked first and a canonical form is cast.
 ISO_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8}"
-ISO_TIME = (
-    r"[0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?)?"
-    r"|[0-9]{4}(?:[0-9]{2}(?:[.,][0-9]+)?)?"
-)
+# a fraction counts as a fraction of a second, whatever it follows
+ISO_TIME = r"(?:[0-9]{2}(?::[0-9]{2}(?::[0-9]{2})?)?|[0-9]{4}(?:[0-9]{2})?)(?:[.,][0-9]+)?"
 ISO_OFFSET = r"[+-][0-9]{2}(?::?[0-9]{2})?"
 ISO = rf"(?s)^({ISO_DATE})(?:.({ISO_TIME})({ISO_OFFSET})?)?\z"
 # The usual full form, which Spark's cast reads as it stands.

@@ -30,8 +30,9 @@ def _replace_all(c: str, pattern: str, by: str = " ") -> str:
 
 
 def _unescape(c: str) -> str:
+    # HTML decodes these four with or without the semicolon; a cut-off title can lack it
     for name, char in [("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")]:
-        c = f"replace({c}, '&{name};', '{char}')"
+        c = _replace_all(c, f"&{name};?", char)
     return c
 
 
