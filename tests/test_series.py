@@ -1,0 +1,74 @@
+"""Metric samples against a plain Python calculation."""
+
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from pressflow.operators import series
+from pressflow.schemas import METRICS
+
+START = datetime(2026, 1, 1)
+
+
+def samples(spark, rows):
+    return spark.createDataFrame(
+        [(START + timedelta(seconds=s), name, labels, float(v)) for s, name, labels, v in rows], METRICS)
+
+
+def test_label_patterns_match_whole_values(spark):
+    df = samples(spark, [(0, "m", {"name": n}, 1) for n in ("kafka", "kafka-2", "airflow-web", "my-kafka")]
+                 + [(0, "other", {"name": "kafka"}, 1), (0, "m", {}, 1)])
+    got = series.select_series(df, "m", matches={"name": "kafka|airflow.*"}).collect()
+    assert sorted(r["labels"]["name"] for r in got) == ["airflow-web", "kafka"]
+    assert series.select_series(df, "m", labels={"name": "kafka-2"}).count() == 1
+
+
+def test_totals_take_the_newest_sample_of_each_series(spark):
+    df = samples(spark, [
+        (0, "m", {"t": "x", "p": "0"}, 5), (60, "m", {"p": "0", "t": "x"}, 9),
+        (30, "m", {"t": "x", "p": "1"}, 4), (90, "m", {"t": "y", "p": "0"}, 100)])
+    chosen = series.select_series(df, "m", labels={"t": "x"})
+    assert series.gauge_total(chosen).first()["value"] == 13
+    everything = series.select_series(df, "m")
+    got = {r["t"]: r["value"] for r in series.gauge_by_label(everything, "t", 2).collect()}
+    assert got == {"x": 6.5, "y": 50}
+
+
+def test_reset_counts_the_new_value(spark):
+    df = samples(spark, [(0, "m", {}, 10), (60, "m", {}, 16), (120, "m", {}, 3), (180, "m", {}, 3)])
+    got = series.increases(series.select_series(df, "m")).orderBy("ts").collect()
+    assert [r["increase"] for r in got] == [6, 3, 0]
+
+
+@pytest.mark.parametrize("slice_", ["1 hour", "10 minutes", "1 minute", "365 days"])
+def test_slices_do_not_change_the_increases(spark, slice_):
+    rng = random.Random(3)
+    rows, expected = [], {}
+    for name in ("a", "b", "c"):
+        value, previous = 0.0, None
+        for second in sorted(rng.sample(range(0, 40_000), 150)):
+            value = 0.0 if rng.random() < 0.05 else value + rng.randrange(10)
+            rows.append((second, "m", {"name": name}, value))
+            if previous is not None:
+                expected[name, second] = value if value < previous else value - previous
+            previous = value
+    rng.shuffle(rows)
+    got = series.increases(series.select_series(samples(spark, rows), "m"), slice_).collect()
+    found = {(r["series"][0]["value"], int((r["ts"] - START).total_seconds())): r["increase"] for r in got}
+    assert found == expected
+
+
+def test_rate_windows(spark):
+    rows = [(s, "m", {"name": n}, s * k) for n, k in (("a", 1), ("b", 2)) for s in range(0, 1200, 30)]
+    chosen = series.select_series(samples(spark, rows), "m")
+    total = {r["ts"]: r["rate"] for r in series.counter_rate(chosen, "5 minutes").collect()}
+    assert total[START + timedelta(minutes=10)] == pytest.approx(3.0)
+    by_name = defaultdict(dict)
+    for r in series.counter_rate(chosen, "2 minutes", step="1 minute", by="name").collect():
+        by_name[r["name"]][r["ts"]] = r["rate"]
+    assert by_name["a"][START + timedelta(minutes=5)] == pytest.approx(1.0)
+    assert by_name["b"][START + timedelta(minutes=6)] == pytest.approx(2.0)
+    assert len(by_name["a"]) > len(total)
