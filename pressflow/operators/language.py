@@ -17,20 +17,22 @@ from pyspark.sql.types import StringType
 
 from pressflow.fixed_values import MIN_LANGUAGE_CHARS
 
-BUCKETS = 16384
+BUCKETS = 2**14
 MAX_LANGUAGES = 256
 # bucket = (first * FACTORS[0] + second * FACTORS[1] + third) mod BUCKETS, on code points
 FACTORS = (10007, 101)
 
 
 def letters_only(c: Column) -> Column:
-    """Lower-cased letters; everything between them becomes one space."""
-    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{M}]+", " "))
+    """Lower-cased letters; everything between them becomes one space, as do both ends."""
+    padded = F.concat(F.lit(" "), F.lower(c), F.lit(" "))
+    return F.regexp_replace(padded, r"[^\p{L}\p{M}]+", " ")
 
 
 def _buckets(text: str) -> np.ndarray:
-    c = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
-    return (c[:-2] * FACTORS[0] + c[1:-1] * FACTORS[1] + c[2:]) % BUCKETS
+    c = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    # BUCKETS is a power of two, so overflow at 32 bits does not change the remainder
+    return (c[:-2] * FACTORS[0] + c[1:-1] * FACTORS[1] + c[2:]) & (BUCKETS - 1)
 
 
 def trigram_counts(labelled: DataFrame, text: str, lang: str) -> DataFrame:
@@ -56,8 +58,7 @@ def trigram_counts(labelled: DataFrame, text: str, lang: str) -> DataFrame:
                         yield from rows()
                         tables.clear()
                     tables[lang] = np.zeros(BUCKETS, dtype=np.int64)
-                if len(letters) >= 3:
-                    tables[lang] += np.bincount(_buckets(letters), minlength=BUCKETS)
+                tables[lang] += np.bincount(_buckets(letters), minlength=BUCKETS)
         yield from rows()
 
     return (
@@ -119,16 +120,13 @@ class LanguageModel:
         return most_likely(letters)
 
     def add_language(self, df: DataFrame, *texts: str, column: str = "language") -> DataFrame:
-        """Add the language of the first of the cleaned texts that is long enough to tell, null
-        if none is.
+        """Add the language of the first of the cleaned texts that is long enough and has a
+        letter, null if none is; the others would give no language.
 
-        The text is chosen first, so only one per row goes through the UDF. The choice is the
-        same as trying each in turn: a text is passed over exactly when it is too short or has
-        too few letters.
+        The text is chosen first, so only one per row goes through the UDF.
         """
-        letters = {
-            f"_letters{i}": F.when(F.length(t) >= MIN_LANGUAGE_CHARS, letters_only(F.col(t)))
-            for i, t in enumerate(texts)
-        }
-        chosen = F.coalesce(*[F.when(F.length(name) >= 3, F.col(name)) for name in letters])
-        return df.withColumns(letters).withColumn(column, self._score(chosen)).drop(*letters)
+        chosen = F.coalesce(*[
+            F.when((F.length(t) >= MIN_LANGUAGE_CHARS) & F.col(t).rlike(r"\p{L}"), F.col(t))
+            for t in texts
+        ])
+        return df.withColumn(column, self._score(letters_only(chosen)))

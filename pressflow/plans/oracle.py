@@ -54,7 +54,8 @@ def _words(c: str) -> str:
 
 
 def _letters(c: str) -> str:
-    return f"trim({_replace_all(f'lower({c})', r'[^\p{L}\p{M}]+')})"
+    padded = f"' ' || lower({c}) || ' '"
+    return _replace_all(padded, r"[^\p{L}\p{M}]+")
 
 
 _quoted_stopwords = ", ".join("'" + w.replace("'", "''") + "'" for w in STOPWORDS)
@@ -131,9 +132,9 @@ CTES = {
         FROM counts JOIN totals USING (lang)""",
     "article_letters": f"""
         SELECT id, CASE
-            WHEN length({_strip('contenu')}) >= 20 AND length({_letters('contenu')}) >= 3
+            WHEN length(contenu) >= 20 AND regexp_matches(contenu, '\\p{{L}}')
                 THEN {_letters('contenu')}
-            WHEN length({_strip('titre_article')}) >= 20 AND length({_letters('titre_article')}) >= 3
+            WHEN length(titre_article) >= 20 AND regexp_matches(titre_article, '\\p{{L}}')
                 THEN {_letters('titre_article')} END AS letters
         FROM silver""",
     "article_chars": """

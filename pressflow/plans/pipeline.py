@@ -16,7 +16,7 @@ from pressflow.operators.gold import (
     top_keywords,
 )
 from pressflow.schemas import GOLD
-from pressflow.session import working_dir
+from pressflow.session import remove_dir, working_dir
 from pressflow.sinks.lake import write_observed
 from pressflow.sinks.warehouse import REPLACED, create_tables, replace_table, upsert_articles
 from pressflow.sources.tables import scan_silver
@@ -55,10 +55,13 @@ def build_gold(
     started = time.time()
     current = working_dir(spark, "silver")
     view = silver_view(scan_silver(spark, silver_path), countries)
-    counts = {"rows_silver": write_observed(view, current)["n_rows"]}
-    stored = spark.read.schema(view.schema).parquet(current)
-    for name, build in BUILDERS.items():
-        counts[name] = write_observed(build(stored), f"{gold_path}/{name}")["n_rows"]
+    try:
+        counts = {"rows_silver": write_observed(view, current)["n_rows"]}
+        stored = spark.read.schema(view.schema).parquet(current)
+        for name, build in BUILDERS.items():
+            counts[name] = write_observed(build(stored), f"{gold_path}/{name}")["n_rows"]
+    finally:
+        remove_dir(spark, current)
     return _summary(spark, counts, started)
 
 

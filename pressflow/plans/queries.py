@@ -14,7 +14,7 @@ from pressflow.operators.latest import latest_version
 from pressflow.operators.silver import to_silver, with_partitions
 from pressflow.operators.upsert import upsert
 from pressflow.plans import dashboards
-from pressflow.plans.pipeline import gold_tables
+from pressflow.plans.pipeline import BUILDERS
 from pressflow.schemas import SILVER
 from pressflow.session import configure, working_dir
 from pressflow.sinks.events import land_text
@@ -65,7 +65,7 @@ def _view(spark, sf_dir, language=False):
 
 
 def _gold(spark, sf_dir, name, language=False):
-    return gold_tables(_silver(spark, sf_dir, language), sample.SAMPLE_COUNTRIES)[name]
+    return BUILDERS[name](_view(spark, sf_dir, language))
 
 
 # ------------------------------------------------------------------ quality, bronze and silver

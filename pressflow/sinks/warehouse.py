@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +13,6 @@ from pressflow.operators.upsert import upsert
 from pressflow.schemas import DQ_RESULTS, GOLD, GOLD_KEYS
 
 REPLACED = [name for name in GOLD if name != "articles"]
-# Files and hash buckets of the article table; one bucket of a very large table still fits a task.
-ARTICLE_BUCKETS = 8
 
 
 def create_tables(spark: SparkSession, database: str = "gold") -> None:
@@ -36,36 +35,46 @@ def replace_table(
     rows.select(*columns).write.insertInto(f"{database}.{name}", overwrite=True)
 
 
+def append_quality_results(spark: SparkSession, results: DataFrame, database: str = "gold") -> None:
+    """Add one run's rows to the quality history."""
+    columns = spark.table(f"{database}.dq_results").columns
+    results.select(*columns).write.insertInto(f"{database}.dq_results")
+
+
 def _snapshots(spark: SparkSession, database: str) -> list[str]:
+    """Snapshot tables, oldest first."""
     names = [t.name for t in spark.catalog.listTables(database)]
-    return [f"{database}.{n}" for n in names if n.startswith("articles_snapshot_")]
+    return sorted(f"{database}.{n}" for n in names if n.startswith("articles_snapshot_"))
 
 
 def upsert_articles(
     spark: SparkSession, updates: DataFrame, database: str = "gold",
-    load_ts: Column | None = None, buckets: int = ARTICLE_BUCKETS,
+    load_ts: Column | None = None, buckets: int | None = None,
 ) -> None:
     """Merge articles by id.
 
     Parquet tables have no MERGE, so the merged rows become a new table and the view
     ``articles`` is switched to it: readers see the old state or the new one. Snapshots are
-    bucketed by id, so the next merge shuffles only the updates, not the stored articles.
+    bucketed by id, and the updates are partitioned the same way, so a merge shuffles the
+    updates only; stored articles go from their bucket to the new one in one task. The
+    snapshot before stays until the next merge, for queries that still read it.
+
+    ``buckets`` should let a bucket fit a task; it follows the session's shuffle partitions.
     """
     assert_keys(updates, GOLD_KEYS["articles"], "articles")
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     view = f"{database}.articles"
     old = _snapshots(spark, database)
+    placed = updates.repartition(buckets, "id")
     if spark.catalog.tableExists(view):
-        merged = upsert(spark.table(view), updates, GOLD_KEYS["articles"], load_ts)
+        merged = upsert(spark.table(view), placed, GOLD_KEYS["articles"], load_ts)
     else:
         ingested_at = F.current_timestamp() if load_ts is None else load_ts
-        merged = updates.withColumn("ingested_at", ingested_at)
-    snapshot = f"{database}.articles_snapshot_{uuid.uuid4().hex}"
-    (
-        merged.repartition(buckets, "id")
-        .write.format("parquet").bucketBy(buckets, "id").sortBy("id").saveAsTable(snapshot)
-    )
+        merged = placed.withColumn("ingested_at", ingested_at)
+    snapshot = f"{database}.articles_snapshot_{time.time_ns()}"
+    merged.write.format("parquet").bucketBy(buckets, "id").saveAsTable(snapshot)
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {snapshot}")
-    for table in old:
+    for table in old[:-1]:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 

@@ -25,9 +25,9 @@ def test_strip_removes_every_kind_of_blank(one):
     assert one(values, text.ustrip) == [v if v is None else v.strip() for v in values]
 
 
-def test_collapse_matches_python(one):
-    values = [f"a{b}{b}c {b}" for b in BLANKS] + ["", "\n\t", "a b"]
-    assert one(values, text.collapse_whitespace) == [re.sub(r"\s+", " ", v).strip() for v in values]
+def test_normalize_matches_python(one):
+    values = [f"a{b}{b}c {b}" for b in BLANKS] + ["", "\n\t", "a b", None]
+    assert one(values, text.normalize_text) == [v and " ".join(v.split()) for v in values]
 
 
 class _Text(HTMLParser):

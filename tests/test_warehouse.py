@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 from pressflow.operators.upsert import upsert
 from pressflow.plans.pipeline import build_gold, load_warehouse, read_gold
 from pressflow.schemas import GOLD
-from pressflow.sinks.warehouse import create_tables, upsert_articles, upsert_statement
+from pressflow.operators.quality import quality_results
+from pressflow.sinks.warehouse import (
+    append_quality_results,
+    create_tables,
+    upsert_articles,
+    upsert_statement,
+)
 from pressflow.sources import sample
 from pressflow.sources.events import landed_events
 from pressflow.sinks.events import land_text
@@ -64,9 +70,10 @@ def test_article_snapshots_switch(spark):
     create_tables(spark, "wh1")
     upsert_articles(spark, article(spark, ("a", "1"), ("b", "1")), "wh1", at(ONE), buckets=2)
     upsert_articles(spark, article(spark, ("b", "2"), ("c", "2")), "wh1", at(TWO), buckets=2)
+    upsert_articles(spark, article(spark), "wh1", at(TWO), buckets=2)
     got = {(r["id"], r["title"], r["ingested_at"]) for r in spark.table("wh1.articles").collect()}
     assert got == {("a", "1", ONE), ("b", "2", TWO), ("c", "2", TWO)}
-    assert sum(t.name.startswith("articles_snapshot") for t in spark.catalog.listTables("wh1")) == 1
+    assert sum(t.name.startswith("articles_snapshot") for t in spark.catalog.listTables("wh1")) == 2
     with pytest.raises(ValueError):
         upsert_articles(spark, article(spark, ("d", "1"), ("d", "2")), "wh1", at(TWO))
 
@@ -76,12 +83,14 @@ def test_stored_articles_are_not_shuffled_by_a_merge(spark):
     upsert_articles(spark, article(spark, ("a", "1"), ("b", "1")), "wh2", at(ONE), buckets=4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        merged = upsert(spark.table("wh2.articles"), article(spark, ("b", "2")), ["id"], at(TWO))
+        updates = article(spark, ("b", "2")).repartition(4, "id")
+        merged = upsert(spark.table("wh2.articles"), updates, ["id"], at(TWO))
         plan = merged._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    stored_side = plan[plan.index("LeftAnti"):].split("FileScan")[0]
-    assert "Bucketed: true" in plan and "Exchange" not in stored_side
+    assert "LeftAnti" in plan and "Bucketed: true" in plan
+    # the only exchanges are the two that place the updates
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 2
 
 
 def test_silver_to_warehouse(spark, tmp_path):
@@ -101,6 +110,15 @@ def test_silver_to_warehouse(spark, tmp_path):
     assert spark.table("wh3.articles").select("ingested_at").distinct().collect()[0][0] == TWO
 
 
+def test_quality_history_grows(spark):
+    create_tables(spark, "wh5")
+    tagged = spark.createDataFrame([("missing_title",), (None,)], "dq_reason STRING")
+    for ts in (ONE, TWO):
+        append_quality_results(spark, quality_results(tagged, at(ts)), "wh5")
+    got = spark.table("wh5.dq_results").where("check_name = 'missing_title'").collect()
+    assert sorted((r["run_at"], r["passed"]) for r in got) == [(ONE, False), (TWO, False)]
+
+
 def test_missing_gold_stops_the_load(spark, tmp_path):
     with pytest.raises(Exception):
         load_warehouse(spark, str(tmp_path / "none"), "wh4")
