@@ -58,8 +58,18 @@ def working_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/pressflow/{name}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def list_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a path pattern."""
+    files, folder = _folder(spark, pattern)
+    return [status.getPath().toString() for status in files.globStatus(folder) or []]
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
-    """Delete a working folder once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    """Delete a folder that nothing reads any more."""
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pressflow.operators.latest import latest_version
+from pressflow.session import list_dirs, remove_dir
+
 
 def write_batch(df: DataFrame, layer: str, folders: list[str], batch_id: int) -> None:
     """Add one batch to a partitioned layer, idempotently.
@@ -29,3 +32,22 @@ def write_observed(df: DataFrame, path: str, **counts: Column) -> dict[str, int]
     observed = df.observe(seen, *[c.alias(name) for name, c in columns.items()])
     observed.write.mode("overwrite").parquet(path)
     return seen.get
+
+
+def compact(spark: SparkSession, layer: str, schema: str, folders: list[str], up_to: int) -> None:
+    """Merge the batches up to ``up_to`` into one, keeping the last write per key.
+
+    The merged rows go to a new folder with a negative batch id before the old folders are
+    removed. A run that stops in between leaves rows twice, which the last-write view does not
+    show, and loses none; the next run merges what is left. Streams that read the layer must
+    have passed ``up_to``.
+    """
+    found = {int(p.rsplit("=", 1)[1]): p for p in list_dirs(spark, f"{layer}/batch_id=*")}
+    old = {batch_id: path for batch_id, path in found.items() if batch_id <= up_to}
+    if len(old) < 2:
+        return
+    batches = spark.read.schema(f"{schema}, batch_id BIGINT").parquet(layer)
+    merged = latest_version(batches.where(F.col("batch_id") <= up_to)).drop("batch_id")
+    write_batch(merged, layer, folders, min(0, *old) - 1)
+    for path in old.values():
+        remove_dir(spark, path)

@@ -22,13 +22,20 @@ def scan_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise
 
 
+def read_layer(
+    spark: SparkSession, path: str, schema: str, skip_unreadable: bool = False
+) -> DataFrame:
+    """All rows of a layer that is written in batches. ``skip_unreadable`` leaves damaged files
+    out, with a warning in the executor log, instead of failing."""
+    reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+    if skip_unreadable:
+        reader = reader.option("ignoreCorruptFiles", "true")
+    return reader.parquet(path).drop("batch_id")
+
+
 def scan_silver(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
     """The current silver articles (O03): all files below ``path``, last write per key.
 
-    Partition folders prune on ``source_key`` and ``dt``. ``skip_unreadable`` leaves damaged
-    files out, with a warning in the executor log, instead of failing.
+    Filters on ``source_key`` and ``dt`` skip whole folders.
     """
-    reader = spark.read.schema(SILVER).option("pathGlobFilter", "*.parquet")
-    if skip_unreadable:
-        reader = reader.option("ignoreCorruptFiles", "true")
-    return latest_version(reader.parquet(path))
+    return latest_version(read_layer(spark, path, SILVER, skip_unreadable))

@@ -18,9 +18,10 @@ from pressflow.operators.language import LanguageModel
 from pressflow.operators.latest import latest_version
 from pressflow.operators.quality import passed, rejected, tag_quality
 from pressflow.operators.silver import to_silver, with_partitions
-from pressflow.schemas import BRONZE, RAW_COLUMNS, REJECTS, SILVER
+from pressflow.schemas import BRONZE, RAW_COLUMNS, REJECTS
 from pressflow.sinks.lake import write_batch
 from pressflow.sources.events import decode_events
+from pressflow.sources.tables import read_layer, scan_silver
 
 SOURCE_FOLDERS = ["source_key", "dt"]
 REJECT_FOLDERS = ["dq_reason", "dt"]
@@ -103,12 +104,12 @@ class Ingest:
 
     def bronze(self, spark: SparkSession) -> DataFrame:
         """The last delivery of every event."""
-        return latest_version(spark.read.schema(BRONZE).parquet(self.layer("bronze")))
+        return latest_version(read_layer(spark, self.layer("bronze"), BRONZE))
 
     def rejects(self, spark: SparkSession) -> DataFrame:
         """Every reject; nothing is replaced."""
-        return spark.read.schema(REJECTS).parquet(self.layer("rejects"))
+        return read_layer(spark, self.layer("rejects"), REJECTS)
 
     def silver(self, spark: SparkSession) -> DataFrame:
         """The last passing delivery of every event."""
-        return latest_version(spark.read.schema(SILVER).parquet(self.layer("silver")))
+        return scan_silver(spark, self.layer("silver"))

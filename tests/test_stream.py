@@ -1,6 +1,7 @@
 """O01, O02, O16, O17, O25-O27, O82-O84, O89."""
 
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from pressflow.sources import sample
 from pressflow.sources.events import decode_events, landed_events
 from pressflow.sources.tables import scan_parquet, scan_silver
 from pressflow.streaming import daily
-from pressflow.streaming.ingest import Ingest, tagged_events
+from pressflow.sinks.lake import compact
+from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest, tagged_events
 from tests_paths import SMALL
 
 
@@ -146,3 +148,63 @@ def test_scans(spark, tmp_path):
     with pytest.raises(Exception):
         scan_silver(spark, job.layer("silver")).collect()
     assert scan_silver(spark, job.layer("silver"), skip_unreadable=True).count() == 2
+
+
+def test_compaction_changes_no_result(spark, tmp_path):
+    job = Ingest(str(tmp_path))
+    job.write(values(spark, [event(id="a", titre_article="1"), event(id="b")]), 0)
+    job.write(values(spark, [event(id="a", titre_article="2"), event(id="c", source="CNN")]), 1)
+    job.write(values(spark, [event(id="d"), event(id="a", titre_article="3")]), 2)
+    before = sorted(map(tuple, job.silver(spark).collect()))
+    compact(spark, job.layer("silver"), SILVER, SOURCE_FOLDERS, up_to=1)
+    assert sorted(p.name for p in (tmp_path / "silver").glob("batch_id=*")) == ["batch_id=-1", "batch_id=2"]
+    assert sorted(map(tuple, job.silver(spark).collect())) == before
+    stored = spark.read.schema(SILVER).parquet(job.layer("silver"))
+    assert stored.count() == 5
+    # again, now over an already merged batch
+    compact(spark, job.layer("silver"), SILVER, SOURCE_FOLDERS, up_to=2)
+    assert [p.name for p in (tmp_path / "silver").glob("batch_id=*")] == ["batch_id=-2"]
+    assert sorted(map(tuple, job.silver(spark).collect())) == before
+    # nothing left to merge
+    compact(spark, job.layer("silver"), SILVER, SOURCE_FOLDERS, up_to=2)
+    assert sorted(map(tuple, job.silver(spark).collect())) == before
+
+
+def test_compaction_that_stopped_half_way_loses_nothing(spark, tmp_path, monkeypatch):
+    from pressflow.sinks import lake
+
+    job = Ingest(str(tmp_path))
+    for n in range(3):
+        job.write(values(spark, [event(id=f"a{n}"), event(id="same", titre_article=str(n))]), n)
+    before = sorted(map(tuple, job.silver(spark).collect()))
+    removed = []
+
+    def stop_after_one(spark, path):
+        if removed:
+            raise RuntimeError("stopped")
+        removed.append(path)
+        shutil.rmtree(path.removeprefix("file:"))
+
+    monkeypatch.setattr(lake, "remove_dir", stop_after_one)
+    with pytest.raises(RuntimeError):
+        compact(spark, job.layer("silver"), SILVER, SOURCE_FOLDERS, up_to=2)
+    assert sorted(map(tuple, job.silver(spark).collect())) == before
+    monkeypatch.undo()
+    compact(spark, job.layer("silver"), SILVER, SOURCE_FOLDERS, up_to=2)
+    assert len(list((tmp_path / "silver").glob("batch_id=*"))) == 1
+    assert sorted(map(tuple, job.silver(spark).collect())) == before
+
+
+def test_running_continuously(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_lines(landing, "one", [event(id="a")])
+    job = Ingest(str(tmp_path / "lake"))
+    query = job.run_continuously(landed_events(spark, str(landing)), "1 second")
+    try:
+        query.processAllAvailable()
+        write_lines(landing, "two", [event(id="b"), event(id="c", contenu="short")])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r["id"] for r in job.silver(spark).collect()) == ["a", "b"]
+    assert sum(c["rejected"] for c in job.counts.values()) == 1
