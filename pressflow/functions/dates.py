@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,7 +74,14 @@ def utc_day(instant: Column) -> Column:
     return F.to_date(instant)
 
 
-# Forms a feed date is tried in, after weekday and zone name are normalised.
+def utc_literal(ts: datetime) -> Column:
+    """A Python datetime as an instant; one without a zone is UTC, whatever the machine's zone."""
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp")
+
+
+# Forms a feed date is tried in, after weekday, zone name and offset are normalised.
 FEED_DATE_FORMATS = [
     "d MMM yyyy HH:mm:ss Z",
     "d MMM yyyy HH:mm Z",
@@ -80,9 +89,22 @@ FEED_DATE_FORMATS = [
     "d MMM yyyy HH:mm:ss",
     "d MMM yyyy HH:mm",
     "d MMM yyyy",
+    "d MMMM yyyy HH:mm:ss Z",
+    "d MMMM yyyy HH:mm:ss",
+    "d MMMM yyyy HH:mm",
+    "d MMMM yyyy",
+    "MMM d, yyyy h:mm a",
     "MMM d, yyyy HH:mm:ss",
+    "MMM d, yyyy HH:mm",
     "MMM d, yyyy",
+    "MMMM d, yyyy h:mm a",
+    "MMMM d, yyyy HH:mm",
+    "MMMM d, yyyy",
     "yyyy-MM-dd HH:mm:ss Z",
+    "yyyy/MM/dd HH:mm:ss",
+    "yyyy/MM/dd",
+    "M/d/yyyy HH:mm:ss",
+    "M/d/yyyy",
 ]
 
 
@@ -92,11 +114,12 @@ def feed_date_iso(c: Column) -> Column:
     Zone names other than UTC read as UTC, as do dates without a zone.
     """
     text = F.trim(F.regexp_replace(c, r"^\s*[A-Za-z]+\.?,\s*", ""))
-    text = F.regexp_replace(text, r"([0-9])\s*(?:Z|[A-Z]{2,5})$", "$1 +0000")
+    text = F.regexp_replace(text, r"([0-9])\s*(?:Z|UT|[A-Z]{3,5})$", "$1 +0000")
     text = F.regexp_replace(text, r"([+-][0-9]{2}):([0-9]{2})$", "$1$2")
     instant = F.coalesce(
+        *[F.try_to_timestamp(text, F.lit(form)) for form in FEED_DATE_FORMATS[:2]],
         iso_timestamp(F.trim(c)),
-        *[F.try_to_timestamp(text, F.lit(form)) for form in FEED_DATE_FORMATS],
+        *[F.try_to_timestamp(text, F.lit(form)) for form in FEED_DATE_FORMATS[2:]],
     )
     with_fraction = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return F.concat(F.regexp_replace(with_fraction, r"\.000000$", ""), F.lit("+00:00"))

@@ -6,11 +6,13 @@ so a result can be reproduced. Ties are broken by the key.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressflow.functions.dates import utc_literal
+
 
 def _since(day: date, days: int) -> Column:
     """From ``days`` before ``day`` on, with no upper bound."""
@@ -100,7 +102,7 @@ def active_sources(articles_per_source: DataFrame) -> DataFrame:
 
 def articles_last_hours(articles: DataFrame, as_of: datetime, hours: int = 24) -> DataFrame:
     """Articles published in the last hours."""
-    start = F.lit(as_of) - F.make_interval(hours=F.lit(hours))
+    start = utc_literal(as_of - timedelta(hours=hours))
     return (
         articles.where(F.col("published_at") >= start)
         .agg(F.count(F.lit(1)).alias(f"last_{hours}h"))

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressflow.functions.dates import utc_literal
 from pressflow.functions.text import clean_columns, word_count
 from pressflow.operators import gold, quality, series
 from pressflow.operators.language import LanguageModel, language_profile, trigram_counts
@@ -34,10 +35,6 @@ CHECKED_AT = datetime(2024, 1, 31)
 CONTAINERS = "click|view|purch.*|sign"
 
 
-def _at(ts: datetime):
-    return F.lit(ts).cast("timestamp")
-
-
 _models: dict[tuple[str, str], LanguageModel] = {}
 
 
@@ -57,7 +54,7 @@ def _tagged(spark, sf_dir):
 
 def _silver(spark, sf_dir, language=False):
     model = language_model(spark, sf_dir) if language else None
-    return to_silver(quality.passed(_tagged(spark, sf_dir)), model, _at(CHECKED_AT))
+    return to_silver(quality.passed(_tagged(spark, sf_dir)), model, utc_literal(CHECKED_AT))
 
 
 def _view(spark, sf_dir, language=False):
@@ -79,11 +76,11 @@ def dq_summary(spark, sf_dir):
 
 
 def dq_results(spark, sf_dir):
-    return quality.quality_results(_tagged(spark, sf_dir), _at(CHECKED_AT))
+    return quality.quality_results(_tagged(spark, sf_dir), utc_literal(CHECKED_AT))
 
 
 def rejects(spark, sf_dir):
-    return quality.rejected(_tagged(spark, sf_dir), _at(CHECKED_AT)).select(
+    return quality.rejected(_tagged(spark, sf_dir), utc_literal(CHECKED_AT)).select(
         "id", "source", "titre_article", "contenu", "dq_reason", "dq_checked_at", "dt")
 
 
@@ -127,9 +124,9 @@ def top_keywords_approx(spark, sf_dir):
 def articles_upsert(spark, sf_dir):
     stored = (
         _gold(spark, sf_dir, "articles").select("id", "title", "category", "url")
-        .withColumn("ingested_at", _at(FIRST_LOAD))
+        .withColumn("ingested_at", utc_literal(FIRST_LOAD))
     )
-    return upsert(stored, sample.republished(spark, sf_dir), ["id"], _at(SECOND_LOAD))
+    return upsert(stored, sample.republished(spark, sf_dir), ["id"], utc_literal(SECOND_LOAD))
 
 
 def pk_violations(spark, sf_dir):
@@ -298,7 +295,7 @@ def stream_daily_counts(spark, sf_dir):
     """Silver streamed into counts per day and source."""
     root = working_dir(spark, "daily")
     silver = _silver(spark, sf_dir).withColumns(
-        {"ingest_ts": _at(CHECKED_AT), "src_offset": F.lit(0).cast("bigint")})
+        {"ingest_ts": utc_literal(CHECKED_AT), "src_offset": F.lit(0).cast("bigint")})
     write_batch(silver.select(*_names(SILVER)), f"{root}/silver", SOURCE_FOLDERS, 0)
     stream = daily.silver_stream(spark, f"{root}/silver")
     daily.write_updates(

@@ -25,6 +25,11 @@ SILVER = f"""
     ingest_ts TIMESTAMP, src_offset BIGINT, source_key STRING, dt DATE
 """
 
+# Silver as JSON objects, where the time is text.
+SILVER_JSON = f"""
+    {RAW}, language STRING, word_count INT, char_count INT, silver_processed_at STRING
+"""
+
 # Warehouse tables: columns with their SQL types, primary key, and columns that may not be null.
 GOLD = {
     "articles": """

@@ -34,6 +34,17 @@ def write_observed(df: DataFrame, path: str, **counts: Column) -> dict[str, int]
     return seen.get
 
 
+def export_json(silver: DataFrame, path: str) -> None:
+    """Silver as JSON lines below ``source=/dt=`` folders, null fields included."""
+    body = [c for c in silver.columns if c not in ("source_key", "dt", "ingest_ts", "src_offset")]
+    line = F.to_json(F.struct(*body), {"ignoreNullFields": "false"})
+    (
+        silver.select(line.alias("value"), F.col("source_key").alias("source"), "dt")
+        .hint("rebalance", "source", "dt")
+        .write.mode("overwrite").partitionBy("source", "dt").text(path)
+    )
+
+
 def compact(spark: SparkSession, layer: str, schema: str, folders: list[str], up_to: int) -> None:
     """Merge the batches up to ``up_to`` into one, keeping the last write per key.
 

@@ -53,15 +53,26 @@ def feed_items(
     )
 
 
-def article_events(items: DataFrame, pages: DataFrame, scraped_at: Column | None = None) -> DataFrame:
-    """Raw article events from feed items and extracted pages (O12, O13, O15), without those
-    that lack a title (O14). ``pages`` comes from ``extract_pages``; where a URL was fetched
-    more than once the first by ``page_id`` counts."""
+def _with_pages(items: DataFrame, pages: DataFrame | None) -> DataFrame:
+    """Items with body and author of their page; where a URL was fetched more than once, the
+    first by ``page_id`` counts."""
+    if pages is None:
+        none = F.lit(None).cast("string")
+        return items.withColumns({"page_body": none, "page_author": none})
     page = first_per_key(
         pages.select("source", "url", "page_id", "page_body", "page_author"),
         ["source", "url"], [F.asc("page_id")],
     ).drop("page_id")
-    joined = salted_left_join(items, page, ["source", "url"], spread_by=["feed_id", "position"])
+    return salted_left_join(items, page, ["source", "url"], spread_by=["feed_id", "position"])
+
+
+def article_events(
+    items: DataFrame, pages: DataFrame | None = None, scraped_at: Column | None = None
+) -> DataFrame:
+    """Raw article events from feed items and extracted pages (O12, O13, O15), without those
+    that lack a title (O14). ``pages`` comes from ``extract_pages``; without it, summaries are
+    the content."""
+    joined = _with_pages(items, pages)
     body = F.when(F.col("page_body") != "", F.col("page_body")).otherwise(F.col("summary"))
     author = F.when(F.col("author") != "", F.col("author")).otherwise(F.col("page_author"))
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")

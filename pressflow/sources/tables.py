@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pressflow.operators.latest import latest_version
-from pressflow.schemas import SILVER
+from pressflow.schemas import SILVER, SILVER_JSON
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -39,3 +40,24 @@ def scan_silver(spark: SparkSession, path: str, skip_unreadable: bool = False) -
     Filters on ``source_key`` and ``dt`` skip whole folders.
     """
     return latest_version(read_layer(spark, path, SILVER, skip_unreadable))
+
+
+def scan_silver_json(spark: SparkSession, path: str) -> DataFrame:
+    """Silver kept as one JSON object per article below ``source=/dt=`` folders.
+
+    Objects that do not parse and anything under a rejects folder are left out. Folder names
+    give ``source_key`` and ``dt``; ``source`` stays the name inside the object.
+    """
+    file = F.col("_file")
+    return (
+        spark.read.schema(SILVER_JSON)
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+        .option("mode", "DROPMALFORMED").json(path)
+        .select("*", F.col("_metadata.file_path").alias("_file"))
+        .where(~F.contains(file, F.lit("_rejected")))
+        .withColumns({
+            "source_key": F.regexp_extract(file, "/source=([^/]*)/", 1),
+            "dt": F.regexp_extract(file, "/dt=([^/]*)/", 1).try_cast("date"),
+        })
+        .drop("_file")
+    )

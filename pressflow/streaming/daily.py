@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pressflow.fixed_values import UNKNOWN_SOURCE
 from pressflow.functions.dates import iso_timestamp
 from pressflow.operators.latest import first_per_key
 from pressflow.schemas import SILVER
@@ -17,19 +18,22 @@ def silver_stream(spark: SparkSession, path: str) -> DataFrame:
     return silver.where("batch_id >= 0")
 
 
-def daily_counts(silver_stream: DataFrame, lateness: str = "7 days") -> DataFrame:
+def daily_counts(silver_stream: DataFrame, lateness: str | None = None) -> DataFrame:
     """Articles per day and source while they arrive.
 
-    State is kept for days within the lateness bound; rows that come later still are left to
-    the batch rebuild of gold.
+    The state is one number per day and source, so by default all days are kept and no row
+    comes too late. With a lateness bound, days beyond it expire and their late rows are left
+    to the batch rebuild of gold, as is the correction of redelivered events, which count again.
     """
+    dated = silver_stream.withColumn(
+        "published_at", iso_timestamp(F.col("date_publication"))
+    ).where(F.col("published_at").isNotNull())
+    if lateness:
+        dated = dated.withWatermark("published_at", lateness)
     return (
-        silver_stream
-        .withColumn("published_at", iso_timestamp(F.col("date_publication")))
-        .where(F.col("published_at").isNotNull())
-        .withWatermark("published_at", lateness)
+        dated
         .groupBy(F.window("published_at", "1 day"),
-                 F.coalesce("source", F.lit("unknown")).alias("source"))
+                 F.coalesce("source", F.lit(UNKNOWN_SOURCE)).alias("source"))
         .agg(F.count(F.lit(1)).alias("n_articles"))
         .select(F.to_date("window.start").alias("day"), "source", "n_articles")
     )

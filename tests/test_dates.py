@@ -86,7 +86,22 @@ def test_partition_date(spark, published, scraped, expected):
     ("2024-01-02T16:43:38+02:00", "2024-01-02T14:43:38+00:00"),
     ("2024-01-02T16:43:38.5Z", "2024-01-02T16:43:38.500000+00:00"),
     ("Jan 2, 2024", "2024-01-02T00:00:00+00:00"),
+    ("Tuesday, January 2, 2024", "2024-01-02T00:00:00+00:00"),
+    ("January 2, 2024 4:43 PM", "2024-01-02T16:43:00+00:00"),
+    ("2 January 2024 16:43", "2024-01-02T16:43:00+00:00"),
+    ("Tue, 02 Jan 2024 16:43:38 EST", "2024-01-02T16:43:38+00:00"),
+    ("2024/01/02", "2024-01-02T00:00:00+00:00"),
+    ("1/2/2024", "2024-01-02T00:00:00+00:00"),
+    ("2024-01-02 16:43:38 +0100", "2024-01-02T15:43:38+00:00"),
     ("no date", None), ("", None), (None, None),
 ])
 def test_feed_dates(one, value, expected):
     assert one([value], dates.feed_date_iso) == [expected]
+
+
+def test_literal_is_utc(spark):
+    row = spark.range(1).select(
+        dates.utc_literal(datetime(2026, 1, 1, 5)).alias("a"),
+        dates.utc_literal(datetime.fromisoformat("2026-01-01T05:00:00+02:00")).alias("b"),
+    ).selectExpr("cast(a AS STRING)", "cast(b AS STRING)").first()
+    assert tuple(row) == ("2026-01-01 05:00:00", "2026-01-01 03:00:00")

@@ -142,6 +142,9 @@ def test_article_events(spark):
     assert got["http://x/1"]["date_publication"] == "2024-01-02T16:43:38+00:00"
     assert (got["http://x/2"]["contenu"], got["http://x/2"]["auteur"]) == ("sum", None)
     assert (got["http://x/4"]["contenu"], got["http://x/4"]["auteur"]) == ("sum", "Page")
+    # without fetched pages
+    alone = {r["url"]: r["contenu"] for r in article_events(feed_items(feeds)).collect()}
+    assert alone == {"http://x/1": "<p>hi</p>", "http://x/2": "sum", "http://x/4": "sum"}
 
 
 def test_salted_join_equals_plain_join(spark):

@@ -13,9 +13,9 @@ from pressflow.schemas import RAW_COLUMNS, REJECTS, SILVER
 from pressflow.sinks.events import as_messages, land_text
 from pressflow.sources import sample
 from pressflow.sources.events import decode_events, landed_events
-from pressflow.sources.tables import scan_parquet, scan_silver
+from pressflow.sources.tables import scan_parquet, scan_silver, scan_silver_json
 from pressflow.streaming import daily
-from pressflow.sinks.lake import compact
+from pressflow.sinks.lake import compact, export_json
 from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest, tagged_events
 from tests_paths import SMALL
 
@@ -208,3 +208,31 @@ def test_running_continuously(spark, tmp_path):
         query.stop()
     assert sorted(r["id"] for r in job.silver(spark).collect()) == ["a", "b"]
     assert sum(c["rejected"] for c in job.counts.values()) == 1
+
+
+def test_silver_as_json_objects(spark, tmp_path):
+    folder = tmp_path / "silver" / "source=BBC_News" / "dt=2026-01-01"
+    folder.mkdir(parents=True)
+    full = json.loads(event(id="a"))
+    full |= {"language": None, "word_count": 1, "char_count": 120, "silver_processed_at": "2026-01-01T00:00:00+00:00"}
+    (folder / "a.json").write_text(json.dumps(full, ensure_ascii=False))
+    (folder / "b.json").write_text("{broken")
+    (folder / "c.txt").write_text(json.dumps({**full, "id": "c"}))
+    rejected = tmp_path / "silver" / "x_rejected" / "dt=2026-01-01"
+    rejected.mkdir(parents=True)
+    (rejected / "d.json").write_text(json.dumps({**full, "id": "d"}))
+    (row,) = scan_silver_json(spark, str(tmp_path / "silver")).collect()
+    assert (row["id"], row["source"], row["source_key"], str(row["dt"])) == (
+        "a", "BBC News", "BBC_News", "2026-01-01")
+    assert articles_per_day(silver_view(scan_silver_json(spark, str(tmp_path / "silver")))).count() == 1
+
+
+def test_silver_export_round_trip(spark, tmp_path):
+    job = Ingest(str(tmp_path / "lake"))
+    job.write(values(spark, [event(id="a"), event(id="b", source="CNN", auteur=None)]), 0)
+    silver = job.silver(spark)
+    export_json(silver, str(tmp_path / "json"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "json")).collect()
+    got = {o["id"]: o for o in (json.loads(r["value"]) for r in lines)}
+    assert set(got) == {"a", "b"} and got["b"]["source"] == "CNN" and got["b"]["auteur"] is None
+    assert (tmp_path / "json" / "source=BBC_News" / "dt=2026-01-01").exists()
