@@ -96,10 +96,7 @@ def unmarked_paragraphs(decoded: Column) -> Column:
     return F.coalesce(F.transform(F.split(decoded, BLOCK_END), text), none)
 
 
-def element_text(page: Column, pattern: str, group: int, separator: str) -> Column:
-    """Text of the first element a pattern finds, entities still encoded; null without one."""
-    nodes = _text_nodes(F.regexp_extract(page, pattern, group))
-    return F.when(page.rlike(pattern), F.array_join(nodes, separator))
+LINK = r"(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>"
 
 
 def element_pattern(attribute: str, tag: str = r"[a-zA-Z][a-zA-Z0-9]*") -> str:
@@ -108,10 +105,15 @@ def element_pattern(attribute: str, tag: str = r"[a-zA-Z][a-zA-Z0-9]*") -> str:
     return rf"{opening}(.*?)</\1\s*>"
 
 
-def link_pattern(attribute: str, tag: str = r"[a-zA-Z][a-zA-Z0-9]*") -> str:
-    """Pattern of the first link inside an element with an attribute; group 2 is its markup."""
-    opening = rf"(?is)<({tag})\s(?:[^>]*\s)?{attribute}(?:[\s\"'/][^>]*)?>"
-    return rf"{opening}(?:(?!</\1[\s>]).)*?<a(?:\s[^>]*)?>(.*?)</a\s*>"
+def element_text(page: Column, pattern: str, separator: str, link: bool = False) -> Column:
+    """Text of the first element a pattern finds, or of the first link inside such an element;
+    null without one. Entities are still encoded."""
+    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(2))
+    if link:
+        with_link = F.filter(found, lambda inner: inner.rlike(LINK))
+        found = F.transform(with_link, lambda inner: F.regexp_extract(inner, LINK, 1))
+    texts = F.transform(F.slice(found, 1, 1), lambda m: F.array_join(_text_nodes(m), separator))
+    return F.get(texts, F.lit(0))
 
 
 def prepared(page: Column) -> Column:

@@ -17,7 +17,6 @@ from pyspark.sql.types import StringType
 
 from pressflow.fixed_values import KEYWORD_PATTERN, WHITESPACE_CHARS
 
-
 # Markup that is not text, in the order in which it is removed. The patterns avoid
 # look-around and possessive quantifiers, so RE2 engines read them too.
 COMMENT = r"(?s)<!--.*?-->"

@@ -403,4 +403,9 @@ ORACLE = {
         SELECT id, titre_article, contenu, dq_reason, dt FROM tagged
         WHERE dq_reason IS NOT NULL"""),
     "stream_daily_counts": _with("articles_per_day", "SELECT * FROM articles_per_day"),
+    "stream_message_rate": """
+        SELECT ts, round(count(*) / 300, 6) AS rate
+        FROM (SELECT date_trunc('minute', ts) + INTERVAL 1 MINUTE * unnest(range(1, 6)) AS ts
+              FROM events)
+        GROUP BY ts""",
 }

@@ -305,6 +305,20 @@ def stream_daily_counts(spark, sf_dir):
         spark, f"{root}/counts", "day DATE, source STRING, n_articles BIGINT", ["day", "source"])
 
 
+def stream_message_rate(spark, sf_dir):
+    """Events streamed into messages per second."""
+    root = working_dir(spark, "rate")
+    events = (
+        spark.readStream.schema("ts TIMESTAMP_NTZ").option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir).select(F.col("ts").cast("timestamp").alias("ingest_ts"))
+    )
+    daily.write_updates(
+        daily.message_rate(events), f"{root}/rates", f"{root}/checkpoint", {"availableNow": True}
+    ).awaitTermination()
+    rates = daily.latest_updates(spark, f"{root}/rates", "ts TIMESTAMP, rate DOUBLE", ["ts"])
+    return rates.withColumn("rate", F.round("rate", 6))
+
+
 def _names(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.replace("\n", " ").split(",")]
 
@@ -359,6 +373,7 @@ CATALOGUE = {
     "stream_ingest": stream_ingest,
     "stream_rejects": stream_rejects,
     "stream_daily_counts": stream_daily_counts,
+    "stream_message_rate": stream_message_rate,
 }
 
 

@@ -18,7 +18,8 @@ def write_batch(df: DataFrame, layer: str, folders: list[str], batch_id: int) ->
     """
     (
         df.hint("rebalance", *folders)
-        .write.mode("overwrite").partitionBy(*folders).parquet(f"{layer}/batch_id={batch_id}")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy(*folders).parquet(f"{layer}/batch_id={batch_id}")
     )
 
 

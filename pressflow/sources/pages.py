@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +32,12 @@ class Block:
 
 @dataclass(frozen=True)
 class Byline:
-    """A pattern whose second group is the byline's markup."""
+    """A pattern whose second group is the byline's markup, or holds its link. ``separator``
+    goes between the text nodes."""
 
     pattern: str
     separator: str
+    link: bool = False
 
 
 @dataclass(frozen=True)
@@ -48,7 +50,7 @@ class SourceRule:
     default_category: str | None = None
     feed_has_author: bool = False
     # whether a later block is tried when the first is there but has no paragraph
-    paragraphs_required: bool = field(default=False)
+    paragraphs_required: bool = False
 
     def usable(self, blocks: Column) -> Column:
         found = html.has_paragraph(blocks) if self.paragraphs_required else F.size(blocks) > 0
@@ -56,7 +58,7 @@ class SourceRule:
 
     def author(self, page: Column) -> Column:
         return F.coalesce(*[
-            html.element_text(page, b.pattern, 2, b.separator) for b in self.bylines])
+            html.element_text(page, b.pattern, b.separator, b.link) for b in self.bylines])
 
 
 # The elements that hold body and byline in each source's pages.
@@ -68,8 +70,8 @@ SOURCE_RULES = [
             Block("article", first_only=True),
         ],
         bylines=[
-            Byline(html.link_pattern(html.has_class("author"), tag="small"), ""),
-            Byline(html.link_pattern(html.has_class("author")), ""),
+            Byline(html.element_pattern(html.has_class("author"), tag="small"), "", link=True),
+            Byline(html.element_pattern(html.has_class("author")), "", link=True),
         ],
         feed_has_author=True,
     ),

@@ -41,13 +41,17 @@ def daily_counts(silver_stream: DataFrame, lateness: str | None = None) -> DataF
 
 def message_rate(
     stream: DataFrame, ts: str = "ingest_ts", range_: str = "5 minutes", step: str = "1 minute",
-    lateness: str = "10 minutes",
+    lateness: str | None = None,
 ) -> DataFrame:
-    """Messages per second over a sliding window of a stream."""
+    """Messages per second over a sliding window of a stream.
+
+    The state is one number per window; a lateness bound lets old windows expire.
+    """
+    if lateness:
+        stream = stream.withWatermark(ts, lateness)
     seconds = F.unix_seconds("window.end") - F.unix_seconds("window.start")
     return (
-        stream.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, range_, step)).agg(F.count(F.lit(1)).alias("n"))
+        stream.groupBy(F.window(ts, range_, step)).agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("window.end").alias("ts"), (F.col("n") / seconds).alias("rate"))
     )
 

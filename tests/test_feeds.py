@@ -107,6 +107,10 @@ def test_bylines(page):
     assert page("Hespress", '<small class="author"><i>by</i> <a href=x>Ana <b>B</b></a></small>'
                 )["page_author"] == "AnaB"
     assert page("Hespress", '<div class="author"><a>Ana</a></div>')["page_author"] == "Ana"
+    assert page("Hespress", '<div class="author">no link</div><b class=author><a>Ana</a></b>'
+                )["page_author"] == "Ana"
+    # a long element without a link, to show that no pattern recurses
+    assert page("Hespress", f'<div class="author">{"x" * 200_000}</div>')["page_author"] is None
     assert page("Hespress", '<div class="author">Ana</div><a>Other</a>')["page_author"] is None
     assert page("Hespress", '<div class="authors"><a>Ana</a></div>')["page_author"] is None
     assert page("BBC News", '<div data-component="byline-block"><b>By</b> Ana &amp; Bo</div>'
