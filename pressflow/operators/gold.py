@@ -98,11 +98,13 @@ def top_keywords_approx(view: DataFrame, k: int = TOP_KEYWORDS_PER_DAY) -> DataF
     )
 
 
-def articles(view: DataFrame) -> DataFrame:
-    """Warehouse columns, one row per id: the first in silver listing order."""
-    first = first_per_key(
-        view, ["id"], [silver_key(F.col("source_key"), F.col("dt"), F.col("id"))])
-    return first.select(
+def articles(view: DataFrame, pick=first_per_key) -> DataFrame:
+    """Warehouse columns, one row per id: the first in silver listing order.
+
+    ``pick`` is ``first_per_key`` or a function that does the same.
+    """
+    listing = silver_key(F.col("source_key"), F.col("dt"), F.col("id"))
+    return pick(view, ["id"], [listing]).select(
         "id",
         F.col("titre_article").alias("title"),
         F.col("auteur").alias("author"),

@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# As many keys as a broadcast carries without strain.
+MAX_REPEATED_KEYS = 500_000
+
+LAYER_KEYS = ["source_key", "dt", "id"]
+
+
+def last_write() -> list[Column]:
+    """The order in which a layer's deliveries replace each other, newest first."""
+    return [F.desc("ingest_ts"), F.desc("src_offset")]
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order.
@@ -18,5 +31,40 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
 
 def latest_version(layer: DataFrame) -> DataFrame:
     """Last write wins per (source_key, dt, id) (O27). Only the columns in use are shuffled."""
-    return first_per_key(
-        layer, ["source_key", "dt", "id"], [F.desc("ingest_ts"), F.desc("src_offset")])
+    return first_per_key(layer, LAYER_KEYS, last_write())
+
+
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys with more than one row. Reads and shuffles the key columns only."""
+    return (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        .where("_rows > 1").select(*keys)
+    )
+
+
+def first_per_stored_key(
+    df: DataFrame, keys: list[str], order: list[Column], folder: str,
+    max_repeated: int = MAX_REPEATED_KEYS,
+) -> DataFrame:
+    """``first_per_key`` for a wide stored table, without shuffling it if few keys repeat.
+
+    A first job over the key columns lists the repeated keys. Rows of other keys pass through;
+    only rows of the listed ones are ranked. The list is broadcast if it has at most
+    ``max_repeated`` keys. Beyond that all rows are ranked, once, into a table in ``folder``,
+    which must live as long as the result.
+    """
+    spark = df.sparkSession
+    listed = f"{folder}/repeated-{uuid.uuid4().hex}"
+    repeated_keys(df, keys).limit(max_repeated + 1).write.parquet(listed)
+    repeated = spark.read.schema(df.select(*keys).schema).parquet(listed)
+    n_repeated = repeated.count()
+    if n_repeated == 0:
+        return df
+    if n_repeated > max_repeated:
+        ranked = f"{folder}/first-{uuid.uuid4().hex}"
+        first_per_key(df, keys, order).write.parquet(ranked)
+        return spark.read.schema(df.schema).parquet(ranked)
+    same = reduce(Column.__and__, [df[key].eqNullSafe(repeated[key]) for key in keys])
+    once = df.join(F.broadcast(repeated), same, "left_anti")
+    several = df.join(F.broadcast(repeated), same, "left_semi")
+    return once.unionByName(first_per_key(several, keys, order))

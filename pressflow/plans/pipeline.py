@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pressflow.operators.gold import (
     articles,
@@ -15,11 +16,17 @@ from pressflow.operators.gold import (
     silver_view,
     top_keywords,
 )
-from pressflow.schemas import GOLD
+from pressflow.operators.latest import (
+    LAYER_KEYS,
+    MAX_REPEATED_KEYS,
+    first_per_stored_key,
+    last_write,
+)
+from pressflow.schemas import GOLD, SILVER
 from pressflow.session import remove_dir, working_dir
 from pressflow.sinks.lake import write_observed
 from pressflow.sinks.warehouse import REPLACED, create_tables, replace_table, upsert_articles
-from pressflow.sources.tables import scan_silver
+from pressflow.sources.tables import read_layer
 
 BUILDERS = {
     "articles_per_day": articles_per_day,
@@ -45,24 +52,31 @@ def _summary(spark: SparkSession, counts: dict[str, int], started: float) -> Dat
 
 def build_gold(
     spark: SparkSession, silver_path: str, gold_path: str,
-    countries: dict[str, str] | None = None,
+    countries: dict[str, str] | None = None, max_repeated: int = MAX_REPEATED_KEYS,
 ) -> DataFrame:
     """Rebuild every gold table from silver (O58) and return the row counts.
 
-    Picking the last write per key shuffles the texts, so that is done once, into a table in
-    the working folder; the six builders then read just the columns they need.
+    Each builder scans just the columns it needs. The texts are shuffled only where more keys
+    than ``max_repeated`` were delivered several times.
     """
     started = time.time()
-    current = working_dir(spark, "silver")
-    view = silver_view(scan_silver(spark, silver_path), countries)
+    folder = working_dir(spark, "gold")
+
+    def pick(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+        return first_per_stored_key(df, keys, order, folder, max_repeated)
+
     try:
-        counts = {"rows_silver": write_observed(view, current)["n_rows"]}
-        stored = spark.read.schema(view.schema).parquet(current)
+        silver = pick(read_layer(spark, silver_path, SILVER), LAYER_KEYS, last_write())
+        view = silver_view(silver, countries)
+        counts = {}
         for name, build in BUILDERS.items():
-            counts[name] = write_observed(build(stored), f"{gold_path}/{name}")["n_rows"]
+            table = articles(view, pick) if name == "articles" else build(view)
+            counts[name] = write_observed(table, f"{gold_path}/{name}")["n_rows"]
     finally:
-        remove_dir(spark, current)
-    return _summary(spark, counts, started)
+        remove_dir(spark, folder)
+    per_day = read_gold(spark, gold_path)["articles_per_day"]
+    rows_silver = per_day.agg(F.coalesce(F.sum("n_articles"), F.lit(0))).first()[0]
+    return _summary(spark, {"rows_silver": rows_silver, **counts}, started)
 
 
 def read_gold(spark: SparkSession, gold_path: str) -> dict[str, DataFrame]:

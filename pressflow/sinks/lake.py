@@ -9,16 +9,23 @@ from pressflow.operators.latest import latest_version
 from pressflow.session import list_dirs, remove_dir
 
 
+# Copies of one text compress to almost nothing, so a bound on bytes does not bound the work in
+# a file; this does. Ordinary articles fill it to a usual file size.
+MAX_ROWS_PER_FILE = 20_000
+
+
 def write_batch(df: DataFrame, layer: str, folders: list[str], batch_id: int) -> None:
     """Add one batch to a partitioned layer, idempotently.
 
     A batch owns the folder ``batch_id=<n>``, so a replay after a failure replaces what the
     failed attempt left. The rebalance hint gathers each folder's rows into few files and lets
-    Spark cut a folder that holds most of the rows into several tasks.
+    Spark cut a folder that holds most of the rows into several tasks. Files have a row limit,
+    so that later scans can be cut too.
     """
     (
         df.hint("rebalance", *folders)
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .partitionBy(*folders).parquet(f"{layer}/batch_id={batch_id}")
     )
 
@@ -31,7 +38,7 @@ def write_observed(df: DataFrame, path: str, **counts: Column) -> dict[str, int]
     seen = Observation()
     columns = {"n_rows": F.count(F.lit(1)), **counts}
     observed = df.observe(seen, *[c.alias(name) for name, c in columns.items()])
-    observed.write.mode("overwrite").parquet(path)
+    observed.write.mode("overwrite").option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path)
     return seen.get
 
 

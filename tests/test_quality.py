@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pressflow.functions import keys
 from pressflow.operators import quality
-from pressflow.operators.latest import first_per_key, latest_version
+from pressflow.operators.latest import first_per_key, first_per_stored_key, latest_version
 
 LONG = "x" * 100
 DATE = "2026-01-01T00:00:00+00:00"
@@ -106,6 +106,25 @@ def test_last_write_wins(spark):
         "high", "new", "no id", "other day"]
 
 
+@pytest.mark.parametrize("repeated, limit, expected_files", [(0, 5, 0), (3, 5, 0), (3, 3, 0), (3, 2, 1)])
+def test_stored_rows_are_picked_alike_on_every_path(spark, tmp_path, repeated, limit, expected_files):
+    rows = [(f"k{i}", 1, "only") for i in range(20)] + [(None, 1, "no key")]
+    for i in range(repeated):
+        key = None if i == 0 else f"k{i}"
+        # newer, older and an exact copy of the newest
+        rows += [(key, 3, "new"), (key, 2, "old"), (key, 3, "new")]
+    df = spark.createDataFrame(rows, "k STRING, ts INT, v STRING")
+    picked = first_per_stored_key(df, ["k"], [F.desc("ts")], str(tmp_path), limit)
+    expected = first_per_key(df, ["k"], [F.desc("ts")])
+    assert sorted(map(str, picked.collect())) == sorted(map(str, expected.collect()))
+    assert len(list(tmp_path.glob("first-*"))) == expected_files
+    if repeated <= limit:
+        # rows whose key does not repeat are in no shuffle
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange hashpartitioning" in plan) == (repeated > 0)
+        assert "Exchange hashpartitioning" not in plan.split("LeftAnti")[0]
+
+
 def test_one_hot_key_is_pruned_before_the_shuffle(spark):
     key = F.when(F.col("id") < 900, "hot").otherwise(F.col("id").cast("string"))
     kept = first_per_key(spark.range(1000).select(key.alias("k"), "id"), ["k"], [F.asc("id")])

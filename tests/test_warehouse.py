@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressflow.operators.upsert import upsert
-from pressflow.plans.pipeline import build_gold, load_warehouse, read_gold
+from pressflow.plans.pipeline import build_gold, gold_tables, load_warehouse, read_gold
 from pressflow.schemas import GOLD
 from pressflow.operators.quality import quality_results
 from pressflow.sinks.warehouse import (
@@ -18,7 +18,7 @@ from pressflow.sinks.warehouse import (
 )
 from pressflow.sources import sample
 from pressflow.sources.events import landed_events
-from pressflow.sinks.events import land_text
+from pressflow.sinks.events import as_messages, land_text
 from pressflow.streaming.ingest import Ingest
 from tests_paths import SMALL
 
@@ -119,6 +119,27 @@ def test_quality_history_grows(spark):
     assert sorted((r["run_at"], r["passed"]) for r in got) == [(ONE, False), (TWO, False)]
 
 
+@pytest.mark.parametrize("max_repeated", [0, 2, 500_000])
+def test_gold_is_the_same_however_repeats_are_resolved(spark, tmp_path, max_repeated):
+    raw = sample.articles_raw(spark, SMALL)
+    job = Ingest(str(tmp_path / "lake"))
+    events = as_messages(raw).select("value").withColumns(
+        {"ingest_ts": at(ONE), "src_offset": F.xxhash64("value")})
+    job.write(events, 0)
+    # every third article again, with another title
+    again = raw.where("conv(substring(id, 1, 2), 16, 10) % 3 = 0").withColumn(
+        "titre_article", F.lit("second delivery"))
+    job.write(as_messages(again).select("value").withColumns(
+        {"ingest_ts": at(TWO), "src_offset": F.xxhash64("value")}), 1)
+    build_gold(spark, job.layer("silver"), str(tmp_path / "gold"), max_repeated=max_repeated)
+    stored = read_gold(spark, str(tmp_path / "gold"))
+    expected = gold_tables(job.silver(spark))
+    for name, table in stored.items():
+        assert sorted(map(str, table.collect())) == sorted(map(str, expected[name].collect())), name
+    titles = stored["articles"].where("title = 'second delivery'").count()
+    assert 0 < titles < stored["articles"].count()
+
+
 def test_missing_gold_stops_the_load(spark, tmp_path):
     with pytest.raises(Exception):
         load_warehouse(spark, str(tmp_path / "none"), "wh4")
