@@ -21,8 +21,18 @@ SAMPLE_COUNTRIES = {
 }
 
 
+# Known schemas spare a job that reads file footers.
+TABLES = {
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+        value DOUBLE, props STRING""",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
