@@ -1,7 +1,7 @@
 """Paragraph and byline extraction from article pages.
 
-Pages are tag soup that XML functions refuse, so elements are found by their tags: a start tag
-splits the page, and counting start and end tags of the same name finds where the element ends.
+Pages are tag soup that XML functions refuse, so elements are found by their tags: the page is
+split before each tag of a name, and counting start and end tags finds where an element ends.
 """
 
 from __future__ import annotations
@@ -30,33 +30,43 @@ def has_value(attribute: str, value: str) -> str:
     return rf"{attribute}\s*=\s*[\"']?{value}"
 
 
-def _until_closed(segment: Column, tag: str) -> Column:
-    """The part of ``segment``, which starts inside an open ``tag``, up to its end tag."""
-    pieces = F.split(segment, rf"(?i)(?=</?{tag}[\s>/])")
-
-    def step(state, piece):
-        lower = F.lower(F.substring(piece, 1, len(tag) + 2))
+def elements(page: Column, tag: str, attribute: str | None = None) -> Column:
+    """Markup of every outermost ``tag`` element, optionally those with an attribute, from its
+    start tag to before its end tag, or to the end of the page if it is not closed."""
+    pieces = F.split(page, rf"(?i)(?=</?{tag}[\s>/])")
+    opening = start_tag(tag, attribute).replace("(?is)", "(?is)^")
+
+    def element(state: Column) -> Column:
+        size = (state["position"] - state["start"]).alias("size")
+        return F.concat(state["found"], F.array(F.struct(state["start"].alias("start"), size)))
+
+    def step(state: Column, piece: Column) -> Column:
+        inside = state["depth"] > 0
+        opens = ~inside & piece.rlike(opening)
         depth = (
-            F.when(F.startswith(lower, F.lit(f"</{tag}")), state["depth"] - 1)
-            .when(F.startswith(lower, F.lit(f"<{tag}")), state["depth"] + 1)
+            F.when(opens, 1)
+            .when(inside & piece.rlike(rf"(?i)^<{tag}[\s>/]"), state["depth"] + 1)
+            .when(inside & piece.rlike(rf"(?i)^</{tag}[\s>/]"), state["depth"] - 1)
             .otherwise(state["depth"])
         )
-        is_open = (state["depth"] > 0) & (depth > 0)
+        closes = inside & (depth == 0)
         return F.struct(
-            F.when(state["depth"] > 0, depth).otherwise(0).alias("depth"),
-            (state["kept"] + F.when(is_open, 1).otherwise(0)).alias("kept"),
+            depth.alias("depth"),
+            (state["position"] + 1).alias("position"),
+            F.when(opens, state["position"]).otherwise(state["start"]).alias("start"),
+            # grows by outermost elements, not by pieces
+            F.when(closes, element(state)).otherwise(state["found"]).alias("found"),
         )
 
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
-    kept = F.aggregate(pieces, start, step, lambda state: state["kept"])
-    return F.array_join(F.slice(pieces, F.lit(1), kept), "")
+    def last(state: Column) -> Column:
+        return F.when(state["depth"] > 0, element(state)).otherwise(state["found"])
 
-
-def elements(page: Column, tag: str, attribute: str | None = None) -> Column:
-    """Inner markup of every ``tag`` element, optionally those with an attribute."""
-    segments = F.split(page, start_tag(tag, attribute))
+    nothing = F.array().cast("array<struct<start:int,size:int>>")
+    start = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("position"),
+                     F.lit(0).alias("start"), nothing.alias("found"))
     return F.transform(
-        F.slice(segments, F.lit(2), F.size(segments)), lambda s: _until_closed(s, tag))
+        F.aggregate(pieces, start, step, last),
+        lambda e: F.array_join(F.slice(pieces, e["start"], e["size"]), ""))
 
 
 def _text_nodes(fragment: Column) -> Column:

@@ -81,6 +81,18 @@ def test_first_article_only_for_one_source_all_for_the_other(page):
     assert page("BBC News", html)["page_body"] == "one\ntwo"
 
 
+def test_nested_elements_belong_to_the_outer_one(page):
+    html = ("<article><p>one</p><article class=card><p>card</p></article><p>two</p></article>"
+            "<p>no</p><ARTICLE><p>three</article><articles><p>no</p></articles><article>x<p>four")
+    assert page("Hespress", html)["page_paragraphs"] == ["one", "card", "two"]
+    assert page("BBC News", html)["page_paragraphs"] == ["one", "card", "two", "three", "four"]
+
+
+def test_many_elements(page):
+    html = "<article>" + "<div><p>x</p></div>" * 3000 + "</article>"
+    assert len(page("Hespress", f'<div class="article-content">{html}</div>')["page_paragraphs"]) == 3000
+
+
 def test_text_blocks_inside_articles(page):
     html = ('<div data-component="text-block"><p>outside</p></div><article><p>loose</p>'
             '<div data-component="text-block"><p>one</p></div>'
