@@ -7,6 +7,7 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressflow.fixed_values import TOP_KEYWORDS_PER_DAY
 from pressflow.operators.gold import (
     articles,
     articles_per_country,
@@ -52,7 +53,8 @@ def _summary(spark: SparkSession, counts: dict[str, int], started: float) -> Dat
 
 def build_gold(
     spark: SparkSession, silver_path: str, gold_path: str,
-    countries: dict[str, str] | None = None, max_repeated: int = MAX_REPEATED_KEYS,
+    countries: dict[str, str] | None = None, top_k: int = TOP_KEYWORDS_PER_DAY,
+    max_repeated: int = MAX_REPEATED_KEYS,
 ) -> DataFrame:
     """Rebuild every gold table from silver (O58) and return the row counts.
 
@@ -68,10 +70,15 @@ def build_gold(
     try:
         silver = pick(read_layer(spark, silver_path, SILVER), LAYER_KEYS, last_write())
         view = silver_view(silver, countries)
-        counts = {}
-        for name, build in BUILDERS.items():
-            table = articles(view, pick) if name == "articles" else build(view)
-            counts[name] = write_observed(table, f"{gold_path}/{name}")["n_rows"]
+        tables = {
+            **{name: build(view) for name, build in BUILDERS.items()},
+            "top_keywords": top_keywords(view, top_k),
+            "articles": articles(view, pick),
+        }
+        counts = {
+            name: write_observed(table, f"{gold_path}/{name}")["n_rows"]
+            for name, table in tables.items()
+        }
     finally:
         remove_dir(spark, folder)
     per_day = read_gold(spark, gold_path)["articles_per_day"]

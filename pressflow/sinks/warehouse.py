@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,19 @@ def upsert_articles(
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def merge_into(
+    updates: DataFrame, table: str, keys: list[str], load_ts: Column | None = None
+) -> None:
+    """Merge into a table whose catalog supports MERGE (O61), which rewrites only the files
+    that hold updated rows."""
+    ingested_at = F.current_timestamp() if load_ts is None else load_ts
+    same = reduce(Column.__and__, [F.col(f"u.{k}") == F.col(f"{table}.{k}") for k in keys])
+    (
+        updates.withColumn("ingested_at", ingested_at).alias("u")
+        .mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    )
+
+
 # ---------------------------------------------------------------------------- database targets
 
 def jdbc_replace(rows: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
