@@ -17,13 +17,13 @@ from pyspark.sql.types import StringType
 
 from pressflow.fixed_values import KEYWORD_PATTERN, WHITESPACE_CHARS
 
-# Markup that is not text, in the order in which it is removed. The patterns avoid
-# look-around and possessive quantifiers, so RE2 engines read them too.
-COMMENT = r"(?s)<!--.*?-->"
-SCRIPT = r"(?is)<script(\s[^>]*)?>.*?</script\s*>"
-STYLE = r"(?is)<style(\s[^>]*)?>.*?</style\s*>"
-TEMPLATE = r"(?is)<template(\s[^>]*)?>.*?</template\s*>"
-TAG = r"(?s)<[!/a-zA-Z][^>]*>"
+# Markup that is not text, in the order in which it is removed; what is not closed goes on to
+# the end. The patterns avoid look-around and possessive quantifiers, so RE2 reads them too.
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+SCRIPT = r"(?is)<script(\s[^>]*)?>.*?(?:</script(\s[^>]*)?>|\z)"
+STYLE = r"(?is)<style(\s[^>]*)?>.*?(?:</style(\s[^>]*)?>|\z)"
+TEMPLATE = r"(?is)<template(\s[^>]*)?>.*?(?:</template(\s[^>]*)?>|\z)"
+TAG = r"(?s)<[!?/a-zA-Z][^>]*>"
 HIDDEN_MARKUP = [COMMENT, SCRIPT, STYLE, TEMPLATE]
 
 

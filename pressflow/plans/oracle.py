@@ -37,14 +37,14 @@ def _unescape(c: str) -> str:
 
 
 def _hidden(c: str) -> str:
-    c = _replace_all(c, r"(?s)<!--.*?-->")
+    c = _replace_all(c, r"(?s)<!--.*?(?:-->|\z)")
     for tag in ("script", "style", "template"):
-        c = _replace_all(c, rf"(?is)<{tag}(\s[^>]*)?>.*?</{tag}\s*>")
+        c = _replace_all(c, rf"(?is)<{tag}(\s[^>]*)?>.*?(?:</{tag}(\s[^>]*)?>|\z)")
     return c
 
 
 def _clean(c: str) -> str:
-    text = _unescape(_replace_all(_hidden(f"coalesce({c}, '')"), r"(?s)<[!/a-zA-Z][^>]*>"))
+    text = _unescape(_replace_all(_hidden(f"coalesce({c}, '')"), r"(?s)<[!?/a-zA-Z][^>]*>"))
     text = _replace_all(text, f"https?://[^{WHITESPACE}]+")
     return f"trim({_replace_all(text, f'[{WHITESPACE}]+')})"
 
@@ -179,7 +179,7 @@ CTES = {
     "page_texts": f"""
         SELECT page_id, source, url, list_transform(blocks, lambda b: {_unescape(f'''
             array_to_string(list_filter(list_transform(
-                string_split_regex(b, '(?s)<[!/a-zA-Z][^>]*>'),
+                string_split_regex(b, '(?s)<[!?/a-zA-Z][^>]*>'),
                 lambda t: {_strip('t')}), lambda t: t <> ''), ' ')''')}) AS paragraphs
         FROM page_blocks""",
     "items": f"""

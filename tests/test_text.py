@@ -65,6 +65,7 @@ CASES = [
     "<style>p{}</style>s<template><p>t</p></template>u", "<div\nclass='a'>in</div>",
     "السلام <i>عليكم</i>", "1 < 2 and 3 > 2",
     "<a href=\"https://x.example\">link</a> text", "😀 emoji &#128512;",
+    "<?xml version='1.0'?><p>declared</p>", "a<script src=x>b</script >c<STYLE>d</STYLE>e",
 ]
 
 
@@ -116,7 +117,10 @@ def test_stopwords_are_lower_case_and_distinct():
     assert not {"que", "qui", "est"} & set(STOPWORDS)
 
 
-@pytest.mark.parametrize("raw, expected", [("<b>bold", "bold"), ("a &lt; b", "a < b")])
+@pytest.mark.parametrize("raw, expected", [
+    ("<b>bold", "bold"), ("a &lt; b", "a < b"), ("a<!-- open", "a"), ("a<script>open", "a"),
+    ("a<style>open<p>b", "a"), ("<![CDATA[x]]>y", "y"),
+])
 def test_clean_examples(spark, raw, expected):
     assert clean(spark, [raw]) == [expected]
 
