@@ -192,7 +192,7 @@ CTES = {
                {_strip("regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")} AS summary,
                CASE source WHEN 'Hespress' THEN regexp_extract(url, '^https?://([^/]+)', 1)
                     END AS author
-        FROM sourced_pages p JOIN events e ON e.event_id = p.page_id * 10
+        FROM sourced_pages p LEFT JOIN events e ON e.event_id = p.page_id * 10
         WINDOW feed AS (PARTITION BY source, page_id // {PAGES_PER_FEED} ORDER BY page_id)
         QUALIFY row_number() OVER feed <= {MAX_ITEMS_PER_FEED}""",
     # metrics
@@ -277,12 +277,13 @@ def _gate_rows() -> str:
 
 
 _delivered = f"""
-    SELECT 'src' AS k, d.source AS source_key, first.ts::DATE AS dt, sha1({_url}) AS id,
-           split_part(d.text, chr(10), 1) || ' #' || e.event_id AS titre_article,
-           e.ts AS ingest_ts, e.event_id AS src_offset
+    SELECT d.source AS source_key, coalesce(first.ts::DATE, left('{SCRAPED_AT}', 10)::DATE) AS dt,
+           sha1({_url}) AS id,
+           concat_ws(' #', split_part(d.text, chr(10), 1), e.event_id) AS titre_article,
+           e.ts AS ingest_ts, coalesce(e.event_id, -1) AS src_offset
     FROM documents d
     LEFT JOIN events first ON first.event_id = d.doc_id * 10
-    JOIN events e ON e.event_id // 10 = d.doc_id"""
+    LEFT JOIN events e ON e.event_id // 10 = d.doc_id"""
 
 _language_columns = "s.id, titre_article, contenu, language, word_count, char_count, source_key, dt"
 

@@ -50,9 +50,9 @@ def iso_utc(ts: str):
 
 def dated(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """Add ``ts``, the time of the first event that belongs to each row of ``df``."""
-    events = table(spark, sf_dir, "events").where(f"event_id % {EVENTS_PER_DOCUMENT} = 0")
-    first = events.select(F.expr(f"event_id div {EVENTS_PER_DOCUMENT}").alias(key), "ts")
-    return df.join(first, key, "left")
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    first = F.col(key) * EVENTS_PER_DOCUMENT == F.col("event_id")
+    return df.join(events, first, "left").drop("event_id")
 
 
 def articles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,8 @@ def articles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def article_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event of a document as one more delivery of its article, later ones retitled."""
+    """Every event of a document as one more delivery of its article, later ones retitled; a
+    document without events is delivered once."""
     events = table(spark, sf_dir, "events").select(
         F.expr(f"event_id div {EVENTS_PER_DOCUMENT}").alias("doc_id"),
         "event_id", F.col("ts").cast("timestamp").alias("ingest_ts"))
@@ -88,16 +89,16 @@ def article_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.concat(F.lit("http://"), "source", F.lit(".example.com/"), F.col("doc_id").cast("string"))
     return (
         dated(documents, spark, sf_dir, "doc_id")
-        .join(events, "doc_id")
+        .join(events, "doc_id", "left")
         .withColumn("url", url)
         .select(
-            F.concat(F.substring_index("text", "\n", 1), F.lit(" #"),
-                     F.col("event_id").cast("string")).alias("titre_article"),
+            F.concat_ws(" #", F.substring_index("text", "\n", 1),
+                        F.col("event_id").cast("string")).alias("titre_article"),
             iso_utc("ts").alias("date_publication"),
             F.col("text").alias("contenu"),
             "source", "url", article_id(F.col("url")).alias("id"),
             F.lit(SCRAPED_AT).alias("scraped_at"),
-            "ingest_ts", F.col("event_id").alias("src_offset"),
+            "ingest_ts", F.coalesce("event_id", F.lit(-1)).alias("src_offset"),
         )
     )
 
@@ -124,15 +125,18 @@ def page_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = dated(page_sources(spark, sf_dir), spark, sf_dir, "page_id")
     title = F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)
     host = F.regexp_extract("url", r"^https?://([^/]+)", 1)
-    categories = F.when(F.col("lang") == "fr", "").otherwise(
+    # feeds in the other languages name no category
+    categories = F.when(
+        F.col("lang").isin("en", "es"),
         F.concat(F.lit("<category>"), "lang", F.lit("</category><category>"), host,
-                 F.lit("</category>")))
+                 F.lit("</category>"))).otherwise("")
     item = F.concat(
         F.lit("<item><title><![CDATA[ "), title, F.lit(" ]]></title>"),
         F.lit("<link>"), _escaped(F.col("url")), F.lit("</link>"),
-        F.lit("<pubDate>"), F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"),
-        F.lit(" +0000</pubDate>"),
-        F.when(F.col("lang").isin("en", "es"), categories).otherwise(F.lit("")),
+        F.coalesce(F.concat(
+            F.lit("<pubDate>"), F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"),
+            F.lit(" +0000</pubDate>")), F.lit("")),
+        categories,
         F.lit("<description>"), _escaped(title), F.lit("</description>"),
         F.lit("<dc:creator>"), host, F.lit("</dc:creator></item>"),
     )
@@ -140,8 +144,7 @@ def page_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = F.expr(f"page_id div {PAGES_PER_FEED}")
     listed = F.array_sort(F.collect_list(F.struct("page_id", "item")))
     return (
-        pages.where(F.col("ts").isNotNull())
-        .select("source", run.alias("run"), "page_id", item.alias("item"))
+        pages.select("source", run.alias("run"), "page_id", item.alias("item"))
         .groupBy("source", "run").agg(listed.alias("listed"))
         .select(
             F.concat_ws("/", "source", "run").alias("feed_id"),
