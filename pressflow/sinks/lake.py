@@ -43,13 +43,13 @@ def write_observed(df: DataFrame, path: str, **counts: Column) -> dict[str, int]
 
 
 def export_json(silver: DataFrame, path: str) -> None:
-    """Silver as JSON lines below ``source=/dt=`` folders, null fields included."""
-    body = [c for c in silver.columns if c not in ("source_key", "dt", "ingest_ts", "src_offset")]
-    line = F.to_json(F.struct(*body), {"ignoreNullFields": "false"})
+    """Silver as JSON lines in its folders, null fields included."""
     (
-        silver.select(line.alias("value"), F.col("source_key").alias("source"), "dt")
-        .hint("rebalance", "source", "dt")
-        .write.mode("overwrite").partitionBy("source", "dt").text(path)
+        silver.drop("ingest_ts", "src_offset")
+        .hint("rebalance", "source_key", "dt")
+        .write.mode("overwrite").option("ignoreNullFields", "false")
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .partitionBy("source_key", "dt").json(path)
     )
 
 

@@ -43,7 +43,8 @@ def scan_silver(spark: SparkSession, path: str, skip_unreadable: bool = False) -
 
 
 def scan_silver_json(spark: SparkSession, path: str) -> DataFrame:
-    """Silver kept as one JSON object per article below ``source=/dt=`` folders.
+    """Silver kept as JSON, one object per article or per line, below folders for source and
+    date (O03).
 
     Objects that do not parse and anything under a rejects folder are left out. Folder names
     give ``source_key`` and ``dt``; ``source`` stays the name inside the object.
@@ -56,7 +57,7 @@ def scan_silver_json(spark: SparkSession, path: str) -> DataFrame:
         .select("*", F.col("_metadata.file_path").alias("_file"))
         .where(~F.contains(file, F.lit("_rejected")))
         .withColumns({
-            "source_key": F.regexp_extract(file, "/source=([^/]*)/", 1),
+            "source_key": F.regexp_extract(file, "/source(?:_key)?=([^/]*)/", 1),
             "dt": F.regexp_extract(file, "/dt=([^/]*)/", 1).try_cast("date"),
         })
         .drop("_file")
