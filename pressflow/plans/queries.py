@@ -25,7 +25,7 @@ from pressflow.sources.events import landed_events
 from pressflow.sources.feeds import article_events, feed_items
 from pressflow.sources.pages import extract_pages
 from pressflow.streaming import daily
-from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest, silver_rows
+from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest
 
 AS_OF = date(2024, 1, 30)
 AS_OF_TIME = datetime(2024, 1, 31)

@@ -5,7 +5,6 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from pressflow.operators import series
 from pressflow.schemas import METRICS

@@ -1,6 +1,7 @@
 """Gold build and warehouse load."""
 
 from datetime import datetime
+from unittest.mock import MagicMock
 
 import duckdb
 import pytest
@@ -13,6 +14,8 @@ from pressflow.operators.quality import quality_results
 from pressflow.sinks.warehouse import (
     append_quality_results,
     create_tables,
+    jdbc_replace,
+    jdbc_upsert,
     upsert_articles,
     upsert_statement,
 )
@@ -60,6 +63,37 @@ def test_merge_statement_runs():
     assert rows == [("a", "old a", False), ("b", "new b", True), ("c", "new c", True)]
 
 
+def jdbc_calls(fail=False):
+    """A stand-in for a DataFrame with a database behind it, and what was called on that."""
+    rows = MagicMock(columns=["id", "title"])
+    connection = rows.sparkSession.sparkContext._jvm.java.sql.DriverManager.getConnection.return_value
+    if fail:
+        connection.createStatement.return_value.executeUpdate.side_effect = RuntimeError("no")
+    return rows, connection
+
+
+def test_database_merge_is_one_transaction():
+    rows, connection = jdbc_calls()
+    jdbc_upsert(rows, "jdbc:x", "gold.articles", ["id"], {"user": "u"})
+    calls = [c[0] for c in connection.method_calls]
+    assert calls == ["setAutoCommit", "createStatement", "createStatement().executeUpdate",
+                     "createStatement().executeUpdate", "commit", "close"]
+    merge, drop = [c.args[0] for c in connection.createStatement.return_value.executeUpdate.call_args_list]
+    assert merge.startswith("INSERT INTO gold.articles") and drop.startswith("DROP TABLE gold.articles_stage_")
+    rows, connection = jdbc_calls(fail=True)
+    with pytest.raises(RuntimeError):
+        jdbc_upsert(rows, "jdbc:x", "gold.articles", ["id"], {})
+    connection.commit.assert_not_called()
+    connection.close.assert_called_once()
+
+
+def test_database_replace_truncates():
+    rows, _ = jdbc_calls()
+    jdbc_replace(rows, "jdbc:x", "gold.articles_per_day", {"user": "u"})
+    text = str(rows.mock_calls)
+    assert "option('truncate', 'true')" in text and "mode('overwrite')" in text
+
+
 def article(spark, *rows):
     blank = [F.lit(None).cast(part.split()[1]).alias(part.split()[0])
              for part in GOLD["articles"].replace("\n", " ").split(",")[2:]]
