@@ -75,7 +75,7 @@ def jdbc_calls(fail=False):
 def test_database_merge_is_one_transaction():
     rows, connection = jdbc_calls()
     jdbc_upsert(rows, "jdbc:x", "gold.articles", ["id"], {"user": "u"})
-    calls = [c[0] for c in connection.method_calls]
+    calls = [c[0] for c in connection.mock_calls]
     assert calls == ["setAutoCommit", "createStatement", "createStatement().executeUpdate",
                      "createStatement().executeUpdate", "commit", "close"]
     merge, drop = [c.args[0] for c in connection.createStatement.return_value.executeUpdate.call_args_list]
