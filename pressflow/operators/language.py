@@ -99,6 +99,8 @@ class LanguageModel:
         languages = sorted(rows["lang"].unique())
         if len(rows) > limit or len(languages) > MAX_LANGUAGES:
             raise ValueError(f"more than {MAX_LANGUAGES} language labels")
+        if not languages:
+            raise ValueError("no labelled text to learn languages from")
         table = np.zeros((BUCKETS, len(languages)))
         columns = rows["lang"].map({name: i for i, name in enumerate(languages)})
         table[rows["bucket"].to_numpy(), columns.to_numpy()] = rows["n"].to_numpy()

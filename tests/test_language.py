@@ -63,3 +63,8 @@ def test_too_many_labels_are_refused(spark):
     counts = spark.range(300).select(F.col("id").cast("string").alias("lang"), F.lit(1).alias("bucket"), F.lit(1).alias("n"))
     with pytest.raises(ValueError):
         LanguageModel.from_counts(counts)
+
+
+def test_nothing_to_learn_from_is_refused(spark):
+    with pytest.raises(ValueError):
+        LanguageModel.train(spark.createDataFrame([], "text STRING, lang STRING"))
