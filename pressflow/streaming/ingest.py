@@ -51,6 +51,18 @@ def silver_rows(tagged: DataFrame, model: LanguageModel | None = None) -> DataFr
         *DELIVERY, *SOURCE_FOLDERS)
 
 
+def without_redeliveries(events: DataFrame, within: str = "1 hour") -> DataFrame:
+    """Drop exact copies of an event that follow it within a bound (O27, streaming).
+
+    The state holds a digest per event for that long. Later copies and corrected events pass;
+    the last-write view settles those.
+    """
+    return (
+        events.withColumn("_digest", F.sha1("value")).withWatermark("ingest_ts", within)
+        .dropDuplicatesWithinWatermark(["_digest"]).drop("_digest")
+    )
+
+
 @dataclass
 class Ingest:
     """The ingest job: where it writes and how it reads an event."""

@@ -16,7 +16,12 @@ from pressflow.sources.events import decode_events, landed_events
 from pressflow.sources.tables import scan_parquet, scan_silver, scan_silver_json
 from pressflow.streaming import daily
 from pressflow.sinks.lake import compact, export_json
-from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest, tagged_events
+from pressflow.streaming.ingest import (
+    SOURCE_FOLDERS,
+    Ingest,
+    tagged_events,
+    without_redeliveries,
+)
 from tests_paths import SMALL
 
 
@@ -238,3 +243,13 @@ def test_silver_export_round_trip(spark, tmp_path):
         map(str, silver.select(*columns).collect()))
     (line, *_) = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "json")).collect()
     assert json.loads(line["value"])["auteur"] is None
+
+
+def test_exact_copies_are_dropped_on_the_way_in(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_lines(landing, "one", [event(id="a"), event(id="b"), event(id="b")])
+    write_lines(landing, "two", [event(id="a"), event(id="a", titre_article="corrected"), "{bad", "{bad"])
+    job = Ingest(str(tmp_path / "lake"))
+    events = landed_events(spark, str(landing), max_files_per_trigger=1)
+    assert job.drain(without_redeliveries(events)) == {"ok": 3, "rejected": 1}
+    assert spark.read.parquet(job.layer("bronze")).count() == 4
