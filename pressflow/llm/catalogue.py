@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressflow.llm import bpe_automaton, packing, token_counts
+from pressflow.llm import bpe_automaton, packing, repeats, simhash, token_counts
 from pressflow.llm.support import table, text_of
 
 TOKEN_LIMIT = 512
@@ -28,6 +28,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = repeats.without_repeats(docs)
+    kept = F.octet_length("kept_bytes").cast("long")
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - kept).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe_automaton.encode_texts(docs, tokenizer_json("word_bpe_49k.json"), digests=True)
@@ -42,7 +55,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op9_bpe_round_trip, op10_packing)}
+    f.__name__: f for f in (op2_token_counts, op5_simhash, op6_suffix_dedup,
+                                  op9_bpe_round_trip, op10_packing)}
 
 #: Statements for the queries that SQL can express.
 ORACLE: dict[str, str] = {}
