@@ -8,8 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressflow.llm import bpe_automaton, packing, repeats, simhash, token_counts
-from pressflow.llm.support import table, text_of
+from pressflow.llm import (
+    bpe_automaton,
+    packing,
+    quality_outliers,
+    repeats,
+    rule_ensemble,
+    simhash,
+    token_counts,
+)
+from pressflow.llm.support import remainder, stored, table, text_of
 
 TOKEN_LIMIT = 512
 
@@ -28,6 +36,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_outliers.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -41,6 +53,27 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+#: Rows with this remainder of the id's crc32 are held out of learning.
+QUALITY_FOLDS, QUALITY_HELD_OUT = 3, 1
+
+
+def quality_model(stats: DataFrame, spark: SparkSession, sf_dir: str) -> rule_ensemble.RuleModel:
+    """The classifier learned from the labels of ``stats`` (``doc_id``, ``stats``) outside the held-out fold."""
+    learnable = remainder("doc_id", QUALITY_FOLDS) != QUALITY_HELD_OUT
+    labels = table(spark, sf_dir, "labels")
+    return rule_ensemble.RuleModel.fit(
+        rule_ensemble.labelled_statistics(stats, labels, learnable))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    stats = stored(docs.select("doc_id", rule_ensemble.statistics("text").alias("stats")), "statistics")
+    score = quality_model(stats, spark, sf_dir).score("stats")
+    held_out = remainder("doc_id", QUALITY_FOLDS) == QUALITY_HELD_OUT
+    return stats.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe_automaton.encode_texts(docs, tokenizer_json("word_bpe_49k.json"), digests=True)
@@ -55,8 +88,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op5_simhash, op6_suffix_dedup,
-                                  op9_bpe_round_trip, op10_packing)}
+    f.__name__: f for f in (
+        op2_token_counts, op4_quality_rules, op5_simhash, op6_suffix_dedup,
+        op7_quality_classifier, op9_bpe_round_trip, op10_packing)}
 
 #: Statements for the queries that SQL can express.
 ORACLE: dict[str, str] = {}
