@@ -14,6 +14,7 @@ from pressflow.llm import (
     quality_outliers,
     repeats,
     rule_ensemble,
+    search,
     simhash,
     token_counts,
 )
@@ -74,6 +75,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op8_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    queries = docs.where(F.col("doc_id") % 100 == 0).select(
+        F.col("doc_id").alias("query_id"), F.col("text").alias("query_text"))
+    return search.search(docs, queries)
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe_automaton.encode_texts(docs, tokenizer_json("word_bpe_49k.json"), digests=True)
@@ -90,7 +98,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_token_counts, op4_quality_rules, op5_simhash, op6_suffix_dedup,
-        op7_quality_classifier, op9_bpe_round_trip, op10_packing)}
+        op7_quality_classifier, op8_search, op9_bpe_round_trip, op10_packing)}
 
 #: Statements for the queries that SQL can express.
 ORACLE: dict[str, str] = {}
