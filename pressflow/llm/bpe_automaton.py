@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pressflow.llm.support import shared
+
 #: Entries of a worker's cache of chunks and of its transition table, which is emptied beyond
 #: them; the longest chunk in the cache.
 CACHE_CHUNKS = 250_000
@@ -261,7 +263,7 @@ def encode_texts(df: DataFrame, tokenizer_json: str, text: str = "text", *,
     result are replaced; repeated rows stay; an empty table gives an empty table.
     """
     check_tokenizer(tokenizer_json)
-    shared = df.sparkSession.sparkContext.broadcast(WordEncoder(tokenizer_json))
+    worker = shared(df.sparkSession, WordEncoder(tokenizer_json))
     if digests:
         added = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                  T.StructField("decoded_sha256", T.StringType())]
@@ -272,7 +274,7 @@ def encode_texts(df: DataFrame, tokenizer_json: str, text: str = "text", *,
     keep = [f for f in df.schema if f.name not in names]
 
     def columns(texts):
-        encoder = shared.value
+        encoder = worker()
         parts = (encoder.encode(t or "") for t in texts)
         if not digests:
             rows = [([i for p in ps for i in p[0]], " ".join([p[2] for p in ps])) for ps in parts]
@@ -299,10 +301,10 @@ def encode_texts(df: DataFrame, tokenizer_json: str, text: str = "text", *,
 def decode_ids(df: DataFrame, tokenizer_json: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text that each array of ids decodes to; null arrays decode to null."""
     check_tokenizer(tokenizer_json)
-    shared = df.sparkSession.sparkContext.broadcast(WordEncoder(tokenizer_json))
+    worker = shared(df.sparkSession, WordEncoder(tokenizer_json))
 
     @F.pandas_udf(T.StringType())
     def decoded(values):
-        return values.map(lambda v: None if v is None else shared.value.decode(list(v)))
+        return values.map(lambda v: None if v is None else worker().decode(list(v)))
 
     return df.withColumn(out, decoded(F.col(ids)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pressflow.llm import (
     bpe_automaton,
     packing,
+    pitman_yor,
     quality_outliers,
     repeats,
     rule_ensemble,
@@ -37,6 +38,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+#: Rows with this remainder of the id's crc32 are held out of the language model.
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 1
+
+
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT
+    return pitman_yor.score_texts(docs, held_out)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_outliers.quality_verdicts(table(spark, sf_dir, "documents"))
 
@@ -97,7 +108,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_token_counts, op4_quality_rules, op5_simhash, op6_suffix_dedup,
+        op2_token_counts, op3_lm_scores, op4_quality_rules, op5_simhash, op6_suffix_dedup,
         op7_quality_classifier, op8_search, op9_bpe_round_trip, op10_packing)}
 
 #: Statements for the queries that SQL can express.

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressflow.llm.support import stored
+from pressflow.llm.support import shared, stored
 
 WINDOW = 2048
 END_ID = 1
@@ -133,7 +133,7 @@ def token_pieces(df: DataFrame, tokenizer_json: str, doc_id: str = "doc_id", tex
     document, repeated rows and null ids included; a null text counts as empty and has the end id
     alone. A document that ends on a window has no rest. Other columns of ``df`` are left out.
     """
-    shared = df.sparkSession.sparkContext.broadcast(ChunkIds(tokenizer_json))
+    worker = shared(df.sparkSession, ChunkIds(tokenizer_json))
     end, id_type = end_id.to_bytes(4, "little"), df.schema[doc_id].dataType
     fields = [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")]
     if with_ids:
@@ -143,7 +143,7 @@ def token_pieces(df: DataFrame, tokenizer_json: str, doc_id: str = "doc_id", tex
         for batch in batches:
             rows, owners = [], []
             for i, value in enumerate(batch.column(1).to_pylist()):
-                ids = shared.value.encode(value or "") + end
+                ids = worker().encode(value or "") + end
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[4 * start:4 * (start + window)]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +36,20 @@ def text_of(column: str | Column) -> Column:
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast an object of this package; the result gives it to a task.
+
+    It travels with its code, as functions do, and is unpacked once in each Python worker, so what
+    it caches there serves the worker's later tasks too.
+    """
+    holder = spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
+
+    def get() -> Any:
+        held = holder.value
+        if "packed" in held:
+            held["value"] = cloudpickle.loads(held.pop("packed"))
+        return held["value"]
+
+    return get

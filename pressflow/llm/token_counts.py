@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressflow.llm.support import text_of
+from pressflow.llm.support import shared, text_of
 
 #: Pieces in the broadcast table, and pieces that a task reports to it.
 TABLE_PIECES = 16_384
@@ -140,8 +140,7 @@ def token_counts(df: DataFrame, tokenizer_json: str, text: str = "text",
     that is called like ``out`` is replaced; rows, repeated ones too, keep their other columns.
     """
     spark = df.sparkSession
-    lengths = spark.sparkContext.broadcast(
-        PieceLengths(tokenizer_json, frequent_pieces(df, text)))
+    lengths = shared(spark, PieceLengths(tokenizer_json, frequent_pieces(df, text)))
     schema = T.StructType([f for f in df.schema if f.name != out]
                           + [T.StructField(out, T.LongType())])
     keep = [f.name for f in df.schema if f.name != out]
@@ -149,7 +148,7 @@ def token_counts(df: DataFrame, tokenizer_json: str, text: str = "text",
     def counted(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            n = pa.array(lengths.value.count(texts), pa.int64())
+            n = pa.array(lengths().count(texts), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [n], [*keep, out])
 
     return df.mapInArrow(counted, schema)
