@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pressflow.llm import (
     bpe_automaton,
+    chat,
     packing,
     pitman_yor,
     quality_outliers,
@@ -29,6 +30,16 @@ def tokenizer_json(name: str) -> str:
         return file.read()
 
 
+#: Conversations with this remainder of the id's crc32 are held out of learning.
+CHAT_FOLDS, CHAT_HELD_OUT = 3, 1
+
+
+def op1_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = chat.transcripts(table(spark, sf_dir, "conversations"))
+    model = chat.train(raw.where(remainder("conv_id", CHAT_FOLDS) != CHAT_HELD_OUT))
+    return chat.format_transcripts(raw.drop("role"), model)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", text_of("text").alias("text"))
@@ -108,7 +119,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_token_counts, op3_lm_scores, op4_quality_rules, op5_simhash, op6_suffix_dedup,
+        op1_chat_turns, op2_token_counts, op3_lm_scores, op4_quality_rules, op5_simhash, op6_suffix_dedup,
         op7_quality_classifier, op8_search, op9_bpe_round_trip, op10_packing)}
 
 #: Statements for the queries that SQL can express.
