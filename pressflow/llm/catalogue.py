@@ -70,10 +70,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = repeats.without_repeats(docs)
-    kept = F.octet_length("kept_bytes").cast("long")
+    kept = F.octet_length("kept").cast("long")
     return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - kept).alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"),
-                      F.sha2("kept_bytes", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"))
 
 
 #: Rows with this remainder of the id's crc32 are held out of learning.
@@ -91,7 +91,7 @@ def quality_model(stats: DataFrame, spark: SparkSession, sf_dir: str) -> rule_en
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     stats = stored(docs.select("doc_id", rule_ensemble.statistics("text").alias("stats")), "statistics")
-    score = quality_model(stats, spark, sf_dir).score("stats")
+    score = quality_model(stats, spark, sf_dir).score(F.col("stats"))
     held_out = remainder("doc_id", QUALITY_FOLDS) == QUALITY_HELD_OUT
     return stats.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int"))

@@ -82,33 +82,32 @@ def _repeat_words(words: Column) -> Column:
 def statistics(text: str | Column) -> Column:
     """A struct of the counts of a text; a null text counts as one without words.
 
-    ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words`` and, for the
-    vector, ``n_lines`` (with a word) and ``n_capitals``.
+    ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, for the vector
+    ``n_lines`` (with a word) and ``n_capitals``, and ``failed``: whether the text fails the base.
     """
+    def failed(repeats, n_words):
+        return (n_words < MIN_WORDS) | (100 * repeats > 30 * n_words)
+
     def counts(value):
         words = F.filter(F.split(value, BLANKS), lambda w: w != "")
         lines = F.filter(F.split(value, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
 
         def of(words_):
-            return _let(lines, lambda lines_: F.struct(
+            return _let(_repeat_words(words_), lambda repeats: _let(lines, lambda lines_: F.struct(
                 F.size(words_).cast("long").alias("n_words"),
                 F.length(F.regexp_replace(value, BLANKS, F.lit(""))).cast("long").alias("word_chars"),
                 F.regexp_count(value, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
                 (F.size(lines_) - F.size(F.array_distinct(lines_))).cast("long").alias("n_dup_lines"),
-                _repeat_words(words_).cast("long").alias("n_repeat_words"),
+                repeats.cast("long").alias("n_repeat_words"),
                 F.size(lines_).cast("long").alias("n_lines"),
-                F.regexp_count(value, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals")))
+                F.regexp_count(value, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
+                failed(repeats, F.size(words_)).alias("failed"))))
 
         return _let(words, of)
 
     return _let(text_of(text), counts)
 
 
-def base_failed(counts: str) -> Column:
-    n, repeats = F.col(f"{counts}.n_words"), F.col(f"{counts}.n_repeat_words")
-    return (n < MIN_WORDS) | (100 * repeats > 30 * n)
-
-
 def vector(counts: str) -> list[Column]:
     """The parts of the vector of a struct of counts."""
     names = ["word_chars", "n_words", "n_symbols", "n_capitals", "n_dup_lines", "n_lines", "n_repeat_words"]
@@ -209,8 +208,8 @@ def _group_of(lang: str | Column, source: str | Column) -> Column:
 
 
 def _fitted(rows: DataFrame) -> DataFrame:
-    """Estimates by ``group_id`` of rows with ``group_id``, ``failed`` and the counts ``s``."""
-    passed = rows.where(~F.col("failed"))
+    """Estimates by ``group_id`` of stored rows with ``group_id`` and the counts ``s``."""
+    passed = rows.where("NOT s.failed")
     sizes = passed.groupBy("group_id").agg(F.count("*").alias("n")).withColumn(
         "of", F.when(F.col("n") >= GROUP_ROWS, F.col("group_id")).otherwise(F.lit(_SMALL)))
     sizes = stored(sizes.drop("n"), "group-sizes")
@@ -221,18 +220,23 @@ def _fitted(rows: DataFrame) -> DataFrame:
 
 
 def _judged(rows: DataFrame, fitted: DataFrame) -> DataFrame:
-    """``rows`` with ``d2`` and ``kept``; a group without estimate has no row that passed the base."""
+    """``rows`` with ``d2``, beyond every cut if the base is failed, and whether they are ``kept``.
+
+    The verdict is one comparison with an estimate, which no optimizer can move to before the join
+    and compute the counts for once more. A group without estimate has no row that passed the base.
+    """
     lower = [[F.col(f"l_{i}{j}") for j in range(i + 1)] for i in range(_K)]
     d2 = _distance(vector("s"), [F.col(f"c_{i}") for i in range(_K)], lower)
+    far = F.when(F.col("s.failed"), float("inf")).otherwise(0.0)
     joined = rows.join(fitted, "group_id", "left")
-    return joined.select(*(rows[c] for c in rows.columns), F.when(~F.col("failed"), d2).alias("d2")) \
-        .withColumn("kept", ~F.col("failed") & F.coalesce(F.col("d2") <= CUT, F.lit(False)))
+    return joined.select(*(rows[c] for c in rows.columns),
+                         F.greatest(F.coalesce(d2, F.lit(float("inf"))), far).alias("d2")) \
+        .withColumn("kept", F.col("d2") <= CUT)
 
 
 def _rows(df: DataFrame, keep: Column, text: str, lang: str, source: str) -> DataFrame:
-    counted = df.select(keep.alias("row"), _group_of(F.col(lang), F.col(source)).alias("group_id"),
-                        statistics(text).alias("s"))
-    return counted.withColumn("failed", base_failed("s"))
+    return df.select(keep.alias("row"), _group_of(F.col(lang), F.col(source)).alias("group_id"),
+                     statistics(text).alias("s"))
 
 
 def quality_verdicts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -247,7 +251,8 @@ def quality_verdicts(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = stored(_rows(df, F.struct(F.col(doc_id)), text, lang, source), "counts")
     judged = _judged(rows, _fitted(rows))
     return judged.select(F.col("row")[doc_id].alias(doc_id), *(F.col("s")[c].alias(c) for c in _BASE),
-                         F.col("failed").alias("base_failed"), "kept", F.col("d2").alias("distance2"))
+                         F.col("s.failed").alias("base_failed"), "kept",
+                         F.when(~F.col("s.failed"), F.col("d2")).alias("distance2"))
 
 
 def kept_documents(df: DataFrame, text: str = "text", lang: str = "lang",

@@ -254,18 +254,20 @@ def cut_text(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, data[at:]])
 
 
-def without_repeats(df: DataFrame, text: str = "text", *, length: int = LENGTH) -> DataFrame:
+def without_repeats(df: DataFrame, text: str = "text", *, length: int = LENGTH,
+                    as_text: bool = False) -> DataFrame:
     """``df`` with its texts cut: every byte of a repeat goes.
 
-    Added columns: ``spans`` (array of ``begin``, ``end``, merged), ``n_bytes`` (before) and
-    ``kept_bytes`` (what is left; cuts may fall within a character). See ``removable_spans``.
+    Added columns: ``spans`` (array of ``begin``, ``end``, merged), ``n_bytes`` (before) and ``kept``,
+    what is left: binary, or with ``as_text`` a string without the characters that a cut goes
+    through. Columns of these names are replaced. See ``removable_spans``.
     """
     found = removable_spans(df, text, length=length)
-    fields = [f for f in found.schema if f.name not in ("spans", "n_bytes", "kept_bytes")]
+    fields = [f for f in found.schema if f.name not in ("spans", "n_bytes", "kept")]
     span = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()),
                                      T.StructField("end", T.LongType())]))
     schema = T.StructType([*fields, T.StructField("spans", span), T.StructField("n_bytes", T.LongType()),
-                           T.StructField("kept_bytes", T.BinaryType())])
+                           T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
     names = [f.name for f in fields]
 
     def cut(batches):
@@ -277,11 +279,12 @@ def without_repeats(df: DataFrame, text: str = "text", *, length: int = LENGTH)
                 spans = merged([(r["begin"], r["end"]) for r in ranges or []])
                 all_spans.append([{"begin": a, "end": b} for a, b in spans])
                 sizes.append(len(data))
-                left.append(cut_text(data, spans))
+                kept = cut_text(data, spans)
+                left.append(kept.decode("utf-8", "ignore") if as_text else kept)
             yield pa.RecordBatch.from_arrays(
                 [*(get(n) for n in names),
                  pa.array(all_spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(sizes, pa.int64()), pa.array(left, pa.binary())],
-                [*names, "spans", "n_bytes", "kept_bytes"])
+                 pa.array(sizes, pa.int64()), pa.array(left, pa.string() if as_text else pa.binary())],
+                [*names, "spans", "n_bytes", "kept"])
 
     return found.mapInArrow(cut, schema)

@@ -82,10 +82,10 @@ def _simplified(rule: Rule) -> Rule:
     return tuple((which, at_most, t) for (which, at_most), t in sorted(bounds.items()))
 
 
-def _holds(rule: Rule, stats: str) -> Column:
+def _holds(rule: Rule, stats: Column) -> Column:
     holds = F.lit(True)
     for which, at_most, threshold in rule:
-        value = F.col(stats)[STATISTICS[which]]
+        value = stats[STATISTICS[which]]
         holds = holds & (value <= threshold if at_most else value > threshold)
     return holds
 
@@ -123,7 +123,7 @@ class RuleModel:
             return cls(math.log(share / (1 - share)), ())
         names = [f"rule_{i}" for i in range(len(rules))]
         flags = sample.select("label", *(
-            _holds(rule, "stats").cast("double").alias(n) for n, rule in zip(names, rules, strict=True)))
+            _holds(rule, F.col("stats")).cast("double").alias(n) for n, rule in zip(names, rules, strict=True)))
         lasso = LogisticRegression(regParam=PENALTY, elasticNetParam=1.0, maxIter=60,
                                    standardization=False).fit(
             VectorAssembler(inputCols=names, outputCol="features").transform(flags))
@@ -131,12 +131,19 @@ class RuleModel:
         return cls(float(lasso.intercept),
                    tuple((r, w) for r, w in zip(rules, weights, strict=True) if w))
 
-    def score(self, stats: str) -> Column:
-        """Probability of label 1 from the struct column ``stats``."""
-        logit = F.lit(self.intercept)
-        for rule, weight in self.rules:
-            logit = logit + F.when(_holds(rule, stats), weight).otherwise(0.0)
-        return F.round(1 / (1 + F.exp(-logit)), DECIMALS)
+    def score(self, stats: Column) -> Column:
+        """Probability of label 1 from a struct of statistics.
+
+        The struct is bound to a variable of the expression: the rules look at it many times, and
+        wherever the optimizer moves the expression, the statistics are made once for a row.
+        """
+        def compiled(bound: Column) -> Column:
+            logit = F.lit(self.intercept)
+            for rule, weight in self.rules:
+                logit = logit + F.when(_holds(rule, bound), weight).otherwise(0.0)
+            return F.round(1 / (1 + F.exp(-logit)), DECIMALS)
+
+        return F.element_at(F.transform(F.array(stats), compiled), 1)
 
 
 def labelled_statistics(df: DataFrame, labels: DataFrame, learnable: Column, doc_id: str = "doc_id",
@@ -149,9 +156,3 @@ def labelled_statistics(df: DataFrame, labels: DataFrame, learnable: Column, doc
     known = labels.where(F.col(label).isNotNull()).select(
         F.col(doc_id).alias("key"), F.col(label).alias("label"))
     return (df.where(learnable).select(F.col(doc_id).alias("key"), "stats").join(known, "key"))
-
-
-def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``df`` as the struct ``row``, and ``stats``; no name can clash."""
-    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"),
-                     statistics(text).alias("stats"))

@@ -17,7 +17,7 @@ from itertools import combinations_with_replacement, product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,6 +133,19 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _labels(hashed: DataFrame, order: Column, max_bits: int, segments: int) -> DataFrame:
+    """``fp``, ``root`` of its group and ``first``, the least ``order`` in the group.
+
+    ``hashed`` is a stored table with ``fp``.
+    """
+    points = stored(hashed.groupBy("fp").agg(F.min(order).alias("first")), "points")
+    roots = components(links(points, max_bits=max_bits, segments=segments))
+    grouped = points.join(roots, points["fp"] == roots["node"], "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), "first")
+    least = grouped.groupBy("root").agg(F.min("first").alias("first"))
+    return grouped.drop("first").join(least, "root")
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
                     words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     segments: int = SEGMENTS) -> DataFrame:
@@ -145,12 +158,29 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     """
     hashed = stored(fingerprints(df, doc_id, text, words=words).select(
         F.col(doc_id).alias("doc"), "fp"), "fingerprints")
-    points = stored(hashed.groupBy("fp").agg(F.min("doc").alias("first_doc")), "points")
-    roots = components(links(points, max_bits=max_bits, segments=segments))
-    grouped = points.join(roots, points["fp"] == roots["node"], "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "first_doc")
-    smallest = grouped.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    labels = grouped.join(smallest, "root").select("fp", "component_id")
+    labels = _labels(hashed, F.col("doc"), max_bits, segments)
     return hashed.join(labels, "fp").select(
         F.col("doc").alias(doc_id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        "component_id")
+        F.col("first").alias("component_id"))
+
+
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
+                words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                segments: int = SEGMENTS) -> DataFrame:
+    """One row of ``df`` for each group of near-duplicates, with all its columns and no others.
+
+    The row with the smallest id stays; of rows without id or with equal ids, the one with the least
+    hash of id and text, and of rows that agree in both any one. An empty table stays empty.
+    """
+    key = F.xxhash64(F.col(doc_id), F.col(text))
+    keyed = df.select(key.alias("key"), F.struct(F.col(doc_id).alias("doc"), key.alias("key")).alias("order"),
+                      F.col(text).alias("text"))
+    hashed = stored(fingerprints(keyed, "order", "text", words=words), "fingerprints")
+    # null ids sort before others, so whether there is one comes first
+    order = F.struct(F.col("order.doc").isNull(), F.col("order.doc"), F.col("order.key"))
+    labels = _labels(hashed, order, max_bits, segments)
+    chosen = stored(labels.select(F.col("first.key").alias("_key")).distinct(), "chosen")
+    rows = df.select(key.alias("_key"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"))
+    again = Window.partitionBy("_key").orderBy(F.lit(0))
+    return (rows.join(chosen, "_key").withColumn("_n", F.row_number().over(again)).where("_n = 1")
+            .select("_row.*"))
