@@ -1,0 +1,113 @@
+"""Quality rules and the quality classifier."""
+
+import re
+
+import __spark_entry__ as contract
+import pytest
+from llm_brute import edge_table, edge_texts, prose, quality_counts
+from pressflow.llm import quality_outliers, rule_ensemble
+from pyspark.sql import functions as F
+from tests_paths import SMALL
+
+MEDIUM = "/root/testdata/sf0.01"
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def test_counts_of_documents(spark):
+    got = contract.queries()["op4_quality_rules"](spark, SMALL).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    assert {r["doc_id"]: tuple(r[c] for c in COUNTS) for r in got} == {
+        i: quality_counts(t) for i, t in texts.items()}
+    assert all(not r["kept"] for r in got if r["base_failed"])
+
+
+def test_outliers_are_junk(spark):
+    got = contract.queries()["op4_quality_rules"](spark, MEDIUM)
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    rows = got.join(labels, "doc_id").where("NOT base_failed").collect()
+    good, bad = [r["kept"] for r in rows if r["quality"]], [r["kept"] for r in rows if not r["quality"]]
+    assert sum(good) / len(good) > 0.99
+    assert sum(bad) / len(bad) < 0.2
+
+
+def test_quality_rules_use_no_python(spark):
+    df = quality_outliers.kept_documents(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_quality_rules_on_edge_cases(spark):
+    rows = edge_texts() + [(20, prose(20, 40) + " " + " ".join(prose(21, 9) for _ in range(9)))]
+    df = edge_table(spark, rows)
+    got = quality_outliers.quality_verdicts(df)
+    assert sorted(tuple(r[c] for c in COUNTS) for r in got.collect()) == sorted(quality_counts(t) for _, t in rows)
+    kept = quality_outliers.kept_documents(df)
+    assert kept.columns == df.columns
+    assert kept.count() == got.where("kept").count() > 0
+    assert quality_outliers.quality_verdicts(df.limit(0)).count() == 0
+    assert quality_outliers.kept_documents(df.limit(0)).count() == 0
+
+
+def test_estimate_withstands_a_fifth_of_outliers(spark):
+    clean = [(k, " ".join(f"{w}." if i % 9 == 8 else w for i, w in enumerate(prose(k, 120).split())))
+             for k in range(200)]
+    junk = [(1000 + k, prose(k, 120).replace(" ", "*** ")) for k in range(50)]
+    got = quality_outliers.quality_verdicts(edge_table(spark, clean + junk)).collect()
+    assert all(r["kept"] == (r["doc_id"] < 1000) for r in got)
+
+
+def test_classifier_on_held_out_documents(spark):
+    got = contract.queries()["op7_quality_classifier"](spark, MEDIUM)
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    rows = got.join(labels, "doc_id").collect()
+    held_out = [r for r in rows if r["held_out"]]
+    assert len(held_out) > 90
+    assert sum(r["predicted"] == r["quality"] for r in held_out) / len(held_out) > 0.95
+    assert got.count() == 1000 and all(0 <= r["score"] <= 1 for r in got.collect())
+    assert all(r["predicted"] == int(r["score"] >= 0.5) for r in rows)
+
+
+def fit(spark, rows):
+    df = spark.createDataFrame(rows, "key long, text string, label int")
+    return rule_ensemble.RuleModel.fit(df.withColumn("stats", rule_ensemble.statistics("text")))
+
+
+def test_classifier_without_labels_or_with_one_kind(spark):
+    for rows, score in (([], 0.5), ([(1, "a", None)], 0.5), ([(1, "a b", 1), (2, "c", 1)], 1.0), ([(1, "a", 0)], 0.0)):
+        model = fit(spark, rows)
+        got = edge_table(spark).select(model.score(rule_ensemble.statistics("text")).alias("p")).collect()
+        assert all(abs(r["p"] - score) < 1e-6 for r in got)
+
+
+def test_classifier_scores_edge_cases(spark):
+    rows = [(k, prose(k, 30 + k), 1) for k in range(60)] + [(100 + k, prose(k, 30).upper() + "!!", 0) for k in range(60)]
+    model = fit(spark, rows)
+    assert model.rules and len(model.rules) < 120
+    df = edge_table(spark)
+    scored = df.withColumn("p", model.score(rule_ensemble.statistics("text")))
+    assert scored.where("p IS NULL OR p < 0 OR p > 1").count() == 0
+    plan = df.where(model.score(rule_ensemble.statistics("text")) >= 0.5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct") == 1  # the statistics are made once for a row
+
+
+def test_paths_become_rules():
+    printed = "\n".join([
+        " If (feature 3 <= 0.5)", "  If (feature 0 <= 2.0)", "   Predict: 1.0", "  Else (feature 0 > 2.0)",
+        "   Predict: 0.0", " Else (feature 3 > 0.5)", "  Predict: 0.0"])
+    assert rule_ensemble._paths(printed) == [
+        ((3, True, 0.5),), ((3, True, 0.5), (0, True, 2.0)), ((3, True, 0.5), (0, False, 2.0)), ((3, False, 0.5),)]
+    assert rule_ensemble._simplified(((1, True, 3.0), (1, True, 2.0), (0, False, 1.0))) == ((0, False, 1.0), (1, True, 2.0))
+
+
+def test_labels_are_learned_outside_the_fold_only(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, "b")], "doc_id long, text string")
+    stats = rows.withColumn("stats", rule_ensemble.statistics("text"))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (2, None)], "doc_id long, quality int")
+    got = rule_ensemble.labelled_statistics(stats, labels, F.col("doc_id") != 1).collect()
+    assert [(r["key"], r["label"]) for r in got] == [(2, 0), (2, 0)]
+
+
+@pytest.mark.parametrize("text, n", [("a b c d e f g h " * 2, 16), ("a b c d e f g h", 0), ("x " * 9, 9), ("", 0)])
+def test_repeated_words(spark, text, n):
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(quality_outliers.statistics("text")["n_repeat_words"]).first()[0] == n
