@@ -19,23 +19,18 @@ SOURCE_COUNTRY = {
 UNKNOWN_COUNTRY = "XX"
 
 # Words never counted as keywords (English, French, Arabic).
-STOPWORDS_EN = """
+STOPWORDS = sorted(set("""
 the a an and or of to in on for with at by from as is are was were be been being
 this that these those it its their there here we you i he she they them his her
 not no but if then else so do does did has have had will would can could should
 about after again all also am any because before between both during each few
 more most other our out over own same some such than too very what when where
 which who why how
-"""
-STOPWORDS_FR = """
 le la les un une des de du au aux et ou en sur dans pour avec par à ce ces ce
 cet cette il elle ils elles nous vous je tu on son sa ses leur leurs y l c'est
 qu pas plus mais ne ni si comme aussi très bien tout tous toute toutes a
-"""
-STOPWORDS_AR = """
 في من على إلى عن مع هذا هذه ذلك تلك أن إن كان كانت يكون تكون قد قد كل بعض
-"""
-STOPWORDS = sorted(set((STOPWORDS_EN + STOPWORDS_FR + STOPWORDS_AR).split()))
+""".split()))
 
 # A keyword: three or more Latin (with accents) or Arabic-block characters.
 KEYWORD_PATTERN = r"[A-Za-zÀ-ÿ\x{0600}-\x{06FF}]{3,}"

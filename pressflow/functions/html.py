@@ -69,17 +69,67 @@ def elements(page: Column, tag: str, attribute: str | None = None) -> Column:
         lambda e: F.array_join(F.slice(pieces, e["start"], e["size"]), ""))
 
 
+# Elements without content, which no end tag follows.
+VOID = "area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr"
+
+
+def marked_elements(page: Column, attribute: str) -> Column:
+    """Markup of every outermost element of any name that has the attribute, cut like ``elements``."""
+    pieces = F.split(page, r"(?=</?[a-zA-Z])")
+    opening = start_tag(rf"(?!(?:{VOID})[\s/>])[a-zA-Z][a-zA-Z0-9]*", attribute).replace("(?is)", "(?is)^")
+
+    def element(state: Column) -> Column:
+        size = (state["position"] - state["start"]).alias("size")
+        return F.concat(state["found"], F.array(F.struct(state["start"].alias("start"), size)))
+
+    def step(state: Column, piece: Column) -> Column:
+        inside = state["depth"] > 0
+        opens = ~inside & piece.rlike(opening)
+        name = F.lower(F.regexp_extract(piece, r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1))
+        same = inside & (name == state["name"])
+        depth = (
+            F.when(opens, 1)
+            .when(same, state["depth"] + F.when(piece.startswith("</"), -1).otherwise(1))
+            .otherwise(state["depth"])
+        )
+        closes = inside & (depth == 0)
+        return F.struct(
+            depth.alias("depth"),
+            (state["position"] + 1).alias("position"),
+            F.when(opens, state["position"]).otherwise(state["start"]).alias("start"),
+            F.when(opens, name).otherwise(state["name"]).alias("name"),
+            F.when(closes, element(state)).otherwise(state["found"]).alias("found"),
+        )
+
+    def last(state: Column) -> Column:
+        return F.when(state["depth"] > 0, element(state)).otherwise(state["found"])
+
+    nothing = F.array().cast("array<struct<start:int,size:int>>")
+    start = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("position"), F.lit(0).alias("start"),
+                     F.lit("").alias("name"), nothing.alias("found"))
+    return F.transform(
+        F.aggregate(pieces, start, step, last),
+        lambda e: F.array_join(F.slice(pieces, e["start"], e["size"]), ""))
+
+
 def _text_nodes(fragment: Column) -> Column:
     """Text nodes of a fragment, stripped, the empty ones left out."""
     return F.filter(F.transform(F.split(fragment, TAG), ustrip), lambda t: t != "")
 
 
+# Elements that hold no place in a paragraph: their start tag closes it, and so does an end tag.
+BLOCK = (
+    "address|article|aside|blockquote|center|details|dialog|dir|div|dl|dd|dt|fieldset|figcaption|figure|"
+    "footer|form|h[1-6]|header|hr|li|main|menu|nav|ol|p|pre|section|table|ul"
+)
+
+
 def _paragraph_nodes(block: Column) -> Column:
-    """Text nodes of each paragraph, joined by NODE_END. A start tag closes the paragraph before."""
+    """Text nodes of each paragraph, joined by NODE_END. A paragraph ends at the first block tag."""
     opened = F.split(block, start_tag("p"))
     inner = F.transform(
         F.slice(opened, F.lit(2), F.size(opened)),
-        lambda p: F.regexp_replace(p, r"(?is)</p[\s>].*", ""))
+        lambda p: F.regexp_replace(p, rf"(?is)</?(?:{BLOCK})[\s/>].*", ""))
     return F.transform(inner, lambda p: F.array_join(_text_nodes(p), NODE_END))
 
 
@@ -109,19 +159,12 @@ def unmarked_paragraphs(decoded: Column) -> Column:
 LINK = r"(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>"
 
 
-def element_pattern(attribute: str, tag: str = r"[a-zA-Z][a-zA-Z0-9]*") -> str:
-    """Pattern of a whole element with an attribute; group 2 is its inner markup."""
-    opening = rf"(?is)<({tag})\s(?:[^>]*\s)?{attribute}(?:[\s\"'/][^>]*)?>"
-    return rf"{opening}(.*?)</\1\s*>"
-
-
-def element_text(page: Column, pattern: str, separator: str, link: bool = False) -> Column:
-    """Text of the first element a pattern finds, or of the first link inside such an element;
-    null without one. Entities are still encoded."""
-    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(2))
+def element_text(found: Column, separator: str, link: bool = False) -> Column:
+    """Text of the first of an array of elements, or of the first link inside one of them; null
+    without one. Entities are still encoded."""
     if link:
-        with_link = F.filter(found, lambda inner: inner.rlike(LINK))
-        found = F.transform(with_link, lambda inner: F.regexp_extract(inner, LINK, 1))
+        with_link = F.filter(found, lambda element: element.rlike(LINK))
+        found = F.transform(with_link, lambda element: F.regexp_extract(element, LINK, 1))
     texts = F.transform(F.slice(found, 1, 1), lambda m: F.array_join(_text_nodes(m), separator))
     return F.get(texts, F.lit(0))
 

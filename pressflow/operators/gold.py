@@ -88,16 +88,6 @@ def top_keywords(view: DataFrame, k: int = TOP_KEYWORDS_PER_DAY) -> DataFrame:
     )
 
 
-def top_keywords_approx(view: DataFrame, k: int = TOP_KEYWORDS_PER_DAY) -> DataFrame:
-    """The same from one bounded sketch per day instead of a count per keyword."""
-    sketch = F.expr(f"approx_top_k(keyword, {int(k)}, 10000)")
-    return (
-        daily_tokens(view).groupBy("day").agg(sketch.alias("top"))
-        .select("day", F.inline("top").alias("keyword", "n_occurrences"))
-        .select("keyword", "day", "n_occurrences")
-    )
-
-
 def articles(view: DataFrame, pick=first_per_key) -> DataFrame:
     """Warehouse columns, one row per id: the first in silver listing order.
 

@@ -8,10 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# As many keys as a broadcast carries without strain.
-MAX_REPEATED_KEYS = 500_000
+from pressflow.schemas import RAW_COLUMNS
 
-LAYER_KEYS = ["source_key", "dt", "id"]
+LAYER_KEYS = ["source_key", "dt", "_event"]
 
 
 def last_write() -> list[Column]:
@@ -29,9 +28,21 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_position", position).where("_position = 1").drop("_position")
 
 
+def with_event_key(layer: DataFrame) -> DataFrame:
+    """Add ``_event``, what a delivery is one of: the event's id, or a digest of what was
+    delivered where that names no event (a body that does not parse, an event without id)."""
+    body = F.col("value") if "value" in layer.columns else F.to_json(
+        F.struct(*[c for c in RAW_COLUMNS if c in layer.columns]))
+    return layer.withColumn("_event", F.when(F.col("id") != "", F.concat(F.lit("id:"), "id"))
+                            .otherwise(F.concat(F.lit("body:"), F.sha1(body))))
+
+
 def latest_version(layer: DataFrame) -> DataFrame:
-    """Last write wins per (source_key, dt, id) (O27). Only the columns in use are shuffled."""
-    return first_per_key(layer, LAYER_KEYS, last_write())
+    """Last write wins per source, date and event (O27). Only the columns in use are shuffled.
+
+    Deliveries without an id replace only equal ones, so none of them is lost.
+    """
+    return first_per_key(with_event_key(layer), LAYER_KEYS, last_write()).drop("_event")
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -44,27 +55,18 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def first_per_stored_key(
     df: DataFrame, keys: list[str], order: list[Column], folder: str,
-    max_repeated: int = MAX_REPEATED_KEYS,
 ) -> DataFrame:
-    """``first_per_key`` for a wide stored table, without shuffling it if few keys repeat.
+    """``first_per_key`` for a wide stored table: only rows of repeated keys are ranked.
 
-    A first job over the key columns lists the repeated keys. Rows of other keys pass through;
-    only rows of the listed ones are ranked. The list is broadcast if it has at most
-    ``max_repeated`` keys. Beyond that all rows are ranked, once, into a table in ``folder``,
-    which must live as long as the result.
+    A first job over the key columns writes the list of repeated keys to ``folder``, which must
+    live as long as the result. The rows are joined with it: Spark broadcasts a list that is
+    small enough, and the wide rows of other keys are then not shuffled at all.
     """
     spark = df.sparkSession
     listed = f"{folder}/repeated-{uuid.uuid4().hex}"
-    repeated_keys(df, keys).limit(max_repeated + 1).write.parquet(listed)
+    repeated_keys(df, keys).write.parquet(listed)
     repeated = spark.read.schema(df.select(*keys).schema).parquet(listed)
-    n_repeated = repeated.count()
-    if n_repeated == 0:
-        return df
-    if n_repeated > max_repeated:
-        ranked = f"{folder}/first-{uuid.uuid4().hex}"
-        first_per_key(df, keys, order).write.parquet(ranked)
-        return spark.read.schema(df.schema).parquet(ranked)
     same = reduce(Column.__and__, [df[key].eqNullSafe(repeated[key]) for key in keys])
-    once = df.join(F.broadcast(repeated), same, "left_anti")
-    several = df.join(F.broadcast(repeated), same, "left_semi")
+    once = df.join(repeated, same, "left_anti")
+    several = df.join(repeated, same, "left_semi")
     return once.unionByName(first_per_key(several, keys, order))

@@ -1,7 +1,7 @@
 """The catalogue's queries in DuckDB SQL, for checking results on the same tables.
 
-Each statement is put together from named common table expressions. The sample texts hold no
-URL and are NFKC-stable, and their pages use four entities, so the SQL spells out just those.
+Each statement is put together from named common table expressions. The pages use four entities
+and the articles one stretch of text that NFKC changes, so the SQL spells out just those.
 """
 
 from __future__ import annotations
@@ -10,13 +10,14 @@ from pressflow.fixed_values import (
     KEYWORD_PATTERN,
     MAX_ITEMS_PER_FEED,
     MIN_CONTENT_CHARS,
+    SOURCE_COUNTRY,
     STOPWORDS,
     TOP_KEYWORDS_PER_DAY,
     WHITESPACE,
     WHITESPACE_CHARS,
 )
 from pressflow.operators.language import BUCKETS, FACTORS
-from pressflow.sources.sample import PAGES_PER_FEED, SAMPLE_COUNTRIES, SCRAPED_AT
+from pressflow.sources.sample import PAGES_PER_FEED, SCRAPED_AT, SOURCE_NAMES, WIDE_TEXT
 
 _blank = WHITESPACE_CHARS
 
@@ -45,6 +46,7 @@ def _hidden(c: str) -> str:
 
 def _clean(c: str) -> str:
     text = _unescape(_replace_all(_hidden(f"coalesce({c}, '')"), r"(?s)<[!?/a-zA-Z][^>]*>"))
+    text = f"replace({text}, '{WIDE_TEXT}', 'ABC fin')"
     text = _replace_all(text, f"https?://[^{WHITESPACE}]+")
     return f"trim({_replace_all(text, f'[{WHITESPACE}]+')})"
 
@@ -59,40 +61,60 @@ def _letters(c: str) -> str:
 
 
 _quoted_stopwords = ", ".join("'" + w.replace("'", "''") + "'" for w in STOPWORDS)
-_countries = " ".join(f"WHEN '{s}' THEN '{c}'" for s, c in SAMPLE_COUNTRIES.items())
-_iso = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
+_countries = " ".join(f"WHEN '{s}' THEN '{c}'" for s, c in SOURCE_COUNTRY.items())
+_names = " ".join(f"WHEN '{s}' THEN '{name}'" for s, name in SOURCE_NAMES.items())
 _url = "'http://' || d.source || '.example.com/' || d.doc_id"
 
 CTES = {
+    "dated": """
+        SELECT e.event_id // 10 AS doc_id, e.ts + INTERVAL 1 DAY * unnest(
+            CASE WHEN e.event_id % 60 = 0 THEN [0, 1] ELSE [0] END) AS ts
+        FROM events e WHERE e.event_id % 10 = 0""",
+    # the written form, the instant it stands for and the calendar day it shows
     "raw": f"""
-        SELECT split_part(d.text, chr(10), 1) AS titre_article, NULL::VARCHAR AS auteur,
-               {_iso} AS date_publication, 'quality' || l.quality AS categorie,
-               d.text AS contenu, d.source, {_url} AS url, sha1({_url}) AS id,
+        SELECT CASE WHEN d.doc_id % 50 = 7 THEN chr(160) || ' ' || chr(12288) ELSE split_part(d.text, chr(10), 1) END
+                   AS titre_article,
+               NULL::VARCHAR AS auteur,
+               CASE WHEN d.doc_id % 50 = 11 THEN '' WHEN d.doc_id % 50 = 13 THEN '2024-02-30'
+                    WHEN d.doc_id % 7 = 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+                    WHEN d.doc_id % 7 = 2 THEN strftime(ts, '%Y-%m-%d')
+                    WHEN d.doc_id % 7 = 3 THEN strftime(ts, '%Y%m%d')
+                    WHEN d.doc_id % 7 = 4
+                        THEN strftime(ts + INTERVAL 90 MINUTE, '%Y-%m-%dT%H:%M:%S.%f') || '+01:30'
+                    ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS date_publication,
+               CASE WHEN d.doc_id % 50 IN (11, 13) THEN NULL
+                    WHEN d.doc_id % 7 = 1 THEN date_trunc('second', ts)
+                    WHEN d.doc_id % 7 IN (2, 3) THEN date_trunc('day', ts) ELSE ts END AS published_at,
+               CASE WHEN d.doc_id % 7 = 4 THEN ts + INTERVAL 90 MINUTE ELSE ts END::DATE AS shown,
+               'quality' || l.quality AS categorie,
+               d.text || CASE WHEN d.doc_id % 4 = 0 THEN ' ' || {_url} || ' {WIDE_TEXT}' ELSE '' END
+                   AS contenu,
+               CASE d.source {_names} ELSE d.source END AS source, {_url} AS url, sha1({_url}) AS id,
                '{SCRAPED_AT}' AS scraped_at
         FROM documents d
-        LEFT JOIN events e ON e.event_id = d.doc_id * 10
+        LEFT JOIN dated e ON e.doc_id = d.doc_id
         LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "tagged": f"""
         SELECT *, CASE
             WHEN coalesce({_strip('titre_article')}, '') = '' THEN 'missing_title'
             WHEN coalesce(date_publication, '') = '' THEN 'missing_date'
-            WHEN try_cast(date_publication AS TIMESTAMPTZ) IS NULL THEN 'invalid_date'
+            WHEN published_at IS NULL THEN 'invalid_date'
             WHEN length(coalesce({_strip('contenu')}, '')) < {MIN_CONTENT_CHARS}
                 THEN 'content_too_short' END AS dq_reason,
             coalesce(nullif(trim({_replace_all('source', '[^A-Za-z0-9_-]+', '_')}, '_'), ''),
                      'unknown') AS source_key,
-            CAST(left(coalesce(nullif(date_publication, ''), scraped_at), 10) AS DATE) AS dt
+            CASE WHEN coalesce(date_publication, '') = '' THEN left(scraped_at, 10)::DATE
+                 WHEN published_at IS NULL THEN DATE '2024-01-31' ELSE shown END AS dt
         FROM raw""",
     "cleaned": f"""
-        SELECT id, auteur, date_publication, categorie, source, url, source_key, dt,
+        SELECT id, auteur, published_at, categorie, source, url, source_key, dt,
                {_clean('titre_article')} AS titre_article, {_clean('contenu')} AS contenu
         FROM tagged WHERE dq_reason IS NULL""",
     "silver": f"""
         SELECT *, {_words('contenu')} AS word_count, length(contenu)::INTEGER AS char_count
         FROM cleaned""",
     "viewed": f"""
-        SELECT *, strptime(left(date_publication, 26), '%Y-%m-%dT%H:%M:%S.%f') AS published_at,
-               CAST(left(date_publication, 10) AS DATE) AS day,
+        SELECT *, published_at::DATE AS day,
                coalesce(categorie, 'Uncategorized') AS theme,
                CASE source {_countries} ELSE 'XX' END AS country
         FROM silver""",
@@ -153,7 +175,7 @@ CTES = {
                    FROM article_counts c JOIN profile p USING (bucket) GROUP BY ALL) a
           ON a.id = s.id AND a.lang = t.lang""",
     "languages": """
-        SELECT silver.id, best.lang AS language FROM silver
+        SELECT DISTINCT silver.id, best.lang AS language FROM silver
         LEFT JOIN (SELECT id, arg_max(lang, score) AS lang FROM scores GROUP BY id) best
           ON best.id = silver.id""",
     "articles": """
@@ -182,39 +204,31 @@ CTES = {
                 string_split_regex(b, '(?s)<[!?/a-zA-Z][^>]*>'),
                 lambda t: {_strip('t')}), lambda t: t <> ''), ' ')''')}) AS paragraphs
         FROM page_blocks""",
-    "items": f"""
+    "listed": f"""
         SELECT p.source || '/' || (page_id // {PAGES_PER_FEED}) AS feed_id, source,
                (row_number() OVER feed - 1)::INTEGER AS position,
                {_strip("regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")} AS title,
                url, strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' +0000' AS pub_date, ts,
                CASE WHEN lang IN ('en', 'es') THEN lang WHEN lang = 'fr' THEN NULL
                     ELSE 'News' END AS category,
-               {_strip("regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")} AS summary,
+               {_strip("CASE WHEN page_id % 3 = 0 THEN 'R&D' || chr(160) ELSE '' END || "
+                       "regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")} AS summary,
                CASE source WHEN 'Hespress' THEN regexp_extract(url, '^https?://([^/]+)', 1)
                     END AS author
         FROM sourced_pages p LEFT JOIN events e ON e.event_id = p.page_id * 10
-        WINDOW feed AS (PARTITION BY source, page_id // {PAGES_PER_FEED} ORDER BY page_id)
-        QUALIFY row_number() OVER feed <= {MAX_ITEMS_PER_FEED}""",
-    # metrics
-    "minutes": """
-        SELECT event_type, date_trunc('minute', ts) AS ts, count(*) AS n,
-               sum(value::DECIMAL(18, 2)) AS used, max(value) AS peak
-        FROM events GROUP BY 1, 2""",
-    "samples": """
-        SELECT event_type, ts, peak::DOUBLE AS peak,
-               (sum(n) OVER (PARTITION BY event_type ORDER BY ts))::DOUBLE AS total,
-               (sum(used) OVER (PARTITION BY event_type, ts::DATE ORDER BY ts))::DOUBLE AS cpu
-        FROM minutes""",
+        WINDOW feed AS (PARTITION BY source, page_id // {PAGES_PER_FEED} ORDER BY page_id)""",
+    "items": f"SELECT * FROM listed WHERE position < {MAX_ITEMS_PER_FEED}",
+    # events as samples of their values
     "grown": """
-        SELECT event_type, ts, total - lag(total) OVER w AS messages,
-               CASE WHEN cpu < lag(cpu) OVER w THEN cpu ELSE cpu - lag(cpu) OVER w END AS cpu
-        FROM samples WINDOW w AS (PARTITION BY event_type ORDER BY ts)
+        SELECT event_type, ts, CASE WHEN value < lag(value) OVER w THEN value
+                                    ELSE value - lag(value) OVER w END AS increase
+        FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)
         QUALIFY lag(ts) OVER w IS NOT NULL""",
 }
 
 # What each expression reads.
 READS = {
-    "raw": [], "tagged": ["raw"], "cleaned": ["tagged"], "silver": ["cleaned"],
+    "dated": [], "raw": ["dated"], "tagged": ["raw"], "cleaned": ["tagged"], "silver": ["cleaned"],
     "viewed": ["silver"], "articles_per_day": ["viewed"], "articles_per_source": ["viewed"],
     "articles_per_theme": ["viewed"], "articles_per_country": ["viewed"], "tokens": ["viewed"],
     "keyword_counts": ["tokens"], "top_keywords": ["keyword_counts"],
@@ -224,7 +238,7 @@ READS = {
     "article_counts": ["article_grams"], "scores": ["article_counts", "profile"],
     "languages": ["silver", "scores"], "articles": ["viewed", "languages"],
     "sourced_pages": [], "page_blocks": ["sourced_pages"], "page_texts": ["page_blocks"],
-    "items": ["sourced_pages"], "minutes": [], "samples": ["minutes"], "grown": ["samples"],
+    "listed": ["sourced_pages"], "items": ["listed"], "grown": [],
 }
 
 
@@ -325,6 +339,7 @@ ORACLE = {
         SELECT id, titre_article AS title, coalesce(categorie, 'Uncategorized') AS category, url,
                TIMESTAMP '2024-02-01' AS ingested_at
         FROM silver WHERE id NOT IN (SELECT id FROM updates)
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY dt) = 1
         UNION ALL
         SELECT id, title, category, url, TIMESTAMP '2024-02-02' FROM updates"""),
     "pk_violations": f"""
@@ -357,10 +372,12 @@ ORACLE = {
     "kpi_sources": _with("articles_per_source",
                          "SELECT count(*) AS active_sources FROM articles_per_source"),
     "kpi_last_24h": _with("viewed", """
-        SELECT count(DISTINCT id) AS last_24h FROM viewed
+        SELECT count(*) AS last_24h FROM (SELECT id, min_by(published_at, dt) AS published_at
+                                           FROM viewed GROUP BY id)
         WHERE published_at >= TIMESTAMP '2024-01-31' - INTERVAL 24 HOUR"""),
     "kpi_last_1h": _with("viewed", """
-        SELECT count(DISTINCT id) AS last_1h FROM viewed
+        SELECT count(*) AS last_1h FROM (SELECT id, min_by(published_at, dt) AS published_at
+                                           FROM viewed GROUP BY id)
         WHERE published_at >= TIMESTAMP '2024-01-31' - INTERVAL 1 HOUR"""),
     "language_distribution": _with("articles", """
         SELECT language, count(*) AS n_articles FROM articles GROUP BY language"""),
@@ -374,35 +391,68 @@ ORACLE = {
                array_to_string(paragraphs, chr(10)) AS body, NULL::VARCHAR AS author
         FROM page_texts"""),
     "feed_items": _with("items", "SELECT * EXCLUDE (ts) FROM items"),
-    "page_article_events": _with("items", f"""
+    "feed_rejects": _with("sourced_pages", f"""
+        SELECT source || '/' || (page_id // {PAGES_PER_FEED}) AS feed_id, source,
+               count(*)::INTEGER AS position, 'cut_off' AS reason
+        FROM sourced_pages WHERE page_id // {PAGES_PER_FEED} % 4 = 0
+        GROUP BY source, page_id // {PAGES_PER_FEED}"""),
+    "page_article_events": _with("listed", f"""
         SELECT title AS titre_article, author AS auteur,
                strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS date_publication,
                category AS categorie,
                {_strip("coalesce(nullif(array_to_string(paragraphs, chr(10)), ''), summary)")} AS contenu,
                i.source, i.url, sha1(i.url) AS id, '{SCRAPED_AT}' AS scraped_at
-        FROM items i LEFT JOIN page_texts t ON t.url = i.url AND t.source = i.source
+        FROM listed i LEFT JOIN page_texts t ON t.url = i.url AND t.source = i.source
         WHERE title <> ''""", "page_texts"),
     "lang_profile": _with("profile", """
         SELECT lang, bucket, n, round(logp, 6) AS logp FROM profile"""),
-    "lang_detect": _with("languages", "SELECT id, language FROM languages"),
-    "offset_total": """
-        SELECT count(*)::DOUBLE AS value FROM events""",
-    "counter_rate_5m": _with("grown", """
-        SELECT ts, round(sum(messages) / 300, 6) AS rate
-        FROM (SELECT ts + INTERVAL 1 MINUTE * unnest(range(1, 6)) AS ts, messages FROM grown)
+    "lang_detect": _with("languages", """
+        SELECT s.id, language FROM silver s JOIN languages g ON g.id = s.id"""),
+    "event_value_growth_5m": _with("grown", """
+        SELECT ts, round(sum(increase) / 300, 6) AS rate
+        FROM (SELECT date_trunc('minute', ts) + INTERVAL 1 MINUTE * unnest(range(1, 6)) AS ts, increase
+              FROM grown)
         GROUP BY ts"""),
-    "rate_by_label_2m": _with("grown", """
-        SELECT time_bucket(INTERVAL 2 MINUTE, ts) + INTERVAL 2 MINUTE AS ts, event_type AS name,
-               round(sum(cpu) / 120, 6) AS rate
+    "event_value_growth_by_type": _with("grown", """
+        SELECT time_bucket(INTERVAL 2 MINUTE, ts) + INTERVAL 2 MINUTE AS ts, event_type,
+               round(sum(increase) / 120, 6) AS rate
         FROM grown WHERE regexp_full_match(event_type, 'click|view|purch.*|sign') GROUP BY 1, 2"""),
-    "gauge_by_label": _with("samples", """
-        SELECT event_type AS name, arg_max(peak, ts) AS value FROM samples
-        WHERE regexp_full_match(event_type, 'click|view|purch.*|sign') GROUP BY 1"""),
+    "event_value_latest": """
+        SELECT event_type, arg_max(value, ts) AS value FROM events
+        WHERE regexp_full_match(event_type, 'click|view|purch.*|sign') GROUP BY 1""",
+    "event_value_latest_total": """
+        SELECT round(sum(value), 6) AS value FROM (SELECT arg_max(value, ts) AS value FROM events GROUP BY event_type)""",
+    "stream_bronze": _with("raw", """
+        SELECT id, titre_article, NULL AS unread FROM raw
+        WHERE regexp_extract(url, '([0-9]+)$', 1)::BIGINT % 25 NOT IN (3, 5)
+        UNION ALL SELECT NULL, titre_article, NULL FROM raw
+        WHERE regexp_extract(url, '([0-9]+)$', 1)::BIGINT % 25 = 5
+        UNION ALL SELECT DISTINCT NULL, NULL, titre_article FROM raw
+        WHERE regexp_extract(url, '([0-9]+)$', 1)::BIGINT % 25 = 3"""),
+    "stream_continuous": _with("silver", "SELECT id, source_key, dt, word_count FROM silver"),
+    "gold_summary": _with("top_keywords", """
+        SELECT (SELECT count(*) FROM viewed) AS rows_silver,
+               (SELECT count(*) FROM articles_per_day) AS articles_per_day,
+               (SELECT count(*) FROM articles_per_source) AS articles_per_source,
+               (SELECT count(*) FROM articles_per_theme) AS articles_per_theme,
+               (SELECT count(*) FROM articles_per_country) AS articles_per_country,
+               (SELECT count(*) FROM top_keywords) AS top_keywords,
+               (SELECT count(DISTINCT id) FROM viewed) AS articles""",
+        "articles_per_day", "articles_per_source", "articles_per_theme", "articles_per_country"),
+    "gold_tables": _with("articles_per_theme", "SELECT * FROM articles_per_theme"),
+    "warehouse_load": _with("top_keywords", """
+        SELECT (SELECT count(DISTINCT id) FROM viewed) AS articles,
+               (SELECT count(*) FROM articles_per_day) AS articles_per_day,
+               (SELECT count(*) FROM articles_per_source) AS articles_per_source,
+               (SELECT count(*) FROM articles_per_theme) AS articles_per_theme,
+               (SELECT count(*) FROM articles_per_country) AS articles_per_country,
+               (SELECT count(*) FROM top_keywords) AS top_keywords""",
+        "articles_per_day", "articles_per_source", "articles_per_theme", "articles_per_country"),
+    "missing_table": "SELECT doc_id, quality, toxic FROM labels",
     "stream_ingest": _with("languages", f"""
         SELECT {_language_columns} FROM silver s JOIN languages g ON g.id = s.id"""),
     "stream_rejects": _with("tagged", """
-        SELECT id, titre_article, contenu, dq_reason, dt FROM tagged
-        WHERE dq_reason IS NOT NULL"""),
+        SELECT id, titre_article, contenu, dq_reason FROM tagged WHERE dq_reason IS NOT NULL"""),
     "stream_daily_counts": _with("articles_per_day", "SELECT * FROM articles_per_day"),
     "stream_message_rate": """
         SELECT ts, round(count(*) / 300, 6) AS rate

@@ -19,9 +19,9 @@ from pressflow.operators.gold import (
 )
 from pressflow.operators.latest import (
     LAYER_KEYS,
-    MAX_REPEATED_KEYS,
     first_per_stored_key,
     last_write,
+    with_event_key,
 )
 from pressflow.schemas import GOLD, SILVER
 from pressflow.session import remove_dir, working_dir
@@ -54,21 +54,21 @@ def _summary(spark: SparkSession, counts: dict[str, int], started: float) -> Dat
 def build_gold(
     spark: SparkSession, silver_path: str, gold_path: str,
     countries: dict[str, str] | None = None, top_k: int = TOP_KEYWORDS_PER_DAY,
-    max_repeated: int = MAX_REPEATED_KEYS,
 ) -> DataFrame:
     """Rebuild every gold table from silver (O58) and return the row counts.
 
-    Each builder scans just the columns it needs. The texts are shuffled only where more keys
-    than ``max_repeated`` were delivered several times.
+    Each builder scans just the columns it needs. Texts are shuffled only if the list of the keys
+    that were delivered several times is too large to broadcast.
     """
     started = time.time()
     folder = working_dir(spark, "gold")
 
     def pick(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-        return first_per_stored_key(df, keys, order, folder, max_repeated)
+        return first_per_stored_key(df, keys, order, folder)
 
     try:
-        silver = pick(read_layer(spark, silver_path, SILVER), LAYER_KEYS, last_write())
+        stored = with_event_key(read_layer(spark, silver_path, SILVER))
+        silver = pick(stored, LAYER_KEYS, last_write()).drop("_event")
         view = silver_view(silver, countries)
         tables = {
             **{name: build(view) for name, build in BUILDERS.items()},

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressflow.fixed_values import MAX_ITEMS_PER_FEED
 from pressflow.functions.dates import utc_literal
 from pressflow.functions.text import clean_columns, word_count
 from pressflow.operators import gold, quality, series
@@ -15,15 +16,16 @@ from pressflow.operators.latest import latest_version
 from pressflow.operators.silver import to_silver, with_partitions
 from pressflow.operators.upsert import upsert
 from pressflow.plans import dashboards
-from pressflow.plans.pipeline import BUILDERS
-from pressflow.schemas import SILVER
+from pressflow.plans.pipeline import BUILDERS, build_gold, load_warehouse, read_gold
+from pressflow.schemas import BRONZE, SILVER
 from pressflow.session import configure, working_dir
 from pressflow.sinks.events import land_text
-from pressflow.sinks.lake import write_batch
+from pressflow.sinks.lake import compact, write_batch
 from pressflow.sources import sample
 from pressflow.sources.events import landed_events
-from pressflow.sources.feeds import article_events, feed_items
+from pressflow.sources.feeds import article_events, feed_items, feed_rejects
 from pressflow.sources.pages import extract_pages
+from pressflow.sources.tables import scan_parquet
 from pressflow.streaming import daily
 from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest
 
@@ -32,7 +34,7 @@ AS_OF_TIME = datetime(2024, 1, 31)
 FIRST_LOAD = datetime(2024, 2, 1)
 SECOND_LOAD = datetime(2024, 2, 2)
 CHECKED_AT = datetime(2024, 1, 31)
-CONTAINERS = "click|view|purch.*|sign"
+EVENT_TYPES = "click|view|purch.*|sign"
 
 
 _models: dict[tuple[str, str], LanguageModel] = {}
@@ -42,14 +44,13 @@ def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
     """The model trained on the labelled documents, kept per session; it has a fixed size."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        labelled = sample.spread(
-            sample.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+        labelled = sample.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
         _models[key] = LanguageModel.train(labelled)
     return _models[key]
 
 
 def _tagged(spark, sf_dir):
-    return quality.tag_quality(with_partitions(sample.articles_raw(spark, sf_dir)))
+    return quality.tag_quality(with_partitions(sample.articles_raw(spark, sf_dir), F.lit(CHECKED_AT.date())))
 
 
 def _silver(spark, sf_dir, language=False):
@@ -58,7 +59,7 @@ def _silver(spark, sf_dir, language=False):
 
 
 def _view(spark, sf_dir, language=False):
-    return gold.silver_view(_silver(spark, sf_dir, language), sample.SAMPLE_COUNTRIES)
+    return gold.silver_view(_silver(spark, sf_dir, language))
 
 
 def _gold(spark, sf_dir, name, language=False):
@@ -97,7 +98,7 @@ def silver_counts(spark, sf_dir):
 
 
 def partition_keys(spark, sf_dir):
-    raw = with_partitions(sample.articles_raw(spark, sf_dir))
+    raw = with_partitions(sample.articles_raw(spark, sf_dir), F.lit(CHECKED_AT.date()))
     return raw.groupBy("source_key", "dt").agg(F.count(F.lit(1)).alias("n_events"))
 
 
@@ -117,8 +118,45 @@ def keyword_counts(spark, sf_dir):
     return gold.keyword_counts(_view(spark, sf_dir))
 
 
-def top_keywords_approx(spark, sf_dir):
-    return gold.top_keywords_approx(_view(spark, sf_dir))
+def _stored_silver(spark, sf_dir, root):
+    silver = _silver(spark, sf_dir).withColumns(
+        {"ingest_ts": utc_literal(CHECKED_AT), "src_offset": F.lit(0).cast("bigint")})
+    write_batch(silver.select(*_names(SILVER)), f"{root}/silver", SOURCE_FOLDERS, 0)
+    return f"{root}/silver"
+
+
+def gold_summary(spark, sf_dir):
+    """Row counts of a gold build from stored silver."""
+    root = working_dir(spark, "gold")
+    summary = build_gold(spark, _stored_silver(spark, sf_dir, root), f"{root}/gold")
+    return summary.drop("elapsed_sec")
+
+
+def gold_tables(spark, sf_dir):
+    """One of the gold tables as stored."""
+    root = working_dir(spark, "gold")
+    build_gold(spark, _stored_silver(spark, sf_dir, root), f"{root}/gold")
+    return read_gold(spark, f"{root}/gold")["articles_per_theme"]
+
+
+def warehouse_load(spark, sf_dir):
+    """Row counts of the warehouse tables after gold is loaded into them twice."""
+    root = working_dir(spark, "gold")
+    database = f"load_{root.rsplit('-', 1)[1]}"
+    build_gold(spark, _stored_silver(spark, sf_dir, root), f"{root}/gold")
+    try:
+        load_warehouse(spark, f"{root}/gold", database, utc_literal(FIRST_LOAD))
+        return load_warehouse(spark, f"{root}/gold", database, utc_literal(SECOND_LOAD)).drop("elapsed_sec")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def missing_table(spark, sf_dir):
+    """A layer that was never written is an empty one."""
+    schema = "doc_id BIGINT, quality INT, toxic INT"
+    parts = [scan_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", schema)
+             for name in ("labels", "labels_never_written")]
+    return parts[0].unionByName(parts[1])
 
 
 def articles_upsert(spark, sf_dir):
@@ -203,7 +241,7 @@ def latest_articles_short(spark, sf_dir):
 # -------------------------------------------------------------------------------- pages and feeds
 
 def html_strip(spark, sf_dir):
-    pages = sample.spread(sample.table(spark, sf_dir, "pages"), "page_id")
+    pages = sample.table(spark, sf_dir, "pages")
     text = clean_columns(pages.select("page_id", F.col("html").alias("text")), "text")
     return text.withColumn("word_count", word_count(F.col("text")))
 
@@ -215,7 +253,12 @@ def page_paragraphs(spark, sf_dir):
 
 
 def feed_items_(spark, sf_dir):
-    return feed_items(sample.page_feeds(spark, sf_dir))
+    """The head of each feed document."""
+    return feed_items(sample.page_feeds(spark, sf_dir), MAX_ITEMS_PER_FEED)
+
+
+def feed_rejects_(spark, sf_dir):
+    return feed_rejects(sample.page_feeds(spark, sf_dir)).drop("xml")
 
 
 def page_article_events(spark, sf_dir):
@@ -227,8 +270,7 @@ def page_article_events(spark, sf_dir):
 # -------------------------------------------------------------------------------------- language
 
 def lang_profile(spark, sf_dir):
-    labelled = sample.spread(
-        sample.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+    labelled = sample.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     profile = language_profile(trigram_counts(labelled, "text", "lang"))
     return profile.withColumn("logp", F.round("logp", 6))
 
@@ -239,34 +281,34 @@ def lang_detect(spark, sf_dir):
 
 # --------------------------------------------------------------------------------------- metrics
 
-def offset_total(spark, sf_dir):
-    offsets = series.select_series(
-        sample.metric_samples(spark, sf_dir), "kafka_topic_partition_current_offset",
-        labels={"topic": "raw_articles"})
-    return series.gauge_total(offsets)
+def event_value_growth_5m(spark, sf_dir):
+    """Growth per second of the events' values, each type read as a counter that may restart."""
+    rate = series.counter_rate(
+        series.select_series(sample.event_values(spark, sf_dir), "event_value"),
+        "5 minutes", step="1 minute")
+    return rate.withColumn("rate", F.round("rate", 6))
 
 
-def counter_rate_5m(spark, sf_dir):
-    offsets = series.select_series(
-        sample.metric_samples(spark, sf_dir), "kafka_topic_partition_current_offset",
-        labels={"topic": "raw_articles"})
-    rate = series.counter_rate(offsets, "5 minutes", step="1 minute")
+def event_value_growth_by_type(spark, sf_dir):
+    """The same over two minutes for some types."""
+    chosen = series.select_series(
+        sample.event_values(spark, sf_dir), "event_value", matches={"event_type": EVENT_TYPES})
+    rate = series.counter_rate(chosen, "2 minutes", by="event_type")
     return rate.withColumn("rate", F.round("rate", 6))
 
 
-def rate_by_label_2m(spark, sf_dir):
-    usage = series.select_series(
-        sample.metric_samples(spark, sf_dir), "container_cpu_usage_seconds_total",
-        matches={"name": CONTAINERS})
-    rate = series.counter_rate(usage, "2 minutes", by="name")
-    return rate.withColumn("rate", F.round("rate", 6))
+def event_value_latest(spark, sf_dir):
+    """The newest value of some event types."""
+    chosen = series.select_series(
+        sample.event_values(spark, sf_dir), "event_value", matches={"event_type": EVENT_TYPES})
+    return series.gauge_by_label(chosen, "event_type")
 
 
-def gauge_by_label(spark, sf_dir):
-    memory = series.select_series(
-        sample.metric_samples(spark, sf_dir), "container_memory_usage_bytes",
-        matches={"name": CONTAINERS})
-    return series.gauge_by_label(memory, "name", scale=1024 * 1024)
+def event_value_latest_total(spark, sf_dir):
+    """The newest values of all event types, summed."""
+    total = series.gauge_total(
+        series.select_series(sample.event_values(spark, sf_dir), "event_value"))
+    return total.withColumn("value", F.round("value", 6))
 
 
 # ------------------------------------------------------------------------------------- streaming
@@ -282,21 +324,47 @@ def stream_ingest(spark, sf_dir):
         "source_key", "dt")
 
 
+def stream_bronze(spark, sf_dir):
+    """Bodies as they were delivered, in two batches that are merged: those that are no JSON and
+    events without id stay, each of them."""
+    root = working_dir(spark, "ingest")
+    bodies = sample.article_bodies(spark, sf_dir)
+    job = Ingest(root)
+    for part in (0, 1):
+        bodies.where(F.pmod(F.xxhash64("value"), F.lit(2)) == part).write.mode("append").text(
+            f"{root}/landing")
+        job.drain(landed_events(spark, f"{root}/landing"))
+    compact(spark, job.layer("bronze"), BRONZE, SOURCE_FOLDERS, up_to=1)
+    corrupt = F.when(F.col("_corrupt").isNotNull(), F.col("value"))
+    return job.bronze(spark).select("id", "titre_article", corrupt.alias("unread"))
+
+
+def stream_continuous(spark, sf_dir):
+    """The stream that runs until it is stopped, over a fixed input."""
+    root = working_dir(spark, "ingest")
+    land_text(sample.articles_raw(spark, sf_dir), f"{root}/landing")
+    job = Ingest(root)
+    query = job.run_continuously(landed_events(spark, f"{root}/landing"), "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return job.silver(spark).select("id", "source_key", "dt", "word_count")
+
+
 def stream_rejects(spark, sf_dir):
     """The rejects the same stream sets aside."""
     root = working_dir(spark, "ingest")
     land_text(sample.articles_raw(spark, sf_dir), f"{root}/landing")
     job = Ingest(root)
     job.drain(landed_events(spark, f"{root}/landing"))
-    return job.rejects(spark).select("id", "titre_article", "contenu", "dq_reason", "dt")
+    return job.rejects(spark).select("id", "titre_article", "contenu", "dq_reason")
 
 
 def stream_daily_counts(spark, sf_dir):
     """Silver streamed into counts per day and source."""
     root = working_dir(spark, "daily")
-    silver = _silver(spark, sf_dir).withColumns(
-        {"ingest_ts": utc_literal(CHECKED_AT), "src_offset": F.lit(0).cast("bigint")})
-    write_batch(silver.select(*_names(SILVER)), f"{root}/silver", SOURCE_FOLDERS, 0)
+    _stored_silver(spark, sf_dir, root)
     stream = daily.silver_stream(spark, f"{root}/silver")
     daily.write_updates(
         daily.daily_counts(stream), f"{root}/counts", f"{root}/checkpoint", {"availableNow": True}
@@ -338,8 +406,11 @@ CATALOGUE = {
     "articles_per_country": _table("articles_per_country"),
     "keyword_counts": keyword_counts,
     "top_keywords": _table("top_keywords"),
-    "top_keywords_approx": top_keywords_approx,
     "articles": _table("articles", language=True),
+    "gold_summary": gold_summary,
+    "gold_tables": gold_tables,
+    "warehouse_load": warehouse_load,
+    "missing_table": missing_table,
     "articles_upsert": articles_upsert,
     "pk_violations": pk_violations,
     "trending_7d": trending_7d,
@@ -363,15 +434,18 @@ CATALOGUE = {
     "html_strip": html_strip,
     "page_paragraphs": page_paragraphs,
     "feed_items": feed_items_,
+    "feed_rejects": feed_rejects_,
     "page_article_events": page_article_events,
     "lang_profile": lang_profile,
     "lang_detect": lang_detect,
-    "offset_total": offset_total,
-    "counter_rate_5m": counter_rate_5m,
-    "rate_by_label_2m": rate_by_label_2m,
-    "gauge_by_label": gauge_by_label,
+    "event_value_growth_5m": event_value_growth_5m,
+    "event_value_growth_by_type": event_value_growth_by_type,
+    "event_value_latest": event_value_latest,
+    "event_value_latest_total": event_value_latest_total,
     "stream_ingest": stream_ingest,
     "stream_rejects": stream_rejects,
+    "stream_bronze": stream_bronze,
+    "stream_continuous": stream_continuous,
     "stream_daily_counts": stream_daily_counts,
     "stream_message_rate": stream_message_rate,
 }

@@ -53,9 +53,8 @@ DQ_RESULTS = "run_at TIMESTAMP, check_name STRING, dimension STRING, passed BOOL
 
 METRICS = "ts TIMESTAMP, name STRING, labels MAP<STRING, STRING>, value DOUBLE"
 
-# One feed document. Every item field is optional; a document that does not parse gives null.
-FEED = """
-    channel STRUCT<item: ARRAY<STRUCT<
-        title: STRING, link: STRING, pubDate: STRING, category: ARRAY<STRING>,
-        description: STRING, `dc:creator`: STRING>>>
+# One item of a feed document. Every field is optional; what does not parse goes to ``_corrupt``.
+ITEM = """
+    title STRING, link STRING, pubDate STRING, category ARRAY<STRING>, description STRING,
+    `dc:creator` STRING, _corrupt STRING
 """

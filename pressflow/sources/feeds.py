@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressflow.fixed_values import MAX_ITEMS_PER_FEED
 from pressflow.functions.dates import feed_date_iso
 from pressflow.functions.keys import article_id
 from pressflow.functions.text import ustrip
 from pressflow.operators.latest import first_per_key
 from pressflow.operators.skew import salted_left_join
-from pressflow.schemas import FEED, RAW_COLUMNS
+from pressflow.schemas import ITEM, RAW_COLUMNS
 from pressflow.sources.pages import SOURCE_RULES, SourceRule, by_source
 
 
@@ -19,27 +18,60 @@ def _stripped(c: Column) -> Column:
     return ustrip(F.coalesce(c, F.lit("")))
 
 
+def mended(xml: Column) -> Column:
+    """XML in which an ampersand that begins no XML entity stands for itself.
+
+    Outside CDATA sections a blank entity becomes the blank, and other ampersands are escaped.
+    """
+    parts = F.split(xml, r"(?=<!\[CDATA\[)|(?<=\]\]>)")
+
+    def escaped(part: Column) -> Column:
+        plain = F.regexp_replace(part, "&nbsp;", "&#160;")
+        plain = F.regexp_replace(plain, r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)", "&amp;")
+        return F.when(part.startswith("<![CDATA["), part).otherwise(plain)
+
+    return F.array_join(F.transform(parts, escaped), "")
+
+
+def _parsed_items(feeds: DataFrame, max_items: int | None) -> DataFrame:
+    """``feed_id``, ``source``, ``position``, ``xml`` of each item and what it parses to.
+
+    Items are cut out by their tags and parsed on their own, so one that cannot be read costs no
+    other. The last piece of a document that breaks off is an item without end.
+    """
+    pieces = F.split(mended(F.col("xml")), r"(?=<item[\s>])")
+    items = F.slice(pieces, F.lit(2), F.size(pieces))
+    if max_items is not None:
+        items = F.slice(items, 1, max_items)
+    body = F.regexp_extract("piece", r"(?s)^<item[\s>].*?</item\s*>", 0)
+    return (
+        feeds.select("feed_id", "source", F.posexplode(items).alias("position", "piece"))
+        .withColumn("body", F.when(body != "", body))
+        .withColumn("item", F.from_xml("body", ITEM, {
+            "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": "_corrupt"}))
+    )
+
+
 def feed_items(
     feeds: DataFrame,
-    max_items: int = MAX_ITEMS_PER_FEED,
+    max_items: int | None = None,
     rules: list[SourceRule] = SOURCE_RULES,
 ) -> DataFrame:
-    """Items at the head of each feed document (O06, O07, O11), those without a link left out
-    (O14). Reads ``feed_id``, ``source`` and ``xml``; a document that does not parse gives no item.
+    """Items of each feed document (O06, O07), those without a link left out (O14). Reads
+    ``feed_id``, ``source`` and ``xml``; see ``feed_rejects`` for what cannot be read.
 
-    The head is cut inside the parsed array, so nothing is shuffled. As in the feed's own
-    order, items without a link count towards the limit.
+    ``max_items`` takes the items at the head of each document only (O11). The head is cut inside
+    the array of items, so nothing is shuffled. As in the feed's own order, items without a link
+    count towards the limit.
     """
-    parsed = F.from_xml("xml", FEED, {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"})
-    head = F.slice(F.col("feed.channel.item"), 1, max_items)
     item, source = F.col("item"), F.col("source")
     default_category = by_source(source, lambda r: F.lit(r.default_category).cast("string"), rules)
     author = by_source(
         source,
         lambda r: item["dc:creator"] if r.feed_has_author else F.lit(None).cast("string"), rules)
     return (
-        feeds.withColumn("feed", parsed)
-        .select("feed_id", "source", F.posexplode(head).alias("position", "item"))
+        _parsed_items(feeds, max_items)
         .select(
             "feed_id", "source", "position",
             _stripped(item["title"]).alias("title"),
@@ -53,6 +85,23 @@ def feed_items(
     )
 
 
+def feed_rejects(feeds: DataFrame) -> DataFrame:
+    """What cannot be read of each feed document: ``feed_id``, ``source``, ``position``, ``reason``
+    and the ``xml``.
+
+    Reasons are ``no_channel`` for a document that is no feed, and for items ``cut_off`` (no end)
+    and ``unreadable_item``.
+    """
+    documents = feeds.where(~F.coalesce(F.col("xml").rlike(r"<channel[\s>]"), F.lit(False))).select(
+        "feed_id", "source", F.lit(None).cast("int").alias("position"),
+        F.lit("no_channel").alias("reason"), "xml")
+    broken = F.when(F.col("body").isNull(), "cut_off").when(
+        F.col("item").isNull() | F.col("item._corrupt").isNotNull(), "unreadable_item")
+    items = _parsed_items(feeds.where(F.col("xml").rlike(r"<channel[\s>]")), None).select(
+        "feed_id", "source", "position", broken.alias("reason"), F.col("piece").alias("xml"))
+    return documents.unionByName(items.where(F.col("reason").isNotNull()))
+
+
 def _with_pages(items: DataFrame, pages: DataFrame | None) -> DataFrame:
     """Items with body and author of their page; where a URL was fetched more than once, the
     first by ``page_id`` counts."""

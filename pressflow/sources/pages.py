@@ -32,13 +32,21 @@ class Block:
 
 @dataclass(frozen=True)
 class Byline:
-    """A pattern whose second group is the byline's markup, or holds its link. ``separator``
-    goes between the text nodes."""
+    """Elements of which the first is the byline, or the first with a link holds it.
+
+    They have ``attribute``, and the name ``tag`` if one is given. ``separator`` goes between the
+    text nodes."""
 
-    pattern: str
     separator: str
+    attribute: str | None = None
+    tag: str | None = None
     link: bool = False
 
+    def text(self, page: Column) -> Column:
+        found = (html.marked_elements(page, self.attribute) if self.tag is None
+                 else html.elements(page, self.tag, self.attribute))
+        return html.element_text(found, self.separator, self.link)
+
 
 @dataclass(frozen=True)
 class SourceRule:
@@ -57,8 +65,7 @@ class SourceRule:
         return F.coalesce(found, F.lit(False))
 
     def author(self, page: Column) -> Column:
-        return F.coalesce(*[
-            html.element_text(page, b.pattern, b.separator, b.link) for b in self.bylines])
+        return F.coalesce(*[b.text(page) for b in self.bylines])
 
 
 # The elements that hold body and byline in each source's pages.
@@ -70,8 +77,8 @@ SOURCE_RULES = [
             Block("article", first_only=True),
         ],
         bylines=[
-            Byline(html.element_pattern(html.has_class("author"), tag="small"), "", link=True),
-            Byline(html.element_pattern(html.has_class("author")), "", link=True),
+            Byline("", html.has_class("author"), tag="small", link=True),
+            Byline("", html.has_class("author"), link=True),
         ],
         feed_has_author=True,
     ),
@@ -82,8 +89,8 @@ SOURCE_RULES = [
             Block("article"),
         ],
         bylines=[
-            Byline(html.element_pattern(html.has_value("data-component", "byline-block")), " "),
-            Byline(html.element_pattern(html.has_class("ssrcss-68pt20-Text-TextContributorName")), " "),
+            Byline(" ", html.has_value("data-component", "byline-block")),
+            Byline(" ", html.has_class("ssrcss-68pt20-Text-TextContributorName")),
         ],
         default_category="News",
         paragraphs_required=True,

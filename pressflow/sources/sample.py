@@ -1,26 +1,24 @@
-"""The test tables read as article events, feeds and metrics.
+"""The test tables read as article events, feeds and samples.
 
 Documents have no date, title or category, so those come from ``events`` and ``labels``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressflow.fixed_values import SOURCE_COUNTRY
 from pressflow.functions.keys import article_id
 from pressflow.schemas import RAW_COLUMNS
 
 # Deliveries of a document are its events: event_id div 10 = doc_id.
 EVENTS_PER_DOCUMENT = 10
 SCRAPED_AT = "2024-01-31T00:00:00+00:00"
-# Countries for a few of the sample sources; the others stay unknown.
-SAMPLE_COUNTRIES = {
-    "src0": "MA", "src1": "MA", "src2": "MA", "src3": "MA", "src4": "GB",
-    "src5": "GB", "src6": "US", "src7": "GB", "src8": "QA",
-}
-
-
+# Sample sources that stand for a source with a country; the others stay as they are.
+SOURCE_NAMES = {f"src{k}": name for k, name in enumerate(SOURCE_COUNTRY)}
+# Text that cleaning changes, besides the article's URL: full-width letters and a ligature.
+WIDE_TEXT = "ＡＢＣ ﬁn"
 # Known schemas spare a job that reads file footers.
 TABLES = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
@@ -35,42 +33,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a table read as fewer splits than there are cores, as a small file with a
-    single row group is. Large tables have many splits and pass through."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def iso_utc(ts: str):
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
+def first_events(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """``key`` and ``ts`` of the first event of each document or page."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    return events.where(F.col("event_id") % EVENTS_PER_DOCUMENT == 0).select(
+        F.expr(f"event_id div {EVENTS_PER_DOCUMENT}").alias(key), "ts")
+
+
 def dated(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """Add ``ts``, the time of the first event that belongs to each row of ``df``."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
-    first = F.col(key) * EVENTS_PER_DOCUMENT == F.col("event_id")
-    return df.join(events, first, "left").drop("event_id")
+    return df.join(first_events(spark, sf_dir, key).hint("merge"), key, "left")
+
+
+def written_date(ts: str, doc_id: str):
+    """A time in one of several forms, by document; some documents have none or no date at all."""
+    form, bad = F.col(doc_id) % 7, F.col(doc_id) % 50
+    local = F.date_format(F.col(ts) + F.expr("INTERVAL 90 MINUTES"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    written = (
+        F.when(form == 1, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+        .when(form == 2, F.date_format(ts, "yyyy-MM-dd"))
+        .when(form == 3, F.date_format(ts, "yyyyMMdd"))
+        .when(form == 4, F.concat(local, F.lit("+01:30")))
+        .otherwise(iso_utc(ts))
+    )
+    return F.when(bad == 11, F.lit("")).when(bad == 13, F.lit("2024-02-30")).otherwise(written)
 
 
 def articles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as raw article events."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    """Documents as raw article events.
+
+    By document, some have a blank title, dates come in several forms, some contents hold the
+    article's URL or full-width letters, and every sixth is delivered under the next day too.
+
+    What goes with a document is joined first, so the texts are shuffled once, for the join with
+    that. It grows like the documents, so it is never broadcast.
+    """
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    again = F.when(F.col("doc_id") % 6 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    delivered = first_events(spark, sf_dir, "doc_id").select("doc_id", "ts", F.explode(again).alias("days"))
+    facts = delivered.select("doc_id", (F.col("ts") + F.make_dt_interval("days")).alias("ts")).join(
+        labels, "doc_id", "full")
+    name = F.col("source")
+    for sample_name, source_name in SOURCE_NAMES.items():
+        name = F.when(F.col("source") == sample_name, source_name).otherwise(name)
+    added = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit(" "), "url", F.lit(f" {WIDE_TEXT}"))).otherwise("")
     url = F.concat(F.lit("http://"), "source", F.lit(".example.com/"), F.col("doc_id").cast("string"))
     return (
-        dated(documents, spark, sf_dir, "doc_id")
-        .join(labels, "doc_id", "left")
+        documents.join(facts.hint("merge"), "doc_id", "left")
         .withColumn("url", url)
         .select(
-            F.substring_index("text", "\n", 1).alias("titre_article"),
+            F.when(F.col("doc_id") % 50 == 7, "\u00a0 \u3000")
+            .otherwise(F.substring_index("text", "\n", 1)).alias("titre_article"),
             F.lit(None).cast("string").alias("auteur"),
-            iso_utc("ts").alias("date_publication"),
+            written_date("ts", "doc_id").alias("date_publication"),
             F.concat(F.lit("quality"), F.col("quality").cast("string")).alias("categorie"),
-            F.col("text").alias("contenu"),
-            "source",
+            F.concat("text", added).alias("contenu"),
+            name.alias("source"),
             "url",
             article_id(F.col("url")).alias("id"),
             F.lit(SCRAPED_AT).alias("scraped_at"),
@@ -79,23 +102,31 @@ def articles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def article_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles as message bodies; of some documents just the title, which is no JSON, and of some
+    an event without id."""
+    number = F.regexp_extract("url", r"([0-9]+)$", 1).cast("bigint") % 25
+    articles = articles_raw(spark, sf_dir).withColumn("id", F.when(number != 5, F.col("id")))
+    body = F.to_json(F.struct(*RAW_COLUMNS), {"ignoreNullFields": "false"})
+    return articles.select(F.when(number == 3, F.col("titre_article")).otherwise(body).alias("value"))
+
+
 def article_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event of a document as one more delivery of its article, later ones retitled; a
-    document without events is delivered once."""
+    document without events is delivered once. The text itself is not delivered again."""
     events = table(spark, sf_dir, "events").select(
         F.expr(f"event_id div {EVENTS_PER_DOCUMENT}").alias("doc_id"),
         "event_id", F.col("ts").cast("timestamp").alias("ingest_ts"))
-    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", F.substring_index("text", "\n", 1).alias("title"))
     url = F.concat(F.lit("http://"), "source", F.lit(".example.com/"), F.col("doc_id").cast("string"))
     return (
         dated(documents, spark, sf_dir, "doc_id")
         .join(events, "doc_id", "left")
         .withColumn("url", url)
         .select(
-            F.concat_ws(" #", F.substring_index("text", "\n", 1),
-                        F.col("event_id").cast("string")).alias("titre_article"),
+            F.concat_ws(" #", "title", F.col("event_id").cast("string")).alias("titre_article"),
             iso_utc("ts").alias("date_publication"),
-            F.col("text").alias("contenu"),
             "source", "url", article_id(F.col("url")).alias("id"),
             F.lit(SCRAPED_AT).alias("scraped_at"),
             "ingest_ts", F.coalesce("event_id", F.lit(-1)).alias("src_offset"),
@@ -109,7 +140,7 @@ PAGES_PER_FEED = 20
 
 def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the source whose rules read them, by page language."""
-    pages = spread(table(spark, sf_dir, "pages"), "page_id")
+    pages = table(spark, sf_dir, "pages")
     lang = F.regexp_extract("html", r'<html lang="([a-z]+)"', 1)
     return pages.select(
         "page_id", "url", "html", lang.alias("lang"),
@@ -122,8 +153,11 @@ def _escaped(c):
 
 def page_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RSS documents that list the pages: one per source and run of consecutive page ids."""
-    pages = dated(page_sources(spark, sf_dir), spark, sf_dir, "page_id")
-    title = F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)
+    titled = page_sources(spark, sf_dir).select(
+        "page_id", "url", "lang", "source",
+        F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("title"))
+    pages = dated(titled, spark, sf_dir, "page_id")
+    title = F.col("title")
     host = F.regexp_extract("url", r"^https?://([^/]+)", 1)
     # feeds in the other languages name no category
     categories = F.when(
@@ -137,7 +171,9 @@ def page_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("<pubDate>"), F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"),
             F.lit(" +0000</pubDate>")), F.lit("")),
         categories,
-        F.lit("<description>"), _escaped(title), F.lit("</description>"),
+        # some descriptions hold an ampersand and an entity that XML does not know
+        F.lit("<description>"), F.when(F.col("page_id") % 3 == 0, "R&D&nbsp;").otherwise(""),
+        _escaped(title), F.lit("</description>"),
         F.lit("<dc:creator>"), host, F.lit("</dc:creator></item>"),
     )
     # a run of ids holds at most PAGES_PER_FEED items
@@ -152,46 +188,18 @@ def page_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(
                 F.lit('<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'),
                 F.array_join(F.col("listed.item"), ""),
-                F.lit("</channel></rss>")).alias("xml"),
+                # every fourth document breaks off within an item
+                F.when(F.col("run") % 4 == 0, "<item><title>cut").otherwise("</channel></rss>"),
+            ).alias("xml"),
         )
     )
 
 
-def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as metric samples, one scrape a minute: a message offset per event type, a usage
-    counter that restarts every day, and a gauge.
-
-    Events are summed per type and minute first, so the running sums cover minutes, not events.
-    """
-    per_minute = (
-        table(spark, sf_dir, "events")
-        .select("event_type", F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"),
-                F.col("value").cast("decimal(18,2)").alias("value"))
-        .groupBy("event_type", "ts")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("used"),
-             F.max("value").alias("peak"))
-    )
-    so_far = Window.partitionBy("event_type").orderBy("ts")
-    today = Window.partitionBy("event_type", F.to_date("ts")).orderBy("ts")
-
-    def sample(name: str, labels, value):
-        return F.struct(F.lit(name).alias("name"), labels.alias("labels"),
-                        value.cast("double").alias("value"))
-
-    by_name = F.create_map(F.lit("name"), F.col("event_type"))
-    by_partition = F.create_map(
-        F.lit("topic"), F.lit("raw_articles"), F.lit("partition"), F.col("event_type"))
-    samples = F.array(
-        sample("kafka_topic_partition_current_offset", by_partition, F.col("offset")),
-        sample("container_cpu_usage_seconds_total", by_name, F.col("cpu")),
-        sample("container_memory_usage_bytes", by_name, F.col("peak") * 1048576),
-    )
-    return (
-        per_minute
-        .withColumn("offset", F.sum("n").over(so_far))
-        .withColumn("cpu", F.sum("used").over(today))
-        .select("ts", F.inline(samples))
-    )
+def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as samples of one metric, a series for each event type."""
+    return table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.lit("event_value").alias("name"),
+        F.create_map(F.lit("event_type"), F.col("event_type")).alias("labels"), "value")
 
 
 def republished(spark: SparkSession, sf_dir: str) -> DataFrame:

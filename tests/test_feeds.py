@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressflow.operators.skew import salted_left_join
-from pressflow.sources.feeds import article_events, feed_items
+from pressflow.sources.feeds import article_events, feed_items, feed_rejects
 from pressflow.sources.pages import SOURCE_RULES, Block, Byline, SourceRule, extract_pages
 
 
@@ -44,15 +44,32 @@ def test_sources_differ_in_author_and_default_category(items):
 
 def test_limit_counts_items_without_a_link(items):
     xml = feed(*[f"<title>t{i}</title>" + (f"<link>u{i}</link>" if i != 3 else "") for i in range(20)])
-    got = items("Hespress", xml)
+    got = items("Hespress", xml, max_items=15)
     assert [r["url"] for r in got] == [f"u{i}" for i in range(15) if i != 3]
-    assert len(items("Hespress", xml, max_items=20)) == 19
+    assert len(items("Hespress", xml)) == 19
 
 
-def test_broken_feed_gives_nothing(items):
-    assert items("Hespress", "<rss><channel><item>") == []
-    assert items("Hespress", "not xml") == []
-    assert items("Hespress", feed()) == []
+GOOD = "<title>good</title><link>http://x/1</link>"
+
+
+def test_bad_markup_costs_no_other_item(items, spark):
+    documents = {
+        "amp": feed("<title>A & B&nbsp;C &eacute;</title><link>http://x/2?a=1&b=2</link>", GOOD),
+        "cdata": feed("<title><![CDATA[A & B &amp; C]]></title><link>http://x/2</link>", GOOD),
+        "cut": feed(GOOD).replace("</channel></rss>", "<item><title>half</tit"),
+        "nested": feed("<title><b>x</title><link>u</link>", GOOD),
+        "empty": feed(), "none": None, "text": "not xml"}
+    titles = {name: [r["title"] for r in items("Hespress", xml)] for name, xml in documents.items()}
+    assert titles["amp"] == ["A & B\u00a0C &eacute;", "good"]
+    assert items("Hespress", documents["amp"])[0]["url"] == "http://x/2?a=1&b=2"
+    assert titles["cdata"] == ["A & B &amp; C", "good"]
+    assert titles["cut"] == titles["nested"] == ["good"]
+    assert titles["empty"] == titles["none"] == titles["text"] == []
+    feeds = spark.createDataFrame(
+        [(n, "Hespress", x) for n, x in documents.items()], "feed_id STRING, source STRING, xml STRING")
+    rejects = {(r["feed_id"], r["position"], r["reason"]) for r in feed_rejects(feeds).collect()}
+    assert rejects == {("cut", 1, "cut_off"), ("nested", 0, "unreadable_item"),
+                       ("none", None, "no_channel"), ("text", None, "no_channel")}
 
 
 @pytest.fixture
@@ -131,8 +148,22 @@ def test_bylines(page):
                 )["page_author"] == "Ana"
 
 
+def test_bylines_that_hold_elements_of_their_own_name(page):
+    nested = '<div class="author"><div>by</div><a>Jane</a></div>'
+    assert page("Hespress", nested)["page_author"] == "Jane"
+    block = '<div data-component="byline-block"><div>By</div><div>Ann</div></div><div>no</div>'
+    assert page("BBC News", block)["page_author"] == "By Ann"
+    void = '<img class="author"><a>no</a><span class="author"><br><a>Jane</a></span>'
+    assert page("Hespress", void)["page_author"] == "Jane"
+
+
+def test_block_tags_end_a_paragraph(page):
+    html = "<article><p>one<h2>head</h2><p>two <b>three</b><ul><li>four</ul><p>five</article>"
+    assert page("Hespress", html)["page_paragraphs"] == ["one", "two three", "five"]
+
+
 def test_a_new_source_is_one_more_rule(page):
-    rule = SourceRule("New", [Block("main")], [Byline(r"(?is)<(cite)>(.*?)</cite>", " ")])
+    rule = SourceRule("New", [Block("main")], [Byline(" ", tag="cite")])
     got = page("New", "<main><p>body</p></main><cite>Ana</cite>", [*SOURCE_RULES, rule])
     assert (got["page_body"], got["page_author"]) == ("body", "Ana")
     # rules with more blocks than the new one do not disturb it

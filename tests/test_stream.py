@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pressflow.operators import quality
 from pressflow.operators.gold import articles_per_day, silver_view
 from pressflow.operators.silver import to_silver
-from pressflow.schemas import RAW_COLUMNS, REJECTS, SILVER
+from pressflow.schemas import BRONZE, RAW_COLUMNS, REJECTS, SILVER
 from pressflow.sinks.events import as_messages, land_text
 from pressflow.sources import sample
 from pressflow.sources.events import decode_events, landed_events
@@ -175,6 +175,22 @@ def test_compaction_changes_no_result(spark, tmp_path):
     assert sorted(map(tuple, job.silver(spark).collect())) == before
 
 
+def test_bodies_without_an_id_are_all_kept(spark, tmp_path):
+    job = Ingest(str(tmp_path))
+    bad = ["{bad", "{worse", "[1]", "text"]
+    nameless = [event(id=None, titre_article="x"), event(id="", titre_article="y")]
+    job.write(values(spark, bad[:2] + nameless[:1]), 0)
+    job.write(values(spark, bad[1:] + nameless + [event(id="a")]), 1)
+    expected = sorted(bad + nameless + [event(id="a")])
+    assert sorted(r["value"] for r in job.bronze(spark).collect()) == expected
+    silver = sorted(r["titre_article"] for r in job.silver(spark).collect())
+    for layer, schema in (("bronze", BRONZE), ("silver", SILVER)):
+        compact(spark, job.layer(layer), schema, SOURCE_FOLDERS, up_to=1)
+    assert sorted(r["value"] for r in job.bronze(spark).collect()) == expected
+    assert sorted(r["titre_article"] for r in job.silver(spark).collect()) == silver
+    assert {"x", "y"} <= set(silver)
+
+
 def test_compaction_that_stopped_half_way_loses_nothing(spark, tmp_path, monkeypatch):
     from pressflow.sinks import lake
 

@@ -153,8 +153,8 @@ def test_quality_history_grows(spark):
     assert sorted((r["run_at"], r["passed"]) for r in got) == [(ONE, False), (TWO, False)]
 
 
-@pytest.mark.parametrize("max_repeated", [0, 2, 500_000])
-def test_gold_is_the_same_however_repeats_are_resolved(spark, tmp_path, max_repeated):
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_gold_is_the_same_however_repeats_are_joined(spark, tmp_path, threshold):
     raw = sample.articles_raw(spark, SMALL)
     job = Ingest(str(tmp_path / "lake"))
     events = as_messages(raw).select("value").withColumns(
@@ -165,7 +165,12 @@ def test_gold_is_the_same_however_repeats_are_resolved(spark, tmp_path, max_repe
         "titre_article", F.lit("second delivery"))
     job.write(as_messages(again).select("value").withColumns(
         {"ingest_ts": at(TWO), "src_offset": F.xxhash64("value")}), 1)
-    build_gold(spark, job.layer("silver"), str(tmp_path / "gold"), max_repeated=max_repeated)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        build_gold(spark, job.layer("silver"), str(tmp_path / "gold"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     stored = read_gold(spark, str(tmp_path / "gold"))
     expected = gold_tables(job.silver(spark))
     for name, table in stored.items():
