@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressflow.llm.support import shared, stored, text_of
+from pressflow.llm.support import discard, shared, stored, text_of
 
 SWEEPS, BURN_IN, SEED = 3, 1, 11
 #: Strength of all restaurants; discounts of the contexts by their length.
@@ -277,8 +277,9 @@ def _sampled(vocabulary: DataFrame, total: int, discount: float, sweeps: int,
     for sweep in range(1, sweeps + 1):
         tables = state.agg(F.sum("t")).first()[0] or 0
         step = _seat_words(shared(spark, spelling), tables, discount, total, sweep, sweep > burn_in)
-        state = stored(state.mapInArrow(step, "word binary, c bigint, t bigint, p double, spelled double"),
-                       f"seating-{sweep}")
+        before, state = state, stored(state.mapInArrow(step, "word binary, c bigint, t bigint, p double, spelled double"),
+                                      f"seating-{sweep}")
+        discard(before)
         if sweep > burn_in:
             served = state.where("c > 0").agg(F.sum("spelled")).first()[0] or 0.0
             unknown.append((STRENGTH + discount * tables) * max(1 - served, 0.0) / (STRENGTH + total))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressflow.llm.support import stored, text_of
+from pressflow.llm.support import discard, stored, text_of
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -126,8 +126,9 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: a node and its lower neighbours are linked to the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(small.union(least.select("a", F.col("m").alias("b")))
-                       .where("a != b").distinct(), "links")
+        last, edges = edges, stored(small.union(least.select("a", F.col("m").alias("b")))
+                                    .where("a != b").distinct(), "links")
+        discard(last)
         before, now = now, state(edges)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

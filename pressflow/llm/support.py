@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressflow.session import configure, working_dir
+from pressflow.session import configure, remove_dir, working_dir
 
 #: Java pattern of what separates words: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -28,6 +28,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a ``stored`` table that nothing reads any more."""
+    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    for folder in folders:
+        remove_dir(df.sparkSession, folder)
+
+
 def text_of(column: str | Column) -> Column:
     """A text column in which null counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
