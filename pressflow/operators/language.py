@@ -114,8 +114,10 @@ class LanguageModel:
             languages, weights = shared.value
 
             def score(text: str) -> str:
-                counts = np.bincount(_buckets(text), minlength=BUCKETS)
-                return languages[int(np.argmax(counts @ weights))]
+                found = _buckets(text)
+                if len(found) < BUCKETS:  # look up what occurs, else count it first
+                    return languages[int(weights[found].sum(axis=0).argmax())]
+                return languages[int((np.bincount(found, minlength=BUCKETS) @ weights).argmax())]
 
             return texts.map(score, na_action="ignore")
 

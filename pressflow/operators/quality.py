@@ -10,17 +10,25 @@ from pressflow.functions.dates import iso_timestamp
 from pressflow.functions.text import ustrip
 
 
-def dq_reason(min_content_chars: int = MIN_CONTENT_CHARS) -> Column:
-    """First gate an event fails, null when it passes all. The order of the arms is the contract."""
+def _failures(min_content_chars: int) -> dict[str, Column]:
+    """When an event fails each gate, in the order of the gates, which is the contract."""
     published = F.col("date_publication")
     title = F.coalesce(ustrip(F.col("titre_article")), F.lit(""))
     content = F.coalesce(ustrip(F.col("contenu")), F.lit(""))
-    return (
-        F.when(title == "", "missing_title")
-        .when(F.coalesce(published, F.lit("")) == "", "missing_date")
-        .when(iso_timestamp(published).isNull(), "invalid_date")
-        .when(F.length(content) < min_content_chars, "content_too_short")
-    )
+    return {
+        "missing_title": title == "",
+        "missing_date": F.coalesce(published, F.lit("")) == "",
+        "invalid_date": iso_timestamp(published).isNull(),
+        "content_too_short": F.length(content) < min_content_chars,
+    }
+
+
+def dq_reason(min_content_chars: int = MIN_CONTENT_CHARS) -> Column:
+    """First gate an event fails, null when it passes all."""
+    reason = F
+    for gate, fails in _failures(min_content_chars).items():
+        reason = reason.when(fails, gate)
+    return reason
 
 
 def tag_quality(events: DataFrame, min_content_chars: int = MIN_CONTENT_CHARS) -> DataFrame:
@@ -33,9 +41,18 @@ def tag_quality(events: DataFrame, min_content_chars: int = MIN_CONTENT_CHARS) -
     return events.withColumn("dq_reason", reason)
 
 
-def passed(tagged: DataFrame) -> DataFrame:
-    """Events that go on to silver."""
-    return tagged.where(F.col("dq_reason").isNull())
+def passed(tagged: DataFrame, min_content_chars: int | None = None) -> DataFrame:
+    """Events that go on to silver.
+
+    With the limit they were tagged with, the gates are applied one by one. They are then
+    filters on single columns, which the optimizer can move below a join that makes the events,
+    so that a text only read by a gate is not shuffled.
+    """
+    if min_content_chars is None or "_corrupt" in tagged.columns:
+        return tagged.where(F.col("dq_reason").isNull())
+    for fails in _failures(min_content_chars).values():
+        tagged = tagged.where(~fails)
+    return tagged.withColumn("dq_reason", F.lit(None).cast("string"))
 
 
 def rejected(tagged: DataFrame, checked_at: Column | None = None) -> DataFrame:

@@ -5,38 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1000
 HOT_ROWS = 100_000
-SALTS = 64
 
 
 def salted_left_join(
     left: DataFrame, right: DataFrame, keys: list[str],
-    spread_by: list[str], hot_rows: int = HOT_ROWS, salts: int = SALTS,
+    spread_by: list[str], hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join in which a key with many left rows is spread over several tasks.
 
     ``right`` must be unique on ``keys``. Left rows are counted per key, summed inside each task
-    first; the most frequent keys above ``hot_rows`` form a list of at most MAX_HOT_KEYS rows,
-    small enough to broadcast by construction. Their left rows get a salt from ``spread_by`` and
-    their single right row is repeated once per salt. Which keys are salted never changes the
-    result, and keys left off the list still join normally.
+    first. A key with more than ``hot_rows`` is given a salt for each ``hot_rows`` rows: its left
+    rows get one by ``spread_by`` and its single right row is repeated once per salt. Salting
+    never changes the result.
     """
     hot = (
         left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
+        .select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_salts"))
     )
-    any_salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    any_salt = F.pmod(F.xxhash64(*spread_by), F.col("_salts")).cast("int")
     salted = (
-        left.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), any_salt).otherwise(0)).drop("_hot")
-    )
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = (
-        right.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        left.join(hot, keys, "left")
+        .withColumn("_salt", F.coalesce(any_salt, F.lit(0))).drop("_salts")
     )
+    all_salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = right.join(hot, keys, "left").withColumn("_salt", F.explode(all_salts)).drop("_salts")
     return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")

@@ -22,7 +22,11 @@ def _since(day: date, days: int) -> Column:
 def trending(
     top_keywords: DataFrame, as_of: date, days: int = 7, limit: int = 25, days_seen: bool = True
 ) -> DataFrame:
-    """Keywords by total occurrences in the last days."""
+    """Keywords by total occurrences in the last days.
+
+    Over stored top keywords these are the days on which a keyword led; over ``keyword_counts``
+    they are all of its days.
+    """
     totals = [F.sum("n_occurrences").alias("total_occurrences")]
     if days_seen:
         totals.append(F.count_distinct("day").alias("days_seen"))
@@ -55,7 +59,7 @@ def source_daily(articles_per_day: DataFrame, as_of: date, days: int = 30) -> Da
 
 
 def keywords_all_time(top_keywords: DataFrame, limit: int = 50) -> DataFrame:
-    """Keywords by occurrences over all days."""
+    """Keywords by occurrences over all days (O68); see ``trending`` for what the days are."""
     return (
         top_keywords.groupBy("keyword").agg(F.sum("n_occurrences").alias("n_occurrences"))
         .orderBy(F.desc("n_occurrences"), "keyword").limit(limit)

@@ -360,6 +360,9 @@ ORACLE = {
     "keywords_all_time": _with("top_keywords", """
         SELECT keyword, sum(n_occurrences)::BIGINT AS n_occurrences FROM top_keywords
         GROUP BY keyword ORDER BY n_occurrences DESC, keyword LIMIT 50"""),
+    "keywords_all_time_exact": _with("keyword_counts", """
+        SELECT keyword, sum(n_occurrences)::BIGINT AS n_occurrences FROM keyword_counts
+        GROUP BY keyword ORDER BY n_occurrences DESC, keyword LIMIT 50"""),
     "daily_totals": _with("articles_per_day", """
         SELECT day, sum(n_articles)::BIGINT AS total_articles FROM articles_per_day GROUP BY day"""),
     "themes_7d": _with("articles_per_theme", f"""

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressflow.fixed_values import MAX_ITEMS_PER_FEED
+from pressflow.fixed_values import MAX_ITEMS_PER_FEED, MIN_CONTENT_CHARS
 from pressflow.functions.dates import utc_literal
 from pressflow.functions.text import clean_columns, word_count
 from pressflow.operators import gold, quality, series
@@ -18,7 +18,7 @@ from pressflow.operators.upsert import upsert
 from pressflow.plans import dashboards
 from pressflow.plans.pipeline import BUILDERS, build_gold, load_warehouse, read_gold
 from pressflow.schemas import BRONZE, SILVER
-from pressflow.session import configure, working_dir
+from pressflow.session import configure, file_state, working_dir
 from pressflow.sinks.events import land_text
 from pressflow.sinks.lake import compact, write_batch
 from pressflow.sources import sample
@@ -37,13 +37,17 @@ CHECKED_AT = datetime(2024, 1, 31)
 EVENT_TYPES = "click|view|purch.*|sign"
 
 
-_models: dict[tuple[str, str], LanguageModel] = {}
+_models: dict[tuple, LanguageModel] = {}
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
-    """The model trained on the labelled documents, kept per session; it has a fixed size."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The model trained on the labelled documents; it has a fixed size.
+
+    It is kept for the session as long as the table's files stay as they are.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, file_state(spark, f"{sf_dir}/documents.parquet"))
     if key not in _models:
+        _models.clear()
         labelled = sample.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
         _models[key] = LanguageModel.train(labelled)
     return _models[key]
@@ -55,7 +59,8 @@ def _tagged(spark, sf_dir):
 
 def _silver(spark, sf_dir, language=False):
     model = language_model(spark, sf_dir) if language else None
-    return to_silver(quality.passed(_tagged(spark, sf_dir)), model, utc_literal(CHECKED_AT))
+    passed = quality.passed(_tagged(spark, sf_dir), MIN_CONTENT_CHARS)
+    return to_silver(passed, model, utc_literal(CHECKED_AT))
 
 
 def _view(spark, sf_dir, language=False):
@@ -200,6 +205,11 @@ def keywords_all_time(spark, sf_dir):
     return dashboards.keywords_all_time(_gold(spark, sf_dir, "top_keywords"))
 
 
+def keywords_all_time_exact(spark, sf_dir):
+    """The same over all keywords of each day, not its leading ones alone."""
+    return dashboards.keywords_all_time(gold.keyword_counts(_view(spark, sf_dir)))
+
+
 def daily_totals(spark, sf_dir):
     return dashboards.daily_totals(_gold(spark, sf_dir, "articles_per_day"))
 
@@ -381,7 +391,7 @@ def stream_message_rate(spark, sf_dir):
         .parquet(sf_dir).select(F.col("ts").cast("timestamp").alias("ingest_ts"))
     )
     daily.write_updates(
-        daily.message_rate(events), f"{root}/rates", f"{root}/checkpoint", {"availableNow": True}
+        daily.message_rate(events, lateness="1 hour"), f"{root}/rates", f"{root}/checkpoint", {"availableNow": True}
     ).awaitTermination()
     rates = daily.latest_updates(spark, f"{root}/rates", "ts TIMESTAMP, rate DOUBLE", ["ts"])
     return rates.withColumn("rate", F.round("rate", 6))
@@ -421,6 +431,7 @@ CATALOGUE = {
     "source_ranking": source_ranking,
     "source_daily_30d": source_daily_30d,
     "keywords_all_time": keywords_all_time,
+    "keywords_all_time_exact": keywords_all_time_exact,
     "daily_totals": daily_totals,
     "themes_7d": themes_7d,
     "countries_30d": countries_30d,

@@ -73,3 +73,10 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
     files, folder = _folder(spark, path)
     files.delete(folder, True)
+
+
+def file_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Number of files, bytes and last change of a table, which differ once it is written again."""
+    files, folder = _folder(spark, path)
+    size = files.getContentSummary(folder)
+    return size.getFileCount(), size.getLength(), files.getFileStatus(folder).getModificationTime()

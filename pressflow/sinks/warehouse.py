@@ -94,13 +94,67 @@ def merge_into(
 
 # ---------------------------------------------------------------------------- database targets
 
+_SQL_TYPES = {"STRING": "TEXT", "BIGINT": "BIGINT", "INT": "INTEGER", "DATE": "DATE",
+              "TIMESTAMP": "TIMESTAMPTZ", "BOOLEAN": "BOOLEAN"}
+
+
+def database_ddl(database: str = "gold") -> list[str]:
+    """Statements that create the warehouse in a database (O59), with the keys merges rely on."""
+    made = [f"CREATE SCHEMA IF NOT EXISTS {database}"]
+    for name, schema in GOLD.items():
+        columns = [part.split() for part in schema.replace("\n", " ").split(",")]
+        listed = [f"{column} {_SQL_TYPES[kind]}" for column, kind in columns]
+        if name == "articles":
+            listed.append("ingested_at TIMESTAMPTZ DEFAULT now()")
+        listed.append(f"PRIMARY KEY ({', '.join(GOLD_KEYS[name])})")
+        made.append(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(listed)})")
+    results = [part.split() for part in DQ_RESULTS.split(",")]
+    listed = ", ".join(f"{column} {_SQL_TYPES[kind]}" for column, kind in results)
+    return [*made, f"CREATE TABLE IF NOT EXISTS {database}.dq_results ({listed})"]
+
+
+def _in_one_transaction(rows: DataFrame, url: str, properties: dict[str, str], statements: list[str]) -> None:
+    """Run statements on the driver; none takes effect if one fails."""
+    jvm = rows.sparkSession.sparkContext._jvm
+    login = jvm.java.util.Properties()
+    for key, value in properties.items():
+        login.setProperty(key, value)
+    connection = jvm.java.sql.DriverManager.getConnection(url, login)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        try:
+            for sql in statements:
+                statement.executeUpdate(sql)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+    finally:
+        connection.close()
+
+
+def _through_stage(
+    rows: DataFrame, url: str, table: str, properties: dict[str, str], statements_for
+) -> None:
+    """Write a stage table from the executors and run statements over it in one transaction. The
+    stage is dropped, also when they fail."""
+    stage = f"{table}_stage_{uuid.uuid4().hex[:12]}"
+    try:
+        (
+            rows.write.format("jdbc").option("url", url).option("dbtable", stage)
+            .option("batchsize", "5000").options(**properties).mode("overwrite").save()
+        )
+        _in_one_transaction(rows, url, properties, statements_for(stage))
+    finally:
+        _in_one_transaction(rows, url, properties, [f"DROP TABLE IF EXISTS {stage}"])
+
+
 def jdbc_replace(rows: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
-    """Truncate a database table and insert the rows."""
-    (
-        rows.write.format("jdbc").option("url", url).option("dbtable", table)
-        .option("truncate", "true").option("batchsize", "5000").options(**properties)
-        .mode("overwrite").save()
-    )
+    """Replace the rows of a database table (O60): readers see the old rows or the new ones."""
+    listed = ", ".join(rows.columns)
+    _through_stage(rows, url, table, properties, lambda stage: [
+        f"DELETE FROM {table}", f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {stage}"])
 
 
 def upsert_statement(table: str, stage: str, columns: list[str], keys: list[str]) -> str:
@@ -116,22 +170,6 @@ def upsert_statement(table: str, stage: str, columns: list[str], keys: list[str]
 def jdbc_upsert(
     rows: DataFrame, url: str, table: str, keys: list[str], properties: dict[str, str]
 ) -> None:
-    """Write a stage table from the executors, then merge it in one statement on the driver."""
-    stage = f"{table}_stage_{uuid.uuid4().hex[:12]}"
-    (
-        rows.write.format("jdbc").option("url", url).option("dbtable", stage)
-        .option("batchsize", "5000").options(**properties).mode("overwrite").save()
-    )
-    jvm = rows.sparkSession.sparkContext._jvm
-    login = jvm.java.util.Properties()
-    for key, value in properties.items():
-        login.setProperty(key, value)
-    connection = jvm.java.sql.DriverManager.getConnection(url, login)
-    try:
-        connection.setAutoCommit(False)
-        statement = connection.createStatement()
-        statement.executeUpdate(upsert_statement(table, stage, rows.columns, keys))
-        statement.executeUpdate(f"DROP TABLE {stage}")
-        connection.commit()
-    finally:
-        connection.close()
+    """Merge rows into a database table by key (O61); see ``database_ddl`` for the key it needs."""
+    _through_stage(rows, url, table, properties, lambda stage: [
+        upsert_statement(table, stage, rows.columns, keys)])

@@ -42,20 +42,34 @@ def scan_silver(spark: SparkSession, path: str, skip_unreadable: bool = False) -
     return latest_version(read_layer(spark, path, SILVER, skip_unreadable))
 
 
+def _json_objects(spark: SparkSession, path: str) -> DataFrame:
+    return (
+        spark.read.schema(f"{SILVER_JSON}, _corrupt STRING")
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+        .option("columnNameOfCorruptRecord", "_corrupt").json(path)
+        .select("*", F.col("_metadata.file_path").alias("_file"))
+        .where(~F.contains(F.col("_file"), F.lit("_rejected")))
+    )
+
+
+def silver_json_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """What ``scan_silver_json`` leaves out because it does not parse: ``file``, ``id`` if that can
+    be read, and ``value``."""
+    return _json_objects(spark, path).where(F.col("_corrupt").isNotNull()).select(
+        F.col("_file").alias("file"), "id", F.col("_corrupt").alias("value"))
+
+
 def scan_silver_json(spark: SparkSession, path: str) -> DataFrame:
     """Silver kept as JSON, one object per article or per line, below folders for source and
     date (O03).
 
-    Objects that do not parse and anything under a rejects folder are left out. Folder names
-    give ``source_key`` and ``dt``; ``source`` stays the name inside the object.
+    Anything under a rejects folder is left out, and so are objects that do not parse, which are
+    ``silver_json_rejects``. Folder names give ``source_key`` and ``dt``; ``source`` stays the name
+    inside the object.
     """
     file = F.col("_file")
     return (
-        spark.read.schema(SILVER_JSON)
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-        .option("mode", "DROPMALFORMED").json(path)
-        .select("*", F.col("_metadata.file_path").alias("_file"))
-        .where(~F.contains(file, F.lit("_rejected")))
+        _json_objects(spark, path).where(F.col("_corrupt").isNull()).drop("_corrupt")
         .withColumns({
             "source_key": F.regexp_extract(file, "/source(?:_key)?=([^/]*)/", 1),
             "dt": F.regexp_extract(file, "/dt=([^/]*)/", 1).try_cast("date"),

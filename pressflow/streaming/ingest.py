@@ -7,6 +7,7 @@ offsets, and a replayed micro-batch overwrites its own folders, so results are e
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,6 +27,8 @@ from pressflow.sources.tables import read_layer, scan_silver
 SOURCE_FOLDERS = ["source_key", "dt"]
 REJECT_FOLDERS = ["dq_reason", "dt"]
 DELIVERY = ["ingest_ts", "src_offset"]
+# Micro-batches whose counts are kept apart.
+COUNTED_BATCHES = 1000
 
 # One trigger that takes all there is and stops; restarting continues where it ended.
 DRAIN = {"availableNow": True}
@@ -70,8 +73,9 @@ class Ingest:
     root: str
     model: LanguageModel | None = None
     min_content_chars: int = MIN_CONTENT_CHARS
-    # outcome counts of each micro-batch this process has written
+    # outcome counts of the last micro-batches this process has written, and of all
     counts: dict[int, dict[str, int]] = field(default_factory=dict)
+    totals: Counter[str] = field(default_factory=Counter)
 
     def layer(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -92,6 +96,8 @@ class Ingest:
             write_batch(
                 silver_rows(tagged, self.model), self.layer("silver"), SOURCE_FOLDERS, batch_id)
             self.counts[batch_id] = seen.get
+            self.totals.update(seen.get)
+            self.counts.pop(batch_id - COUNTED_BATCHES, None)
         finally:
             tagged.unpersist()
 
@@ -109,10 +115,9 @@ class Ingest:
     def drain(self, events: DataFrame) -> dict[str, int]:
         """Ingest what is waiting, then stop (O83). A second call with nothing new writes
         nothing. Returns the outcome counts of this call."""
-        before = set(self.counts)
+        before = self.totals.copy()
         self.start(events, DRAIN).awaitTermination()
-        new = [c for batch_id, c in self.counts.items() if batch_id not in before]
-        return {name: sum(c[name] for c in new) for name in ("ok", "rejected")}
+        return {name: self.totals[name] - before[name] for name in ("ok", "rejected")}
 
     def bronze(self, spark: SparkSession) -> DataFrame:
         """The last delivery of every event."""

@@ -106,23 +106,25 @@ def test_last_write_wins(spark):
         "high", "new", "no id", "other day"]
 
 
-@pytest.mark.parametrize("repeated, limit, expected_files", [(0, 5, 0), (3, 5, 0), (3, 3, 0), (3, 2, 1)])
-def test_stored_rows_are_picked_alike_on_every_path(spark, tmp_path, repeated, limit, expected_files):
+@pytest.mark.parametrize("repeated, threshold", [(0, "-1"), (3, "-1"), (0, "10485760"), (3, "10485760")])
+def test_stored_rows_are_picked_alike_on_every_path(spark, tmp_path, repeated, threshold):
     rows = [(f"k{i}", 1, "only") for i in range(20)] + [(None, 1, "no key")]
     for i in range(repeated):
         key = None if i == 0 else f"k{i}"
         # newer, older and an exact copy of the newest
         rows += [(key, 3, "new"), (key, 2, "old"), (key, 3, "new")]
     df = spark.createDataFrame(rows, "k STRING, ts INT, v STRING")
-    picked = first_per_stored_key(df, ["k"], [F.desc("ts")], str(tmp_path), limit)
-    expected = first_per_key(df, ["k"], [F.desc("ts")])
-    assert sorted(map(str, picked.collect())) == sorted(map(str, expected.collect()))
-    assert len(list(tmp_path.glob("first-*"))) == expected_files
-    if repeated <= limit:
-        # rows whose key does not repeat are in no shuffle
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        picked = first_per_stored_key(df, ["k"], [F.desc("ts")], str(tmp_path))
+        expected = first_per_key(df, ["k"], [F.desc("ts")])
+        assert sorted(map(str, picked.collect())) == sorted(map(str, expected.collect()))
         plan = picked._jdf.queryExecution().executedPlan().toString()
-        assert ("Exchange hashpartitioning" in plan) == (repeated > 0)
-        assert "Exchange hashpartitioning" not in plan.split("LeftAnti")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # while the list can be broadcast, rows whose key does not repeat are in no shuffle
+    assert ("BroadcastHashJoin" in plan) == (threshold != "-1")
 
 
 def test_one_hot_key_is_pruned_before_the_shuffle(spark):

@@ -31,7 +31,7 @@ def test_salted_join_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = salted_left_join(left, right, ["k"], ["id"], hot_rows=1000, salts=16)
+        joined = salted_left_join(left, right, ["k"], ["id"], hot_rows=1000)
         per_task = joined.groupBy(F.spark_partition_id()).count().collect()
         missing = joined.where("v IS NULL OR v <> upper(k)").count()
     finally:

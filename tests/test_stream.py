@@ -13,7 +13,12 @@ from pressflow.schemas import BRONZE, RAW_COLUMNS, REJECTS, SILVER
 from pressflow.sinks.events import as_messages, land_text
 from pressflow.sources import sample
 from pressflow.sources.events import decode_events, landed_events
-from pressflow.sources.tables import scan_parquet, scan_silver, scan_silver_json
+from pressflow.sources.tables import (
+    scan_parquet,
+    scan_silver,
+    scan_silver_json,
+    silver_json_rejects,
+)
 from pressflow.streaming import daily
 from pressflow.sinks.lake import compact, export_json
 from pressflow.streaming.ingest import (
@@ -245,6 +250,8 @@ def test_silver_as_json_objects(spark, tmp_path):
     (row,) = scan_silver_json(spark, str(tmp_path / "silver")).collect()
     assert (row["id"], row["source"], row["source_key"], str(row["dt"])) == (
         "a", "BBC News", "BBC_News", "2026-01-01")
+    (bad,) = silver_json_rejects(spark, str(tmp_path / "silver")).collect()
+    assert bad["value"] == "{broken" and bad["file"].endswith("/b.json")
     assert articles_per_day(silver_view(scan_silver_json(spark, str(tmp_path / "silver")))).count() == 1
 
 

@@ -14,6 +14,7 @@ from pressflow.operators.quality import quality_results
 from pressflow.sinks.warehouse import (
     append_quality_results,
     create_tables,
+    database_ddl,
     jdbc_replace,
     jdbc_upsert,
     upsert_articles,
@@ -72,26 +73,45 @@ def jdbc_calls(fail=False):
     return rows, connection
 
 
+def run_statements(connection):
+    return [c.args[0] for c in connection.createStatement.return_value.executeUpdate.call_args_list]
+
+
 def test_database_merge_is_one_transaction():
     rows, connection = jdbc_calls()
     jdbc_upsert(rows, "jdbc:x", "gold.articles", ["id"], {"user": "u"})
     calls = [c[0] for c in connection.mock_calls]
-    assert calls == ["setAutoCommit", "createStatement", "createStatement().executeUpdate",
-                     "createStatement().executeUpdate", "commit", "close"]
-    merge, drop = [c.args[0] for c in connection.createStatement.return_value.executeUpdate.call_args_list]
-    assert merge.startswith("INSERT INTO gold.articles") and drop.startswith("DROP TABLE gold.articles_stage_")
+    assert calls[:5] == ["setAutoCommit", "createStatement", "createStatement().executeUpdate", "commit", "close"]
+    merge, drop = run_statements(connection)
+    assert merge.startswith("INSERT INTO gold.articles")
+    assert drop.startswith("DROP TABLE IF EXISTS gold.articles_stage_")
     rows, connection = jdbc_calls(fail=True)
     with pytest.raises(RuntimeError):
         jdbc_upsert(rows, "jdbc:x", "gold.articles", ["id"], {})
     connection.commit.assert_not_called()
-    connection.close.assert_called_once()
+    connection.rollback.assert_called()
+    assert run_statements(connection)[-1].startswith("DROP TABLE IF EXISTS gold.articles_stage_")
 
 
-def test_database_replace_truncates():
-    rows, _ = jdbc_calls()
+def test_database_replace_is_one_transaction():
+    rows, connection = jdbc_calls()
     jdbc_replace(rows, "jdbc:x", "gold.articles_per_day", {"user": "u"})
-    text = str(rows.mock_calls)
-    assert "option('truncate', 'true')" in text and "mode('overwrite')" in text
+    delete, insert, drop = run_statements(connection)
+    assert delete == "DELETE FROM gold.articles_per_day"
+    assert insert.startswith("INSERT INTO gold.articles_per_day (id, title) SELECT id, title FROM")
+    calls = [c[0] for c in connection.mock_calls]
+    assert calls.index("commit") == calls.index("close") - 1 == 4
+
+
+def test_database_tables_have_the_keys_merges_need():
+    con = duckdb.connect()
+    for _ in range(2):
+        for sql in database_ddl("gold"):
+            con.execute(sql)
+    con.execute("CREATE TABLE s AS SELECT 'a' AS id, 'new' AS title")
+    con.execute("INSERT INTO gold.articles (id, title) VALUES ('a', 'old')")
+    con.execute(upsert_statement("gold.articles", "s", ["id", "title"], ["id"]))
+    assert con.execute("SELECT id, title FROM gold.articles").fetchall() == [("a", "new")]
 
 
 def article(spark, *rows):
@@ -133,14 +153,15 @@ def test_silver_to_warehouse(spark, tmp_path):
     counts = job.drain(landed_events(spark, str(tmp_path / "landing")))
     gold = str(tmp_path / "gold")
     summary = build_gold(spark, job.layer("silver"), gold).first()
-    assert summary["rows_silver"] == summary["articles"] == counts["ok"]
+    distinct = job.silver(spark).select("id").distinct().count()
+    assert summary["rows_silver"] == counts["ok"] and summary["articles"] == distinct < counts["ok"]
     stored = read_gold(spark, gold)
     assert stored["articles_per_day"].agg(F.sum("n_articles")).first()[0] == counts["ok"]
     plan = stored["top_keywords"].where("day >= date'2024-01-23'")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(day" in plan
     loads = [load_warehouse(spark, gold, "wh3", at(ts)).first() for ts in (ONE, TWO)]
     for load in loads:
-        assert load["articles"] == counts["ok"] and load["top_keywords"] == summary["top_keywords"]
+        assert load["articles"] == distinct and load["top_keywords"] == summary["top_keywords"]
     assert spark.table("wh3.articles").select("ingested_at").distinct().collect()[0][0] == TWO
 
 
