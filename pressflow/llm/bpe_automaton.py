@@ -19,6 +19,7 @@ costs a lookup for each symbol; its tokens are read off from the end.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -30,11 +31,13 @@ from pressflow.llm.support import shared
 
 #: Entries of a worker's cache of chunks and of its transition table, which is emptied beyond
 #: them; the longest chunk in the cache.
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 450_000
 TABLE_ARCS = 500_000
 CACHED_CHARS = 64
 
 _ROOT = 0
+#: The words of a lower-case chunk of printable ASCII characters (a fixed value of the tokenizer).
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
 @dataclass
@@ -115,7 +118,7 @@ class WordEncoder:
     def clear(self):
         self.library = self.starts = self.labels = self.blank = self.marks = self.words = None
         self.empty_table()
-        self.cache: dict[str, tuple[list[int], str, str]] = {}
+        self.cache: dict[str, tuple[int, str, str]] = {}
 
     def __getstate__(self):
         automaton = dict(self.automaton.__dict__, gone={})
@@ -205,33 +208,39 @@ class WordEncoder:
             if isinstance(part, int):
                 found.append(part)
             elif part:
-                plain = self.library.normalizer.normalize_str(part)
-                if plain.isascii() and plain.isalpha():  # one word of letters, as it is
-                    found += self.word(plain)
-                    continue
-                for word, _ in self.library.pre_tokenizer.pre_tokenize_str(plain):
+                for word in self.pre_split(part):
                     found += self.word(word)
         return found
 
-    def known(self, chunk: str) -> tuple[list[int], str, str]:
-        """Ids of a chunk, the ids as text and its decoded text."""
+    def pre_split(self, part: str) -> list[str]:
+        """The words of a chunk, normalized, with their bytes as the vocabulary writes them."""
+        if part.isascii() and part.isprintable():  # of these, each byte is written as itself
+            return _ASCII_WORDS.findall(part.lower())
+        plain = self.library.normalizer.normalize_str(part)
+        return [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
+
+    def known(self, chunk: str) -> tuple[int, str, str]:
+        """Number of ids of a chunk, the ids as text and its decoded text."""
         found = self.cache.get(chunk)
         if found is None:
             ids = self.chunk(chunk)
-            found = ids, " ".join(map(str, ids)), self.decode(ids)
+            found = len(ids), " ".join(map(str, ids)), self.decode(ids)
             if len(chunk) <= CACHED_CHARS and len(self.cache) < CACHE_CHUNKS:
                 self.cache[chunk] = found
         return found
 
-    def encode(self, text: str) -> list[tuple[list[int], str, str]]:
-        """What is known of each chunk of a text that has ids."""
+    def encode(self, text: str) -> tuple[int, str, str]:
+        """Number of ids of a text, the ids as text, separated by blanks, and its decoded text."""
         if self.library is None:
             self._prepare()
         chunks = self.split(text)
         found = list(map(self.cache.get, chunks))
         if None in found:
             found = [self.known(c) if f is None else f for c, f in zip(chunks, found, strict=True)]
-        return [f for f in found if f[0]] if any(not f[0] for f in found) else found
+        if not found:
+            return 0, "", ""
+        counts, ids, decoded = zip(*found, strict=True)
+        return sum(counts), " ".join(ids), " ".join(decoded)
 
     def split(self, text: str) -> list[str]:
         # str.split also splits at four control characters that are no white space in a text
@@ -275,16 +284,14 @@ def encode_texts(df: DataFrame, tokenizer_json: str, text: str = "text", *,
 
     def columns(texts):
         encoder = worker()
-        parts = (encoder.encode(t or "") for t in texts)
+        rows = (encoder.encode(t or "") for t in texts)
         if not digests:
-            rows = [([i for p in ps for i in p[0]], " ".join([p[2] for p in ps])) for ps in parts]
+            rows = [(list(map(int, ids.split())), decoded) for _, ids, decoded in rows]
             return [pa.array([r[0] for r in rows], pa.list_(pa.int32())),
                     pa.array([r[1] for r in rows], pa.string())]
         from hashlib import sha256
 
-        rows = [(sum([len(p[0]) for p in ps]),
-                 sha256(" ".join([p[1] for p in ps]).encode()).hexdigest(),
-                 sha256(" ".join([p[2] for p in ps]).encode()).hexdigest()) for ps in parts]
+        rows = [(n, *(sha256(s.encode()).hexdigest() for s in strings)) for n, *strings in rows]
         return [pa.array([r[0] for r in rows], pa.int64()),
                 *(pa.array([r[k] for r in rows], pa.string()) for k in (1, 2))]
 
