@@ -8,8 +8,9 @@ shard, for each query:
 * the terms fall into frequent ones, which a large share of the shard's documents has, and others;
 * the others' postings are summed up: few, and they decide most scores;
 * for the frequent terms each run of ``BLOCK`` documents has an upper bound, the sum of the terms'
-  greatest impacts in it. Only documents whose sum and bound reach the threshold, the k-th best full
-  score found so far, are scored in full; the other blocks are skipped.
+  greatest impacts in it. Only documents whose sum and bound reach the threshold, the least full
+  score among the documents with the highest bounds, make their block be scored in full; the other
+  blocks are skipped.
 
 Bounds are never below a score, so the result is that of scoring every document. A shard gives at
 most k documents for a query; the k best of all shards are the answer.
@@ -20,7 +21,7 @@ from __future__ import annotations
 import math
 import pickle
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +39,9 @@ SHARD_DOCS, SHARD_CHARS = 60_000, 64_000_000
 BLOCK = 64
 #: A term is frequent in a shard if one of so many documents has it.
 FREQUENT_SHARE = 16
-#: Characters of queries that are answered together.
+#: Characters of queries that are broadcast together, and queries that a shard answers at once.
 QUERY_CHARS = 32_000_000
+TOGETHER = 64
 #: Sums in another order differ by less than this.
 _SLACK = 1e-9
 
@@ -50,23 +52,26 @@ def terms(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _shard(texts: list[str]) -> bytes:
-    """Postings by term: documents in order, how often, and the documents' lengths."""
-    numbers: dict[str, int] = {}
+def _shard(texts: list[str]) -> tuple[int, bytes]:
+    """Number of terms, and postings by term: documents in order, how often, and their lengths."""
+    numbers: defaultdict[str, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
     term_ids, docs, counts, lengths = [], [], [], []
     for doc, text in enumerate(texts):
         found = terms(text)
         lengths.append(len(found))
-        bag = Counter(found)
-        term_ids.append(np.fromiter((numbers.setdefault(t, len(numbers)) for t in bag), np.int64, len(bag)))
-        docs.append(np.full(len(bag), doc, np.int32))
-        counts.append(np.fromiter(bag.values(), np.int32, len(bag)))
-    flat = [np.concatenate(x) if x else np.empty(0, np.int32) for x in (term_ids, docs, counts)]
+        ids, n = np.unique(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)),
+                           return_counts=True)
+        term_ids.append(ids)
+        docs.append(np.full(len(ids), doc, np.int32))
+        counts.append(n)
+    flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (term_ids, docs, counts)]
     order = np.argsort(flat[0], kind="stable")
-    ends = np.cumsum(np.bincount(flat[0].astype(np.int64), minlength=len(numbers)))
+    ends = np.cumsum(np.bincount(flat[0], minlength=len(numbers)))
     small = np.uint16 if not len(order) or flat[2].max() < 65_536 else np.uint32
-    return pickle.dumps((list(numbers), ends, flat[1][order].astype(np.uint16),
-                         flat[2][order].astype(small), np.array(lengths, np.int64)), protocol=5)
+    return sum(lengths), pickle.dumps(
+        (list(numbers), ends, flat[1][order].astype(np.uint16), flat[2][order].astype(small),
+         np.array(lengths, np.int64)), protocol=5)
 
 
 def build_index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -80,8 +85,7 @@ def build_index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     id_type = pa.list_(_arrow(df.schema[doc_id].dataType))
 
     def row(ids, texts):
-        blob = _shard(texts)
-        n_terms = int(pickle.loads(blob)[4].sum())
+        n_terms, blob = _shard(texts)
         return pa.RecordBatch.from_arrays(
             [pa.array([ids], id_type), pa.array([len(ids)], pa.int64()),
              pa.array([n_terms], pa.int64()), pa.array([blob], pa.binary())],
@@ -145,32 +149,46 @@ class ShardSearch:
             self.dense[doc, i] = impact
         self.bound = self.dense.reshape(self.blocks, BLOCK, len(frequent)).max(axis=1)
 
-    def search(self, query: list[int], k: int) -> list[tuple[float, int]]:
-        """The k best documents with a positive score, as score and place in the shard."""
-        ranges = [self.rare[t] for t in query if t in self.rare]
-        common = [self.frequent[t] for t in query if t in self.frequent]
-        if ranges:
-            score = np.bincount(np.concatenate([self.docs[a:b] for a, b in ranges]),
-                                np.concatenate([self.impacts[a:b] for a, b in ranges]), self.n)
-        else:
-            score = np.zeros(self.n)
-        if common:
-            bound = score + np.repeat(self.bound[:, common].sum(axis=1), BLOCK)[:self.n] + _SLACK
+    def search(self, queries: list[list[int]], k: int) -> list[list[tuple[float, int]]]:
+        """The k best documents with a positive score for each query, as score and place here.
+
+        Upper bounds of all blocks and queries are one product of matrices. So are the frequent
+        terms' scores, of those blocks that a query has to look into.
+        """
+        common = np.zeros((len(self.frequent), len(queries)))
+        for q, query in enumerate(queries):
+            common[[self.frequent[t] for t in query if t in self.frequent], q] = 1
+        bounds = self.bound @ common
+        rare = [self._rare_scores(query) for query in queries]
+        least, needed = [0.0] * len(queries), np.zeros(bounds.shape, bool)
+        for q, score in enumerate(rare):
             if self.n > k:
+                bound = score + np.repeat(bounds[:, q], BLOCK)[:self.n]
                 probes = np.argpartition(bound, self.n - k)[self.n - k:]
-                least = (score[probes] + self.dense[np.ix_(probes, common)].sum(axis=1)).min()
-                chosen = np.flatnonzero(bound >= least)
+                least[q] = max((score[probes] + self.dense[probes] @ common[:, q]).min() - _SLACK, 0.0)
+                needed[np.flatnonzero(bound >= least[q]) // BLOCK, q] = True
             else:
-                chosen = np.arange(self.n)
-            score = score[chosen] + self.dense[np.ix_(chosen, common)].sum(axis=1)
-        else:
-            chosen = np.flatnonzero(score)
-            score = score[chosen]
-        if len(score) > k:  # ties with the k-th stay until ids decide
-            least = np.partition(score, len(score) - k)[len(score) - k] - _SLACK
-            near = np.flatnonzero(score >= least)
-            score, chosen = score[near], chosen[near]
-        return [(s, d) for s, d in zip(score.tolist(), chosen.tolist(), strict=True) if s > 0]
+                needed[:, q] = True
+        blocks = np.flatnonzero(needed.any(axis=1))
+        looked_at = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        looked_at = looked_at[looked_at < self.n]
+        full = self.dense[looked_at] @ common
+        return [self._best(rare[q][looked_at] + full[:, q], looked_at, least[q], k) for q in range(len(queries))]
+
+    def _rare_scores(self, query: list[int]) -> np.ndarray:
+        ranges = [self.rare[t] for t in query if t in self.rare]
+        if not ranges:
+            return np.zeros(self.n)
+        return np.bincount(np.concatenate([self.docs[a:b] for a, b in ranges]),
+                           np.concatenate([self.impacts[a:b] for a, b in ranges]), self.n)
+
+    @staticmethod
+    def _best(score: np.ndarray, places: np.ndarray, least: float, k: int) -> list[tuple[float, int]]:
+        near = np.flatnonzero((score >= least) & (score > 0))
+        if len(near) > k:  # ties with the k-th stay until ids decide
+            kth = np.partition(score[near], len(near) - k)[len(near) - k]
+            near = near[score[near] >= kth - _SLACK]
+        return list(zip(score[near].tolist(), places[near].tolist(), strict=True))
 
 
 def _block_terms(rows) -> tuple[list, list[list[int]], dict[str, int]]:
@@ -203,13 +221,15 @@ def _answers(index: DataFrame, block, id_type: T.DataType, query_type: T.DataTyp
             for ids, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = ShardSearch(blob, weights, mean_length)
                 out = [], [], []
-                for query_id, query in zip(query_ids, queries, strict=True):
-                    found = sorted(((-round(s, 6), ids[d] is None, ids[d] if ids[d] is not None else 0, d)
-                                    for s, d in shard.search(query, k)))[:k]
-                    for s, missing, i, _ in found:
-                        out[0].append(query_id)
-                        out[1].append(None if missing else i)
-                        out[2].append(-s)
+                for at in range(0, len(queries), TOGETHER):
+                    answers = shard.search(queries[at:at + TOGETHER], k)
+                    for query_id, found in zip(query_ids[at:at + TOGETHER], answers, strict=True):
+                        best = sorted((-round(s, 6), ids[d] is None, ids[d] if ids[d] is not None else 0, d)
+                                      for s, d in found)[:k]
+                        for s, missing, i, _ in best:
+                            out[0].append(query_id)
+                            out[1].append(None if missing else i)
+                            out[2].append(-s)
                 kinds = (_arrow(query_type), _arrow(id_type), pa.float64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)],
