@@ -49,7 +49,6 @@ BLOCK_BYTES = 32_000_000
 END = b""
 
 CLASSES, SYMBOLS = 32, 257
-_CONTEXTS = CLASSES ** 3
 #: Customers that are seated one by one before tables are skipped to.
 _SINGLE = 32
 
@@ -121,7 +120,8 @@ def seat_contexts(rng: np.random.Generator, counts: np.ndarray, root: np.ndarray
 
     ``counts`` has the customers of the longest contexts (two farther classes, class before that,
     symbol); ``root`` is the predictive probability without context. Returns the tables of the
-    one-byte context and the predictive probabilities of the longest ones.
+    one-byte context and, for the longest contexts, the probability that a dish has of its own, the
+    share that is left to the parent, and the parents' probabilities.
     """
     _, d1, d2, d3 = CONTEXT_DISCOUNTS
     three = counts.reshape(CLASSES, CLASSES, SYMBOLS)  # farthest, middle
@@ -148,19 +148,37 @@ def seat_contexts(rng: np.random.Generator, counts: np.ndarray, root: np.ndarray
         t1 = again(one, np.minimum(t1, one), root, d1)
     p1 = predictive(one, t1, root, STRENGTH, d1)
     p2 = predictive(two, t2, p1, STRENGTH, d2)
-    return t1, predictive(three, t3, p2, STRENGTH, d3).reshape(counts.shape)
+    total = STRENGTH + three.sum(axis=-1)
+    own = (three - d3 * t3) / total[..., None]
+    left = (STRENGTH + d3 * t3.sum(axis=-1)) / total
+    return t1, own.reshape(counts.shape), left.ravel(), p2
 
 
 @dataclass
 class Spelling:
-    """Predictive probabilities of the longest contexts, and of the root; of a fixed size."""
+    """Predictive probabilities of the longest contexts.
 
-    logs: np.ndarray
+    ``cells`` are those that were seen, in order, and ``own`` what they have of their own; ``left``
+    is the share each context leaves to its parent, and ``parents`` holds the parents' probabilities.
+    There are at most 32768 contexts of 257 symbols, of which a corpus shows a few in a hundred.
+    """
+
+    cells: np.ndarray
+    own: np.ndarray
+    left: np.ndarray
+    parents: np.ndarray
     root: np.ndarray
 
     def log_probability(self, words: list[bytes]) -> np.ndarray:
+        if not words:
+            return np.empty(0)
         cells, starts = spelled(words)
-        return np.add.reduceat(self.logs[cells].astype(np.float64), starts) if words else np.empty(0)
+        context, symbol = np.divmod(cells, SYMBOLS)
+        p = self.left[context] * self.parents[context % CLASSES ** 2, symbol]
+        if len(self.cells):
+            at = np.minimum(np.searchsorted(self.cells, cells), len(self.cells) - 1)
+            p += np.where(self.cells[at] == cells, self.own[at], 0.0)
+        return np.add.reduceat(np.log(p), starts)
 
 
 def _rng(*key: int) -> np.random.Generator:
@@ -247,20 +265,27 @@ def _spelling(vocabulary: DataFrame, root: np.ndarray, sweep: int) -> Spelling:
         counts = np.zeros(CLASSES * CLASSES * SYMBOLS, np.int64)
         cell = frame["cell"].to_numpy()
         counts[cell // SYMBOLS // CLASSES * SYMBOLS + cell % SYMBOLS] = frame["n"].to_numpy()
-        t1, p3 = seat_contexts(_rng(sweep, last), counts.reshape(CLASSES * CLASSES, SYMBOLS), root)
-        return pd.DataFrame({"last": [last], "tables": [t1.astype(np.int64).tobytes()],
-                             "p": [p3.astype(np.float32).tobytes()]})
-
-    found = cells.groupBy("last").applyInPandas(contexts, "last bigint, tables binary, p binary").collect()
-    logs = np.tile(np.log(np.maximum(root, 1e-30)).astype(np.float32), (_CONTEXTS, 1))
-    customers = np.zeros(SYMBOLS, np.int64)
+        t1, own, left, p2 = seat_contexts(_rng(sweep, last), counts.reshape(CLASSES * CLASSES, SYMBOLS), root)
+        cell = np.sort(cell)
+        value = own[cell // SYMBOLS // CLASSES, cell % SYMBOLS]
+        return pd.DataFrame({"last": [last], "tables": [t1.astype(np.int64).tobytes()], "cells": [cell.tobytes()],
+                             "own": [value.tobytes()], "left": [left.tobytes()], "p2": [p2.tobytes()]})
+
+    found = cells.groupBy("last").applyInPandas(
+        contexts, "last bigint, tables binary, cells binary, own binary, left binary, p2 binary").collect()
+    left, parents = np.ones(CLASSES ** 3), np.tile(root, (CLASSES ** 2, 1))
+    customers, seen, values = np.zeros(SYMBOLS, np.int64), [np.empty(0, np.int64)], [np.empty(0)]
     for row in found:  # a row for each class: the spelling model has a fixed size
-        p3 = np.frombuffer(row["p"], np.float32).reshape(CLASSES * CLASSES, SYMBOLS)
-        logs[np.arange(CLASSES * CLASSES) * CLASSES + row["last"]] = np.log(np.maximum(p3, 1e-30))
+        left[np.arange(CLASSES ** 2) * CLASSES + row["last"]] = np.frombuffer(row["left"])
+        parents[np.arange(CLASSES) * CLASSES + row["last"]] = np.frombuffer(row["p2"]).reshape(CLASSES, SYMBOLS)
         customers += np.frombuffer(row["tables"], np.int64)
+        seen.append(np.frombuffer(row["cells"], np.int64))
+        values.append(np.frombuffer(row["own"]))
     base = np.full(SYMBOLS, 1 / SYMBOLS)
     tables = seat(_rng(sweep, CLASSES), customers, base, np.zeros(SYMBOLS), STRENGTH, CONTEXT_DISCOUNTS[0])
-    return Spelling(logs.reshape(-1), predictive(customers, tables, base, STRENGTH, CONTEXT_DISCOUNTS[0]))
+    order = np.argsort(np.concatenate(seen))
+    return Spelling(np.concatenate(seen)[order], np.concatenate(values)[order], left, parents,
+                    predictive(customers, tables, base, STRENGTH, CONTEXT_DISCOUNTS[0]))
 
 
 def _sampled(vocabulary: DataFrame, total: int, discount: float, sweeps: int,

@@ -47,7 +47,8 @@ def test_spelling_sums_to_one():
     rng = np.random.default_rng(1)
     counts = np.zeros((1024, 257), np.int64)
     counts[rng.integers(0, 1024, 400), rng.integers(0, 257, 400)] = rng.integers(1, 50, 400)
-    tables, p = pitman_yor.seat_contexts(rng, counts, np.full(257, 1 / 257))
+    tables, own, left, parents = pitman_yor.seat_contexts(rng, counts, np.full(257, 1 / 257))
+    p = own + left[:, None] * np.tile(parents, (32, 1))
     assert np.allclose(p.sum(axis=1), 1) and (p > 0).all() and tables.sum() > 0
 
 
