@@ -209,7 +209,16 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
         repeats.append(ranked.where("n > 1").select("core", "span", "from", "to"))
         undecided = ranked.where("spans > 1").select(
             "core", "span", "low", (F.col("low") + width - 1).alias("high"))
-    return found.select("core", "span", "row", "at"), reduce(DataFrame.union, repeats)
+    # ranges that touch become one: nearly all pairs are left with a single one
+    together = reduce(DataFrame.union, repeats).groupBy("core", "span").agg(
+        F.sort_array(F.collect_set(F.struct("from", "to"))).alias("ranges"))
+    joined = F.expr("""
+        aggregate(ranges, slice(ranges, 1, 1), (done, r) -> if(
+            r.from <= element_at(done, -1).to + 1,
+            concat(slice(done, 1, size(done) - 1), array(named_struct(
+                'from', element_at(done, -1).from, 'to', greatest(element_at(done, -1).to, r.to)))),
+            concat(done, array(r))))""")
+    return found.select("core", "span", "row", "at"), together.select("core", "span", F.inline(joined))
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -239,7 +248,8 @@ def removable_spans(df: DataFrame, text: str = "text", *, length: int = LENGTH)
     spans = (positions.join(ranges, ["core", "span"])
              .select("row", (F.expr("(at >> 16)") - F.col("to")).alias("begin"),
                      (F.expr("(at >> 16)") - F.col("from") + length).alias("end"))
-             .distinct().groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("_spans")))
+             # a set: rows with one text have one key, and each brings the same spans
+             .groupBy("row").agg(F.collect_set(F.struct("begin", "end")).alias("_spans")))
     kept = df.drop("spans")
     joined = kept.withColumn("_row", key).join(
         spans.withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
@@ -274,9 +284,13 @@ def without_repeats(df: DataFrame, text: str = "text", *, length: int = LENGTH,
         for batch in batches:
             get = lambda name: batch.column(batch.schema.get_field_index(name))
             all_spans, sizes, left = [], [], []
-            for value, ranges in zip(get(text).to_pylist(), get("spans").to_pylist(), strict=True):
+            ranges = get("spans")
+            ends, flat = ranges.value_lengths().fill_null(0).to_numpy().cumsum(), ranges.flatten()
+            begin, end = (flat.field(k).to_numpy() for k in (0, 1))
+            for value, last, n in zip(get(text).to_pylist(), ends.tolist(),
+                                      np.diff(ends, prepend=0).tolist(), strict=True):
                 data = (value or "").encode()
-                spans = merged([(r["begin"], r["end"]) for r in ranges or []])
+                spans = merged(list(zip(begin[last - n:last].tolist(), end[last - n:last].tolist(), strict=True)))
                 all_spans.append([{"begin": a, "end": b} for a, b in spans])
                 sizes.append(len(data))
                 kept = cut_text(data, spans)
