@@ -1,7 +1,8 @@
 """Language-model scoring with a hierarchical Pitman-Yor model whose seating is sampled by Gibbs.
 
-The model has two layers of restaurants. Words are dishes of one restaurant; what it has not served
-is drawn from a spelling model, in which each context of up to three preceding bytes of the word is
+The model has three layers of restaurants. Each word (or a text's start) is the restaurant of the
+words that follow it. Their parent is the word restaurant: words are its dishes, each table of the
+words that follow is its customer, and what it has not served is drawn from a spelling model, in which each context of up to three preceding bytes of the word is
 a restaurant. Like the base score, the model knows the words of the learned texts and one type for
 all others; that type has the probability of being served a new dish that is none of those words.
 A context's parent is the context shortened by its farthest byte, so contexts that end
@@ -12,16 +13,20 @@ bounds the number of restaurants, and with it the size of the spelling model, wh
 
 A sweep samples the seating: a dish's customers are taken out and seated again one by one, given the
 other tables and the parent's predictive probability. First come the words (their tables need the
-spelling model), then the contexts from the longest to the shortest. The predictive probabilities of
-the sweeps after the burn-in are averaged; scores and perplexities are made of the averages.
+spelling model), then the pairs of words, then the spelling contexts from the longest to the
+shortest. A pair seen once has one table, so only the others are seated. Over the sweeps after the
+burn-in the words' predictive probabilities, and the tables of pairs and of their restaurants, are
+averaged; scores and perplexities are made of the averages.
 
 Words are counted over the whole corpus. Texts are not shuffled: each task numbers the words of a
 block of texts, the numbers get their counts and probabilities by joins of words, and come back to
-the block's texts, which hold numbers only.
+the block's texts, which hold numbers only. Pairs are summed within a block and then by buckets of
+their words' keys; a block gets back a number for each of its pairs, in the order it sent them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -30,6 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +51,11 @@ CONTEXT_DISCOUNTS = (0.5, 0.5, 0.6, 0.7)
 ROUNDS = 2
 #: Bytes of text whose words are numbered together.
 BLOCK_BYTES = 32_000_000
-#: The token that ends a text; no word is empty.
+#: The token that ends a text, and stands before its first word; no word is empty.
 END = b""
+#: Buckets of pairs for each block, and the share of all tokens from which a word's pairs are spread.
+BUCKETS_A_BLOCK = 4
+SPREAD_SHARE = 0.001
 
 CLASSES, SYMBOLS = 32, 257
 #: Customers that are seated one by one before tables are skipped to.
@@ -221,20 +230,137 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["block", "number", "word", "n"])
 
 
-def _seat_words(spelling, total_tables: int, discount: float, total: int, sweep: int, kept: bool):
-    """Seat the words of stored rows and add their predictive probability if the sweep is kept."""
+def _key(words) -> np.ndarray:
+    """Keys of words: 60 bits of their digest, as ``_KEY`` has them."""
+    return np.array([int(hashlib.md5(w).hexdigest()[:15], 16) for w in words], np.int64)
+
+
+_KEY = "cast(conv(substring(md5(word), 1, 15), 16, 10) as bigint) AS key"
+
+
+def _before(ids: np.ndarray, end: int) -> np.ndarray:
+    return np.concatenate(([end], ids[:-1])).astype(np.int64)
+
+
+def _ordered_pairs(codes: np.ndarray, keys: np.ndarray, spread: np.ndarray, buckets: int):
+    """Bucket of each pair, and the order by bucket; ``codes`` are sorted numbers of pairs.
+
+    A pair's bucket follows from its first word, and from both if that is one of ``spread``.
+    """
+    first, second = np.divmod(codes, max(len(keys), 1))
+    mixed = keys[first] + np.where(np.isin(keys[first], spread), keys[second] * 31, 0)
+    bucket = ((mixed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
+    return bucket, np.argsort(bucket, kind="stable")
+
+
+def _block_pairs(spread: np.ndarray, buckets: int):
+    """Distinct pairs of each block: keys of both words and how often they are learned, by bucket."""
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, numbers, rows in _numbered(batches):
+            keys, end = _key(numbers), numbers[END]
+            codes = np.concatenate([_before(ids, end) * len(keys) + ids for _, _, ids in rows])
+            learned = np.repeat([not b.column("held_out")[i].as_py() for b, i, _ in rows],
+                                [len(ids) for _, _, ids in rows])
+            found, where = np.unique(codes, return_inverse=True)
+            n = np.bincount(where, learned, len(found)).astype(np.int64)
+            bucket, order = _ordered_pairs(found, keys, spread, buckets)
+            first, second = np.divmod(found[order], len(keys))
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for k in range(buckets):
+                part = slice(cuts[k], cuts[k + 1])
+                if cuts[k] < cuts[k + 1]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block]), pa.array([k], pa.int32()),
+                         pa.array([zlib.compress(keys[first[part]].tobytes(), 1)]),
+                         pa.array([keys[second[part]].tobytes()]),
+                         pa.array([zlib.compress(n[order][part].tobytes(), 1)])],
+                        ["block", "bucket", "first", "second", "n"])
+
+    return pairs
+
+
+_PAIRS = "block bigint, index binary, bucket int, rank int, first bigint, second bigint, c bigint"
+
+
+def _merged(rows: pa.Table) -> pa.Table:
+    """The pairs of a bucket, summed over the blocks.
+
+    Three kinds of rows: pairs seen twice or more with their rank; for each word how many pairs seen
+    once it begins (no ``second``) or ends (no ``first``); and for each block the places of its pairs:
+    0 if never learned, 1 if seen once, else 2 and the rank.
+    """
+    unpacked = [[np.frombuffer(zlib.decompress(x) if packed else x, np.int64) for x in rows.column(name).to_pylist()]
+                for name, packed in (("first", True), ("second", False), ("n", True))]
+    first, second, n = (np.concatenate(x) for x in unpacked)
+    order = np.lexsort((second, first))
+    a, b = first[order], second[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    group = np.cumsum(new) - 1
+    c = np.bincount(group, n[order]).astype(np.int64)
+    a, b = a[new], b[new]
+    often = c >= 2
+    place = np.where(often, 1 + np.cumsum(often), np.minimum(c, 1)).astype(np.int32)
+    where = np.empty(len(order), np.int64)
+    where[order] = group
+    ends = np.cumsum([len(x) for x in unpacked[0]])
+    index = [zlib.compress(place[where[e - len(x):e]].tobytes(), 1) for e, x in zip(ends, unpacked[0], strict=True)]
+    begun, begun_n = np.unique(a[c == 1], return_counts=True)
+    ended, ended_n = np.unique(b[c == 1], return_counts=True)
+    k, m, bucket = len(index), int(often.sum()), rows.column("bucket")[0].as_py()
+    rest = k + m + len(begun) + len(ended)
+
+    def filled(kind, *parts):
+        return pa.concat_arrays([pa.nulls(p, kind) if isinstance(p, int) else pa.array(p, kind) for p in parts])
+
+    return pa.table({
+        "block": filled(pa.int64(), rows.column("block").to_pylist(), rest - k),
+        "index": filled(pa.binary(), index, rest - k),
+        "bucket": pa.array(np.full(rest, bucket, np.int32)),
+        "rank": filled(pa.int32(), k, np.arange(m, dtype=np.int32), rest - k - m),
+        "first": filled(pa.int64(), k, a[often], begun, len(ended)),
+        "second": filled(pa.int64(), k, b[often], len(begun), ended),
+        "c": filled(pa.int64(), k, c[often], begun_n.astype(np.int64), ended_n.astype(np.int64))})
+
+
+def _seat_pairs(discount: float, sweep: int):
+    """Seat the pairs, given their restaurants' tables ``others`` and the words' probability ``base``."""
+    def seated(batches):
+        for k, batch in enumerate(batches):
+            c, t = batch.column("c").to_numpy(), batch.column("t").to_numpy()
+            first, second = batch.column("first").to_numpy(), batch.column("second").to_numpy()
+            rng = _rng(sweep, k, *((int(first[0]), int(second[0])) if len(c) else ()), len(c))
+            others = np.maximum(batch.column("others").to_numpy() - t, 0)
+            t = seat(rng, c, batch.column("base").to_numpy(), others, STRENGTH, discount)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(x) for x in ("bucket", "rank", "first", "second", "c")), pa.array(t),
+                 batch.column("t_sum")], ["bucket", "rank", "first", "second", "c", "t", "t_sum"])
+
+    return seated
+
+
+def _tables(pairs: DataFrame, single: DataFrame) -> DataFrame:
+    """``key``, ``own`` (tables of the word's restaurant) and ``c`` (tables that serve the word)."""
+    zero = F.lit(0).cast("bigint")
+    sides = [rows.where(f"{side} IS NOT NULL").select(
+        F.col(side).alias("key"), *((n, zero) if side == "first" else (zero, n)))
+        for rows, n in ((pairs, F.col("t")), (single, F.col("c"))) for side in ("first", "second")]
+    both = sides[0].union(sides[1]).union(sides[2]).union(sides[3]).toDF("key", "own", "c")
+    return both.groupBy("key").agg(F.sum("own").alias("own"), F.sum("c").alias("c"))
+
+
+def _seat_words(spelling, total_tables: int, discount: float, sweep: int):
+    """Seat the words of stored rows; ``spelled`` is their probability in the spelling model."""
     def seated(batches):
         for k, batch in enumerate(batches):
             words, c = batch.column("word").to_pylist(), batch.column("c").to_numpy()
-            t, sum_ = batch.column("t").to_numpy(), batch.column("p").to_numpy()
+            t = batch.column("t").to_numpy()
             base = np.exp(spelling().log_probability(words))
             rng = _rng(sweep, k, zlib.crc32(words[0] if words else b""), len(words))
             t = seat(rng, c, base, np.maximum(total_tables - t, 0), STRENGTH, discount)
-            if kept:
-                sum_ = sum_ + (c - discount * t + (STRENGTH + discount * total_tables) * base) / (STRENGTH + total)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("c"), pa.array(t), pa.array(sum_), pa.array(base)],
-                ["word", "c", "t", "p", "spelled"])
+                [*(batch.column(x) for x in ("word", "key", "n", "own", "c", "p", "own_sum")), pa.array(t),
+                 pa.array(base)], ["word", "key", "n", "own", "c", "p", "own_sum", "t", "spelled"])
 
     return seated
 
@@ -288,31 +414,84 @@ def _spelling(vocabulary: DataFrame, root: np.ndarray, sweep: int) -> Spelling:
                     predictive(customers, tables, base, STRENGTH, CONTEXT_DISCOUNTS[0]))
 
 
-def _sampled(vocabulary: DataFrame, total: int, discount: float, sweeps: int,
-             burn_in: int) -> DataFrame:
-    """``word``, ``c`` and ``p``, the averaged predictive probability, of stored words and counts.
+_STATE = ("word binary, key bigint, n bigint, own bigint, c bigint, p double, own_sum bigint, t bigint, "
+          "spelled double")
 
+
+def _discount(ones: int, twos: int) -> float:
+    """The usual estimate of a discount from how many dishes are seen once and twice."""
+    return min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
+
+
+def _sampled(vocabulary: DataFrame, pairs: DataFrame, sweeps: int, burn_in: int) -> tuple[DataFrame, DataFrame, float]:
+    """Words (``word``, ``key``, ``c``, ``p``, ``own``), pairs seen again, and the discount of pairs.
+
+    ``vocabulary`` has ``word``, ``key`` and ``n``; ``pairs`` is what ``_merged`` makes. ``p`` is the
+    averaged predictive probability and ``own`` the averaged tables of the word's restaurant. Pairs
+    have ``bucket``, ``rank`` and ``value``: what is left of their customers after the discount.
     Words with ``c`` zero all have the averaged probability of an unknown word.
     """
-    spark = vocabulary.sparkSession
-    state = vocabulary.select("word", "c", F.least("c", F.lit(1)).cast("bigint").alias("t"), F.lit(0.0).alias("p"))
+    spark, zero = vocabulary.sparkSession, F.lit(0).cast("bigint")
+    single = pairs.where("index IS NULL AND rank IS NULL")
+    seen = pairs.where("rank IS NOT NULL").select(
+        "bucket", "rank", "first", "second", "c", F.lit(1).cast("bigint").alias("t"), zero.alias("t_sum"))
+    kinds = single.agg(F.sum(F.when(F.col("second").isNull(), F.col("c")))).first()[0] or 0
+    pair_discount = _discount(kinds, seen.where("c = 2").count())
+
+    def counted(words, name, p, own_sum):
+        tables = words.join(_tables(seen, single), "key", "left").select(
+            "word", "key", "n", F.coalesce("own", zero).alias("own"), F.coalesce("c", zero).alias("c"),
+            p.alias("p"), own_sum.alias("own_sum"))
+        return stored(tables.withColumn("t", F.least("c", F.lit(1)).cast("bigint")), name)
+
     unknown = []
-    state = stored(state, "seating-0")
+    state = counted(vocabulary, "seating-0", F.lit(0.0), zero)
     spelling = _spelling(state, np.full(SYMBOLS, 1 / SYMBOLS), 0)
     for sweep in range(1, sweeps + 1):
-        tables = state.agg(F.sum("t")).first()[0] or 0
-        step = _seat_words(shared(spark, spelling), tables, discount, total, sweep, sweep > burn_in)
-        before, state = state, stored(state.mapInArrow(step, "word binary, c bigint, t bigint, p double, spelled double"),
-                                      f"seating-{sweep}")
+        tables, total, ones, twos = state.agg(
+            F.sum("t"), F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+        tables, total, discount = tables or 0, total or 0, _discount(ones, twos)
+        step = _seat_words(shared(spark, spelling), tables, discount, sweep)
+        before, state = state, stored(state.mapInArrow(step, _STATE), f"seating-{sweep}")
         discard(before)
+        tables, served = state.agg(F.sum("t"), F.sum(F.when(F.col("c") > 0, F.col("spelled")))).first()
+        new = STRENGTH + discount * (tables or 0)
+        now = (F.col("c") - discount * F.col("t") + new * F.col("spelled")) / (STRENGTH + total)
         if sweep > burn_in:
-            served = state.where("c > 0").agg(F.sum("spelled")).first()[0] or 0.0
-            unknown.append((STRENGTH + discount * tables) * max(1 - served, 0.0) / (STRENGTH + total))
+            unknown.append(new * max(1 - (served or 0.0), 0.0) / (STRENGTH + total))
+            state = state.withColumn("p", F.col("p") + now).withColumn("own_sum", F.col("own_sum") + F.col("own"))
+            seen = seen.withColumn("t_sum", F.col("t_sum") + F.col("t"))
         if sweep < sweeps:
             spelling = _spelling(state, spelling.root, sweep)
-    chance = sum(unknown) / len(unknown)
-    known = F.when(F.col("c") > 0, F.col("p") / len(unknown)).otherwise(chance)
-    return state.select("word", "c", known.alias("p"))
+            told = seen.join(state.select(F.col("key").alias("second"), now.alias("base")), "second") \
+                .join(state.select(F.col("key").alias("first"), F.col("own").alias("others")), "first") \
+                .select("bucket", "rank", "first", "second", "c", "t", "t_sum", "base", "others") \
+                .sortWithinPartitions("first", "second")
+            earlier, seen = seen, stored(told.mapInArrow(
+                _seat_pairs(pair_discount, sweep),
+                "bucket int, rank int, first bigint, second bigint, c bigint, t bigint, t_sum bigint"), f"pairs-{sweep}")
+            if sweep > 1:
+                discard(earlier)
+            before, state = state, counted(state.drop("own", "c"), f"counted-{sweep}", F.col("p"), F.col("own_sum"))
+            discard(before)
+    m = len(unknown)
+    known = F.when(F.col("n") > 0, F.col("p") / m).otherwise(sum(unknown) / m)
+    return (state.select("word", "key", F.col("n").alias("c"), known.alias("p"), (F.col("own_sum") / m).alias("own")),
+            seen.select("bucket", "rank", (F.col("c") - pair_discount * F.col("t_sum") / m).alias("value")),
+            pair_discount)
+
+
+def _values(single: float):
+    """What each pair of a block has of its own, in the block's order."""
+    def values(index: pa.Table, seen: pa.Table) -> pa.Table:
+        of = np.zeros(seen.num_rows + 2, np.float32)
+        of[1] = single
+        of[seen.column("rank").to_numpy() + 2] = seen.column("value").to_numpy()
+        return pa.table({"block": index.column("block"), "number": index.column("bucket"), "values": pa.array(
+            [zlib.compress(of[np.frombuffer(zlib.decompress(x), np.int32)].tobytes(), 1)
+             for x in index.column("index").to_pylist()], pa.binary())})
+
+    return values
 
 
 def score_texts(df: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text", *,
@@ -333,14 +512,21 @@ def score_texts(df: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
                       text_of(text).cast("binary").alias("data"))
     words = stored(texts.select("held_out", "data").mapInArrow(
         _block_words, "block bigint, number int, word binary, n bigint"), "block-words")
-    vocabulary = stored(words.groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
-    counts = vocabulary.where("c > 0").agg(
-        F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    total, kinds, ones, twos = counts[0] or 0, counts[1], counts[2], counts[3]
-    # the usual estimate of a discount from how many words are seen once and twice
-    discount = min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
-    model = _sampled(vocabulary, total, discount, sweeps, burn_in)
-    known = words.select("block", "number", "word").join(model, "word").select("block", "number", "c", "p")
+    vocabulary = stored(words.groupBy("word").agg(F.sum("n").alias("n")).selectExpr("word", _KEY, "n"), "vocabulary")
+    total, kinds = vocabulary.where("n > 0").agg(F.sum("n"), F.count("*")).first()
+    total = total or 0
+    often = vocabulary.where(F.col("n") > max(total * SPREAD_SHARE, 1)).select("key").collect()  # 1000 at most
+    spread = np.array([r["key"] for r in often], np.int64)
+    buckets = BUCKETS_A_BLOCK * max(words.select("block").distinct().count(), 1)
+    pairs = stored(texts.select("held_out", "data").mapInArrow(
+        _block_pairs(spread, buckets), "block bigint, bucket int, first binary, second binary, n binary")
+        .groupBy("bucket").applyInArrow(_merged, _PAIRS), "pairs")
+    model, seen, pair_discount = _sampled(vocabulary, pairs, sweeps, burn_in)
+    values = pairs.where("index IS NOT NULL").select("block", "bucket", "index").groupBy("bucket").cogroup(
+        seen.groupBy("bucket")).applyInArrow(_values(1 - pair_discount), "block bigint, number int, values binary")
+    known = words.select("block", "number", "word").join(model, "word").select(
+        "block", "number", "key", "c", "p", "own", F.lit(None).cast("binary").alias("values"))
+    known = known.unionByName(values, allowMissingColumns=True)
     id_type = df.schema[doc_id].dataType
 
     def numbers(batches):
@@ -364,15 +550,30 @@ def score_texts(df: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
         if not docs.num_rows:
             raise RuntimeError("the texts were read differently the second time")
         n = docs.column("words")[0].as_py()
+        is_word = dictionary.column("values").is_null()
+        parts, dictionary = dictionary.filter(pc.invert(is_word)), dictionary.filter(is_word)
         order = np.argsort(dictionary.column("number").to_numpy())
         if len(order) != n:
             raise RuntimeError("the texts were read differently the second time")
-        c, p = dictionary.column("c").to_numpy()[order], dictionary.column("p").to_numpy()[order]
-        base, logs = np.log10((c + 0.5) / (total + 0.5 * (kinds + 1))), np.log10(np.maximum(p, 1e-300))
-        out = []
-        for blob in docs.column("ids"):
-            ids = np.frombuffer(zlib.decompress(blob.as_buffer()), np.int32)
-            out.append((len(ids), int((c[ids] > 0).sum()), float(base[ids].sum()), float(logs[ids].sum())))
+        keys, c, p, own = (dictionary.column(x).to_numpy()[order] for x in ("key", "c", "p", "own"))
+        base = np.log10((c + 0.5) / (total + 0.5 * (kinds + 1)))
+        texts_ = [np.frombuffer(zlib.decompress(blob.as_buffer()), np.int32) for blob in docs.column("ids")]
+        end = texts_[0][-1]
+        codes, where = np.unique(np.concatenate([_before(ids, end) * n + ids for ids in texts_]), return_inverse=True)
+        _, by_bucket = _ordered_pairs(codes, keys, spread, buckets)
+        sent = [np.frombuffer(zlib.decompress(x), np.float32) for _, x in sorted(
+            zip(parts.column("number").to_pylist(), parts.column("values").to_pylist(), strict=True))]
+        value = np.empty(len(codes))
+        if sum(map(len, sent)) != len(codes):
+            raise RuntimeError("the texts were read differently the second time")
+        value[by_bucket] = np.concatenate(sent)
+        first, second = np.divmod(codes, n)
+        chance = (value + (STRENGTH + pair_discount * own[first]) * p[second]) / (STRENGTH + c[first])
+        logs = np.log10(np.maximum(chance, 1e-300))[where]
+        out, at = [], 0
+        for ids in texts_:
+            out.append((len(ids), int((c[ids] > 0).sum()), float(base[ids].sum()), float(logs[at:at + len(ids)].sum())))
+            at += len(ids)
         columns = list(zip(*out, strict=True))
         return pa.table({
             "doc": docs.column("doc"), "held_out": docs.column("held_out"),

@@ -43,6 +43,37 @@ def test_scores_of_edge_cases(spark, tmp_path):
     assert pitman_yor.score_texts(df.limit(0), F.lit(False)).count() == 0
 
 
+def test_scores_depend_on_the_order_of_words(spark, tmp_path):
+    fluent = " ".join(f"w{k}" for k in range(40))
+    shuffled = " ".join(f"w{k * 7 % 40}" for k in range(40))
+    rows = [(k, fluent) for k in range(20)] + [(100, fluent), (101, shuffled)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = {r["doc_id"]: r for r in pitman_yor.score_texts(df, F.col("doc_id") >= 100).collect()}
+    assert got[100]["base_score"] == pytest.approx(got[101]["base_score"])
+    assert got[100]["score"] > got[101]["score"] + 20
+
+
+def test_next_words_sum_to_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "BLOCK_BYTES", 400)
+    rng = np.random.default_rng(5)
+    kinds = [*(f"v{k}" for k in range(12)), "never"]
+    learned = [(k, " ".join(rng.choice(kinds[:-1], 15))) for k in range(60)]
+    asked = ["", *kinds, *(f"{a} {b}" for a in kinds for b in kinds)]
+    rows = learned + [(100 + k, text) for k, text in enumerate(asked)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(str(tmp_path / "t"))
+    got = pitman_yor.score_texts(spark.read.parquet(str(tmp_path / "t")), F.col("doc_id") >= 100).collect()
+    p = {asked[r["doc_id"] - 100]: 10 ** r["score"] for r in got if r["doc_id"] >= 100}
+    # chances of the next word, each times the chance that the text ends after it: a similar matrix
+    n = len(kinds)
+    chances = np.ones((n + 1, n + 1))
+    chances[n, n] = p[""]
+    for i, a in enumerate(kinds):
+        chances[n, i] = p[a]
+        chances[i, :n] = [p[f"{a} {b}"] / p[a] for b in kinds]
+    assert max(abs(np.linalg.eigvals(chances))) == pytest.approx(1, abs=1e-5)
+
+
 def test_spelling_sums_to_one():
     rng = np.random.default_rng(1)
     counts = np.zeros((1024, 257), np.int64)
