@@ -5,7 +5,9 @@ language and source the centre and covariance of that vector are estimated by th
 determinant: those of the three quarters of the rows whose covariance has the least determinant.
 The search starts from the rows nearest the medians, and from the rows nearest the mean, and repeats
 concentration steps (estimate, measure all rows, keep the nearest three quarters), none of which
-raises the determinant; the start that ends lower wins. A text whose Mahalanobis distance from its
+raises the determinant; the start that ends lower wins. A group's estimate is drawn towards that of
+its language, and that towards the one of all texts, the more the fewer rows it has; there is no size
+at which the rule changes. A text whose Mahalanobis distance from its
 group's centre is beyond the cut is rejected.
 
 All of it is DataFrame operations. The vectors are stored once; each step is an aggregation that sums
@@ -26,8 +28,8 @@ WINDOW = 8
 #: Share of a group's rows that the estimates rest on, and concentration steps.
 COVERAGE = 0.75
 STEPS = 4
-#: Groups with fewer rows share the estimate of all small groups.
-GROUP_ROWS = 200
+#: Rows at which a group's own estimate and its language's count the same; so for languages and all.
+PRIOR_ROWS = 200
 #: Quantile 0.9999 of chi-square with 5 degrees of freedom: the cut of the squared distance.
 CUT = 25.74
 #: Quantile 0.75 of the same, and that of 7 degrees at this point: the covariance of the nearest
@@ -138,11 +140,15 @@ def _distance(x: list[Column], centre: list[Column], lower: list[list[Column]])
 
 
 def _estimate(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre ``c`` and Cholesky factor ``l_ij`` of the rows of each group, and log determinant."""
+    """Centre ``c_i``, covariance ``s_ij`` and its factor of the rows of each group; see ``_factored``."""
     names = [name for name, _, _ in PARTS]
     moments = [F.avg(n).alias(f"c_{i}") for i, n in enumerate(names)]
     moments += [F.covar_pop(names[i], names[j]).alias(f"s_{i}{j}") for i in range(_K) for j in range(i + 1)]
-    found = rows.groupBy(*keys).agg(*moments)
+    return _factored(rows.groupBy(*keys).agg(*moments))
+
+
+def _factored(found: DataFrame) -> DataFrame:
+    """``found`` with the Cholesky factor ``l_ij`` of its covariance ``s_ij`` and the log determinant."""
     for i in range(_K):
         # the floor is added to the variances, so the covariance always has a factor
         for j in range(i + 1):
@@ -152,8 +158,7 @@ def _estimate(rows: DataFrame, keys: list[str]) -> DataFrame:
             value = F.sqrt(F.greatest(value, F.lit(1e-12))) if i == j else value / F.col(f"l_{j}{j}")
             found = found.withColumn(f"l_{i}{j}", value)
     logs = [F.log(F.col(f"l_{i}{i}")) for i in range(_K)]
-    return found.withColumn("log_det", sum(logs[1:], logs[0])).drop(
-        *(f"s_{i}{j}" for i in range(_K) for j in range(i + 1)))
+    return found.withColumn("log_det", sum(logs[1:], logs[0]))
 
 
 def _measured(rows: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
@@ -199,24 +204,48 @@ def estimates(vectors: DataFrame, name: str) -> DataFrame:
         F.min_by(F.struct(*values), "log_det").alias("e")).select(*keys, "e.*")
 
 
-#: Group of the rows whose own group is small.
-_SMALL = 0
+#: Group of all rows; the ids of languages end in binary 10, those of a language's sources in 01.
+_ALL = 0
+
+
+def _language_of(lang: str | Column) -> Column:
+    return F.xxhash64(lang).bitwiseAND(F.lit(-4)).bitwiseOR(F.lit(2))
 
 
 def _group_of(lang: str | Column, source: str | Column) -> Column:
-    return F.xxhash64(lang, source).bitwiseOR(F.lit(1))
+    return F.xxhash64(lang, source).bitwiseAND(F.lit(-4)).bitwiseOR(F.lit(1))
+
+
+def _shrunk(sizes: DataFrame, found: DataFrame) -> DataFrame:
+    """Estimates by ``group_id``, each drawn towards its language's, and that towards all rows'.
+
+    ``sizes`` has ``group_id``, ``lang_id`` and the rows ``n`` that pass; ``found`` has the estimates
+    of groups, languages and all.
+    """
+    names = [c for c in found.columns if c.startswith(("c_", "s_"))]
+    own, language, whole = (found.select(F.col("group_id").alias(key), F.struct(*names).alias(level))
+                            for key, level in (("group_id", "own"), ("lang_id", "language"), ("all_id", "whole")))
+    of_language = sizes.groupBy("lang_id").agg(F.sum("n").alias("lang_n"))
+    joined = sizes.join(of_language, "lang_id").withColumn("all_id", F.lit(_ALL).cast("bigint")) \
+        .join(own, "group_id").join(language, "lang_id").join(whole, "all_id")
+
+    def between(n, value, parent):
+        return (F.col(n) * value + PRIOR_ROWS * parent) / (F.col(n) + PRIOR_ROWS)
+
+    return _factored(joined.select("group_id", *(
+        between("n", F.col("own")[c], between("lang_n", F.col("language")[c], F.col("whole")[c])).alias(c)
+        for c in names)))
 
 
 def _fitted(rows: DataFrame) -> DataFrame:
-    """Estimates by ``group_id`` of stored rows with ``group_id`` and the counts ``s``."""
+    """Estimates by ``group_id`` of stored rows with ``group_id``, ``lang_id`` and the counts ``s``."""
     passed = rows.where("NOT s.failed")
-    sizes = passed.groupBy("group_id").agg(F.count("*").alias("n")).withColumn(
-        "of", F.when(F.col("n") >= GROUP_ROWS, F.col("group_id")).otherwise(F.lit(_SMALL)))
-    sizes = stored(sizes.drop("n"), "group-sizes")
-    vectors = stored(passed.select("group_id", *vector("s")).join(sizes, "group_id")
-                     .drop("group_id").withColumnRenamed("of", "group_id"), "vectors")
-    found = stored(estimates(vectors, "mcd"), "estimates")
-    return stored(sizes.join(found.withColumnRenamed("group_id", "of"), "of").drop("of"), "groups")
+    sizes = stored(passed.groupBy("group_id", "lang_id").agg(F.count("*").alias("n")), "group-sizes")
+    levels = F.explode(F.array("group_id", "lang_id", F.lit(_ALL).cast("bigint")))
+    names = [name for name, _, _ in PARTS]
+    vectors = stored(passed.select("group_id", "lang_id", *vector("s"))
+                     .select(levels.alias("group_id"), *names), "vectors")
+    return stored(_shrunk(sizes, stored(estimates(vectors, "mcd"), "estimates")), "groups")
 
 
 def _judged(rows: DataFrame, fitted: DataFrame) -> DataFrame:
@@ -236,7 +265,7 @@ def _judged(rows: DataFrame, fitted: DataFrame) -> DataFrame:
 
 def _rows(df: DataFrame, keep: Column, text: str, lang: str, source: str) -> DataFrame:
     return df.select(keep.alias("row"), _group_of(F.col(lang), F.col(source)).alias("group_id"),
-                     statistics(text).alias("s"))
+                     _language_of(F.col(lang)).alias("lang_id"), statistics(text).alias("s"))
 
 
 def quality_verdicts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -244,9 +273,8 @@ def quality_verdicts(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Id column, the base counts, ``base_failed``, ``kept`` and ``distance2`` of each row.
 
     A row that fails the base has no distance. Null languages and sources are a group like any
-    other; a null or empty text fails the base; repeated rows are judged each. Groups with less
-    than ``GROUP_ROWS`` rows that pass the base are estimated together. An empty table gives an
-    empty table; other columns are left out.
+    other; a null or empty text fails the base; repeated rows are judged each. Estimates of groups are
+    drawn towards their language's by ``PRIOR_ROWS``, at every size. An empty table gives an empty table; other columns are left out.
     """
     rows = stored(_rows(df, F.struct(F.col(doc_id)), text, lang, source), "counts")
     judged = _judged(rows, _fitted(rows))
