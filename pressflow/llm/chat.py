@@ -45,8 +45,8 @@ _MARKER = re.compile(
 FEATURES = {"marker": len(MARKERS) + 1, "gap": 2, "length": 12, "last": 4}
 
 
-def lines_of(pieces: Iterable[str], gap: bool) -> Iterator[tuple[int, int, tuple[int, ...], str]]:
-    """Piece, line within it, features and text without marker of each line that is not blank."""
+def lines_of(pieces: Iterable[str], gap: bool) -> Iterator[tuple[int, int, tuple[int, ...], str, str]]:
+    """Piece, line within it, features, the line and its text without marker, if it is not blank."""
     for number, piece in enumerate(pieces):
         for place, line in enumerate(piece.split("\n")):
             if not line.strip():
@@ -57,7 +57,7 @@ def lines_of(pieces: Iterable[str], gap: bool) -> Iterator[tuple[int, int, tuple
             text = line[found.end():] if found else line
             last = line.rstrip()[-1]
             kind = 1 if last == "?" else 2 if last == ":" else 3 if last in ".!" else 0
-            yield number, place, (marker, int(gap), min(len(line).bit_length(), 11), kind), text
+            yield number, place, (marker, int(gap), min(len(line).bit_length(), 11), kind), line, text
             gap = False
 
 
@@ -161,7 +161,7 @@ def train(df: DataFrame, conv_id: str = "conv_id", order: str = "turn", text: st
 
         for (_, block), group in groupby(rows(), key=lambda r: (r[0], r[1])):
             group, before, spoken = list(group), None, None
-            for number, _, features, _ in lines_of([r[3] for r in group], block <= 0):
+            for number, _, features, *_ in lines_of([r[3] for r in group], block <= 0):
                 state = STATES.index((group[number][4], number != spoken))
                 spoken = number
                 if before is not None:
@@ -189,7 +189,7 @@ def _entries(pieces: DataFrame, model, conv_type: str) -> DataFrame:
 
     def crossings(batches):
         for conv, block, _, texts, _ in _blocks(batches):
-            features = [f for _, _, f, _ in lines_of(texts, False)]
+            features = [f for _, _, f, *_ in lines_of(texts, False)]
             # a block without a line leaves every state as it is
             matrix = model().crossing(features) if features else np.where(np.eye(n, dtype=bool), 0.0, -np.inf)
             first = features and model().first + model().emissions(features[:1])[0]
@@ -253,10 +253,11 @@ def format_transcripts(df: DataFrame, model: RoleModel, conv_id: str = "conv_id"
             lines = list(lines_of(texts, entry is None))
             if not lines:
                 continue
-            path = worker().path([f for _, _, f, _ in lines], None if entry is None else np.array(entry), last)
+            path = worker().path([f for _, _, f, *_ in lines], None if entry is None else np.array(entry), last)
             parts = []
-            for (number, place, _, content), state in zip(lines, path, strict=True):
+            for (number, place, _, line, after_marker), state in zip(lines, path, strict=True):
                 role, begins = STATES[state]
+                content = after_marker if begins else line  # within a turn nothing is a marker
                 if begins or not parts:
                     parts.append([places[number], place, role, begins, []])
                 if content:

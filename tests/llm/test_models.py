@@ -183,6 +183,17 @@ def test_blocks_do_not_change_the_turns(spark, role_model, monkeypatch):
     assert sorted(map(tuple, chat.format_transcripts(raw, role_model).collect())) == whole
 
 
+@pytest.mark.parametrize("block", [1, 64])
+def test_lines_within_a_turn_stay_whole(spark, monkeypatch, block):
+    monkeypatch.setattr(chat, "BLOCK", block)
+    said = "look here\nNote: the key is case sensitive\nAnswer: 42\n## Question\nA: first option"
+    rows = [(k, turn, text, role) for k in range(20) for turn, text, role in (
+        (0, "User: what?", "user"), (1, f"Assistant: {said}", "assistant"))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string, role string")
+    got = chat.format_transcripts(df.drop("role"), chat.train(df)).collect()
+    assert {(r["first_piece"], r["role"], r["content"]) for r in got} == {(0, "user", "what?"), (1, "assistant", said)}
+
+
 def test_chat_on_edge_cases(spark, role_model):
     rows = [(1, 0, "User: hi"), (1, 1, "Assistant: hello\nthere"), (1, 1, "Assistant: hello\nthere"),
             (2, 0, None), (2, None, "Human: x"), (3, 0, ""), (3, 1, " \n "), (None, 0, "User: lost"),
