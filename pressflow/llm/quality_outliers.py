@@ -37,12 +37,14 @@ CUT = 25.74
 CONSISTENCY = 0.75 / 0.5344
 
 #: Parts of the vector: name, expression, and the standard deviation that is the least of all groups.
+#: The least times the root of ``CUT`` (5.07) is what a part can reject alone in the tightest group;
+#: it is well inside the range of each: below 1 for ``dup_lines``, 0.54 for ``repeats`` after the base.
 PARTS = [
     ("word_length", "ln((word_chars + 250) / (n_words + 50))", 0.05),
     ("symbols", "sqrt(n_symbols / (n_words + 50))", 0.05),
     ("capitals", "sqrt((n_capitals + 2) / (word_chars + 100))", 0.05),
-    ("dup_lines", "sqrt(n_dup_lines / (n_lines + 5))", 0.20),
-    ("repeats", "sqrt(n_repeat_words / (n_words + 50))", 0.15),
+    ("dup_lines", "sqrt(n_dup_lines / (n_lines + 5))", 0.10),
+    ("repeats", "sqrt(n_repeat_words / (n_words + 50))", 0.07),
 ]
 _K = len(PARTS)
 _BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

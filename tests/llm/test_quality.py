@@ -56,6 +56,22 @@ def test_estimate_withstands_a_fifth_of_outliers(spark):
     assert all(r["kept"] == (r["doc_id"] < 1000) for r in got)
 
 
+def test_repeated_lines_and_words_can_reject_alone(spark):
+    def lines(k, menu):
+        words = prose(k, 120).split()
+        return "\n".join(" ".join([*words[i:i + 6]]) + ("\nHome About Contact" if menu else "") for i in range(0, 120, 6))
+
+    def windows(k):  # a quarter of the words is in windows that occur twice
+        return prose(k, 120) + " " + " ".join(prose(k, 120).split()[:20])
+
+    rows = [(k, lines(k, False)) for k in range(200)] + [(1000 + k, lines(k, True)) for k in range(5)]
+    rows += [(2000 + k, windows(k).replace(" ", "\n", 1)) for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'aa' AS lang", "'s' AS source")
+    got = {r["doc_id"]: r for r in quality_outliers.quality_verdicts(df).collect()}
+    assert all(got[k]["kept"] for k in range(200)) and not any(r["base_failed"] for r in got.values())
+    assert not any(got[1000 + k]["kept"] or got[2000 + k]["kept"] for k in range(5))
+
+
 def test_small_groups_follow_their_own_language(spark):
     short = [(k, " ".join(w[:2] for w in prose(k, 120).split()), "aa", f"s{k % 4}") for k in range(160)]
     long = [(1000 + k, " ".join(w * 3 for w in prose(k, 120).split()), "bb", f"s{k % 4}") for k in range(160)]
