@@ -29,7 +29,8 @@ WINDOW = 8
 COVERAGE = 0.75
 STEPS = 4
 #: Rows at which a group's own estimate and its language's count the same; so for languages and all.
-PRIOR_ROWS = 200
+#: Ten for each part of the vector.
+PRIOR_ROWS = 50
 #: Quantile 0.9999 of chi-square with 5 degrees of freedom: the cut of the squared distance.
 CUT = 25.74
 #: Quantile 0.75 of the same, and that of 7 degrees at this point: the covariance of the nearest
