@@ -44,8 +44,8 @@ PARTS = [
     ("word_length", "ln((word_chars + 250) / (n_words + 50))", 0.05),
     ("symbols", "sqrt(n_symbols / (n_words + 50))", 0.05),
     ("capitals", "sqrt((n_capitals + 2) / (word_chars + 100))", 0.05),
-    ("dup_lines", "sqrt(n_dup_lines / (n_lines + 5))", 0.10),
-    ("repeats", "sqrt(n_repeat_words / (n_words + 50))", 0.07),
+    ("dup_lines", "sqrt(n_dup_lines / (n_lines + 5))", 0.12),
+    ("repeats", "sqrt(n_repeat_words / (n_words + 50))", 0.10),
 ]
 _K = len(PARTS)
 _BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

@@ -62,7 +62,7 @@ def test_repeated_lines_and_words_can_reject_alone(spark):
         return "\n".join(" ".join([*words[i:i + 6]]) + ("\nHome About Contact" if menu else "") for i in range(0, 120, 6))
 
     def windows(k):  # a quarter of the words is in windows that occur twice
-        return prose(k, 120) + " " + " ".join(prose(k, 120).split()[:20])
+        return prose(k, 600) + " " + " ".join(prose(k, 600).split()[:100])
 
     rows = [(k, lines(k, False)) for k in range(200)] + [(1000 + k, lines(k, True)) for k in range(5)]
     rows += [(2000 + k, windows(k).replace(" ", "\n", 1)) for k in range(5)]
