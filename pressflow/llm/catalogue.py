@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pressflow.llm import (
     bpe_automaton,
     chat,
+    impact_search,
     packing,
     pitman_yor,
     quality_outliers,
@@ -18,7 +19,9 @@ from pressflow.llm import (
     rule_ensemble,
     search,
     simhash,
+    token_alignment,
     token_counts,
+    url_models,
 )
 from pressflow.llm.support import remainder, stored, table, text_of
 
@@ -117,10 +120,58 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        pieces = file.read()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align_texts(docs, tokenizer_json("byte_bpe_50k.json"), pieces)
+
+
+URL_RULES = [
+    url_models.Rule("allow", "com", "/"),
+    url_models.Rule("block", "example.com", "/en/"),
+    url_models.Rule("allow", "www.example.com", "/en/"),
+    url_models.Rule("block", "net", "/es/"),
+    url_models.Rule("block", "net", "/fr/"),
+]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_models.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return impact_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_turns, op2_token_counts, op3_lm_scores, op4_quality_rules, op5_simhash, op6_suffix_dedup,
-        op7_quality_classifier, op8_search, op9_bpe_round_trip, op10_packing)}
+        op7_quality_classifier, op8_search, op9_bpe_round_trip, op10_packing, op11_token_alignment,
+        op12_url_filter, op13_ranked_search)}
+
+#: What terms are made of, for regular expressions; A-Z are lower-cased beforehand.
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS_OF = ("unnest(regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             f"'abcdefghijklmnopqrstuvwxyz'), '{_TERM}'))")
 
 #: Statements for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_ranked_search": f"""
+        WITH tokens AS (SELECT doc_id, {_TERMS_OF.format("text")} AS term FROM documents),
+        postings AS (SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY doc_id, term),
+        lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM postings GROUP BY doc_id),
+        corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+        asked AS (SELECT DISTINCT item_id, term FROM
+                  (SELECT item_id, {_TERMS_OF.format("text")} AS term FROM benchmark)),
+        weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+                    FROM postings, corpus WHERE term IN (SELECT term FROM asked) GROUP BY term),
+        scores AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf)
+                       // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))))::BIGINT AS score
+                   FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (doc_id), corpus
+                   GROUP BY item_id, doc_id)
+        SELECT item_id, rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+            FROM scores WHERE score > 0) WHERE rank <= 10""",
+}

@@ -1,0 +1,110 @@
+"""Ranked search against the statement and a plain version."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import __spark_entry__ as contract
+from compare import connect, differences
+from llm_brute import edge_table, prose
+from pressflow.llm import impact_search as search
+from tests_paths import SMALL
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def terms(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower)
+
+
+def plain(docs, item, k=10):
+    """The k best (rank, id, score) of rows (id, text) for the text of an item."""
+    bags = [(i, Counter(terms(t))) for i, t in docs]
+    bags = [(i, b) for i, b in bags if b]
+    n_docs, n_terms = len(bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    found = []
+    for i, bag in bags:
+        m = 10 + 90 * sum(bag.values()) * n_docs // n_terms
+        score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    * (10**9 * bag[t] // (1000 * bag[t] + 8 * m)) for t in set(terms(item)) if t in bag)
+        if score:
+            found.append((-score, i is None, i))
+    return [(r, i, -s) for r, (s, _, i) in enumerate(sorted(found)[:k], 1)]
+
+
+def test_ranking_matches_sql(spark):
+    for sf_dir in (SMALL, MIDDLE):
+        got = contract.queries()["op13_ranked_search"](spark, sf_dir).toPandas()
+        assert len(got) == 400
+        assert differences(got, connect(sf_dir).execute(contract.oracle_sql()["op13_ranked_search"]).fetchdf()) is None
+
+
+def rows_of(df):
+    return sorted((r["rank"], r["doc_id"], r["score"]) for r in df.collect())
+
+
+def test_terms_of_odd_texts():
+    text = "Ab-É\x00c\x7fd_9é 日本 İ\u00a0x {Z}\x80"
+    assert [t.decode() for t in search.terms(text)] == terms(text)
+    assert search.terms(None) == search.terms("") == search.terms(" .,\n") == []
+
+
+def test_ranking_of_edge_cases(spark):
+    df = edge_table(spark)
+    docs = [(r["doc_id"], r["text"]) for r in df.collect()]
+    asked = [(1, "w1 w2 w3 two ONE"), (2, None), (3, ""), (4, "line"), (5, "é 日本語"), (6, "nowhere"), (7, docs[5][1])]
+    items = spark.createDataFrame(asked + [asked[0]], "item_id long, text string")
+    got = search.search(df, items).toPandas()
+    for item, text in asked:
+        mine = got[got["item_id"] == item]
+        mine = [(r.rank, None if math.isnan(r.doc_id) else r.doc_id, r.score) for r in mine.itertuples()]
+        assert sorted(mine) == plain(docs, text), item
+    assert search.search(df.limit(0), items).count() == 0
+    assert search.search(df, items.limit(0)).count() == 0
+    assert search.search(df.where("text IS NULL"), items).count() == 0
+
+
+def test_ties_go_to_the_smaller_id_over_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_DOCS", 7)
+    docs = [(i, "same words here" if i % 2 else prose(i, 30, 40)) for i in range(200, 0, -1)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame([(1, "words same"), (2, "w1 w2 w3 w4 words")], "item_id long, text string")
+    got = search.search(df, items)
+    assert rows_of(got.where("item_id = 1")) == [(r, 2 * r - 1, got.first()["score"]) for r in range(1, 11)]
+    assert rows_of(got.where("item_id = 2")) == plain(docs, "w1 w2 w3 w4 words")
+
+
+def lists_of(texts, item):
+    shard = search.ShardWriter()
+    for i, t in enumerate(texts):
+        shard.add(i, t)
+    df = Counter(t for text in texts for t in set(terms(text)))
+    query = list(dict.fromkeys(search.terms(item)))
+    weights = {t: (n, search.weight(len(texts), df[t.decode()])) for n, t in enumerate(query)}
+    return search.ImpactLists(*shard.blobs(), weights, len(texts), shard.n_terms), list(range(len(query)))
+
+
+def test_best_positions_stop_early_and_exactly(monkeypatch):
+    monkeypatch.setattr(search, "FIRST_STEP", 2)
+    rng, looked_at = random.Random(4), []
+    for _ in range(40):
+        # one document in three has a term often, so impacts differ
+        texts = [" ".join(f"t{min(int(rng.expovariate(0.3)), 12)}" for _ in range(rng.randrange(1, 30))) for _ in range(400)]
+        item = " ".join(f"t{n}" for n in rng.sample(range(13), 4))
+        lists, query = lists_of(texts, item)
+        seen, direct = [], lists._look_up
+        lists._look_up = lambda n, docs, *rest: seen.append(len(docs)) or direct(n, docs, *rest)  # noqa: B023
+        best = sorted((-s, d) for s, d in lists.best(query, 5))[:5]
+        assert [(-s, d) for s, d in best] == [(s, i) for _, i, s in plain(list(enumerate(texts)), item, 5)]
+        looked_at.append(sum(seen))
+    assert sum(looked_at) < 0.8 * 40 * 400
+
+
+def test_item_blocks_give_the_same(spark, monkeypatch):
+    whole = contract.queries()["op13_ranked_search"](spark, SMALL).toPandas()
+    monkeypatch.setattr(search, "ITEM_CHARS", 4000)
+    parts = contract.queries()["op13_ranked_search"](spark, SMALL).toPandas()
+    assert differences(parts, whole) is None

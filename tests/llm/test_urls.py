@@ -1,0 +1,122 @@
+"""URL rules against a plain reading, the models against a plain Witten-Bell model."""
+
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+import __spark_entry__ as contract
+from llm_brute import CLASHES
+from pressflow.llm import url_models as urls
+from pressflow.llm.catalogue import URL_RULES
+from tests_paths import SMALL
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def host_and_path(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    at = min((rest.index(c) for c in "/?#" if c in rest), default=len(rest))
+    host, rest = rest[:at], rest[at:]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    return host, rest[:min((rest.index(c) for c in "?#" if c in rest), default=len(rest))]
+
+
+def rule_of(host, path):
+    fits = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.name), default=None)
+
+
+def symbols(url):
+    return "".join(c.lower() if "A" <= c <= "Z" else c if " " <= c <= "~" else "\x01" for c in url or "") + "\x02"
+
+
+def plain(rows):
+    """Id to host, path, rule, verdict and score of rows (id, url)."""
+    parts = {i: host_and_path(u) for i, u in rows}
+    rule = {i: rule_of(*parts[i]) for i in parts}
+    text = {i: symbols(u) for i, u in rows}
+    fold = {i: zlib.crc32(text[i].encode()) % 5 for i in text}
+    follow = {v: defaultdict(Counter) for v in ("allow", "block")}
+    for i, r in rule.items():
+        if r and fold[i] != 1:
+            padded = "\x03" * 5 + text[i]
+            for at in range(5, len(padded)):
+                for n in range(6):
+                    follow[r.verdict][padded[at - n:at]][padded[at]] += 1
+    total = {v: sum(f[""].values()) for v, f in follow.items()}
+
+    def kept(verdict, context):
+        seen = sum(follow[verdict].get(context, {}).values())
+        return seen > 0 and seen >= urls.MIN_SHARE * total[verdict]
+
+    def chance(verdict, context, symbol):
+        base = chance(verdict, context[1:], symbol) if context else 1 / len(urls.SYMBOLS)
+        if not kept(verdict, context):
+            return base
+        row = follow[verdict][context]
+        return (row[symbol] + len(row) * base) / (sum(row.values()) + len(row))
+
+    def score(t):
+        padded = "\x03" * 5 + t
+        return sum(math.log(chance("allow", padded[at - 5:at], padded[at]) / chance("block", padded[at - 5:at], padded[at]))
+                   for at in range(5, len(padded))) / len(t)
+
+    scores = {i: score(t) for i, t in text.items()}
+    held = [(scores[i], r.verdict) for i, r in rule.items() if r and fold[i] == 1]
+    n = Counter(v for _, v in held)
+    threshold = 0.0
+    if len(n) == 2:
+        edges = [b * urls.BIN for b in range(-2048, 2049)]
+        value = {e: round(sum(v == "block" and s < e for s, v in held) / n["block"]
+                          + sum(v == "allow" and s >= e for s, v in held) / n["allow"], 9) for e in edges}
+        threshold = min((e for e in edges if value[e] == max(value.values())), key=abs)
+    return {i: (*parts[i], rule[i] and rule[i].name,
+                rule[i].verdict if rule[i] else "allow" if scores[i] >= threshold else "block", scores[i]) for i in parts}
+
+
+@pytest.mark.parametrize("sf_dir", [SMALL, MIDDLE])
+def test_urls_of_pages(spark, sf_dir):
+    rows = [(r["page_id"], r["url"]) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    got = {r["page_id"]: r for r in contract.queries()["op12_url_filter"](spark, sf_dir).collect()}
+    expected = plain(rows)
+    assert {i: tuple(got[i])[1:5] for i in got} == {i: e[:4] for i, e in expected.items()}
+    assert all(math.isclose(got[i]["score"], expected[i][4], abs_tol=1e-9) for i in got)
+
+
+ODD = [(1, None), (2, ""), (3, "no scheme/en/"), (4, "http://COM"), (5, "http://com/"), (6, "http://x.com?q=/en/"),
+       (7, "https://WWW.Example.com/en/x#y"), (8, "https://a.www.example.com/en/"), (9, "http://example.com/EN/"),
+       (10, "http://badexample.com/en/"), (11, "http://a.net/es/1?x"), (12, "http://net/fr/"), (13, "x://y://z.com/a"),
+       (14, "http://example.com:80/en/"), (15, "http://é.com/日本"), (16, "http://a.net/" + "long/" * 4000),
+       (17, "http://a\n.com/\nb"), (18, "http://a.net/es/1?x"), (None, "http://a.net/de/"), (None, "http://a.net/de/")]
+
+
+def test_urls_of_edge_cases(spark):
+    df = spark.createDataFrame([(i, u) for i, u in ODD], "page_id long, url string")
+    for name in [*CLASHES, "host", "symbols", "by_rule", "verdict", "window"]:
+        df = df.selectExpr("*", f"'own' AS `{name}`")
+    got = urls.judge_urls(df, URL_RULES).collect()
+    expected = plain([(k if i is None else i, u) for k, (i, u) in enumerate(ODD, 100)])
+    assert sorted(map(repr, (tuple(r)[1:5] for r in got))) == sorted(repr(e[:4]) for e in expected.values())
+    assert sum(r["page_id"] is None for r in got) == 2
+    assert urls.judge_urls(df.limit(0), URL_RULES).count() == 0
+    without = urls.judge_urls(df, [])
+    assert {(r["rule"], r["verdict"], r["score"]) for r in without.collect()} == {(None, "allow", 0.0)}
+
+
+def test_models_tell_unruled_hosts_apart(spark):
+    rng = random.Random(3)
+
+    def made(good, tld):
+        word = "".join(rng.choice(["news", "press", "daily"] if good else ["win", "casino", "bet"]) for _ in range(2))
+        return f"http://{word}{rng.randrange(99)}.{tld}/{rng.randrange(9999)}"
+
+    rows = [(i, made(i % 2, "good" if i % 2 else "bad")) for i in range(400)]
+    rows += [(i, made(i % 2, "org")) for i in range(400, 600)]
+    rules = [urls.Rule("allow", "good", "/"), urls.Rule("block", "bad", "/")]
+    got = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).where("rule IS NULL").collect()
+    assert sum((r["verdict"] == "allow") == (r["page_id"] % 2 == 1) for r in got) > 190
