@@ -50,7 +50,7 @@ _PAIR_SHIFT = 16
 def _byte_alphabet() -> dict[str, int]:
     """The characters that byte-level vocabularies write bytes with."""
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(visible)]
+    hidden = sorted(set(range(256)) - set(visible))
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
