@@ -342,6 +342,16 @@ ORACLE = {
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY dt) = 1
         UNION ALL
         SELECT id, title, category, url, TIMESTAMP '2024-02-02' FROM updates"""),
+    "articles_merge": _with("silver", """
+        , stored AS (
+            SELECT id, titre_article AS title, coalesce(categorie, 'Uncategorized') AS category,
+                   published_at >= TIMESTAMP '2024-01-30' AS again,
+                   (('0x' || left(md5(id), 8))::BIGINT % 1024)::INTEGER AS bucket
+            FROM silver QUALIFY row_number() OVER (PARTITION BY id ORDER BY dt) = 1)
+        SELECT id, title, CASE WHEN again THEN 'revised' ELSE category END AS category,
+               CASE WHEN again THEN TIMESTAMP '2024-02-02' ELSE TIMESTAMP '2024-02-01' END AS ingested_at,
+               CASE WHEN bool_or(again) OVER (PARTITION BY bucket) THEN 2 ELSE 1 END::INTEGER AS version, bucket
+        FROM stored"""),
     "pk_violations": f"""
         SELECT id, count(*) AS n_rows FROM ({_delivered}) GROUP BY id
         HAVING count(*) > 1 OR id IS NULL""",

@@ -19,6 +19,7 @@ from pressflow.plans import dashboards
 from pressflow.plans.pipeline import BUILDERS, build_gold, load_warehouse, read_gold
 from pressflow.schemas import BRONZE, SILVER
 from pressflow.session import configure, file_state, working_dir
+from pressflow.sinks.buckets import BucketedTable
 from pressflow.sinks.events import land_text
 from pressflow.sinks.lake import compact, write_batch
 from pressflow.sources import sample
@@ -34,6 +35,7 @@ AS_OF_TIME = datetime(2024, 1, 31)
 FIRST_LOAD = datetime(2024, 2, 1)
 SECOND_LOAD = datetime(2024, 2, 2)
 CHECKED_AT = datetime(2024, 1, 31)
+MERGE_BUCKETS = 1024
 EVENT_TYPES = "click|view|purch.*|sign"
 
 
@@ -172,6 +174,21 @@ def articles_upsert(spark, sf_dir):
     return upsert(stored, sample.republished(spark, sf_dir), ["id"], utc_literal(SECOND_LOAD))
 
 
+def articles_merge(spark, sf_dir):
+    """Stored articles after those of the last day were merged again, with the bucket and version
+    each is read from: buckets without such an article keep their files."""
+    schema = "id STRING, title STRING, category STRING, published_at TIMESTAMP, ingested_at TIMESTAMP"
+    stored = BucketedTable(working_dir(spark, "articles"), schema, ["id"])
+    loaded = _gold(spark, sf_dir, "articles").select("id", "title", "category", "published_at")
+    stored.merge(loaded.withColumn("ingested_at", utc_literal(FIRST_LOAD)), MERGE_BUCKETS)
+    last_day = stored.read(spark).where(F.col("published_at") >= F.lit(AS_OF)).withColumns(
+        {"category": F.lit("revised"), "ingested_at": utc_literal(SECOND_LOAD)})
+    stored.merge(last_day, MERGE_BUCKETS)
+    file = F.col("_metadata.file_path")
+    return stored.read(spark).select("id", "title", "category", "ingested_at", *[
+        F.regexp_extract(file, f"/{part}=([0-9]+)/", 1).cast("int").alias(part) for part in ("version", "bucket")])
+
+
 def pk_violations(spark, sf_dir):
     """Deliveries break the key on id, which the last-write view restores."""
     delivered = with_partitions(sample.article_deliveries(spark, sf_dir))
@@ -422,6 +439,7 @@ CATALOGUE = {
     "warehouse_load": warehouse_load,
     "missing_table": missing_table,
     "articles_upsert": articles_upsert,
+    "articles_merge": articles_merge,
     "pk_violations": pk_violations,
     "trending_7d": trending_7d,
     "trending_7d_top25": _trending(25),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from functools import reduce
 
@@ -10,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressflow.operators.quality import assert_keys
-from pressflow.operators.upsert import upsert
 from pressflow.schemas import DQ_RESULTS, GOLD, GOLD_KEYS
+from pressflow.sinks.buckets import BucketedTable, Merged
 
 REPLACED = [name for name in GOLD if name != "articles"]
 
@@ -42,41 +41,36 @@ def append_quality_results(spark: SparkSession, results: DataFrame, database: st
     results.select(*columns).write.insertInto(f"{database}.dq_results")
 
 
-def _snapshots(spark: SparkSession, database: str) -> list[str]:
-    """Snapshot tables, oldest first."""
-    names = [t.name for t in spark.catalog.listTables(database)]
-    return sorted(f"{database}.{n}" for n in names if n.startswith("articles_snapshot_"))
+def articles_table(spark: SparkSession, database: str = "gold") -> BucketedTable:
+    """The stored articles, below the database's folder."""
+    root = spark.catalog.getDatabase(database).locationUri
+    return BucketedTable(f"{root}/articles_buckets", f"{GOLD['articles']}, ingested_at TIMESTAMP", GOLD_KEYS["articles"])
 
 
 def upsert_articles(
     spark: SparkSession, updates: DataFrame, database: str = "gold",
     load_ts: Column | None = None, buckets: int | None = None,
-) -> None:
-    """Merge articles by id.
+) -> Merged:
+    """Merge articles by id (O61); merged rows get the load time.
 
-    Parquet tables have no MERGE, so the merged rows become a new table and the view
-    ``articles`` is switched to it: readers see the old state or the new one. Snapshots are
-    bucketed by id, and the updates are partitioned the same way, so a merge shuffles the
-    updates only; stored articles go from their bucket to the new one in one task. The
-    snapshot before stays until the next merge, for queries that still read it.
+    Only the buckets that hold an updated id are rewritten, see ``BucketedTable``. The view
+    ``articles`` is then switched to the new version: readers see the old state or the new one. The
+    version before stays until the next merge, for queries that still read it.
 
     ``buckets`` should let a bucket fit a task; it follows the session's shuffle partitions.
     """
     assert_keys(updates, GOLD_KEYS["articles"], "articles")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    view = f"{database}.articles"
-    old = _snapshots(spark, database)
-    placed = updates.repartition(buckets, "id")
-    if spark.catalog.tableExists(view):
-        merged = upsert(spark.table(view), placed, GOLD_KEYS["articles"], load_ts)
-    else:
-        ingested_at = F.current_timestamp() if load_ts is None else load_ts
-        merged = placed.withColumn("ingested_at", ingested_at)
-    snapshot = f"{database}.articles_snapshot_{time.time_ns()}"
-    merged.write.format("parquet").bucketBy(buckets, "id").saveAsTable(snapshot)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {snapshot}")
-    for table in old[:-1]:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    ingested_at = F.current_timestamp() if load_ts is None else load_ts
+    table = articles_table(spark, database)
+    merged = table.merge(updates.withColumn("ingested_at", ingested_at), buckets)
+    if table.manifest(spark) is not None:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.articles AS {table.select_statement(spark)}")
+    else:  # a warehouse that has been given no article yet
+        empty = ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in
+                          (part.split() for part in table.schema.replace("\n", " ").split(",")))
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.articles AS SELECT {empty} WHERE false")
+    return merged
 
 
 def merge_into(

@@ -11,6 +11,7 @@ from pressflow.operators.upsert import upsert
 from pressflow.plans.pipeline import build_gold, gold_tables, load_warehouse, read_gold
 from pressflow.schemas import GOLD
 from pressflow.operators.quality import quality_results
+from pressflow.sinks.buckets import BucketedTable
 from pressflow.sinks.warehouse import (
     append_quality_results,
     create_tables,
@@ -120,31 +121,82 @@ def article(spark, *rows):
     return spark.createDataFrame(list(rows), "id STRING, title STRING").select("id", "title", *blank)
 
 
-def test_article_snapshots_switch(spark):
+def test_article_versions_switch(spark):
     create_tables(spark, "wh1")
+    upsert_articles(spark, article(spark), "wh1", at(ONE), buckets=2)
+    assert spark.table("wh1.articles").count() == 0
     upsert_articles(spark, article(spark, ("a", "1"), ("b", "1")), "wh1", at(ONE), buckets=2)
     upsert_articles(spark, article(spark, ("b", "2"), ("c", "2")), "wh1", at(TWO), buckets=2)
     upsert_articles(spark, article(spark), "wh1", at(TWO), buckets=2)
     got = {(r["id"], r["title"], r["ingested_at"]) for r in spark.table("wh1.articles").collect()}
     assert got == {("a", "1", ONE), ("b", "2", TWO), ("c", "2", TWO)}
-    assert sum(t.name.startswith("articles_snapshot") for t in spark.catalog.listTables("wh1")) == 2
     with pytest.raises(ValueError):
         upsert_articles(spark, article(spark, ("d", "1"), ("d", "2")), "wh1", at(TWO))
 
 
-def test_stored_articles_are_not_shuffled_by_a_merge(spark):
-    create_tables(spark, "wh2")
-    upsert_articles(spark, article(spark, ("a", "1"), ("b", "1")), "wh2", at(ONE), buckets=4)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        updates = article(spark, ("b", "2")).repartition(4, "id")
-        merged = upsert(spark.table("wh2.articles"), updates, ["id"], at(TWO))
-        plan = merged._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "LeftAnti" in plan and "Bucketed: true" in plan
-    # the only exchanges are the two that place the updates
-    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 2
+def keyed(spark, *rows):
+    return spark.createDataFrame(list(rows), "id STRING, n INT")
+
+
+def files_of(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+def contents(table, spark):
+    return sorted((r["id"], r["n"]) for r in table.read(spark).collect())
+
+
+def test_merge_leaves_other_buckets_in_place(spark, tmp_path):
+    table = BucketedTable(str(tmp_path), "id STRING, n INT", ["id"])
+    assert contents(table, spark) == []
+    first = table.merge(keyed(spark, *((f"k{i}", 0) for i in range(400))), 100)
+    assert first.kept == [] and len(first.rewritten) > 90
+    before = files_of(tmp_path / "files")
+    second = table.merge(keyed(spark, ("k7", 1), ("new", 2), ("k300", 1)), 7)
+    assert 1 <= len(second.rewritten) <= 3 and len(second.rewritten) + len(second.kept) >= len(first.rewritten)
+    after = files_of(tmp_path / "files")
+    assert {f: t for f, t in after.items() if f in before} == before
+    added = {f.rsplit("/", 1)[0] for f in after.keys() - before.keys()}
+    assert added == {f"version=2/bucket={b}" for b in second.rewritten}
+    expected = {f"k{i}": 0 for i in range(400)} | {"k7": 1, "new": 2, "k300": 1}
+    assert contents(table, spark) == sorted(expected.items())
+    manifest = table.manifest(spark)
+    assert manifest.agg(F.sum("n_rows")).first()[0] == 401
+    assert {r["buckets"] for r in manifest.collect()} == {100}
+
+
+def test_merge_reads_and_shuffles_touched_buckets_only(spark, tmp_path, monkeypatch):
+    table = BucketedTable(str(tmp_path), "id STRING, n INT", ["id"])
+    table.merge(keyed(spark, *((f"k{i}", 0) for i in range(300))), 50)
+    read = []
+    monkeypatch.setattr(BucketedTable, "_files", lambda self, s, rows, plain=BucketedTable._files: read.append(
+        [r["bucket"] for r in rows]) or plain(self, s, rows))
+    merged = table.merge(keyed(spark, ("k1", 1)), 50)
+    assert read == [merged.rewritten] and len(merged.rewritten) == 1
+
+
+def test_failed_merge_shows_nothing(spark, tmp_path, monkeypatch):
+    table = BucketedTable(str(tmp_path), "id STRING, n INT", ["id"])
+    table.merge(keyed(spark, ("a", 0), ("b", 0)), 4)
+    with monkeypatch.context() as patch:
+        patch.setattr(BucketedTable, "_commit", MagicMock(side_effect=RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            table.merge(keyed(spark, ("a", 9), ("c", 9)), 4)
+    assert (tmp_path / "files" / "version=2").exists()
+    assert contents(table, spark) == [("a", 0), ("b", 0)]
+    table.merge(keyed(spark, ("b", 1)), 4)
+    assert contents(table, spark) == [("a", 0), ("b", 1)]
+
+
+def test_older_versions_go(spark, tmp_path):
+    table = BucketedTable(str(tmp_path), "id STRING, n INT", ["id"])
+    for n in range(5):
+        table.merge(keyed(spark, ("a", n), (f"b{n}", n)), 1)
+    assert contents(table, spark) == [("a", 4)] + [(f"b{n}", n) for n in range(5)]
+    assert sorted(p.name for p in (tmp_path / "manifest").iterdir()) == ["version=4", "version=5"]
+    assert [r["n"] for r in table.read(spark, 4).where("id = 'a'").collect()] == [3]
+    assert len(files_of(tmp_path / "files")) == 2
+    assert table.merge(keyed(spark), 1).rewritten == [] and table._committed(spark) == [4, 5]
 
 
 def test_silver_to_warehouse(spark, tmp_path):
