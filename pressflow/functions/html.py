@@ -1,174 +1,169 @@
-"""Paragraph and byline extraction from article pages.
+"""Article pages read as a parser reads them.
 
-Pages are tag soup that XML functions refuse, so elements are found by their tags: the page is
-split before each tag of a name, and counting start and end tags finds where an element ends.
+A page is cut into tags, text and what is neither by one pattern that knows quoted attribute values,
+comments and elements whose content is no markup. A stack of open elements then finds where each
+element ends: by its end tag, by that of an element around it, by a start tag that implies its end,
+or with the page. Elements and texts are numbered in page order, so what lies inside an element is
+a range of numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from pressflow.functions.text import TAG, drop_hidden_markup, ustrip
-
-# Separators no page text can hold: NUL is not allowed in HTML and decoding never yields it.
-NODE_END = "\x00"
-BLOCK_END = "\x00\x00"
-
-
-def start_tag(tag: str = r"[a-zA-Z][a-zA-Z0-9]*", attribute: str | None = None) -> str:
-    """Pattern of a start tag, optionally one that carries an attribute."""
-    inside = r"(?:\s[^>]*)?" if attribute is None else rf"\s(?:[^>]*\s)?{attribute}(?:[\s\"'/][^>]*)?"
-    return rf"(?is)<{tag}{inside}>"
-
-
-def has_class(name: str) -> str:
-    return rf"class\s*=\s*[\"']?(?:[^\"'>]*\s)?{name}"
-
-
-def has_value(attribute: str, value: str) -> str:
-    return rf"{attribute}\s*=\s*[\"']?{value}"
-
-
-def elements(page: Column, tag: str, attribute: str | None = None) -> Column:
-    """Markup of every outermost ``tag`` element, optionally those with an attribute, from its
-    start tag to before its end tag, or to the end of the page if it is not closed."""
-    pieces = F.split(page, rf"(?i)(?=</?{tag}[\s>/])")
-    opening = start_tag(tag, attribute).replace("(?is)", "(?is)^")
-
-    def element(state: Column) -> Column:
-        size = (state["position"] - state["start"]).alias("size")
-        return F.concat(state["found"], F.array(F.struct(state["start"].alias("start"), size)))
-
-    def step(state: Column, piece: Column) -> Column:
-        inside = state["depth"] > 0
-        opens = ~inside & piece.rlike(opening)
-        depth = (
-            F.when(opens, 1)
-            .when(inside & piece.rlike(rf"(?i)^<{tag}[\s>/]"), state["depth"] + 1)
-            .when(inside & piece.rlike(rf"(?i)^</{tag}[\s>/]"), state["depth"] - 1)
-            .otherwise(state["depth"])
-        )
-        closes = inside & (depth == 0)
-        return F.struct(
-            depth.alias("depth"),
-            (state["position"] + 1).alias("position"),
-            F.when(opens, state["position"]).otherwise(state["start"]).alias("start"),
-            # grows by outermost elements, not by pieces
-            F.when(closes, element(state)).otherwise(state["found"]).alias("found"),
-        )
-
-    def last(state: Column) -> Column:
-        return F.when(state["depth"] > 0, element(state)).otherwise(state["found"])
-
-    nothing = F.array().cast("array<struct<start:int,size:int>>")
-    start = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("position"),
-                     F.lit(0).alias("start"), nothing.alias("found"))
-    return F.transform(
-        F.aggregate(pieces, start, step, last),
-        lambda e: F.array_join(F.slice(pieces, e["start"], e["size"]), ""))
-
-
-# Elements without content, which no end tag follows.
-VOID = "area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr"
-
-
-def marked_elements(page: Column, attribute: str) -> Column:
-    """Markup of every outermost element of any name that has the attribute, cut like ``elements``."""
-    pieces = F.split(page, r"(?=</?[a-zA-Z])")
-    opening = start_tag(rf"(?!(?:{VOID})[\s/>])[a-zA-Z][a-zA-Z0-9]*", attribute).replace("(?is)", "(?is)^")
-
-    def element(state: Column) -> Column:
-        size = (state["position"] - state["start"]).alias("size")
-        return F.concat(state["found"], F.array(F.struct(state["start"].alias("start"), size)))
-
-    def step(state: Column, piece: Column) -> Column:
-        inside = state["depth"] > 0
-        opens = ~inside & piece.rlike(opening)
-        name = F.lower(F.regexp_extract(piece, r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1))
-        same = inside & (name == state["name"])
-        depth = (
-            F.when(opens, 1)
-            .when(same, state["depth"] + F.when(piece.startswith("</"), -1).otherwise(1))
-            .otherwise(state["depth"])
-        )
-        closes = inside & (depth == 0)
-        return F.struct(
-            depth.alias("depth"),
-            (state["position"] + 1).alias("position"),
-            F.when(opens, state["position"]).otherwise(state["start"]).alias("start"),
-            F.when(opens, name).otherwise(state["name"]).alias("name"),
-            F.when(closes, element(state)).otherwise(state["found"]).alias("found"),
-        )
-
-    def last(state: Column) -> Column:
-        return F.when(state["depth"] > 0, element(state)).otherwise(state["found"])
-
-    nothing = F.array().cast("array<struct<start:int,size:int>>")
-    start = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("position"), F.lit(0).alias("start"),
-                     F.lit("").alias("name"), nothing.alias("found"))
-    return F.transform(
-        F.aggregate(pieces, start, step, last),
-        lambda e: F.array_join(F.slice(pieces, e["start"], e["size"]), ""))
-
-
-def _text_nodes(fragment: Column) -> Column:
-    """Text nodes of a fragment, stripped, the empty ones left out."""
-    return F.filter(F.transform(F.split(fragment, TAG), ustrip), lambda t: t != "")
-
-
-# Elements that hold no place in a paragraph: their start tag closes it, and so does an end tag.
-BLOCK = (
-    "address|article|aside|blockquote|center|details|dialog|dir|div|dl|dd|dt|fieldset|figcaption|figure|"
-    "footer|form|h[1-6]|header|hr|li|main|menu|nav|ol|p|pre|section|table|ul"
-)
-
-
-def _paragraph_nodes(block: Column) -> Column:
-    """Text nodes of each paragraph, joined by NODE_END. A paragraph ends at the first block tag."""
-    opened = F.split(block, start_tag("p"))
-    inner = F.transform(
-        F.slice(opened, F.lit(2), F.size(opened)),
-        lambda p: F.regexp_replace(p, rf"(?is)</?(?:{BLOCK})[\s/>].*", ""))
-    return F.transform(inner, lambda p: F.array_join(_text_nodes(p), NODE_END))
-
-
-def marked_paragraphs(blocks: Column) -> Column:
-    """All paragraphs of an array of blocks as one string, so that a page is decoded once;
-    null when there is no paragraph."""
-    nodes = F.flatten(F.transform(blocks, _paragraph_nodes))
-    return F.when(has_paragraph(blocks), F.array_join(nodes, BLOCK_END))
-
-
-def has_paragraph(blocks: Column) -> Column:
-    return F.exists(blocks, lambda b: b.rlike(start_tag("p")))
-
-
-def unmarked_paragraphs(decoded: Column) -> Column:
-    """Text of every paragraph, in page order, from the decoded string."""
-
-    def text(nodes: Column) -> Column:
-        # entities may have decoded to blanks
-        stripped = F.transform(F.split(nodes, NODE_END), ustrip)
-        return F.array_join(F.filter(stripped, lambda t: t != ""), " ")
-
-    none = F.array().cast("array<string>")
-    return F.coalesce(F.transform(F.split(decoded, BLOCK_END), text), none)
-
-
-LINK = r"(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>"
-
-
-def element_text(found: Column, separator: str, link: bool = False) -> Column:
-    """Text of the first of an array of elements, or of the first link inside one of them; null
-    without one. Entities are still encoded."""
-    if link:
-        with_link = F.filter(found, lambda element: element.rlike(LINK))
-        found = F.transform(with_link, lambda element: F.regexp_extract(element, LINK, 1))
-    texts = F.transform(F.slice(found, 1, 1), lambda m: F.array_join(_text_nodes(m), separator))
-    return F.get(texts, F.lit(0))
-
-
-def prepared(page: Column) -> Column:
-    """A page without comments, scripts and NUL characters."""
-    return drop_hidden_markup(F.translate(page, "\x00", ""))
+import html
+import re
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
+# Names and values up to the closing bracket; quotes are quotes only where a value begins.
+_ATTRIBUTE = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)?+"""
+_MARKUP = re.compile(
+    rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)>|<[!?/](?!\Z)[^>]*+(?:>|\Z)"
+    r"|<[a-zA-Z].*", re.S)
+_PARTS = re.compile(
+    r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))?+)?+""")
+
+#: Elements without content, which no end tag follows.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose content is not markup: what is shown of it is its text, or nothing.
+PLAIN_TEXT, UNSHOWN = frozenset(["textarea", "title", "xmp"]), frozenset(
+    ["script", "style", "template", "iframe", "noembed", "noframes"])
+#: Elements that hold no place in a paragraph: their start tag closes it.
+BLOCK = frozenset(
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
+#: A start tag ends the nearest open element of the first set, unless one of the second is nearer.
+IMPLIED_END = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+    "option": ({"option"}, {"select"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tfoot"}, {"table"}),
+    "thead": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}),
+}
+#: Elements that a paragraph around them goes on after.
+_CELLS = frozenset(["table", "td", "th", "caption"])
+#: An end tag closes open elements up to its own, but none that stands higher than it.
+_HEIGHT = {name: 1 for name in BLOCK - {"p"}} | {
+    "td": 2, "th": 2, "caption": 2, "tr": 3, "tbody": 4, "thead": 4, "tfoot": 4, "table": 5, "body": 6, "html": 7}
+
+
+@dataclass
+class Element:
+    """An element with the ranges of the elements and texts inside it; itself is not in its range."""
+
+    name: str
+    attributes: dict[str, str]
+    first: int
+    first_text: int
+    last: int = 0
+    last_text: int = 0
+
+
+@dataclass
+class Page:
+    elements: list[Element] = field(default_factory=list)
+    texts: list[str] = field(default_factory=list)
+
+    def text(self, element: Element, separator: str) -> str:
+        """Its text nodes, stripped, without the empty ones."""
+        nodes = (t.strip() for t in self.texts[element.first_text:element.last_text])
+        return separator.join(t for t in nodes if t)
+
+    def inside(self, element: Element) -> Iterator[Element]:
+        return iter(self.elements[element.first:element.last])
+
+
+def attributes(source: str) -> dict[str, str]:
+    """Attributes of a tag by lower-case name; of repeated ones the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _PARTS.findall(source):
+        value = next(filter(None, values), "")
+        found.setdefault(name.lower(), html.unescape(value) if "&" in value else value)
+    return found
+
+
+def parse(source: str) -> Page:
+    page, open_, at, n_open = Page(), [], 0, Counter()
+    source = source.replace("\0", "")
+
+    def text(value: str) -> None:
+        if value:
+            page.texts.append(html.unescape(value) if "&" in value else value)
+
+    def close(down_to: int) -> None:
+        while len(open_) > down_to:
+            element = open_.pop()
+            n_open[element.name] -= 1
+            element.last, element.last_text = len(page.elements), len(page.texts)
+
+    def nearest(names, stops) -> int | None:
+        if any(n_open[name] for name in names):
+            for k in range(len(open_) - 1, -1, -1):
+                if open_[k].name in names:
+                    return k
+                if stops(open_[k].name):
+                    return None
+        return None
+
+    while found := _MARKUP.search(source, at):
+        text(source[at:found.start()])
+        at = found.end()
+        if not found[2]:
+            continue
+        name = found[2].lower()
+        if found[1]:
+            height = _HEIGHT.get(name, 0)
+            own = nearest([name], lambda other: _HEIGHT.get(other, 0) > height)  # noqa: B023
+            if own is not None:
+                close(own)
+            continue
+        if name in BLOCK and (paragraph := nearest(["p"], _CELLS.__contains__)) is not None:
+            close(paragraph)
+        if name in IMPLIED_END and (before := nearest(
+                IMPLIED_END[name][0], IMPLIED_END[name][1].__contains__)) is not None:
+            close(before)
+        element = Element(name, attributes(found[3]) if found[3] else {}, len(page.elements) + 1, len(page.texts))
+        page.elements.append(element)
+        open_.append(element)
+        n_open[name] += 1
+        if name in PLAIN_TEXT or name in UNSHOWN:
+            end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(source, at)
+            if name in PLAIN_TEXT:
+                text(source[at:end.start() if end else len(source)])
+            at = end.start() if end else len(source)
+        elif name in VOID:
+            close(len(open_) - 1)
+    text(source[at:])
+    close(0)
+    return page
+
+
+@dataclass(frozen=True)
+class Mark:
+    """What tells an element apart: a whole attribute value, or one word of it."""
+
+    attribute: str
+    value: str
+    word: bool = False
+
+    def on(self, element: Element) -> bool:
+        value = element.attributes.get(self.attribute)
+        return value is not None and (self.value in value.split() if self.word else value == self.value)
+
+
+def has_class(name: str) -> Mark:
+    return Mark("class", name, word=True)
+
+
+def has_value(attribute: str, value: str) -> Mark:
+    return Mark(attribute, value)
+
+
+def matching(elements, tag: str | None, mark: Mark | None) -> Iterator[Element]:
+    return (e for e in elements if (tag is None or e.name == tag) and (mark is None or mark.on(e)))
+
+
+def paragraphs(page: Page, blocks: list[Element]) -> list[str]:
+    """Text of every paragraph inside one of the blocks, in page order."""
+    inside = sorted({n for block in blocks for n in range(block.first, block.last)
+                     if page.elements[n].name == "p"})
+    return [page.text(page.elements[n], " ") for n in inside]

@@ -17,7 +17,7 @@ from pressflow.fixed_values import (
     WHITESPACE_CHARS,
 )
 from pressflow.operators.language import BUCKETS, FACTORS
-from pressflow.sources.sample import PAGES_PER_FEED, SCRAPED_AT, SOURCE_NAMES, WIDE_TEXT
+from pressflow.sources.sample import ADDED_MARKUP, PAGES_PER_FEED, SCRAPED_AT, SOURCE_NAMES, WIDE_TEXT
 
 _blank = WHITESPACE_CHARS
 
@@ -61,6 +61,8 @@ def _letters(c: str) -> str:
 
 
 _quoted_stopwords = ", ".join("'" + w.replace("'", "''") + "'" for w in STOPWORDS)
+_added = " ".join(f"WHEN {k} THEN {texts}" for k, (_, texts) in enumerate(ADDED_MARKUP) if texts)
+_host = "regexp_extract(url, '^https?://([^/]+)', 1)"
 _countries = " ".join(f"WHEN '{s}' THEN '{c}'" for s, c in SOURCE_COUNTRY.items())
 _names = " ".join(f"WHEN '{s}' THEN '{name}'" for s, name in SOURCE_NAMES.items())
 _url = "'http://' || d.source || '.example.com/' || d.doc_id"
@@ -192,26 +194,35 @@ CTES = {
                     WHEN 'fr' THEN 'Hespress' ELSE 'BBC News' END AS source
         FROM pages""",
     "page_blocks": f"""
-        SELECT page_id, source, url, list_transform(
+        SELECT page_id, source, url, contains(html, '</article>') AS has_article, list_transform(
             string_split_regex(
                 regexp_extract({_hidden('html')}, '(?is)<article(\\s[^>]*)?>(.*?)</article\\s*>', 2),
                 '(?i)<p(\\s[^>]*)?>')[2:],
             lambda p: {_replace_all('p', '(?is)</p[\\s>].*', '')}) AS blocks
         FROM sourced_pages""",
     "page_texts": f"""
-        SELECT page_id, source, url, list_transform(blocks, lambda b: {_unescape(f'''
+        SELECT page_id, source, url,
+               CASE WHEN NOT has_article THEN NULL
+                    WHEN source = 'Hespress' THEN CASE WHEN page_id % 2 = 0 THEN {_host} END
+                    WHEN page_id % 3 = 0 THEN 'By ' || {_host} || ' & co'
+                    WHEN page_id % 3 = 1 THEN {_host} END AS author,
+               list_concat(list_transform(blocks, lambda b: {_unescape(f'''
             array_to_string(list_filter(list_transform(
                 string_split_regex(b, '(?s)<[!?/a-zA-Z][^>]*>'),
-                lambda t: {_strip('t')}), lambda t: t <> ''), ' ')''')}) AS paragraphs
+                lambda t: {_strip('t')}), lambda t: t <> ''), ' ')''')}), CASE WHEN has_article THEN
+                   CASE page_id % {len(ADDED_MARKUP)} {_added} ELSE []::VARCHAR[] END END) AS paragraphs
         FROM page_blocks""",
     "listed": f"""
         SELECT p.source || '/' || (page_id // {PAGES_PER_FEED}) AS feed_id, source,
                (row_number() OVER feed - 1)::INTEGER AS position,
                {_strip("regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")} AS title,
-               url, strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' +0000' AS pub_date, ts,
+               url, CASE page_id % 6 WHEN 0 THEN strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' +0000'
+                    WHEN 1 THEN strftime(ts, '%-d %b %Y %-I:%M:%S %p') WHEN 2 THEN strftime(ts, '%d-%b-%Y %H:%M:%S')
+                    WHEN 3 THEN strftime(ts, '%b %-d %Y %H:%M:%S') WHEN 4 THEN strftime(ts, '%a %b %-d %H:%M:%S %Y')
+                    ELSE strftime(ts, '%A %-d %B %Y %H:%M:%S') END AS pub_date, ts,
                CASE WHEN lang IN ('en', 'es') THEN lang WHEN lang = 'fr' THEN NULL
                     ELSE 'News' END AS category,
-               {_strip("CASE WHEN page_id % 3 = 0 THEN 'R&D' || chr(160) ELSE '' END || "
+               {_strip("CASE page_id % 3 WHEN 0 THEN 'R&D' || chr(160) WHEN 1 THEN '<item> ' ELSE '' END || "
                        "regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")} AS summary,
                CASE source WHEN 'Hespress' THEN regexp_extract(url, '^https?://([^/]+)', 1)
                     END AS author
@@ -401,16 +412,17 @@ ORACLE = {
         FROM (SELECT page_id, {_clean('html')} AS text FROM pages)""",
     "page_paragraphs": _with("page_texts", """
         SELECT page_id, len(paragraphs)::INTEGER AS n_paragraphs,
-               array_to_string(paragraphs, chr(10)) AS body, NULL::VARCHAR AS author
+               array_to_string(paragraphs, chr(10)) AS body, author
         FROM page_texts"""),
     "feed_items": _with("items", "SELECT * EXCLUDE (ts) FROM items"),
     "feed_rejects": _with("sourced_pages", f"""
         SELECT source || '/' || (page_id // {PAGES_PER_FEED}) AS feed_id, source,
-               count(*)::INTEGER AS position, 'cut_off' AS reason
-        FROM sourced_pages WHERE page_id // {PAGES_PER_FEED} % 4 = 0
+               count(*)::INTEGER AS position,
+               CASE page_id // {PAGES_PER_FEED} % 4 WHEN 0 THEN 'cut_off' ELSE 'unreadable_item' END AS reason
+        FROM sourced_pages WHERE page_id // {PAGES_PER_FEED} % 4 IN (0, 1)
         GROUP BY source, page_id // {PAGES_PER_FEED}"""),
     "page_article_events": _with("listed", f"""
-        SELECT title AS titre_article, author AS auteur,
+        SELECT title AS titre_article, coalesce(i.author, t.author) AS auteur,
                strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS date_publication,
                category AS categorie,
                {_strip("coalesce(nullif(array_to_string(paragraphs, chr(10)), ''), summary)")} AS contenu,
@@ -442,6 +454,34 @@ ORACLE = {
         WHERE regexp_extract(url, '([0-9]+)$', 1)::BIGINT % 25 = 5
         UNION ALL SELECT DISTINCT NULL, NULL, titre_article FROM raw
         WHERE regexp_extract(url, '([0-9]+)$', 1)::BIGINT % 25 = 3"""),
+    "dq_history": _with("tagged", """
+        , bodies AS (
+            SELECT *, (regexp_extract(url, '([0-9]+)$', 1)::BIGINT % 25) AS number FROM tagged),
+        batches AS (
+            -- a body that is no JSON holds no category
+            SELECT CASE WHEN number <> 3 AND categorie IS NULL THEN 1 ELSE 0 END::BIGINT AS batch_id,
+                   number <> 3 AS is_json, dq_reason FROM bodies),
+        gates AS (SELECT unnest([1, 2, 3, 4]) AS place,
+                  unnest(['missing_title', 'missing_date', 'invalid_date', 'content_too_short']) AS check_name,
+                  unnest(['completeness', 'completeness', 'validity', 'validity']) AS dimension),
+        failed AS (
+            SELECT batch_id, place, check_name, dimension,
+                   count(*) FILTER (is_json AND dq_reason = check_name) AS n_failed,
+                   any_value(n) AS n
+            FROM gates, batches JOIN (SELECT batch_id, count(*) FILTER (is_json) AS n FROM batches GROUP BY batch_id)
+                 USING (batch_id) GROUP BY ALL),
+        kept AS (
+            SELECT count(*) AS n FROM (
+                SELECT DISTINCT source_key, dt, CASE WHEN number = 3 THEN titre_article
+                    WHEN number = 5 THEN titre_article || contenu || date_publication || coalesce(categorie, '') || url
+                    ELSE id END AS event, number = 3 AS is_text
+                FROM (SELECT * REPLACE (CASE WHEN number = 3 THEN 'unknown' ELSE source_key END AS source_key,
+                                        CASE WHEN number = 3 THEN NULL ELSE dt END AS dt) FROM bodies)))
+        SELECT batch_id, check_name, dimension, n_failed = 0 AS passed,
+               n - coalesce(sum(n_failed) OVER (PARTITION BY batch_id ORDER BY place
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS n_checked,
+               n_failed, (SELECT n FROM kept) AS n_bronze
+        FROM failed"""),
     "stream_continuous": _with("silver", "SELECT id, source_key, dt, word_count FROM silver"),
     "gold_summary": _with("top_keywords", """
         SELECT (SELECT count(*) FROM viewed) AS rows_silver,

@@ -26,9 +26,9 @@ from pressflow.sources import sample
 from pressflow.sources.events import landed_events
 from pressflow.sources.feeds import article_events, feed_items, feed_rejects
 from pressflow.sources.pages import extract_pages
-from pressflow.sources.tables import scan_parquet
+from pressflow.sources.tables import read_layer, scan_parquet
 from pressflow.streaming import daily
-from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest
+from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest, bronze_rows, tagged_events
 
 AS_OF = date(2024, 1, 30)
 AS_OF_TIME = datetime(2024, 1, 31)
@@ -366,6 +366,23 @@ def stream_bronze(spark, sf_dir):
     return job.bronze(spark).select("id", "titre_article", corrupt.alias("unread"))
 
 
+def dq_history(spark, sf_dir):
+    """Quality results of two micro-batches, one for each gate; a third one stopped before its end
+    and is in no layer, and the layers of the others are merged."""
+    root = working_dir(spark, "ingest")
+    bodies = sample.article_bodies(spark, sf_dir).withColumns(
+        {"ingest_ts": utc_literal(CHECKED_AT), "src_offset": F.xxhash64("value")})
+    job, late = Ingest(root), F.contains("value", F.lit('"categorie":null'))
+    job.write(bodies.where(~late), 0)
+    job.write(bodies.where(late), 1)
+    write_batch(bronze_rows(tagged_events(bodies)), job.layer("bronze"), SOURCE_FOLDERS, 2)
+    compact(spark, job.layer("bronze"), BRONZE, SOURCE_FOLDERS, up_to=2)
+    in_bronze = read_layer(spark, job.layer("bronze"), BRONZE).agg(F.count(F.lit(1)).alias("n_bronze"))
+    details = F.from_json("details", "n_checked BIGINT, n_failed BIGINT")
+    return job.quality_history(spark).select("batch_id", "check_name", "dimension", "passed", details.alias("d")).select(
+        "batch_id", "check_name", "dimension", "passed", "d.n_checked", "d.n_failed").crossJoin(F.broadcast(in_bronze))
+
+
 def stream_continuous(spark, sf_dir):
     """The stream that runs until it is stopped, over a fixed input."""
     root = working_dir(spark, "ingest")
@@ -475,6 +492,7 @@ CATALOGUE = {
     "stream_rejects": stream_rejects,
     "stream_bronze": stream_bronze,
     "stream_continuous": stream_continuous,
+    "dq_history": dq_history,
     "stream_daily_counts": stream_daily_counts,
     "stream_message_rate": stream_message_rate,
 }

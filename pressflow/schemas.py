@@ -52,9 +52,3 @@ GOLD_KEYS = {
 DQ_RESULTS = "run_at TIMESTAMP, check_name STRING, dimension STRING, passed BOOLEAN, details STRING"
 
 METRICS = "ts TIMESTAMP, name STRING, labels MAP<STRING, STRING>, value DOUBLE"
-
-# One item of a feed document. Every field is optional; what does not parse goes to ``_corrupt``.
-ITEM = """
-    title STRING, link STRING, pubDate STRING, category ARRAY<STRING>, description STRING,
-    `dc:creator` STRING, _corrupt STRING
-"""

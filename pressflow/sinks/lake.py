@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pressflow.operators.latest import latest_version
-from pressflow.session import list_dirs, remove_dir
+from pressflow.session import remove_dir
+from pressflow.sinks.commits import begin_merge, commit_merge, ended, layer_batches
 
 
 # Copies of one text compress to almost nothing, so a bound on bytes does not bound the work in
@@ -56,17 +57,21 @@ def export_json(silver: DataFrame, path: str) -> None:
 def compact(spark: SparkSession, layer: str, schema: str, folders: list[str], up_to: int) -> None:
     """Merge the batches up to ``up_to`` into one, keeping the last write per key.
 
-    The merged rows go to a new folder with a negative batch id before the old folders are
-    removed. A run that stops in between leaves rows twice, which the last-write view does not
-    show, and loses none; the next run merges what is left. Streams that read the layer must
-    have passed ``up_to``.
+    The merged rows go to a new folder with a negative batch id. Its record, written next, lets it
+    stand for the old folders, which are removed last. So a run that stops in between changes
+    nothing that readers see, and the next run merges what is left. Batches that have no record
+    yet are not touched. Streams that read the layer must have passed ``up_to``.
     """
-    found = {int(p.rsplit("=", 1)[1]): p for p in list_dirs(spark, f"{layer}/batch_id=*")}
-    old = {batch_id: path for batch_id, path in found.items() if batch_id <= up_to}
-    if len(old) < 2:
-        return
-    batches = spark.read.schema(f"{schema}, batch_id BIGINT").parquet(layer)
-    merged = latest_version(batches.where(F.col("batch_id") <= up_to)).drop("batch_id")
-    write_batch(merged, layer, folders, min(0, *old) - 1)
-    for path in old.values():
+    counted, others = layer_batches(spark, layer)
+    old = {batch_id: path for batch_id, path in counted.items() if batch_id <= up_to}
+    left = [path for batch_id, path in others.items() if ended(spark, layer, batch_id)]
+    if len(old) >= 2:
+        batches = spark.read.schema(f"{schema}, batch_id BIGINT").option("basePath", layer).parquet(*old.values())
+        merged = latest_version(batches).drop("batch_id")
+        batch_id = min(0, *counted, *others) - 1
+        begin_merge(spark, layer)
+        write_batch(merged, layer, folders, batch_id)
+        commit_merge(spark, layer, batch_id, max(old))
+        left += old.values()
+    for path in left:
         remove_dir(spark, path)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressflow.functions.dates import feed_date_iso
+from pressflow.functions.feedxml import FIELDS, scan
 from pressflow.functions.keys import article_id
 from pressflow.functions.text import ustrip
 from pressflow.operators.latest import first_per_key
 from pressflow.operators.skew import salted_left_join
-from pressflow.schemas import ITEM, RAW_COLUMNS
+from pressflow.schemas import RAW_COLUMNS
 from pressflow.sources.pages import SOURCE_RULES, SourceRule, by_source
 
 
@@ -18,39 +20,30 @@ def _stripped(c: Column) -> Column:
     return ustrip(F.coalesce(c, F.lit("")))
 
 
-def mended(xml: Column) -> Column:
-    """XML in which an ampersand that begins no XML entity stands for itself.
+def _scanned(feeds: DataFrame, max_items: int | None = None, markup: bool = False) -> DataFrame:
+    """``feed_id``, ``source``, whether a document ``is_feed``, its ``items``, and the ``xml`` column.
 
-    Outside CDATA sections a blank entity becomes the blank, and other ampersands are escaped.
+    Documents are read in Arrow batches; ``markup`` adds that of items which cannot be used.
     """
-    parts = F.split(xml, r"(?=<!\[CDATA\[)|(?<=\]\]>)")
+    item = ", ".join(f"`{name}` STRING" for name in (*FIELDS, "category", "reason", "xml"))
 
-    def escaped(part: Column) -> Column:
-        plain = F.regexp_replace(part, "&nbsp;", "&#160;")
-        plain = F.regexp_replace(plain, r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)", "&amp;")
-        return F.when(part.startswith("<![CDATA["), part).otherwise(plain)
+    @F.pandas_udf(f"is_feed BOOLEAN, items ARRAY<STRUCT<{item}>>")
+    def read(documents: pd.Series) -> pd.DataFrame:
+        rows = []
+        for document in documents:
+            is_feed, items = scan(document)
+            rows.append((is_feed, [
+                {**dict.fromkeys((*FIELDS, "category")), **i.fields, "reason": i.reason,
+                 "xml": document[i.start:i.end] if markup and i.reason else None}
+                for i in items[:max_items]]))
+        return pd.DataFrame(rows, columns=["is_feed", "items"])
 
-    return F.array_join(F.transform(parts, escaped), "")
+    return feeds.select("feed_id", "source", "xml", read("xml").alias("read")).select(
+        "feed_id", "source", "xml", "read.*")
 
 
-def _parsed_items(feeds: DataFrame, max_items: int | None) -> DataFrame:
-    """``feed_id``, ``source``, ``position``, ``xml`` of each item and what it parses to.
-
-    Items are cut out by their tags and parsed on their own, so one that cannot be read costs no
-    other. The last piece of a document that breaks off is an item without end.
-    """
-    pieces = F.split(mended(F.col("xml")), r"(?=<item[\s>])")
-    items = F.slice(pieces, F.lit(2), F.size(pieces))
-    if max_items is not None:
-        items = F.slice(items, 1, max_items)
-    body = F.regexp_extract("piece", r"(?s)^<item[\s>].*?</item\s*>", 0)
-    return (
-        feeds.select("feed_id", "source", F.posexplode(items).alias("position", "piece"))
-        .withColumn("body", F.when(body != "", body))
-        .withColumn("item", F.from_xml("body", ITEM, {
-            "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": "_corrupt"}))
-    )
+def _items(scanned: DataFrame) -> DataFrame:
+    return scanned.select("feed_id", "source", F.posexplode("items").alias("position", "item"))
 
 
 def feed_items(
@@ -61,9 +54,8 @@ def feed_items(
     """Items of each feed document (O06, O07), those without a link left out (O14). Reads
     ``feed_id``, ``source`` and ``xml``; see ``feed_rejects`` for what cannot be read.
 
-    ``max_items`` takes the items at the head of each document only (O11). The head is cut inside
-    the array of items, so nothing is shuffled. As in the feed's own order, items without a link
-    count towards the limit.
+    ``max_items`` takes the items at the head of each document only (O11), before anything is
+    shuffled. As in the feed's own order, items without a link count towards the limit.
     """
     item, source = F.col("item"), F.col("source")
     default_category = by_source(source, lambda r: F.lit(r.default_category).cast("string"), rules)
@@ -71,13 +63,13 @@ def feed_items(
         source,
         lambda r: item["dc:creator"] if r.feed_has_author else F.lit(None).cast("string"), rules)
     return (
-        _parsed_items(feeds, max_items)
+        _items(_scanned(feeds, max_items)).where(item["reason"].isNull())
         .select(
             "feed_id", "source", "position",
             _stripped(item["title"]).alias("title"),
             _stripped(item["link"]).alias("url"),
             item["pubDate"].alias("pub_date"),
-            F.coalesce(F.get(item["category"], F.lit(0)), default_category).alias("category"),
+            F.coalesce(item["category"], default_category).alias("category"),
             _stripped(item["description"]).alias("summary"),
             author.alias("author"),
         )
@@ -90,18 +82,23 @@ def feed_rejects(feeds: DataFrame) -> DataFrame:
     and the ``xml``.
 
     Reasons are ``no_channel`` for a document that is no feed, and for items ``cut_off`` (no end)
-    and ``unreadable_item``.
+    and ``unreadable_item`` (neither title nor link).
     """
-    documents = feeds.where(~F.coalesce(F.col("xml").rlike(r"<channel[\s>]"), F.lit(False))).select(
+    scanned = _scanned(feeds, markup=True)
+    documents = scanned.where(~F.col("is_feed")).select(
         "feed_id", "source", F.lit(None).cast("int").alias("position"),
         F.lit("no_channel").alias("reason"), "xml")
-    broken = F.when(F.col("body").isNull(), "cut_off").when(
-        F.col("item").isNull() | F.col("item._corrupt").isNotNull(), "unreadable_item")
-    items = _parsed_items(feeds.where(F.col("xml").rlike(r"<channel[\s>]")), None).select(
-        "feed_id", "source", "position", broken.alias("reason"), F.col("piece").alias("xml"))
+    items = _items(scanned.where("is_feed")).select(
+        "feed_id", "source", "position", F.col("item.reason").alias("reason"), F.col("item.xml").alias("xml"))
     return documents.unionByName(items.where(F.col("reason").isNotNull()))
 
 
+def undated_items(items: DataFrame) -> DataFrame:
+    """Dates of ``feed_items`` that no form reads, with how often they occur."""
+    unread = items.where(F.col("pub_date").isNotNull() & feed_date_iso(F.col("pub_date")).isNull())
+    return unread.groupBy("source", "pub_date").agg(F.count(F.lit(1)).alias("n_items"))
+
+
 def _with_pages(items: DataFrame, pages: DataFrame | None) -> DataFrame:
     """Items with body and author of their page; where a URL was fetched more than once, the
     first by ``page_id`` counts."""

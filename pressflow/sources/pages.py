@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import islice
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressflow.functions import html
-from pressflow.functions.text import decode_entities, ustrip
 
 
 @dataclass(frozen=True)
@@ -16,36 +17,37 @@ class Block:
     """Where paragraphs are looked for: elements of ``tag``, optionally inside others."""
 
     tag: str
-    attribute: str | None = None
+    mark: html.Mark | None = None
     within: str | None = None
     first_only: bool = False
 
-    def find(self, page: Column) -> Column:
+    def find(self, page: html.Page) -> list[html.Element]:
         if self.within is None:
-            found = html.elements(page, self.tag, self.attribute)
+            found = html.matching(page.elements, self.tag, self.mark)
         else:
-            found = F.flatten(F.transform(
-                html.elements(page, self.within),
-                lambda outer: html.elements(outer, self.tag, self.attribute)))
-        return F.slice(found, 1, 1) if self.first_only else found
+            found = (e for outer in html.matching(page.elements, self.within, None)
+                     for e in html.matching(page.inside(outer), self.tag, self.mark))
+        return list(islice(found, 1) if self.first_only else found)
 
 
 @dataclass(frozen=True)
 class Byline:
     """Elements of which the first is the byline, or the first with a link holds it.
 
-    They have ``attribute``, and the name ``tag`` if one is given. ``separator`` goes between the
-    text nodes."""
+    They have ``mark``, and the name ``tag`` if one is given. ``separator`` goes between the text
+    nodes."""
 
     separator: str
-    attribute: str | None = None
+    mark: html.Mark | None = None
     tag: str | None = None
     link: bool = False
 
-    def text(self, page: Column) -> Column:
-        found = (html.marked_elements(page, self.attribute) if self.tag is None
-                 else html.elements(page, self.tag, self.attribute))
-        return html.element_text(found, self.separator, self.link)
+    def text(self, page: html.Page) -> str | None:
+        found = html.matching(page.elements, self.tag, self.mark)
+        if self.link:
+            found = (a for outer in found for a in html.matching(page.inside(outer), "a", None))
+        first = next(found, None)
+        return None if first is None else page.text(first, self.separator)
 
 
 @dataclass(frozen=True)
@@ -60,12 +62,16 @@ class SourceRule:
     # whether a later block is tried when the first is there but has no paragraph
     paragraphs_required: bool = False
 
-    def usable(self, blocks: Column) -> Column:
-        found = html.has_paragraph(blocks) if self.paragraphs_required else F.size(blocks) > 0
-        return F.coalesce(found, F.lit(False))
+    def paragraphs(self, page: html.Page) -> list[str]:
+        for block in self.blocks:
+            found = block.find(page)
+            texts = html.paragraphs(page, found)
+            if texts or (found and not self.paragraphs_required):
+                return texts
+        return []
 
-    def author(self, page: Column) -> Column:
-        return F.coalesce(*[b.text(page) for b in self.bylines])
+    def author(self, page: html.Page) -> str | None:
+        return next((text for b in self.bylines if (text := b.text(page)) is not None), None)
 
 
 # The elements that hold body and byline in each source's pages.
@@ -107,25 +113,26 @@ def by_source(source: Column, value_of, rules: list[SourceRule] = SOURCE_RULES)
 
 
 def extract_pages(pages: DataFrame, rules: list[SourceRule] = SOURCE_RULES) -> DataFrame:
-    """Body text and author of each page (O08, O09). Reads ``source``, ``url`` and ``html``;
-    row-local. One column per step, so that no step runs twice."""
-    page, source = F.col("_page"), F.col("source")
-    blocks = F.col("_blocks")
-    df = pages.withColumn("_page", html.prepared(F.col("html"))).withColumn(
-        "_blocks", F.lit(None).cast("array<string>"))
-    for turn in range(max(len(rule.blocks) for rule in rules)):
-        with_turn = [rule for rule in rules if len(rule.blocks) > turn]
-        usable = by_source(source, lambda r: r.usable(blocks), with_turn)
-        found = F.coalesce(
-            by_source(source, lambda r: r.blocks[turn].find(page), with_turn), blocks)
-        df = df.withColumn("_blocks", F.when(usable, blocks).otherwise(found))
+    """Body text and author of each page (O08, O09). Reads ``source``, ``url`` and ``html``.
+
+    A page is parsed once, in Arrow batches; its markup goes no further. A page of a source without
+    a rule, and a null page, has no paragraph and no author.
+    """
+    by_name = {rule.source: rule for rule in rules}
+
+    @F.pandas_udf("paragraphs ARRAY<STRING>, author STRING")
+    def read(sources: pd.Series, markup: pd.Series) -> pd.DataFrame:
+        rows = []
+        for source, text in zip(sources, markup, strict=True):
+            rule = by_name.get(source)
+            page = html.parse(text) if rule and text else None
+            rows.append(([], None) if page is None else (rule.paragraphs(page), rule.author(page)))
+        return pd.DataFrame(rows, columns=["paragraphs", "author"])
+
     return (
-        df.withColumn("_author", by_source(source, lambda r: r.author(page), rules))
-        .withColumn("_body", html.marked_paragraphs(blocks))
-        .withColumns({"_body": decode_entities(F.col("_body")),
-                      "_author": decode_entities(F.col("_author"))})
-        .withColumn("page_paragraphs", html.unmarked_paragraphs(F.col("_body")))
-        .withColumn("page_author", ustrip(F.col("_author")))
-        .withColumn("page_body", F.array_join("page_paragraphs", "\n"))
-        .drop("_page", "_blocks", "_body", "_author", "html")
+        pages.withColumn("_read", read("source", "html")).withColumns({
+            "page_paragraphs": F.col("_read.paragraphs"),
+            "page_author": F.col("_read.author"),
+            "page_body": F.array_join("_read.paragraphs", "\n")})
+        .drop("_read", "html")
     )

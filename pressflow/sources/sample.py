@@ -138,12 +138,40 @@ def article_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAGES_PER_FEED = 20
 
 
+# Added at the end of a page's article, in turn by page id, with the paragraphs it makes.
+ADDED_MARKUP = [
+    ('<p title="a>b">one</p>', ["one"]),
+    ('<p>see <img alt="<p>no</p>">it</p>', ["see it"]),
+    ("<p>before<textarea><p>typed</p></textarea>after</p>", ["before <p>typed</p> after"]),
+    ("<p>a<div><p>b</div>c</p>", ["a", "b"]),
+    ("<!-- <p>no</p> --><p>x<!-- > -->y</p>", ["x y"]),
+    ("", []),
+]
+
+
+def _host():
+    return F.regexp_extract("url", r"^https?://([^/]+)", 1)
+
+
 def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with the source whose rules read them, by page language."""
+    """Pages with the source whose rules read them, by page language, and with bylines and markup
+    of several kinds."""
     pages = table(spark, sf_dir, "pages")
     lang = F.regexp_extract("html", r'<html lang="([a-z]+)"', 1)
+    byline = (
+        F.when((lang == "fr") & (F.col("page_id") % 2 == 0), F.concat(
+            F.lit('<small class="by author"><i>by</i> <a href="/x?a>b"> '), _host(), F.lit(" </a></small>")))
+        .when((lang != "fr") & (F.col("page_id") % 3 == 0), F.concat(
+            F.lit('<div data-component="byline-block"><b>By</b> '), _host(), F.lit(" &amp; co</div>")))
+        .when((lang != "fr") & (F.col("page_id") % 3 == 1), F.concat(
+            F.lit("<span class='x ssrcss-68pt20-Text-TextContributorName'>"), _host(), F.lit("</span>")))
+        .otherwise(""))
+    added = F.get(F.array(*[F.lit(markup) for markup, _ in ADDED_MARKUP]),
+                  (F.col("page_id") % len(ADDED_MARKUP)).cast("int"))
+    html = F.replace("html", F.lit("<article"), F.concat(byline, F.lit("<article")))
+    html = F.replace(html, F.lit("</article>"), F.concat(added, F.lit("</article>")))
     return pages.select(
-        "page_id", "url", "html", lang.alias("lang"),
+        "page_id", "url", html.alias("html"), lang.alias("lang"),
         F.when(lang == "fr", "Hespress").otherwise("BBC News").alias("source"))
 
 
@@ -151,6 +179,16 @@ def _escaped(c):
     return F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
 
 
+def _feed_date():
+    """The date of a page in one of several forms, by page."""
+    forms = ["EEE, dd MMM yyyy HH:mm:ss '+0000'", "d MMM yyyy h:mm:ss a", "dd-MMM-yyyy HH:mm:ss", "MMM d yyyy HH:mm:ss",
+             "EEE MMM d HH:mm:ss yyyy", "EEEE d MMMM yyyy HH:mm:ss"]
+    chosen = F.lit(None)
+    for k, form in enumerate(forms):
+        chosen = F.when(F.col("page_id") % len(forms) == k, F.date_format("ts", form)).otherwise(chosen)
+    return chosen
+
+
 def page_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RSS documents that list the pages: one per source and run of consecutive page ids."""
     titled = page_sources(spark, sf_dir).select(
@@ -158,21 +196,22 @@ def page_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("title"))
     pages = dated(titled, spark, sf_dir, "page_id")
     title = F.col("title")
-    host = F.regexp_extract("url", r"^https?://([^/]+)", 1)
+    host = _host()
     # feeds in the other languages name no category
     categories = F.when(
         F.col("lang").isin("en", "es"),
         F.concat(F.lit("<category>"), "lang", F.lit("</category><category>"), host,
                  F.lit("</category>"))).otherwise("")
     item = F.concat(
+        # an item in a comment, one named in a CDATA section, and an unclosed tag
+        F.when(F.col("page_id") % 5 == 0, "<!-- <item><title>no</title><link>u</link></item> -->").otherwise(""),
         F.lit("<item><title><![CDATA[ "), title, F.lit(" ]]></title>"),
         F.lit("<link>"), _escaped(F.col("url")), F.lit("</link>"),
-        F.coalesce(F.concat(
-            F.lit("<pubDate>"), F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"),
-            F.lit(" +0000</pubDate>")), F.lit("")),
+        F.coalesce(F.concat(F.lit("<pubDate>"), _feed_date(), F.lit("</pubDate>")), F.lit("")),
         categories,
         # some descriptions hold an ampersand and an entity that XML does not know
-        F.lit("<description>"), F.when(F.col("page_id") % 3 == 0, "R&D&nbsp;").otherwise(""),
+        F.lit("<description>"), F.when(F.col("page_id") % 3 == 0, "R&D&nbsp;")
+        .when(F.col("page_id") % 3 == 1, "<![CDATA[<item>]]> <br>").otherwise(""),
         _escaped(title), F.lit("</description>"),
         F.lit("<dc:creator>"), host, F.lit("</dc:creator></item>"),
     )
@@ -188,8 +227,9 @@ def page_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(
                 F.lit('<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'),
                 F.array_join(F.col("listed.item"), ""),
-                # every fourth document breaks off within an item
-                F.when(F.col("run") % 4 == 0, "<item><title>cut").otherwise("</channel></rss>"),
+                # every fourth document breaks off within an item, and others end with an item of nothing
+                F.when(F.col("run") % 4 == 0, "<item><title>cut")
+                .when(F.col("run") % 4 == 1, "<item>nothing</item></channel></rss>").otherwise("</channel></rss>"),
             ).alias("xml"),
         )
     )

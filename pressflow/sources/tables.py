@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pressflow.operators.latest import latest_version
 from pressflow.schemas import SILVER, SILVER_JSON
+from pressflow.sinks.commits import layer_batches
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -26,12 +27,16 @@ def scan_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_layer(
     spark: SparkSession, path: str, schema: str, skip_unreadable: bool = False
 ) -> DataFrame:
-    """All rows of a layer that is written in batches. ``skip_unreadable`` leaves damaged files
-    out, with a warning in the executor log, instead of failing."""
+    """All rows of a layer that is written in batches, without those of batches that do not count,
+    see ``sinks.commits``. ``skip_unreadable`` leaves damaged files out, with a warning in the
+    executor log, instead of failing."""
     reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
     if skip_unreadable:
         reader = reader.option("ignoreCorruptFiles", "true")
-    return reader.parquet(path).drop("batch_id")
+    rows, hidden = reader.parquet(path), list(layer_batches(spark, path)[1])
+    if hidden:  # few: what a stopped attempt or merge has left
+        rows = rows.where(~F.col("batch_id").isin(hidden))
+    return rows.drop("batch_id")
 
 
 def scan_silver(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:

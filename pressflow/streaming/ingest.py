@@ -2,7 +2,8 @@
 
 One streaming query. Each micro-batch is decoded, tagged and written to the three layers with
 the same operators the batch jobs use. Nothing here keeps state; the checkpoint holds the
-offsets, and a replayed micro-batch overwrites its own folders, so results are exactly once.
+offsets, and a replayed micro-batch overwrites its own folders, so results are exactly once. A
+micro-batch counts once its record is written, in all layers or in none.
 """
 
 from __future__ import annotations
@@ -14,18 +15,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pressflow.fixed_values import MIN_CONTENT_CHARS
+from pressflow.fixed_values import CORRUPT_JSON, GATES, MIN_CONTENT_CHARS
 from pressflow.operators.language import LanguageModel
 from pressflow.operators.latest import latest_version
 from pressflow.operators.quality import passed, rejected, tag_quality
 from pressflow.operators.silver import to_silver, with_partitions
 from pressflow.schemas import BRONZE, RAW_COLUMNS, REJECTS
+from pressflow.sinks.commits import begin, commit, quality_history
 from pressflow.sinks.lake import write_batch
 from pressflow.sources.events import decode_events
 from pressflow.sources.tables import read_layer, scan_silver
 
 SOURCE_FOLDERS = ["source_key", "dt"]
 REJECT_FOLDERS = ["dq_reason", "dt"]
+REASONS = [CORRUPT_JSON, *(gate for gate, _ in GATES)]
 DELIVERY = ["ingest_ts", "src_offset"]
 # Micro-batches whose counts are kept apart.
 COUNTED_BATCHES = 1000
@@ -81,22 +84,26 @@ class Ingest:
         return f"{self.root}/{name}"
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch. It is kept while its three outputs are written; a lost part
-        is read from the source again."""
-        seen = Observation()
+        """Write one micro-batch: three layers, and last the record that makes it count in each of
+        them. It is kept while its outputs are written; a lost part is read from the source again."""
+        seen, spark = Observation(), batch.sparkSession
+        begin(spark, self.root, batch_id)
         tagged = tagged_events(batch, self.min_content_chars).persist()
         try:
             counted = tagged.observe(
                 seen,
                 F.count_if(F.col("dq_reason").isNull()).alias("ok"),
-                F.count_if(F.col("dq_reason").isNotNull()).alias("rejected"),
+                *[F.count_if(F.col("dq_reason") == reason).alias(reason) for reason in REASONS],
             )
             write_batch(bronze_rows(counted), self.layer("bronze"), SOURCE_FOLDERS, batch_id)
             write_batch(reject_rows(tagged), self.layer("rejects"), REJECT_FOLDERS, batch_id)
             write_batch(
                 silver_rows(tagged, self.model), self.layer("silver"), SOURCE_FOLDERS, batch_id)
-            self.counts[batch_id] = seen.get
-            self.totals.update(seen.get)
+            outcomes = seen.get
+            commit(spark, self.root, batch_id, outcomes)
+            counts = {"ok": outcomes["ok"], "rejected": sum(outcomes[reason] for reason in REASONS)}
+            self.counts[batch_id] = counts
+            self.totals.update(counts)
             self.counts.pop(batch_id - COUNTED_BATCHES, None)
         finally:
             tagged.unpersist()
@@ -127,6 +134,10 @@ class Ingest:
         """Every reject; nothing is replaced."""
         return read_layer(spark, self.layer("rejects"), REJECTS)
 
+    def quality_history(self, spark: SparkSession) -> DataFrame:
+        """The quality results of every micro-batch."""
+        return quality_history(spark, self.root)
+
     def silver(self, spark: SparkSession) -> DataFrame:
         """The last passing delivery of every event."""
         return scan_silver(spark, self.layer("silver"))

@@ -93,6 +93,22 @@ def test_partition_date(spark, published, scraped, expected):
     ("2024/01/02", "2024-01-02T00:00:00+00:00"),
     ("1/2/2024", "2024-01-02T00:00:00+00:00"),
     ("2024-01-02 16:43:38 +0100", "2024-01-02T15:43:38+00:00"),
+    ("3 Feb 2026 4:05 PM", "2026-02-03T16:05:00+00:00"),
+    ("03-Feb-2026 10:00", "2026-02-03T10:00:00+00:00"),
+    ("Feb 3 2026", "2026-02-03T00:00:00+00:00"),
+    ("Tue Feb  3 10:00:00 2026", "2026-02-03T10:00:00+00:00"),
+    ("Tue Feb 3 10:00:00 UTC 2026", "2026-02-03T10:00:00+00:00"),
+    ("Tuesday 3 February 2026", "2026-02-03T00:00:00+00:00"),
+    ("Tuesday, 3rd of February, 2026 at 12:05 a.m.", "2026-02-03T00:05:00+00:00"),
+    ("3. Sept. 26 10:00 GMT+2", "2026-09-03T08:00:00+00:00"),
+    ("2026-2-3 9:05:07.25 +05:30", "2026-02-03T03:35:07.250000+00:00"),
+    ("20260203", "2026-02-03T00:00:00+00:00"), ("20260203 10:00", "2026-02-03T10:00:00+00:00"),
+    ("13/2/2026", "2026-02-13T00:00:00+00:00"), ("2.3.26", "2026-02-03T00:00:00+00:00"),
+    ("Sun, 1 Jan 95 10:00:00 GMT", "1995-01-01T10:00:00+00:00"), ("2026 Feb 3", "2026-02-03T00:00:00+00:00"),
+    ("3 Feb 2026 10:00 (CET)", "2026-02-03T10:00:00+00:00"), ("Feb 3, 2026, 4 pm", "2026-02-03T16:00:00+00:00"),
+    ("30 Feb 2026", None), ("Feb 2026", None), ("10:00", None), ("3 Feb 2026 25:00", None), ("13/13/2026", None),
+    ("3 Feb Mar 2026", None), ("3 Feb 2026 13:00 PM", None), ("soon 3 Feb 2026", None), ("1 2 3 4", None),
+    ("2026-02", None), ("31 Dec 0000", None), ("x" * 1000, None),
     ("no date", None), ("", None), (None, None),
 ])
 def test_feed_dates(one, value, expected):

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pressflow.functions import feedxml, html
 from pressflow.operators.skew import salted_left_join
-from pressflow.sources.feeds import article_events, feed_items, feed_rejects
+from pressflow.sources.feeds import article_events, feed_items, feed_rejects, undated_items
 from pressflow.sources.pages import SOURCE_RULES, Block, Byline, SourceRule, extract_pages
 
 
@@ -58,17 +59,28 @@ def test_bad_markup_costs_no_other_item(items, spark):
         "cdata": feed("<title><![CDATA[A & B &amp; C]]></title><link>http://x/2</link>", GOOD),
         "cut": feed(GOOD).replace("</channel></rss>", "<item><title>half</tit"),
         "nested": feed("<title><b>x</title><link>u</link>", GOOD),
+        "br": feed("<title>A <br>B</title><link>u</link>", GOOD), "br2": feed("<title>A<br/>B</title><link>u</link>", GOOD),
+        "comment": feed(GOOD).replace("<item>", "<!-- <item><title>no</title><link>u</link></item> --><item>"),
+        "pi": feed(GOOD).replace("<item>", "<?x <item><title>no</title><link>u</link></item> ?><item>"),
+        "doctype": "<!DOCTYPE rss>" + feed(GOOD), "garbage": feed("nothing", GOOD),
+        "named": feed("<title>say <![CDATA[<item> and </item>]]></title><link>u</link>", GOOD),
+        "open": feed(GOOD).replace("<item>", "<item><title>no end</title><link>u</link><item>"),
+        "attributes": feed('<title a="</title>">x</title><link>u</link>', GOOD),
         "empty": feed(), "none": None, "text": "not xml"}
     titles = {name: [r["title"] for r in items("Hespress", xml)] for name, xml in documents.items()}
     assert titles["amp"] == ["A & B\u00a0C &eacute;", "good"]
     assert items("Hespress", documents["amp"])[0]["url"] == "http://x/2?a=1&b=2"
     assert titles["cdata"] == ["A & B &amp; C", "good"]
-    assert titles["cut"] == titles["nested"] == ["good"]
+    assert titles["cut"] == ["good"] and titles["nested"] == ["x", "good"]
+    assert titles["br"] == ["A B", "good"] and titles["br2"] == ["AB", "good"]
+    assert titles["comment"] == titles["pi"] == titles["doctype"] == ["good"]
+    assert titles["named"] == ["say <item> and </item>", "good"]
+    assert titles["open"] == ["good"] and titles["attributes"] == ["x", "good"]
     assert titles["empty"] == titles["none"] == titles["text"] == []
     feeds = spark.createDataFrame(
         [(n, "Hespress", x) for n, x in documents.items()], "feed_id STRING, source STRING, xml STRING")
     rejects = {(r["feed_id"], r["position"], r["reason"]) for r in feed_rejects(feeds).collect()}
-    assert rejects == {("cut", 1, "cut_off"), ("nested", 0, "unreadable_item"),
+    assert rejects == {("cut", 1, "cut_off"), ("open", 0, "cut_off"), ("garbage", 0, "unreadable_item"),
                        ("none", None, "no_channel"), ("text", None, "no_channel")}
 
 
@@ -125,6 +137,26 @@ def test_noise_is_not_text(page):
     assert page("Hespress", html)["page_paragraphs"] == ["text"]
 
 
+@pytest.mark.parametrize("markup, expected", [
+    ('<p title="a>b">one</p>', ["one"]), ("<p title='a>b' x=1>one</p>", ["one"]), ('<p title=a"b>q</p><p>r', ["q", "r"]),
+    ('<p>see <img alt="<p>no</p>">it</p>', ["see it"]), ("<p>a<textarea><p>typed</textarea>b", ["a <p>typed b"]),
+    ("<p>a<div><p>b</div>c</p><p>d", ["a", "b", "d"]), ("<div><b><p>x</b>y</p></div>z<p>w", ["x", "w"]),
+    ("<table><tr><td>a<td><p>b</table><p>c", ["b", "c"]), ("<p>1 < 2 <3 &lt;4</p><p a='x>y", ["1 < 2 <3 <4"]),
+    ("<p>x<!-- > -->y<!--></p><p>z<!-- <p>no", ["x y", "z"]), ("<ul><li><p>a<li><p>b</ul><p>c", ["a", "b", "c"]),
+    ("<p>a<script>'</p><p>no'</script>b<style>p{}</style><template><p>no</p></template>", ["a b"]),
+    ("<P>a<BR/>b</P><p/>c<p hidden>d</x>e", ["a b", "c", "d e"]), ("<p>a</article><p>no", ["a"]),
+])
+def test_markup_is_read_as_a_parser_reads_it(page, markup, expected):
+    assert page("Hespress", f"<article>{markup}")["page_paragraphs"] == expected
+
+
+def test_broken_markup_takes_linear_time():
+    for markup in ("<a " * 50_000, '<p x="' + "y" * 500_000, "<div>" * 20_000 + "</p>" * 2000,
+                   "<p><b>" * 20_000 + "</i>" * 2000, "<!--" * 50_000, "<p a=b c" * 50_000):
+        html.parse(markup)
+    feedxml.scan("<channel>" + "<item><title><b>" * 5000 + "<![CDATA[" * 5000)
+
+
 def test_no_container(page):
     got = page("Hespress", "<p>text</p>")
     assert got["page_paragraphs"] == [] and got["page_body"] == "" and got["page_author"] is None
@@ -194,6 +226,14 @@ def test_article_events(spark):
     assert alone == {"http://x/1": "<p>hi</p>", "http://x/2": "sum", "http://x/4": "sum"}
 
 
+def test_dates_that_cannot_be_read_are_counted(spark):
+    dated = "<title>t</title><link>u</link><pubDate>{}</pubDate>"
+    xml = feed(*[dated.format(d) for d in ("soon", "3 Feb 2026 4:05 PM", "soon", "99 Feb 2026")], "<title>t</title><link>u</link>")
+    feeds = spark.createDataFrame([("f", "BBC News", xml)], "feed_id STRING, source STRING, xml STRING")
+    got = {(r["pub_date"], r["n_items"]) for r in undated_items(feed_items(feeds)).collect()}
+    assert got == {("soon", 2), ("99 Feb 2026", 1)}
+
+
 def test_salted_join_equals_plain_join(spark):
     left = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"))

@@ -14,6 +14,7 @@ from pressflow.sinks.events import as_messages, land_text
 from pressflow.sources import sample
 from pressflow.sources.events import decode_events, landed_events
 from pressflow.sources.tables import (
+    read_layer,
     scan_parquet,
     scan_silver,
     scan_silver_json,
@@ -180,6 +181,90 @@ def test_compaction_changes_no_result(spark, tmp_path):
     assert sorted(map(tuple, job.silver(spark).collect())) == before
 
 
+def events_of(df):
+    return sorted(r["id"] for r in df.collect())
+
+
+def test_batch_that_stops_between_layers_shows_in_none(spark, tmp_path, monkeypatch):
+    from pressflow.streaming import ingest
+
+    job = Ingest(str(tmp_path))
+    short = event(id="short", contenu="x")
+    plain = ingest.write_batch
+
+    def stop_before(layer):
+        def write(df, path, *rest):
+            if path.endswith(layer):
+                raise RuntimeError("lost")
+            plain(df, path, *rest)
+        monkeypatch.setattr(ingest, "write_batch", write)
+
+    # the very first batch, then a later one
+    for n, layer in enumerate(("rejects", "silver")):
+        stop_before(layer)
+        with pytest.raises(RuntimeError):
+            job.write(values(spark, [event(id=f"a{n}"), short]), n)
+        monkeypatch.undo()
+        assert (tmp_path / "bronze" / f"batch_id={n}").exists()
+        seen = sorted(["short"] * n + [f"a{k}" for k in range(n)])
+        assert events_of(job.bronze(spark)) == sorted(set(seen))
+        compact(spark, job.layer("bronze"), BRONZE, SOURCE_FOLDERS, up_to=n)
+        assert (tmp_path / "bronze" / f"batch_id={n}").exists()
+        if n:
+            assert events_of(job.rejects(spark)) == ["short"] and events_of(job.silver(spark)) == ["a0"]
+        # the stream replays it
+        job.write(values(spark, [event(id=f"a{n}"), short]), n)
+    assert events_of(job.bronze(spark)) == ["a0", "a1", "short"]
+    assert events_of(job.rejects(spark)) == ["short", "short"]
+    assert events_of(job.silver(spark)) == ["a0", "a1"]
+
+
+def test_layers_without_records_count_as_they_are(spark, tmp_path):
+    job = Ingest(str(tmp_path))
+    for n in range(3):
+        job.write(values(spark, [event(id=f"a{n}")]), n)
+    shutil.rmtree(tmp_path / "commits")
+    assert events_of(job.silver(spark)) == ["a0", "a1", "a2"]
+    job.write(values(spark, [event(id="a3")]), 3)
+    compact(spark, job.layer("silver"), SILVER, SOURCE_FOLDERS, up_to=2)
+    assert events_of(job.silver(spark)) == ["a0", "a1", "a2", "a3"]
+
+
+def test_merge_that_stops_before_its_record_shows_nothing_twice(spark, tmp_path, monkeypatch):
+    from pressflow.sinks import lake
+
+    job = Ingest(str(tmp_path))
+    for n in range(4):
+        job.write(values(spark, [event(id="short", contenu="x")]), n)
+    compact(spark, job.layer("bronze"), BRONZE, SOURCE_FOLDERS, up_to=1)
+    stored = spark.read.parquet(job.layer("bronze")).count()
+    shown = read_layer(spark, job.layer("bronze"), BRONZE).count()
+    with monkeypatch.context() as patch:
+        patch.setattr(lake, "commit_merge", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            compact(spark, job.layer("bronze"), BRONZE, SOURCE_FOLDERS, up_to=3)
+    assert spark.read.parquet(job.layer("bronze")).count() > stored
+    assert read_layer(spark, job.layer("bronze"), BRONZE).count() == shown == 3
+    compact(spark, job.layer("bronze"), BRONZE, SOURCE_FOLDERS, up_to=3)
+    assert [p.name for p in (tmp_path / "bronze").glob("batch_id=*")] == ["batch_id=-3"]
+    assert events_of(job.bronze(spark)) == ["short"]
+
+
+def test_quality_history_has_each_batch_once(spark, tmp_path):
+    job = Ingest(str(tmp_path))
+    assert job.quality_history(spark).count() == 0
+    bodies = [event(), event(titre_article=""), event(contenu="x"), "{bad"]
+    for n in (0, 1, 1):  # the second one is replayed
+        job.write(values(spark, bodies), n)
+    got = {(r["batch_id"], r["check_name"]): (r["passed"], json.loads(r["details"]))
+           for r in job.quality_history(spark).collect()}
+    assert len(got) == job.quality_history(spark).count() == 8
+    for n in (0, 1):
+        assert got[n, "missing_title"] == (False, {"n_checked": 3, "n_failed": 1})
+        assert got[n, "invalid_date"] == (True, {"n_checked": 2, "n_failed": 0})
+        assert got[n, "content_too_short"] == (False, {"n_checked": 2, "n_failed": 1})
+
+
 def test_bodies_without_an_id_are_all_kept(spark, tmp_path):
     job = Ingest(str(tmp_path))
     bad = ["{bad", "{worse", "[1]", "text"]
