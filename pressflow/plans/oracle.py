@@ -507,6 +507,10 @@ ORACLE = {
     "stream_rejects": _with("tagged", """
         SELECT id, titre_article, contenu, dq_reason FROM tagged WHERE dq_reason IS NOT NULL"""),
     "stream_daily_counts": _with("articles_per_day", "SELECT * FROM articles_per_day"),
+    "stream_daily_counts_net": _with("viewed", """
+        SELECT day, source, count(*) AS n_articles FROM (
+            SELECT day, source FROM viewed QUALIFY row_number() OVER (PARTITION BY id ORDER BY published_at DESC) = 1)
+        GROUP BY day, source"""),
     "stream_message_rate": """
         SELECT ts, round(count(*) / 300, 6) AS rate
         FROM (SELECT date_trunc('minute', ts) + INTERVAL 1 MINUTE * unnest(range(1, 6)) AS ts

@@ -145,6 +145,32 @@ def test_message_rate_over_a_sliding_window(spark, tmp_path):
     assert got["2026-01-01 00:01:00"] == pytest.approx(1 / 300)
 
 
+def test_net_counts_follow_corrections(spark, tmp_path):
+    from datetime import date
+
+    def deliver(batch_id, *rows):
+        df = spark.createDataFrame(list(rows), "id STRING, date_publication STRING, source STRING, at INT")
+        silver = df.selectExpr("*", *[f"CAST(NULL AS {kind}) AS {name}" for name, kind in (
+            part.split() for part in SILVER.replace("\n", " ").split(","))
+            if name not in ("id", "date_publication", "source", "ingest_ts", "src_offset")])
+        silver = silver.withColumns({"ingest_ts": F.timestamp_seconds("at"), "src_offset": F.lit(0).cast("bigint"),
+                                     "source_key": F.lit("k"), "dt": F.lit("2026-01-01").cast("date")}).drop("at")
+        silver.write.parquet(f"{tmp_path}/silver/batch_id={batch_id}")
+        daily.write_changes(daily.daily_changes(daily.silver_stream(spark, f"{tmp_path}/silver")),
+                            f"{tmp_path}/changes", f"{tmp_path}/checkpoint", {"availableNow": True}).awaitTermination()
+        return {(r["day"], r["source"]): r["n_articles"] for r in daily.net_counts(spark, f"{tmp_path}/changes").collect()}
+
+    one, two = date(2026, 1, 1), date(2026, 1, 2)
+    assert deliver(0, ("a", "2026-01-01", "S", 1), ("b", "2026-01-01T10:00:00Z", None, 1), ("a", "2026-01-01", "S", 2)
+                   ) == {(one, "S"): 1, (one, "unknown"): 1}
+    # a moves on, an older delivery of b changes nothing, c is new
+    assert deliver(1, ("a", "2026-01-02", "S", 3), ("b", "2026-01-02", None, 0), ("c", "2026-01-02", "S", 1)
+                   ) == {(two, "S"): 2, (one, "unknown"): 1}
+    # a again as it is, b under another source, c without a date
+    assert deliver(2, ("a", "2026-01-02", "S", 9), ("b", "2026-01-01", "T", 4), ("c", "soon", "S", 2)
+                   ) == {(two, "S"): 1, (one, "T"): 1}
+
+
 def test_scans(spark, tmp_path):
     assert scan_parquet(spark, str(tmp_path / "none"), REJECTS).isEmpty()
     job = Ingest(str(tmp_path))
