@@ -57,12 +57,12 @@ def articles_per_country(view: DataFrame) -> DataFrame:
     return view.groupBy("country", "day").agg(_articles())
 
 
-def daily_tokens(view: DataFrame) -> DataFrame:
-    """Every keyword occurrence with its day, stopwords removed."""
+def daily_tokens(view: DataFrame, *keep: str) -> DataFrame:
+    """Every keyword occurrence with its day, stopwords removed (O41-O43), and the columns to keep."""
     text = title_and_content(F.col("titre_article"), F.col("contenu"))
     return (
-        view.select("day", F.explode(keyword_tokens(text)).alias("token"))
-        .select("day", F.lower("token").alias("keyword"))
+        view.select("day", *keep, F.explode(keyword_tokens(text)).alias("token"))
+        .select("day", *keep, F.lower("token").alias("keyword"))
         .where(~F.col("keyword").isin(STOPWORDS))
     )
 

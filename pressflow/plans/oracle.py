@@ -266,6 +266,19 @@ def _with(last: str, query: str, *more: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + query
 
 
+def _gold_rows() -> str:
+    return _with("top_keywords", """
+        SELECT 'articles_per_day' AS table_name, day, source AS key, n_articles AS n FROM articles_per_day
+        UNION ALL SELECT 'articles_per_source', last_seen_at::DATE, source, n_articles FROM articles_per_source
+        UNION ALL SELECT 'articles_per_theme', day, theme, n_articles FROM articles_per_theme
+        UNION ALL SELECT 'articles_per_country', day, country, n_articles FROM articles_per_country
+        UNION ALL SELECT 'top_keywords', day, keyword, n_occurrences FROM top_keywords
+        UNION ALL SELECT 'articles', published_at::DATE, id, word_count::BIGINT FROM (
+            SELECT * FROM viewed QUALIFY row_number() OVER (PARTITION BY id ORDER BY
+                'source=' || source_key || '/dt=' || dt || '/' || id || '.json') = 1)""",
+        "articles_per_day", "articles_per_source", "articles_per_theme", "articles_per_country")
+
+
 _since_7 = "day >= DATE '2024-01-30' - 7"
 _since_30 = "day >= DATE '2024-01-30' - 30"
 
@@ -492,7 +505,8 @@ ORACLE = {
                (SELECT count(*) FROM top_keywords) AS top_keywords,
                (SELECT count(DISTINCT id) FROM viewed) AS articles""",
         "articles_per_day", "articles_per_source", "articles_per_theme", "articles_per_country"),
-    "gold_tables": _with("articles_per_theme", "SELECT * FROM articles_per_theme"),
+    "gold_tables": _gold_rows(),
+    "gold_incremental": _gold_rows(),
     "warehouse_load": _with("top_keywords", """
         SELECT (SELECT count(DISTINCT id) FROM viewed) AS articles,
                (SELECT count(*) FROM articles_per_day) AS articles_per_day,
