@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressflow.llm.support import stored, text_of
+from pressflow.session import working_dir
 
 K1, B = 1.2, 0.75
 TOP = 10
@@ -192,10 +193,10 @@ class ShardSearch:
 
 
 def _block_terms(rows) -> tuple[list, list[list[int]], dict[str, int]]:
-    """Ids of the queries, the numbers of their distinct terms, and the numbering."""
+    """Keys of the queries, the numbers of their distinct terms, and the numbering."""
     numbers: dict[str, int] = {}
     queries = [[numbers.setdefault(t, len(numbers)) for t in dict.fromkeys(terms(r["text"]))] for r in rows]
-    return [r["query_id"] for r in rows], queries, numbers
+    return [r["query"] for r in rows], queries, numbers
 
 
 def _frequencies(index: DataFrame, numbers) -> DataFrame:
@@ -214,29 +215,27 @@ def _frequencies(index: DataFrame, numbers) -> DataFrame:
         F.sum("df").alias("df"))
 
 
-def _answers(index: DataFrame, block, id_type: T.DataType, query_type: T.DataType, k: int) -> DataFrame:
+def _answers(index: DataFrame, block, schema: T.StructType, k: int) -> DataFrame:
+    kinds = [_arrow(f.dataType) for f in schema]
+
     def searched(batches):
-        query_ids, queries, weights, mean_length = block.value
+        keys, queries, weights, mean_length = block.value
         for batch in batches:
             for ids, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = ShardSearch(blob, weights, mean_length)
                 out = [], [], []
                 for at in range(0, len(queries), TOGETHER):
                     answers = shard.search(queries[at:at + TOGETHER], k)
-                    for query_id, found in zip(query_ids[at:at + TOGETHER], answers, strict=True):
+                    for key, found in zip(keys[at:at + TOGETHER], answers, strict=True):
                         best = sorted((-round(s, 6), ids[d] is None, ids[d] if ids[d] is not None else 0, d)
                                       for s, d in found)[:k]
                         for s, missing, i, _ in best:
-                            out[0].append(query_id)
+                            out[0].append(key)
                             out[1].append(None if missing else i)
                             out[2].append(-s)
-                kinds = (_arrow(query_type), _arrow(id_type), pa.float64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)],
-                    ["query_id", "doc_id", "score"])
+                    [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)], schema.names)
 
-    schema = T.StructType([T.StructField("query_id", query_type), T.StructField("doc_id", id_type),
-                           T.StructField("score", T.DoubleType())])
     return index.select("ids", "postings").mapInArrow(searched, schema)
 
 
@@ -247,31 +246,32 @@ def search(df: DataFrame, queries: DataFrame, doc_id: str = "doc_id", text: str
     Terms are lower-case runs of word characters; a query's repeated terms count once. Scores are
     rounded to six decimals; ties go to the smaller id, null ids last. A document without any of a
     query's terms is no answer, so a null or empty query has none. Rows of ``df`` that are repeated
-    are documents of their own. Empty tables give an empty result; other columns are left out.
+    are documents of their own; repeated rows of ``queries`` are one query, and rows of one id with
+    different texts are queries of their own, ranked apart. Empty tables give an empty result; other
+    columns are left out. Each block's answers are written before the next block is broadcast.
     """
     spark = df.sparkSession
     index = stored(build_index(df, doc_id, text), "index")
     total = index.agg(F.sum("n_docs").alias("n"), F.sum("n_terms").alias("terms")).first()
-    asked = queries.select(F.col(query_id).alias("query_id"), text_of(query_text).alias("text"))
+    asked = queries.select(F.col(query_id).alias("query_id"), text_of(query_text).alias("text")).distinct()
+    asked = stored(asked.withColumn("query", F.monotonically_increasing_id()), "queries")
     chars = asked.agg(F.sum(F.length("text") + 1)).first()[0] or 0
-    n_blocks = -(-chars // QUERY_CHARS)
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id", "text"), F.lit(max(n_blocks, 1))))
-    asked = stored(asked, "queries")
-    id_type, query_type = df.schema[doc_id].dataType, queries.schema[query_id].dataType
-    found = None
-    for number in range(n_blocks if total["n"] else 0):
-        query_ids, query_terms, numbers = _block_terms(asked.where(F.col("block") == number).collect())
-        df_of = {r["term"]: r["df"] for r in
-                 _frequencies(index, spark.sparkContext.broadcast(numbers)).collect()}
-        n = total["n"]
+    n, n_blocks = total["n"], -(-chars // QUERY_CHARS) if total["n"] else 0
+    schema = T.StructType([T.StructField("query", T.LongType()), T.StructField("doc_id", df.schema[doc_id].dataType),
+                           T.StructField("score", T.DoubleType())])
+    folder = working_dir(spark, "answers")
+    for number in range(n_blocks):
+        keys, query_terms, numbers = _block_terms(
+            asked.where(F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == number).collect())
+        sent = spark.sparkContext.broadcast(numbers)
+        df_of = {r["term"]: r["df"] for r in _frequencies(index, sent).collect()}
+        sent.unpersist()
         weights = {t: (i, math.log(1 + (n - df_of[i] + 0.5) / (df_of[i] + 0.5)))
                    for t, i in numbers.items() if i in df_of}
-        block = spark.sparkContext.broadcast((query_ids, query_terms, weights, total["terms"] / n))
-        answers = _answers(index, block, id_type, query_type, k)
-        found = answers if found is None else found.union(answers)
-    if found is None:
-        found = spark.createDataFrame([], T.StructType([
-            T.StructField("query_id", query_type), T.StructField("doc_id", id_type),
-            T.StructField("score", T.DoubleType())]))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        sent = spark.sparkContext.broadcast((keys, query_terms, weights, total["terms"] / n))
+        _answers(index, sent, schema, k).write.mode("append").parquet(folder)
+        sent.unpersist()
+    found = spark.read.schema(schema).parquet(folder) if n_blocks else spark.createDataFrame([], schema)
+    best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return top.join(asked.select("query", "query_id"), "query").select("query_id", "doc_id", "score", "rank")
