@@ -45,20 +45,23 @@ _MARKER = re.compile(
 FEATURES = {"marker": len(MARKERS) + 1, "gap": 2, "length": 12, "last": 4}
 
 
-def lines_of(pieces: Iterable[str], gap: bool) -> Iterator[tuple[int, int, tuple[int, ...], str, str]]:
-    """Piece, line within it, features, the line and its text without marker, if it is not blank."""
+def lines_of(pieces: Iterable[str], gap: bool) -> Iterator[tuple[int, int, tuple[int, ...], str, str, list[str]]]:
+    """Piece, line within it, features, the line and its text without marker, if it is not blank; and
+    the blank lines before it."""
+    blanks: list[str] = []
     for number, piece in enumerate(pieces):
         for place, line in enumerate(piece.split("\n")):
             if not line.strip():
                 gap = True
+                blanks.append(line)
                 continue
             found = _MARKER.match(line)
             marker = 1 + MARKERS.index(next(g for g in found.groups() if g).lower()) if found else 0
             text = line[found.end():] if found else line
             last = line.rstrip()[-1]
             kind = 1 if last == "?" else 2 if last == ":" else 3 if last in ".!" else 0
-            yield number, place, (marker, int(gap), min(len(line).bit_length(), 11), kind), line, text
-            gap = False
+            yield number, place, (marker, int(gap), min(len(line).bit_length(), 11), kind), line, text, blanks
+            gap, blanks = False, []
 
 
 @dataclass(frozen=True)
@@ -113,12 +116,16 @@ class RoleModel:
         return scores
 
 
-def raw_pieces(df: DataFrame, conv_id: str, order: str, text: str) -> DataFrame:
-    """``conv``, ``block``, ``place`` and ``piece``; see ``format_transcripts``."""
+def raw_pieces(df: DataFrame, conv_id: str, order: str, text: str, *more: Column) -> DataFrame:
+    """``conv``, ``block``, ``place``, ``piece`` and more columns; see ``format_transcripts``.
+
+    Rows are told apart by all their columns.
+    """
     place = F.coalesce(F.col(order).cast("bigint"), F.lit(-1))
+    whole = F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
     return df.select(F.col(conv_id).alias("conv"), F.floor(place / BLOCK).alias("block"), place.alias("place"),
-                     text_of(text).alias("piece")) \
-        .where("conv IS NOT NULL").dropDuplicates()
+                     text_of(text).alias("piece"), *more, whole.alias("whole")) \
+        .where("conv IS NOT NULL").dropDuplicates().drop("whole")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], extra: int = 0):
@@ -144,12 +151,7 @@ def train(df: DataFrame, conv_id: str = "conv_id", order: str = "turn", text: st
     counts as the first of a transcript only in the first block. No rows at all give even chances.
     """
     known = df.where(F.col(role).isin(*ROLES))
-    pieces = raw_pieces(known, conv_id, order, text).alias("p")
-    roles = known.select(F.col(conv_id).alias("conv"), F.coalesce(F.col(order).cast("bigint"), F.lit(-1)).alias("place"),
-                         text_of(text).alias("piece"), F.col(role).alias("role")).dropDuplicates(
-        ["conv", "place", "piece"])
-    labelled = _in_blocks(pieces.join(roles, ["conv", "place", "piece"]).select(
-        "conv", "block", "place", "piece", "role"))
+    labelled = _in_blocks(raw_pieces(known, conv_id, order, text, F.col(role).alias("role")))
     names = list(FEATURES)
 
     def counted(batches):
@@ -235,13 +237,16 @@ def rendered(role: str | Column, content: str | Column) -> Column:
 
 def format_transcripts(df: DataFrame, model: RoleModel, conv_id: str = "conv_id", order: str = "turn",
                        text: str = "text") -> DataFrame:
-    """The turns of raw transcripts: id, ``first_piece``, ``first_line``, ``role``, ``content``, ``rendered``.
+    """The turns of raw transcripts: id, ``first_piece``, ``first_line``, ``role``, ``marker``, ``content``,
+    ``rendered``.
 
     Each row of ``df`` is a piece of the transcript ``conv_id``; pieces go by ``order``, equal ones
-    by their text, and pieces without order come first. A row that is repeated in whole counts once.
-    Rows without ``conv_id`` belong to no transcript and are left out. Blank lines part turns but
-    are no content; a null or blank piece has no line, and a transcript without lines no turn.
-    A turn that is a marker alone has empty content. An empty table gives an empty table.
+    by their text, and pieces without order come first. A row that is repeated in whole, with all
+    its columns, counts once. Rows without ``conv_id`` belong to no transcript and are left out. The
+    content is a turn's text from its first line to its last one that is not blank, blank lines
+    between them included; what is cut off the first line is ``marker``. A null or blank piece has
+    no line, and a transcript without lines no turn. A turn that is a marker alone has empty
+    content. An empty table gives an empty table.
     """
     conv_type = df.schema[conv_id].dataType.simpleString()
     worker = shared(df.sparkSession, model)
@@ -255,24 +260,33 @@ def format_transcripts(df: DataFrame, model: RoleModel, conv_id: str = "conv_id"
                 continue
             path = worker().path([f for _, _, f, *_ in lines], None if entry is None else np.array(entry), last)
             parts = []
-            for (number, place, _, line, after_marker), state in zip(lines, path, strict=True):
+            for (number, place, _, line, after_marker, blanks), state in zip(lines, path, strict=True):
                 role, begins = STATES[state]
                 content = after_marker if begins else line  # within a turn nothing is a marker
                 if begins or not parts:
-                    parts.append([places[number], place, role, begins, []])
+                    marker = line[:len(line) - len(after_marker)] if begins else ""
+                    parts.append([places[number], place, role, begins, marker, [] if begins else list(blanks)])
+                elif parts[-1][5]:
+                    parts[-1][5] += blanks
                 if content:
-                    parts[-1][4].append(content)
-            kinds = (pa.int64(), pa.int32(), pa.string(), pa.bool_())
+                    parts[-1][5].append(content)
+            # blank lines at the end belong to the turn if it goes on in the next block
+            if last >= 0 and parts[-1][5]:
+                after = "\n".join(texts).split("\n")
+                end = next((k for k in range(len(after), 0, -1) if after[k - 1].strip()), 0)
+                parts[-1][5] += after[end:]
+            kinds = (pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.string())
             columns = list(zip(*parts, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([conv] * len(parts)), *(pa.array(c, k) for c, k in zip(columns[:4], kinds, strict=True)),
-                 pa.array(["\n".join(c) for c in columns[4]], pa.string())],
-                ["conv", "first_piece", "first_line", "role", "begins", "content"])
+                [pa.array([conv] * len(parts)), *(pa.array(c, k) for c, k in zip(columns[:5], kinds, strict=True)),
+                 pa.array(["\n".join(c) for c in columns[5]], pa.string())],
+                ["conv", "first_piece", "first_line", "role", "begins", "marker", "content"])
 
     prepared = pieces.join(entries, ["conv", "block"], "left").select(
         "conv", "block", "place", "piece", "entry", F.coalesce("last", F.lit(-1)).alias("last"))
     parts = stored(_in_blocks(prepared).mapInArrow(
-        turns, f"conv {conv_type}, first_piece bigint, first_line int, role string, begins boolean, content string"),
+        turns, f"conv {conv_type}, first_piece bigint, first_line int, role string, begins boolean, marker string, "
+               "content string"),
         "turns")
     # a turn that goes on over blocks: its later parts go to the last part that began one
     split = parts.where("NOT begins").select("conv").distinct()
@@ -280,13 +294,15 @@ def format_transcripts(df: DataFrame, model: RoleModel, conv_id: str = "conv_id"
     at = F.when(F.col("begins"), F.struct("first_piece", "first_line"))
     joined = parts.join(split, "conv").withColumn("at", F.last(at, ignorenulls=True).over(so_far)) \
         .groupBy("conv", "at").agg(
-            F.first("role").alias("role"),
+            F.first("role").alias("role"), F.max("marker").alias("marker"),
             F.array_sort(F.collect_list(F.struct("first_piece", "first_line", "content"))).alias("parts")) \
-        .select("conv", "at.first_piece", "at.first_line", "role",
+        .select("conv", "at.first_piece", "at.first_line", "role", "marker",
                 F.array_join(F.filter(F.col("parts.content"), lambda c: c != ""), "\n").alias("content"))
-    whole = parts.join(split, "conv", "left_anti").select("conv", "first_piece", "first_line", "role", "content")
-    return whole.union(joined).select(
-        F.col("conv").alias(conv_id), "first_piece", "first_line", "role", "content",
+    whole = parts.join(split, "conv", "left_anti").select("conv", "first_piece", "first_line", "role", "marker", "content")
+    # blank lines at a seam of blocks that turned out to be the turn's end or beginning
+    shown = F.regexp_replace("content", r"(?:\n[^\S\n]*)+\z|\A(?:[^\S\n]*\n)+", "")
+    return whole.union(joined).withColumn("content", shown).select(
+        F.col("conv").alias(conv_id), "first_piece", "first_line", "role", "marker", "content",
         rendered(F.col("role"), F.col("content")).alias("rendered"))
 
 

@@ -133,6 +133,18 @@ def test_search_in_small_shards(spark, monkeypatch, shard_docs):
         assert [i for _, i in found] == [i for i, _ in bm25(rows, rows[q][1], 7)]
 
 
+def test_repeated_queries_are_one(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERY_CHARS", 40)
+    rows = [(k, prose(k, 20, 30)) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = [(4, rows[4][1]), (4, rows[4][1]), (5, rows[5][1]), (5, rows[9][1]), (6, None)]
+    got = search.search(df, spark.createDataFrame(asked, "query_id long, query_text string"), k=4).collect()
+    assert sorted((r["rank"], r["doc_id"]) for r in got if r["query_id"] == 4) == [
+        (k, i) for k, (i, _) in enumerate(bm25(rows, rows[4][1], 4), 1)]
+    assert sorted((r["rank"], r["doc_id"]) for r in got if r["query_id"] == 5) == sorted(
+        (k, i) for text in (rows[5][1], rows[9][1]) for k, (i, _) in enumerate(bm25(rows, text, 4), 1))
+
+
 def test_search_on_edge_cases(spark):
     df = edge_table(spark)
     queries = df.select(F.col("doc_id").alias("query_id"), F.col("text").alias("query_text"), "row")
@@ -194,6 +206,25 @@ def test_lines_within_a_turn_stay_whole(spark, monkeypatch, block):
     assert {(r["first_piece"], r["role"], r["content"]) for r in got} == {(0, "user", "what?"), (1, "assistant", said)}
 
 
+@pytest.mark.parametrize("block", [1, 64])
+def test_blank_lines_within_a_turn_stay(spark, monkeypatch, block):
+    monkeypatch.setattr(chat, "BLOCK", block)
+    said = "def f():\n\n    return 1\n \n\nAnswer: 42"
+    rows = [(k, turn, text, role) for k in range(20) for turn, text, role in (
+        (0, "User: what?\n\n", "user"), (1, f"\nAssistant: {said}\n\n", "assistant"), (2, "User: thanks", "user"))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string, role string")
+    got = chat.format_transcripts(df.drop("role"), chat.train(df)).collect()
+    assert {(r["first_piece"], r["marker"], r["content"]) for r in got} == {
+        (0, "User: ", "what?"), (1, "Assistant: ", said), (2, "User: ", "thanks")}
+
+
+def test_rows_are_told_apart_by_all_columns(spark, role_model):
+    rows = [(1, None, "User: a", "x"), (1, None, "ok", "x"), (1, None, "ok", "y"), (1, None, "ok", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string, more string")
+    said = "\n".join(r["content"] for r in chat.format_transcripts(df, role_model).orderBy("first_line").collect())
+    assert said.split("\n").count("ok") == 2
+
+
 def test_chat_on_edge_cases(spark, role_model):
     rows = [(1, 0, "User: hi"), (1, 1, "Assistant: hello\nthere"), (1, 1, "Assistant: hello\nthere"),
             (2, 0, None), (2, None, "Human: x"), (3, 0, ""), (3, 1, " \n "), (None, 0, "User: lost"),
