@@ -38,13 +38,16 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pressflow.llm.support import shared, stored, text_of
 
 #: Documents and links after which a block is closed; a document's number in it has 15 bits.
-BLOCK_DOCS, BLOCK_LINKS = 32_768, 4_000_000
+BLOCK_DOCS, BLOCK_LINKS = 32_768 - 32, 4_000_000
 #: Units that a worker remembers.
 CACHE_UNITS = 300_000
 
 #: A unit begins at a blank or line feed between visible characters.
 _UNITS = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_TWO_BLANKS = re.compile(r"\s\s")
 _PAIR_SHIFT = 16
+#: Texts whose new units are tokenized together.
+TEXTS = 32
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -176,38 +179,44 @@ class Aligner:
                     self.groups.append("")
                     self.sizes.extend((0, 0, 0, 0))
 
-    @staticmethod
-    def _keys(text: str) -> list[str]:
-        return text.replace("\n", " \n").split(" ")
+    def _cut(self, text: str) -> list[tuple[str, str]] | None:
+        """Keys and texts of the units of a text with more white space than between words.
+
+        None if there is just one blank or line feed between visible characters each time.
+        """
+        if not (text[0].isspace() or text[-1].isspace() or _TWO_BLANKS.search(text)):
+            return None
+        raw = _UNITS.split(" " + text)
+        # a unit that a plain text can have gets its key there, any other one a key with a blank
+        return [(r if r[0] == "\n" else r[1:], r) if self._plain(r) else (" " + r, r) for r in raw]
 
     @staticmethod
-    def _plain(key: str) -> bool:
-        """Whether a key of the plain cut is a unit: a visible beginning, perhaps after a line feed, and end."""
-        word = key[1:] if key[:1] == "\n" else key
-        return bool(word) and not word[0].isspace() and not word[-1].isspace()
+    def _plain(raw: str) -> bool:
+        word = raw[1:]
+        return not (" " in word or "\n" in word[:1] or word[:1].isspace() or word[-1:].isspace()) and bool(word)
 
-    def units(self, text: str) -> list[int]:
-        """Numbers of a text's units.
+    def units(self, texts: list[str]) -> list[list[int]]:
+        """Numbers of the units of each text, which are not empty.
 
         A key without a blank stands for the unit with a blank in front, or with the line feed it
-        begins with. Where white space is more than that, the cut follows the definition, and other
-        units have a key with a blank, which no plain key has.
+        begins with. What is not known yet is learned for all texts together.
         """
-        known, keys = self.numbers.get, self._keys(text)
-        found = list(map(known, keys))
-        if None in found:
-            missing = dict.fromkeys(k for k, n in zip(keys, found, strict=True) if n is None)
-            if all(map(self._plain, missing)):
-                raw = {k: k if k[0] == "\n" else " " + k for k in missing}
-            else:
-                cut = _UNITS.split(" " + text)
-                keys = [r[1:] if r[0] == " " and self._plain(r[1:]) and " " not in r[1:] and r[1] != "\n"
-                        else r if r[0] == "\n" and " " not in r and self._plain(r) else " " + r for r in cut]
-                raw = {k: r for k, r in zip(keys, cut, strict=True) if k not in self.numbers}
-            if raw:
-                self._learn(raw)
-            found = list(map(self.numbers.__getitem__, keys))
-        return found
+        known, keys, missing = self.numbers.get, [], {}
+        for text in texts:
+            mine = text.replace("\n", " \n").split(" ")
+            found = list(map(known, mine))
+            if None in found:
+                cut = self._cut(text)
+                if cut is None:
+                    missing.update((k, k if k[0] == "\n" else " " + k)
+                                   for k, n in zip(mine, found, strict=True) if n is None)
+                else:
+                    mine = [k for k, _ in cut]
+                    missing.update((k, r) for k, r in cut if k not in self.numbers)
+            keys.append(mine)
+        if missing:
+            self._learn(missing)
+        return [list(map(self.numbers.__getitem__, mine)) for mine in keys]
 
     @property
     def crowded(self) -> bool:
@@ -245,12 +254,12 @@ def decode_bitmap(value: bytes) -> np.ndarray:
     return np.frombuffer(value, "<u2").astype(np.int64)
 
 
-def block_postings(pairs: np.ndarray, docs: np.ndarray) -> tuple[list[pa.Array], int]:
-    """Columns ``a``, ``b``, ``plane``, ``bits``, ``n_bits`` of a block's links.
+def block_postings(kinds: np.ndarray, of: np.ndarray, docs: np.ndarray) -> tuple[list[pa.Array], int]:
+    """Columns ``a``, ``b``, ``plane``, ``bits``, ``n_bits`` of a block's links, and their rows.
 
-    Plane -1 is the document bitmap, the OR of the others.
+    A link is the place of its pair in the sorted ``kinds`` and its document. Plane -1 is the
+    document bitmap, the OR of the others.
     """
-    kinds, of = np.unique(pairs, return_inverse=True)
     held, times = np.unique(of.astype(np.int64) << 15 | docs, return_counts=True)
     columns, rows = [[], [], [], [], []], 0
     for plane in range(-1, int(times.max(initial=0)).bit_length()):
@@ -322,12 +331,13 @@ def aligned(df: DataFrame, tokenizer_json: str, sentencepiece_model: bytes, doc_
             [pa.array(v, kind) for v, kind in zip(values, kinds, strict=False)]
             + [pa.nulls(n, kind) for kind in kinds[-n_posting:]], schema.names)
         # the links of every occurrence of a unit
-        flat, n_links = np.frombuffer(aligner.links, np.int64), sizes[:, 2]
+        kinds_, flat = np.unique(np.frombuffer(aligner.links, np.int64), return_inverse=True)
+        n_links = sizes[:, 2]
         whole = ~broken[owner]
         units, owner = units[whole], owner[whole]
         each, first = n_links[units], np.cumsum(n_links) - n_links
         within = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        columns, n = block_postings(flat[np.repeat(first[units], each) + within], np.repeat(owner, each))
+        columns, n = block_postings(kinds_, flat[np.repeat(first[units], each) + within], np.repeat(owner, each))
         if n:
             arrays = [pa.array(np.full(n, number), pa.int64()), *(pa.nulls(n, kind) for kind in kinds[1:-n_posting]),
                       *columns]
@@ -338,10 +348,14 @@ def aligned(df: DataFrame, tokenizer_json: str, sentencepiece_model: bytes, doc_
 
         block, number, aligner = Block(), TaskContext.get().partitionId() << 32, worker()
         for batch in batches:
-            for i, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                units = aligner.units(value) if value else []
-                joined = ";".join(map(aligner.groups.__getitem__, units))
-                block.add(i, units, sha256(joined.encode()).hexdigest() if units else "")
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                texts = part.column(1).to_pylist()
+                found = iter(aligner.units([t for t in texts if t]))
+                for i, text in zip(part.column(0).to_pylist(), texts, strict=True):
+                    units = next(found) if text else []
+                    joined = ";".join(map(aligner.groups.__getitem__, units))
+                    block.add(i, units, sha256(joined.encode()).hexdigest() if units else "")
                 if block.full or aligner.crowded:
                     yield from rows(block, number, aligner)
                     block, number = Block(), number + 1
