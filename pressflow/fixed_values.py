@@ -35,6 +35,8 @@ qu pas plus mais ne ni si comme aussi très bien tout tous toute toutes a
 # A keyword: three or more Latin (with accents) or Arabic-block characters.
 KEYWORD_PATTERN = r"[A-Za-zÀ-ÿ\x{0600}-\x{06FF}]{3,}"
 TOP_KEYWORDS_PER_DAY = 50
+# What cleaning takes out of a text as an address.
+URL_PATTERN = r"https?://\S+"
 
 # Defaults put in place of nulls before gold is built.
 UNKNOWN_SOURCE = "unknown"

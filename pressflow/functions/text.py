@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from pressflow.fixed_values import KEYWORD_PATTERN, WHITESPACE_CHARS
+from pressflow.fixed_values import KEYWORD_PATTERN, URL_PATTERN, WHITESPACE_CHARS
 
 # Markup that is not text, in the order in which it is removed; what is not closed goes on to
 # the end. The patterns avoid look-around and possessive quantifiers, so RE2 reads them too.
@@ -69,7 +69,7 @@ def normalize_text(c: Column) -> Column:
 
     @F.pandas_udf(StringType())
     def normalize(texts: pd.Series) -> pd.Series:
-        url = re.compile(r"https?://\S+")
+        url = re.compile(URL_PATTERN)
 
         def one(text: str) -> str:
             text = unicodedata.normalize("NFKC", html.unescape(text))

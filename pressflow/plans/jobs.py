@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pressflow.fixed_values import MIN_CONTENT_CHARS, TOP_KEYWORDS_PER_DAY
 from pressflow.operators.language import LanguageModel, trigram_counts
-from pressflow.plans.pipeline import build_gold, load_warehouse
+from pressflow.plans.pipeline import build_gold, load_database, load_warehouse
 from pressflow.schemas import BRONZE, SILVER
 from pressflow.session import configure
 from pressflow.sinks.events import land_text, publish_kafka
@@ -64,6 +64,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     gold.add_argument("--top-keywords", type=int, default=TOP_KEYWORDS_PER_DAY)
     load = command("load", "gold tables to the warehouse")
     load.add_argument("--database", default="gold")
+    load.add_argument("--jdbc", help="URL of a database to load instead of the session catalog")
+    load.add_argument("--property", action="append", default=[], help="key=value for the JDBC connection")
     for each in (gold, load):
         each.add_argument("--gold", required=True)
     return parser.parse_args(argv)
@@ -108,5 +110,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "gold":
         silver = Ingest(args.lake).layer("silver")
         build_gold(spark, silver, args.gold, top_k=args.top_keywords).show(truncate=False)
+    elif args.jdbc:
+        properties = dict(p.split("=", 1) for p in args.property)
+        load_database(spark, args.gold, args.jdbc, properties, args.database)
     else:
         load_warehouse(spark, args.gold, args.database).show(truncate=False)

@@ -23,10 +23,21 @@ from pressflow.operators.latest import (
     last_write,
     with_event_key,
 )
-from pressflow.schemas import GOLD, SILVER
+from pressflow.operators.quality import assert_keys
+from pressflow.schemas import GOLD, GOLD_KEYS, SILVER
 from pressflow.session import remove_dir, working_dir
 from pressflow.sinks.lake import write_observed
-from pressflow.sinks.warehouse import REPLACED, create_tables, replace_table, upsert_articles
+from pressflow.sinks.warehouse import (
+    REPLACED,
+    create_tables,
+    jdbc_create,
+    jdbc_replace,
+    jdbc_upsert,
+    merge_articles,
+    show_articles,
+    show_tables,
+    write_tables,
+)
 from pressflow.sources.tables import read_layer
 
 BUILDERS = {
@@ -57,8 +68,9 @@ def build_gold(
 ) -> DataFrame:
     """Rebuild every gold table from silver (O58) and return the row counts.
 
-    Each builder scans just the columns it needs. Texts are shuffled only if the list of the keys
-    that were delivered several times is too large to broadcast.
+    The counts share one narrow table of what they group by, so silver is read for it, the keywords
+    and the articles. Texts are shuffled only if the list of the keys that were delivered several
+    times is too large to broadcast.
     """
     started = time.time()
     folder = working_dir(spark, "gold")
@@ -70,8 +82,11 @@ def build_gold(
         stored = with_event_key(read_layer(spark, silver_path, SILVER))
         silver = pick(stored, LAYER_KEYS, last_write()).drop("_event")
         view = silver_view(silver, countries)
+        narrow = view.select("day", "source", "categorie", "country", "published_at")
+        narrow.write.parquet(f"{folder}/counted")
+        counted = spark.read.schema(narrow.schema).parquet(f"{folder}/counted")
         tables = {
-            **{name: build(view) for name, build in BUILDERS.items()},
+            **{name: build(counted) for name, build in BUILDERS.items() if name.startswith("articles_per_")},
             "top_keywords": top_keywords(view, top_k),
             "articles": articles(view, pick),
         }
@@ -94,12 +109,30 @@ def read_gold(spark: SparkSession, gold_path: str) -> dict[str, DataFrame]:
 def load_warehouse(
     spark: SparkSession, gold_path: str, database: str = "gold", load_ts: Column | None = None
 ) -> DataFrame:
-    """Replace the aggregate tables and merge the articles (O60, O61); returns row counts."""
+    """Replace the aggregate tables and merge the articles (O60, O61); returns row counts.
+
+    All tables are written before the first one is switched, so a load that fails shows nothing.
+    """
     started = time.time()
     create_tables(spark, database)
     tables = read_gold(spark, gold_path)
-    for name in REPLACED:
-        replace_table(spark, name, tables[name], database)
-    upsert_articles(spark, tables["articles"], database, load_ts)
+    version = write_tables(spark, {name: tables[name] for name in REPLACED}, database)
+    merge_articles(spark, tables["articles"], database, load_ts)
+    show_tables(spark, REPLACED, version, database)
+    show_articles(spark, database)
     counts = {name: spark.table(f"{database}.{name}").count() for name in GOLD}
     return _summary(spark, counts, started)
+
+
+def load_database(
+    spark: SparkSession, gold_path: str, url: str, properties: dict[str, str], database: str = "gold"
+) -> None:
+    """The same load into a database over JDBC: tables are created where they are missing (O59),
+    aggregates replaced (O60) and articles merged (O61), each table in one transaction."""
+    tables = read_gold(spark, gold_path)
+    for name, rows in tables.items():
+        assert_keys(rows, GOLD_KEYS[name], name)
+    jdbc_create(spark, url, properties, database)
+    for name in REPLACED:
+        jdbc_replace(tables[name], url, f"{database}.{name}", properties)
+    jdbc_upsert(tables["articles"], url, f"{database}.articles", GOLD_KEYS["articles"], properties)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from functools import reduce
 
@@ -16,23 +17,55 @@ REPLACED = [name for name in GOLD if name != "articles"]
 
 
 def create_tables(spark: SparkSession, database: str = "gold") -> None:
-    """Create the warehouse tables that do not exist yet."""
+    """Create the warehouse tables that do not exist yet.
+
+    A table that is replaced as a whole is a view of the rows written last.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in REPLACED:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({GOLD[name]}) USING parquet")
+        if not spark.catalog.tableExists(f"{database}.{name}"):
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name}_rows_0 ({GOLD[name]}) USING parquet")
+            _show(spark, database, name, 0)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.dq_results ({DQ_RESULTS}) USING parquet")
 
 
-def replace_table(
-    spark: SparkSession, name: str, rows: DataFrame, database: str = "gold"
-) -> None:
-    """Replace all rows of a table (O60), after its key is checked.
+def _show(spark: SparkSession, database: str, name: str, version: int) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{name}_rows_{version}")
+
+
+def _versions(spark: SparkSession, database: str, name: str) -> list[int]:
+    """Versions of a table's rows, oldest first."""
+    names = [t.name for t in spark.catalog.listTables(database)]
+    return sorted(int(n.rsplit("_", 1)[1]) for n in names if n.startswith(f"{name}_rows_"))
 
-    ``rows`` is checked and written, so it should read stored gold, not rebuild it.
+
+def write_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str = "gold") -> int:
+    """Write the next rows of tables (O60), after their keys are checked (O63); returns the version
+    that ``show_tables`` switches to. If one cannot be written, none is left.
+
+    The rows are checked and written, so they should read stored gold, not rebuild it.
     """
-    assert_keys(rows, GOLD_KEYS[name], name)
-    columns = spark.table(f"{database}.{name}").columns
-    rows.select(*columns).write.insertInto(f"{database}.{name}", overwrite=True)
+    version = time.time_ns()
+    try:
+        for name, rows in tables.items():
+            assert_keys(rows, GOLD_KEYS[name], name)
+            columns = spark.table(f"{database}.{name}").columns
+            rows.select(*columns).write.format("parquet").saveAsTable(f"{database}.{name}_rows_{version}")
+    except Exception:
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}_rows_{version}")
+        raise
+    return version
+
+
+def show_tables(spark: SparkSession, names: list[str], version: int, database: str = "gold") -> None:
+    """Switch the views of tables to rows that are all written. The rows before stay until the next
+    switch, for queries that still read them."""
+    for name in names:
+        _show(spark, database, name, version)
+    for name in names:
+        for old in _versions(spark, database, name)[:-2]:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}_rows_{old}")
 
 
 def append_quality_results(spark: SparkSession, results: DataFrame, database: str = "gold") -> None:
@@ -47,29 +80,42 @@ def articles_table(spark: SparkSession, database: str = "gold") -> BucketedTable
     return BucketedTable(f"{root}/articles_buckets", f"{GOLD['articles']}, ingested_at TIMESTAMP", GOLD_KEYS["articles"])
 
 
-def upsert_articles(
+def merge_articles(
     spark: SparkSession, updates: DataFrame, database: str = "gold",
     load_ts: Column | None = None, buckets: int | None = None,
 ) -> Merged:
     """Merge articles by id (O61); merged rows get the load time.
 
-    Only the buckets that hold an updated id are rewritten, see ``BucketedTable``. The view
-    ``articles`` is then switched to the new version: readers see the old state or the new one. The
-    version before stays until the next merge, for queries that still read it.
+    Only the buckets that hold an updated id are rewritten, see ``BucketedTable``. Readers of the view
+    ``articles`` see the state before until ``show_articles``.
 
     ``buckets`` should let a bucket fit a task; it follows the session's shuffle partitions.
     """
     assert_keys(updates, GOLD_KEYS["articles"], "articles")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ingested_at = F.current_timestamp() if load_ts is None else load_ts
+    return articles_table(spark, database).merge(updates.withColumn("ingested_at", ingested_at), buckets)
+
+
+def show_articles(spark: SparkSession, database: str = "gold") -> None:
+    """Switch the view ``articles`` to the newest version. The one before stays until the next merge,
+    for queries that still read it."""
     table = articles_table(spark, database)
-    merged = table.merge(updates.withColumn("ingested_at", ingested_at), buckets)
     if table.manifest(spark) is not None:
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.articles AS {table.select_statement(spark)}")
+        rows = table.select_statement(spark)
     else:  # a warehouse that has been given no article yet
-        empty = ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in
-                          (part.split() for part in table.schema.replace("\n", " ").split(",")))
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.articles AS SELECT {empty} WHERE false")
+        columns = (part.split() for part in table.schema.replace("\n", " ").split(","))
+        rows = f"SELECT {', '.join(f'CAST(NULL AS {kind}) AS {name}' for name, kind in columns)} WHERE false"
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.articles AS {rows}")
+
+
+def upsert_articles(
+    spark: SparkSession, updates: DataFrame, database: str = "gold",
+    load_ts: Column | None = None, buckets: int | None = None,
+) -> Merged:
+    """``merge_articles`` and ``show_articles``."""
+    merged = merge_articles(spark, updates, database, load_ts, buckets)
+    show_articles(spark, database)
     return merged
 
 
@@ -107,9 +153,9 @@ def database_ddl(database: str = "gold") -> list[str]:
     return [*made, f"CREATE TABLE IF NOT EXISTS {database}.dq_results ({listed})"]
 
 
-def _in_one_transaction(rows: DataFrame, url: str, properties: dict[str, str], statements: list[str]) -> None:
+def _in_one_transaction(spark: SparkSession, url: str, properties: dict[str, str], statements: list[str]) -> None:
     """Run statements on the driver; none takes effect if one fails."""
-    jvm = rows.sparkSession.sparkContext._jvm
+    jvm = spark.sparkContext._jvm
     login = jvm.java.util.Properties()
     for key, value in properties.items():
         login.setProperty(key, value)
@@ -139,9 +185,9 @@ def _through_stage(
             rows.write.format("jdbc").option("url", url).option("dbtable", stage)
             .option("batchsize", "5000").options(**properties).mode("overwrite").save()
         )
-        _in_one_transaction(rows, url, properties, statements_for(stage))
+        _in_one_transaction(rows.sparkSession, url, properties, statements_for(stage))
     finally:
-        _in_one_transaction(rows, url, properties, [f"DROP TABLE IF EXISTS {stage}"])
+        _in_one_transaction(rows.sparkSession, url, properties, [f"DROP TABLE IF EXISTS {stage}"])
 
 
 def jdbc_replace(rows: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
@@ -161,6 +207,11 @@ def upsert_statement(table: str, stage: str, columns: list[str], keys: list[str]
     )
 
 
+def jdbc_create(spark: SparkSession, url: str, properties: dict[str, str], database: str = "gold") -> None:
+    """Create the warehouse in a database, where it does not exist yet."""
+    _in_one_transaction(spark, url, properties, database_ddl(database))
+
+
 def jdbc_upsert(
     rows: DataFrame, url: str, table: str, keys: list[str], properties: dict[str, str]
 ) -> None:

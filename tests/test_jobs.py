@@ -38,6 +38,25 @@ def test_events_come_from_one_place():
 
 def test_merge_needs_a_catalog_that_supports_it(spark):
     create_tables(spark, "merging")
+    spark.sql("CREATE TABLE merging.keywords (keyword STRING, day DATE, n_occurrences BIGINT, ingested_at TIMESTAMP) "
+              "USING parquet")
     updates = spark.createDataFrame([("k", None, 1)], "keyword STRING, day DATE, n_occurrences LONG")
     with pytest.raises(UnsupportedOperationException, match="MERGE"):
-        merge_into(updates, "merging.top_keywords", ["keyword", "day"])
+        merge_into(updates, "merging.keywords", ["keyword", "day"])
+
+
+def test_load_into_a_database(spark, tmp_path, monkeypatch):
+    from pressflow.plans import pipeline
+    from pressflow.schemas import GOLD
+
+    for name, schema in GOLD.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    calls = []
+    for name in ("jdbc_create", "jdbc_replace", "jdbc_upsert"):
+        monkeypatch.setattr(pipeline, name, lambda *args, name=name: calls.append((name, args[1:])))
+    main(["load", "--gold", str(tmp_path), "--database", "wh", "--jdbc", "jdbc:x", "--property", "user=u",
+          "--property", "password=a=b"])
+    properties = {"user": "u", "password": "a=b"}
+    assert calls[0] == ("jdbc_create", ("jdbc:x", properties, "wh"))
+    assert sorted(c[1][1] for c in calls[1:-1]) == sorted(f"wh.{n}" for n in GOLD if n != "articles")
+    assert calls[-1] == ("jdbc_upsert", ("jdbc:x", "wh.articles", ["id"], properties))

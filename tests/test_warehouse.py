@@ -188,6 +188,29 @@ def test_failed_merge_shows_nothing(spark, tmp_path, monkeypatch):
     assert contents(table, spark) == [("a", 0), ("b", 1)]
 
 
+def test_failed_load_switches_no_table(spark, tmp_path):
+    def gold(name, n, broken=False):
+        path = str(tmp_path / name)
+        for table, schema in GOLD.items():
+            rows = spark.createDataFrame([], schema)
+            if table == "articles_per_source":
+                rows = spark.createDataFrame([("S", n, None)] * (2 if broken else 1), schema)
+            if table == "articles_per_day":
+                rows = spark.createDataFrame([(ONE.date(), "S", n)], schema)
+            rows.write.parquet(f"{path}/{table}")
+        return path
+
+    load_warehouse(spark, gold("one", 1), "wh6", at(ONE))
+    with pytest.raises(ValueError):
+        load_warehouse(spark, gold("two", 2, broken=True), "wh6", at(TWO))
+    shown = [spark.table(f"wh6.{t}").first()["n_articles"] for t in ("articles_per_day", "articles_per_source")]
+    assert shown == [1, 1]
+    for n in (3, 4):
+        load_warehouse(spark, gold(f"more{n}", n), "wh6", at(TWO))
+    assert spark.table("wh6.articles_per_day").first()["n_articles"] == 4
+    assert sum(t.name.startswith("articles_per_day_rows") for t in spark.catalog.listTables("wh6")) == 2
+
+
 def test_older_versions_go(spark, tmp_path):
     table = BucketedTable(str(tmp_path), "id STRING, n INT", ["id"])
     for n in range(5):
