@@ -12,9 +12,13 @@ checksums are shuffled, never token ids. Cutting, which needs the ids, is done w
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,8 +32,22 @@ END_ID = 1
 #: Pieces that one task packs.
 GROUP_PIECES = 65_536
 #: Entries of a worker's cache of chunks; the longest chunk in it.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 1_000_000
 CACHED_CHARS = 64
+#: Texts whose new chunks are encoded together.
+TEXTS = 32
+
+def _byte_table() -> dict[int, int]:
+    """From the characters that byte-level vocabularies write bytes with to these bytes."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {256 + i: b for i, b in enumerate(sorted(set(range(256)) - set(visible)))}
+
+
+_BYTES = _byte_table()
+
+
+#: A full stop or comma alone at the end of a chunk, after a letter: the model parts it from the word.
+_POINT = re.compile(r"(?<=[a-z])([.,])(?=\s)")
 
 
 class ChunkIds:
@@ -40,10 +58,11 @@ class ChunkIds:
 
     def __init__(self, tokenizer_json: str):
         self.tokenizer_json = tokenizer_json
+        self.special = [t["content"].lower() for t in json.loads(tokenizer_json).get("added_tokens", [])]
         self.tokenizer, self.cache = None, {}
 
     def __getstate__(self):
-        return {"tokenizer_json": self.tokenizer_json, "tokenizer": None, "cache": {}}
+        return {"tokenizer_json": self.tokenizer_json, "special": self.special, "tokenizer": None, "cache": {}}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         if self.tokenizer is None:
@@ -55,23 +74,61 @@ class ChunkIds:
             self.tokenizer = Tokenizer.from_str(self.tokenizer_json)
             self.tokenizer.no_truncation()
             self.tokenizer.no_padding()
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [b"".join([i.to_bytes(4, "little") for i in e.ids]) for e in found]
+            self.tokens = [t.removesuffix("</w>").translate(_BYTES).encode("latin-1", "replace") for t, _ in
+                           sorted(self.tokenizer.get_vocab().items(), key=lambda t: t[1])]
+            self.sizes = np.array([len(t) for t in self.tokens], np.int64)
+        return self._cut(texts) or [ids.tobytes() for ids in self._ids(texts)]
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as unsigned 32-bit little-endian numbers."""
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _cut(self, chunks: list[str]) -> list[bytes] | None:
+        """Ids of chunks that are encoded as one text, cut where the bytes of a chunk end.
+
+        The library's work on one text of many chunks is far less than on as many texts. None if
+        the ids do not stand for the chunks as the model reads them (lower-case, composed).
+        """
+        joined = " ".join(chunks)
+        ids = self._ids([joined])[0]
+        if joined.isascii():
+            read, sizes = joined.lower().replace(" ", "").encode(), list(map(len, chunks))
+        else:
+            parts = [unicodedata.normalize("NFC", c).lower().encode() for c in chunks]
+            read, sizes = b"".join(parts), list(map(len, parts))
+        if b"".join(map(self.tokens.__getitem__, ids.tolist())) != read:
+            return None
+        ends = np.cumsum(sizes)
+        token_ends = np.cumsum(self.sizes[ids])
+        at = np.searchsorted(token_ends, ends)
+        if not np.array_equal(token_ends[at], ends):
+            return None
+        data, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+        return [data[s:e] for s, e in zip(cuts, cuts[1:], strict=False)]
+
+    def _chunks(self, text: str) -> list[str]:
+        """White-space separated chunks in which A-Z are lower-case, as the model reads them, so that
+        more of them are the same; as written where that would make a special string."""
+        lower = text.encode().lower().decode()
+        return (text if any(s in lower for s in self.special) else _POINT.sub(r" \1", lower)).split()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as unsigned 32-bit little-endian numbers."""
         # str.split also splits at four control characters that are no white space to the model
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self._encoded([text])[0]
-        chunks = text.split()
-        found = list(map(self.cache.get, chunks))
-        if None in found:
-            missing = list({c for c, f in zip(chunks, found, strict=True) if f is None})
-            new = dict(zip(missing, self._encoded(missing), strict=True))
-            if len(self.cache) < CACHE_CHUNKS:
-                self.cache.update((c, f) for c, f in new.items() if len(c) <= CACHED_CHARS)
-            found = [new[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
-        return b"".join(found)
+        whole = {i for i, t in enumerate(texts) if any(c in t for c in "\x1c\x1d\x1e\x1f")}
+        chunked = [[] if i in whole else self._chunks(t) for i, t in enumerate(texts)]
+        found = [list(map(self.cache.get, chunks)) for chunks in chunked]
+        missing = list(dict.fromkeys(
+            c for chunks, ids in zip(chunked, found, strict=True) if None in ids
+            for c, f in zip(chunks, ids, strict=True) if f is None))
+        new = dict(zip(missing, self._encoded(missing), strict=True)) if missing else {}
+        if len(self.cache) < CACHE_CHUNKS:
+            self.cache.update((c, f) for c, f in new.items() if len(c) <= CACHED_CHARS)
+        out = [b"".join([new[c] if f is None else f for c, f in zip(chunks, ids, strict=True)] if None in ids else ids)
+               for chunks, ids in zip(chunked, found, strict=True)]
+        for i in whole:
+            out[i] = self._encoded([texts[i]])[0]
+        return out
 
 
 class Rooms:
@@ -142,8 +199,10 @@ def token_pieces(df: DataFrame, tokenizer_json: str, doc_id: str = "doc_id", tex
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, owners = [], []
-            for i, value in enumerate(batch.column(1).to_pylist()):
-                ids = worker().encode(value or "") + end
+            texts = [value or "" for value in batch.column(1).to_pylist()]
+            encoded = (ids for at in range(0, len(texts), TEXTS) for ids in worker().encode(texts[at:at + TEXTS]))
+            for i, ids in enumerate(encoded):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[4 * start:4 * (start + window)]

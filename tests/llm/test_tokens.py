@@ -114,6 +114,14 @@ def test_packing_of_edge_cases(spark):
     assert packing.pack_documents(edge_table(spark).limit(0), content).count() == 0
 
 
+def test_chunks_encoded_together():
+    plain = tokenizer("word_bpe_49k.json")
+    for text in ["one two\n three", "a <|endoftext|> b", "İ x", "Σας ΑΣ y", "x\x00 \x7f", "Don't, x., y-, A., B.\nc, 1, é, ΑΣ. <|endoftext|>. K.", "<|ENDOFTEXT|> x, y", "İİ <|endoftext|>x z", "\u0301 é ΑΣ, don't 12 a\u0301"]:
+        (ids,) = packing.ChunkIds(tokenizer_json("word_bpe_49k.json")).encode([text])
+        expected = plain.encode(text, add_special_tokens=False).ids
+        assert ids == b"".join(i.to_bytes(4, "little") for i in expected)
+
+
 def test_sequences_hold_the_ids(spark, docs):
     content, df = tokenizer_json("word_bpe_49k.json"), spark.createDataFrame(docs[:40], "doc_id long, text string")
     pieces = packing.stored(packing.token_pieces(df, content, with_ids=True, window=256), "pieces")
