@@ -38,14 +38,16 @@ CUT = 25.74
 CONSISTENCY = 0.75 / 0.5344
 
 #: Parts of the vector: name, expression, and the standard deviation that is the least of all groups.
-#: The least times the root of ``CUT`` (5.07) is what a part can reject alone in the tightest group;
-#: it is well inside the range of each: below 1 for ``dup_lines``, 0.54 for ``repeats`` after the base.
+#: The least times the root of ``CUT`` (5.07) is what a part can reject alone in the tightest group.
+#: For the last two it is the value of a short text that shall be rejected: 8 lines of 13 repeated
+#: (sqrt(8 / 18) / 5.5), a quarter of 60 words in repeated windows (sqrt(15 / 110) / 5.5). The divisor
+#: is above 5.07, because the usual texts of a group have a centre above zero.
 PARTS = [
     ("word_length", "ln((word_chars + 250) / (n_words + 50))", 0.05),
     ("symbols", "sqrt(n_symbols / (n_words + 50))", 0.05),
     ("capitals", "sqrt((n_capitals + 2) / (word_chars + 100))", 0.05),
     ("dup_lines", "sqrt(n_dup_lines / (n_lines + 5))", 0.12),
-    ("repeats", "sqrt(n_repeat_words / (n_words + 50))", 0.10),
+    ("repeats", "sqrt(n_repeat_words / (n_words + 50))", 0.067),
 ]
 _K = len(PARTS)
 _BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -164,11 +166,34 @@ def _factored(found: DataFrame) -> DataFrame:
     return found.withColumn("log_det", sum(logs[1:], logs[0]))
 
 
+#: Group of all rows; the ids of languages end in binary 10, those of a language's sources in 01.
+_ALL = 0
+
+
+def _salts(group_id: Column) -> Column:
+    """Parts that the rows of a group are spread over when they meet something of their group.
+
+    Known from the level that the id names, so rows and estimates agree without counting first: all
+    rows, a language's, a source's.
+    """
+    return (F.when(group_id == _ALL, 256).when(group_id.bitwiseAND(F.lit(3)) == 2, 64).otherwise(32))
+
+
+def _salted(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``salt``, dealt in turn, so equal rows are spread as well."""
+    return rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), _salts(F.col("group_id"))).cast("int"))
+
+
+def _copied(groups: DataFrame) -> DataFrame:
+    """``groups``, one row each, with a copy for every ``salt`` that their rows can have."""
+    return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts(F.col("group_id")) - 1)))
+
+
 def _measured(rows: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with ``d2``, their squared distance in their group's estimate."""
     x = [F.col(name) for name, _, _ in PARTS]
     lower = [[F.col(f"l_{i}{j}") for j in range(i + 1)] for i in range(_K)]
-    joined = rows.join(estimates, keys)
+    joined = rows.join(_copied(estimates), [*keys, "salt"])
     return joined.select(*(rows[c] for c in rows.columns),
                          _distance(x, [F.col(f"c_{i}") for i in range(_K)], lower).alias("d2"))
 
@@ -177,13 +202,14 @@ def _nearest(measured: DataFrame, keys: list[str]) -> DataFrame:
     """The share ``COVERAGE`` of each group's rows with the least ``d2``, ties included."""
     radius = measured.groupBy(*keys).agg(
         F.percentile_approx("d2", COVERAGE, 10_000).alias("radius"))
-    return measured.join(radius, keys).where("d2 <= radius").drop("d2", "radius")
+    return measured.join(_copied(radius), [*keys, "salt"]).where("d2 <= radius").drop("d2", "radius")
 
 
 def estimates(vectors: DataFrame, name: str) -> DataFrame:
     """Minimum-covariance-determinant estimate of each ``group_id`` of ``vectors``.
 
-    ``vectors`` holds ``group_id`` and the parts. One row for each group.
+    ``vectors`` holds ``group_id``, ``salt`` and the parts. One row for each group. What rows are
+    joined with is copied for every salt, so no group's rows meet in one task.
     """
     keys = ["group_id"]
     names = [n for n, _, _ in PARTS]
@@ -191,7 +217,7 @@ def estimates(vectors: DataFrame, name: str) -> DataFrame:
         *(F.percentile_approx(n, [0.25, 0.5, 0.75], 10_000).alias(f"q_{n}") for n in names))
     spread = [F.greatest((F.col(f"q_{n}")[2] - F.col(f"q_{n}")[0]) / 1.349, F.lit(floor))
               for n, _, floor in PARTS]
-    near_median = vectors.join(medians, keys).select(
+    near_median = vectors.join(_copied(medians), [*keys, "salt"]).select(
         *(vectors[c] for c in vectors.columns),
         sum(((F.col(n) - F.col(f"q_{n}")[1]) / s) ** 2
             for n, s in zip(names, spread, strict=True)).alias("d2"))
@@ -207,10 +233,6 @@ def estimates(vectors: DataFrame, name: str) -> DataFrame:
         F.min_by(F.struct(*values), "log_det").alias("e")).select(*keys, "e.*")
 
 
-#: Group of all rows; the ids of languages end in binary 10, those of a language's sources in 01.
-_ALL = 0
-
-
 def _language_of(lang: str | Column) -> Column:
     return F.xxhash64(lang).bitwiseAND(F.lit(-4)).bitwiseOR(F.lit(2))
 
@@ -246,8 +268,8 @@ def _fitted(rows: DataFrame) -> DataFrame:
     sizes = stored(passed.groupBy("group_id", "lang_id").agg(F.count("*").alias("n")), "group-sizes")
     levels = F.explode(F.array("group_id", "lang_id", F.lit(_ALL).cast("bigint")))
     names = [name for name, _, _ in PARTS]
-    vectors = stored(passed.select("group_id", "lang_id", *vector("s"))
-                     .select(levels.alias("group_id"), *names), "vectors")
+    vectors = stored(_salted(passed.select("group_id", "lang_id", *vector("s"))
+                             .select(levels.alias("group_id"), *names)), "vectors")
     return stored(_shrunk(sizes, stored(estimates(vectors, "mcd"), "estimates")), "groups")
 
 
@@ -260,7 +282,7 @@ def _judged(rows: DataFrame, fitted: DataFrame) -> DataFrame:
     lower = [[F.col(f"l_{i}{j}") for j in range(i + 1)] for i in range(_K)]
     d2 = _distance(vector("s"), [F.col(f"c_{i}") for i in range(_K)], lower)
     far = F.when(F.col("s.failed"), float("inf")).otherwise(0.0)
-    joined = rows.join(fitted, "group_id", "left")
+    joined = _salted(rows).join(_copied(fitted), ["group_id", "salt"], "left")
     return joined.select(*(rows[c] for c in rows.columns),
                          F.greatest(F.coalesce(d2, F.lit(float("inf"))), far).alias("d2")) \
         .withColumn("kept", F.col("d2") <= CUT)

@@ -1,8 +1,10 @@
 """Quality rules and the quality classifier."""
 
+import math
 import re
 
 import __spark_entry__ as contract
+import numpy as np
 import pytest
 from llm_brute import edge_table, edge_texts, prose, quality_counts
 from pressflow.llm import quality_outliers, rule_ensemble
@@ -72,6 +74,83 @@ def test_repeated_lines_and_words_can_reject_alone(spark):
     assert not any(got[1000 + k]["kept"] or got[2000 + k]["kept"] for k in range(5))
 
 
+@pytest.mark.parametrize("n, repeated", [(60, 17), (150, 43), (700, 190)])
+def test_a_quarter_of_repeats_rejects_at_any_length(spark, n, repeated):
+    def again(k):
+        words = prose(k, n - repeated // 2).split()
+        return " ".join(words + words[:repeated // 2])
+
+    rows = [(k, prose(k, n)) for k in range(200)] + [(1000 + k, again(k)) for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'aa' AS lang", "'s' AS source")
+    got = {r["doc_id"]: r for r in quality_outliers.quality_verdicts(df).collect()}
+    assert all(got[k]["kept"] for k in range(200))
+    assert not any(got[1000 + k]["kept"] or got[1000 + k]["base_failed"] for k in range(5))
+
+
+def moments(x):
+    """Centre and plain covariance, and the covariance with its factor of consistency and floors."""
+    centre = x.mean(axis=0)
+    plain = (x - centre).T @ (x - centre) / len(x)
+    floors = np.diag([floor ** 2 for _, _, floor in quality_outliers.PARTS])
+    return centre, plain, plain * quality_outliers.CONSISTENCY + floors
+
+
+def rank(values, share):
+    return np.sort(values, axis=0)[max(math.ceil(share * len(values)) - 1, 0)]
+
+
+def plain_estimate(x):
+    """Minimum covariance determinant of the rows, in NumPy."""
+    floors = np.array([floor for _, _, floor in quality_outliers.PARTS])
+    spread = np.maximum((rank(x, 0.75) - rank(x, 0.25)) / 1.349, floors)
+    centre, _, full = moments(x)
+    starts = [(((x - rank(x, 0.5)) / spread) ** 2).sum(axis=1),
+              np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(full), x - centre)]
+    ends = []
+    for d2 in starts:
+        for _ in range(quality_outliers.STEPS):
+            centre, plain, full = moments(x[d2 <= rank(d2, quality_outliers.COVERAGE)])
+            d2 = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(full), x - centre)
+        ends.append((np.linalg.slogdet(full)[1], centre, plain))
+    return min(ends, key=lambda e: e[0])[1:]
+
+
+def test_verdicts_equal_a_plain_estimate(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    parts = docs.select("doc_id", "lang", "source", quality_outliers.statistics("text").alias("s")) \
+        .select("doc_id", "lang", "source", "s.failed", *quality_outliers.vector("s")).toPandas()
+    names = [name for name, _, _ in quality_outliers.PARTS]
+    passed = parts[~parts.failed]
+
+    def drawn(n, own, parent):
+        w = n / (n + quality_outliers.PRIOR_ROWS)
+        return [w * a + (1 - w) * b for a, b in zip(own, parent)]
+
+    whole, expected = plain_estimate(passed[names].to_numpy()), {}
+    for _, of_language in passed.groupby("lang"):
+        language = drawn(len(of_language), plain_estimate(of_language[names].to_numpy()), whole)
+        for _, group in of_language.groupby("source"):
+            x = group[names].to_numpy()
+            centre, plain = drawn(len(x), plain_estimate(x), language)
+            full = plain * quality_outliers.CONSISTENCY + np.diag([f ** 2 for _, _, f in quality_outliers.PARTS])
+            d2 = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(full), x - centre)
+            expected |= dict(zip(group.doc_id, d2))
+    got = {r["doc_id"]: r for r in quality_outliers.quality_verdicts(docs).collect()}
+    assert {i for i, r in got.items() if not r["base_failed"]} == set(expected)
+    for i, d2 in expected.items():
+        assert got[i]["distance2"] == pytest.approx(d2, rel=1e-6)
+        assert got[i]["kept"] == (d2 <= quality_outliers.CUT)
+
+
+def test_rows_of_a_group_are_spread(spark):
+    rows = spark.range(0, 6400, 1, 4).select(F.lit(quality_outliers._ALL).cast("long").alias("group_id"))
+    sizes = [r["count"] for r in quality_outliers._salted(rows).groupBy("salt").count().collect()]
+    assert len(sizes) == 256 and max(sizes) <= 28
+    groups = spark.createDataFrame([(0,), (6,), (5,)], "group_id long")
+    copies = {r["group_id"]: r["count"] for r in quality_outliers._copied(groups).groupBy("group_id").count().collect()}
+    assert copies == {0: 256, 6: 64, 5: 32}
+
+
 def test_small_groups_follow_their_own_language(spark):
     def rows(first, n, cut, lang):
         return [(first + k, " ".join(cut(w) for w in prose(k, 120).split()), lang, f"s{k % 8}") for k in range(n)]
