@@ -75,19 +75,24 @@ def keyword_counts(view: DataFrame) -> DataFrame:
     )
 
 
-def top_keywords(view: DataFrame, k: int = TOP_KEYWORDS_PER_DAY) -> DataFrame:
-    """The k most frequent keywords of each day, ties by keyword.
+def leading_keywords(counts: DataFrame, k: int) -> DataFrame:
+    """The k most frequent keywords of each day, ties by keyword, from ``keyword_counts``.
 
     Each task sends at most k rows per day to the final ranking.
     """
     ranking = Window.partitionBy("day").orderBy(F.desc("n_occurrences"), "keyword")
     return (
-        keyword_counts(view).withColumn("_rank", F.row_number().over(ranking))
+        counts.withColumn("_rank", F.row_number().over(ranking))
         .where(F.col("_rank") <= k)
         .select("keyword", "day", "n_occurrences")
     )
 
 
+def top_keywords(view: DataFrame, k: int = TOP_KEYWORDS_PER_DAY) -> DataFrame:
+    """The k most frequent keywords of each day."""
+    return leading_keywords(keyword_counts(view), k)
+
+
 def articles(view: DataFrame, pick=first_per_key) -> DataFrame:
     """Warehouse columns, one row per id: the first in silver listing order.
 

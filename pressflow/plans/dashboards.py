@@ -66,6 +66,53 @@ def keywords_all_time(top_keywords: DataFrame, limit: int = 50) -> DataFrame:
     )
 
 
+class CertifiedKeywords:
+    """Leading keywords over all days from stored daily lists, exact.
+
+    ``listed`` has at most ``k`` leading keywords of each day, ``counts`` all of them. The k-th count
+    of a day bounds every keyword that its list leaves out, so a keyword's total lies between its
+    listed occurrences and those plus the bounds of the days that do not list it. The ``limit``-th
+    listed total is a floor of the result: keywords whose bound is below it are out, those listed on
+    every day that could hold them are certain, and only the rest is counted again. A keyword that
+    no day lists and that reaches the floor has a floor / days or more on some day.
+
+    Three numbers come to the driver.
+    """
+
+    def __init__(self, listed: DataFrame, counts: DataFrame, k: int, limit: int = 50):
+        self._counts, self._limit = counts, limit
+        days = listed.groupBy("day").agg(
+            F.when(F.count(F.lit(1)) >= k, F.min("n_occurrences")).otherwise(0).alias("bound"))
+        totals = listed.join(days, "day").groupBy("keyword").agg(
+            F.sum("n_occurrences").alias("n_occurrences"), F.sum("bound").alias("covered"))
+        bounds = days.agg(F.coalesce(F.sum("bound"), F.lit(0)), F.count(F.lit(1))).first()
+        self._left_out, self._days = bounds
+        floor = totals.orderBy(F.desc("n_occurrences"), "keyword").limit(limit) \
+            .agg(F.when(F.count(F.lit(1)) == limit, F.min("n_occurrences")).otherwise(0)).first()[0]
+        self._floor = floor
+        self._totals = totals.withColumn("missing", F.lit(self._left_out) - F.col("covered"))
+
+    def certain(self) -> DataFrame:
+        """Keywords whose listed total is their total."""
+        return self._totals.where("missing = 0").select("keyword", "n_occurrences")
+
+    def uncertain(self) -> DataFrame:
+        """Keywords that may reach the floor and have to be counted again."""
+        listed = self._totals.where(F.col("missing") > 0)
+        reach = listed.where(F.col("n_occurrences") + F.col("missing") >= self._floor).select("keyword")
+        if self._left_out < self._floor:
+            return reach
+        # a keyword on no list may reach the floor too
+        often = self._counts.where(F.col("n_occurrences") * self._days >= self._floor).select("keyword").distinct()
+        return reach.unionByName(often.join(self._totals, "keyword", "left_anti"))
+
+    def leading(self) -> DataFrame:
+        """The keywords with most occurrences, ties by keyword."""
+        again = self._counts.join(self.uncertain(), "keyword", "left_semi") \
+            .groupBy("keyword").agg(F.sum("n_occurrences").alias("n_occurrences"))
+        return keywords_all_time(self.certain().unionByName(again), self._limit)
+
+
 def daily_totals(articles_per_day: DataFrame) -> DataFrame:
     """Articles per day over all sources."""
     return (

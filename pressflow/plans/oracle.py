@@ -531,3 +531,7 @@ ORACLE = {
               FROM events)
         GROUP BY ts""",
 }
+
+# The same results, gained another way.
+ORACLE["keywords_all_time_certified"] = ORACLE["keywords_all_time_exact"]
+ORACLE["stream_counter_rate"] = ORACLE["event_value_growth_by_type"]

@@ -29,7 +29,7 @@ from pressflow.sources.events import landed_events
 from pressflow.sources.feeds import article_events, feed_items, feed_rejects
 from pressflow.sources.pages import extract_pages
 from pressflow.sources.tables import read_layer, scan_parquet
-from pressflow.streaming import daily
+from pressflow.streaming import counters, daily
 from pressflow.streaming.ingest import SOURCE_FOLDERS, Ingest, bronze_rows, tagged_events
 
 AS_OF = date(2024, 1, 30)
@@ -40,6 +40,8 @@ CHECKED_AT = datetime(2024, 1, 31)
 HALF_TIME = datetime(2024, 1, 15)
 MERGE_BUCKETS = 1024
 EVENT_TYPES = "click|view|purch.*|sign"
+#: Keywords that a stored daily list holds.
+LISTED_A_DAY = 100
 
 
 _models: dict[tuple, LanguageModel] = {}
@@ -241,12 +243,19 @@ def _stored(spark, sf_dir, name):
     if key not in _stores:
         path = f"{working_dir(spark, 'gold')}/{name}"
         table = (_gold(spark, sf_dir, "articles").select("id", "published_at") if name == "article_dates"
+                 else gold.keyword_counts(_view(spark, sf_dir)) if name == "keyword_counts"
                  else _gold(spark, sf_dir, name, language=name == "articles"))
         table.write.parquet(path)
         _stores[key] = spark.read.schema(table.schema).parquet(path)
     return _stores[key]
 
 
+def persisted(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written and read again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def trending_7d(spark, sf_dir):
     return dashboards.trending(_stored(spark, sf_dir, "top_keywords"), AS_OF)
 
@@ -277,6 +286,13 @@ def keywords_all_time_exact(spark, sf_dir):
     return dashboards.keywords_all_time(gold.keyword_counts(_view(spark, sf_dir)))
 
 
+def keywords_all_time_certified(spark, sf_dir):
+    """The same from stored daily lists; only keywords the lists do not decide are counted again."""
+    counts = _stored(spark, sf_dir, "keyword_counts")
+    listed = persisted(gold.leading_keywords(counts, LISTED_A_DAY), f"{working_dir(spark, 'lists')}/listed")
+    return dashboards.CertifiedKeywords(listed, counts, LISTED_A_DAY).leading()
+
+
 def daily_totals(spark, sf_dir):
     return dashboards.daily_totals(_stored(spark, sf_dir, "articles_per_day"))
 
@@ -496,6 +512,25 @@ def stream_message_rate(spark, sf_dir):
     return rates.withColumn("rate", F.round("rate", 6))
 
 
+def stream_counter_rate(spark, sf_dir):
+    """Values of some event types streamed into growth per second. Every second one of the half hour
+    before the middle comes late, with the second half, after a restart."""
+    root = working_dir(spark, "counters")
+    samples = series.select_series(
+        sample.event_values(spark, sf_dir), "event_value", matches={"event_type": EVENT_TYPES}).drop("series")
+    half = utc_literal(HALF_TIME)
+    held_back = (F.col("ts") >= half - F.expr("INTERVAL 30 MINUTES")) & (F.pmod(F.unix_micros("ts"), F.lit(2)) == 0)
+    early = (F.col("ts") < half) & ~held_back
+    for part in (samples.where(early), samples.where(~early)):
+        part.write.mode("append").parquet(f"{root}/samples")
+        stream = spark.readStream.schema(samples.schema).parquet(f"{root}/samples")
+        daily.write_updates(
+            counters.slice_updates(stream, "event_type", seconds=120), f"{root}/slices",
+            f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    rates = counters.counter_rates(spark, f"{root}/slices", seconds=120)
+    return rates.select("ts", F.col("label").alias("event_type"), F.round("rate", 6).alias("rate"))
+
+
 def _names(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.replace("\n", " ").split(",")]
 
@@ -533,6 +568,7 @@ CATALOGUE = {
     "source_daily_30d": source_daily_30d,
     "keywords_all_time": keywords_all_time,
     "keywords_all_time_exact": keywords_all_time_exact,
+    "keywords_all_time_certified": keywords_all_time_certified,
     "daily_totals": daily_totals,
     "themes_7d": themes_7d,
     "countries_30d": countries_30d,
@@ -562,6 +598,7 @@ CATALOGUE = {
     "stream_daily_counts": stream_daily_counts,
     "stream_daily_counts_net": stream_daily_counts_net,
     "stream_message_rate": stream_message_rate,
+    "stream_counter_rate": stream_counter_rate,
 }
 
 

@@ -1,0 +1,62 @@
+"""O68 from daily lists and O86 in a stream, against plain calculations."""
+
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from pressflow.operators import series
+from pressflow.operators.gold import leading_keywords
+from pressflow.plans.dashboards import CertifiedKeywords
+from pressflow.streaming import counters, daily
+
+START = datetime(2026, 1, 1)
+
+
+@pytest.mark.parametrize("k, limit, flat", [(3, 4, False), (12, 5, False), (3, 5, True), (100, 5, False), (5, 80, False)])
+def test_certified_totals_are_exact(spark, k, limit, flat):
+    draw = random.Random(k)
+    rows = [(f"w{w:02}", date(2026, 1, 1 + d), draw.randint(1, 9 if flat else 4 + 400 // (1 + w) ** 2))
+            for w in range(60) for d in range(8) if draw.random() < 0.8]
+    rows += [("quiet", date(2026, 1, 1 + d), 9) for d in range(8)]  # leads nowhere, large in sum
+    counts = spark.createDataFrame(rows, "keyword STRING, day DATE, n_occurrences LONG")
+    found = CertifiedKeywords(leading_keywords(counts, k), counts, k, limit)
+    totals = Counter()
+    for keyword, _, n in rows:
+        totals[keyword] += n
+    assert [tuple(r) for r in found.leading().collect()] == sorted(totals.items(), key=lambda t: (-t[1], t[0]))[:limit]
+    again = {r["keyword"] for r in found.uncertain().collect()}
+    if k == 100:
+        assert not again  # every list is whole
+    if k == 12:
+        assert 0 < len(again) < len(totals)
+
+
+def test_certified_totals_of_no_lists(spark):
+    none = spark.createDataFrame([], "keyword STRING, day DATE, n_occurrences LONG")
+    assert CertifiedKeywords(none, none, 10).leading().count() == 0
+
+
+def test_rates_of_a_stream_equal_the_batch(spark, tmp_path):
+    draw = random.Random(1)
+    rows = [(START + timedelta(seconds=draw.randint(0, 4 * 3600), microseconds=i), {"t": t, "p": str(i % 2)},
+             float(draw.randint(0, 50))) for i, t in enumerate(["x", "y", None] * 100)]
+    schema = "ts TIMESTAMP, labels MAP<STRING, STRING>, value DOUBLE"
+    # the second batch holds samples between those of the first, one sample twice and unusable rows
+    for part in (rows[::2], rows[1::2] + rows[:1] + [(None, {"t": "x"}, 1.0), (START, {"t": "x"}, None)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        daily.write_updates(counters.slice_updates(stream, "t", seconds=300, lateness="1 day"), f"{tmp_path}/out",
+                            f"{tmp_path}/checkpoint", {"availableNow": True}).awaitTermination()
+    got = {(r["ts"], r["label"]): round(r["rate"], 9) for r in
+           counters.counter_rates(spark, f"{tmp_path}/out", seconds=300).collect()}
+    batch = spark.createDataFrame(rows, schema).selectExpr("ts", "'m' AS name", "labels", "value")
+    expected = series.counter_rate(series.select_series(batch, "m"), "5 minutes", by="t").collect()
+    assert got == {(r["ts"], r["t"]): round(r["rate"], 9) for r in expected}
+
+
+def test_windows_must_fit_their_slice(spark, tmp_path):
+    stream = spark.readStream.schema("ts TIMESTAMP, labels MAP<STRING, STRING>, value DOUBLE").parquet(str(tmp_path))
+    with pytest.raises(ValueError):
+        counters.slice_updates(stream, seconds=7)
