@@ -19,6 +19,10 @@ from pressflow.fixed_values import MIN_LANGUAGE_CHARS
 
 BUCKETS = 2**14
 MAX_LANGUAGES = 256
+#: Length classes of texts, by the bits of their number of trigrams.
+CLASSES = 32
+#: Share of rightly placed texts that calibration lets become undecided, by each of its two measures.
+LOSE = 0.005
 # bucket = (first * FACTORS[0] + second * FACTORS[1] + third) mod BUCKETS, on code points
 FACTORS = (10007, 101)
 
@@ -35,6 +39,19 @@ def _buckets(text: str) -> np.ndarray:
     return (c[:-2] * FACTORS[0] + c[1:-1] * FACTORS[1] + c[2:]) & (BUCKETS - 1)
 
 
+def _measure(text: str, weights: np.ndarray) -> tuple[int, int, float, float]:
+    """Most likely column of ``weights``, length class, and its lead and log-probability a trigram."""
+    found = _buckets(text)
+    if len(found) < BUCKETS:  # look up what occurs, else count it first
+        sums = weights[found].sum(axis=0)
+    else:
+        sums = np.bincount(found, minlength=BUCKETS) @ weights
+    best, n = int(sums.argmax()), max(len(found), 1)
+    others = np.delete(sums, best)
+    lead = float(sums[best] - others.max()) if len(others) else float("inf")
+    return best, min(len(found).bit_length(), CLASSES - 1), lead / n, float(sums[best]) / n
+
+
 def trigram_counts(labelled: DataFrame, text: str, lang: str) -> DataFrame:
     """Trigrams per language and bucket.
 
@@ -85,7 +102,11 @@ class LanguageModel:
 
     def __init__(self, spark: SparkSession, languages: list[str], counts: np.ndarray):
         weights = np.log((counts + 1.0) / (counts.sum(axis=0) + BUCKETS))
-        self._shared = spark.sparkContext.broadcast((languages, weights))
+        self._share(spark, languages, weights, None)
+
+    def _share(self, spark: SparkSession, languages: list[str], weights: np.ndarray,
+               least: np.ndarray | None) -> None:
+        self._shared = spark.sparkContext.broadcast((languages, weights, least))
 
     @classmethod
     def train(cls, labelled: DataFrame, text: str = "text", lang: str = "lang") -> "LanguageModel":
@@ -106,18 +127,54 @@ class LanguageModel:
         table[rows["bucket"].to_numpy(), columns.to_numpy()] = rows["n"].to_numpy()
         return cls(counts.sparkSession, languages, table)
 
+    def calibrated(self, held_out: DataFrame, text: str = "text", lang: str = "lang",
+                   lose: float = LOSE) -> "LanguageModel":
+        """This model with a third answer, null, for texts that it cannot place.
+
+        Of labelled texts that the model was not trained on, those it places right are sorted by
+        length class (powers of two). A text is undecided if its lead over the second language, or its
+        log-probability, each a trigram, is below what all but the share ``lose`` of the right texts
+        of its class have. A class without such texts takes the values of the nearest one, the
+        shorter of two. Only two numbers a class come to the driver.
+        """
+        shared = self._shared
+
+        @F.pandas_udf("guess STRING, class INT, lead DOUBLE, level DOUBLE")
+        def measured(texts: pd.Series) -> pd.DataFrame:
+            languages, weights, _ = shared.value
+            rows = [_measure(text, weights) for text in texts]
+            found = pd.DataFrame(rows, columns=["guess", "class", "lead", "level"])
+            found["guess"] = [languages[g] for g in found["guess"]]
+            return found
+
+        chosen = held_out.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+        rows = (
+            chosen.select(F.col(lang).alias("lang"), measured(letters_only(F.col(text))).alias("m"))
+            .where("m.guess = lang").groupBy("m.class")
+            .agg(F.percentile_approx("m.lead", lose, 10_000).alias("lead"),
+                 F.percentile_approx("m.level", lose, 10_000).alias("level")).collect()
+        )
+        if not rows:
+            raise ValueError("no held-out text that the model places right")
+        known = {r["class"]: (r["lead"], r["level"]) for r in rows}
+        least = np.array([known[min(known, key=lambda k: (abs(k - c), k))] for c in range(CLASSES)])
+        languages, weights, _ = shared.value
+        model = object.__new__(LanguageModel)
+        model._share(held_out.sparkSession, languages, weights, least)
+        return model
+
     def _score(self, letters: Column) -> Column:
         shared = self._shared
 
         @F.pandas_udf(StringType())
         def most_likely(texts: pd.Series) -> pd.Series:
-            languages, weights = shared.value
+            languages, weights, least = shared.value
 
-            def score(text: str) -> str:
-                found = _buckets(text)
-                if len(found) < BUCKETS:  # look up what occurs, else count it first
-                    return languages[int(weights[found].sum(axis=0).argmax())]
-                return languages[int((np.bincount(found, minlength=BUCKETS) @ weights).argmax())]
+            def score(text: str) -> str | None:
+                best, size, lead, level = _measure(text, weights)
+                if least is not None and (lead < least[size, 0] or level < least[size, 1]):
+                    return None
+                return languages[best]
 
             return texts.map(score, na_action="ignore")
 
@@ -125,7 +182,8 @@ class LanguageModel:
 
     def add_language(self, df: DataFrame, *texts: str, column: str = "language") -> DataFrame:
         """Add the language of the first of the cleaned texts that is long enough and has a
-        letter, null if none is; the others would give no language.
+        letter, null if none is; the others would give no language. A calibrated model also gives
+        null for a text that it cannot place.
 
         The text is chosen first, so only one per row goes through the UDF.
         """

@@ -1,6 +1,7 @@
 """Training, scoring and the short-text rule."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -48,6 +49,29 @@ def test_held_out_documents_are_recognised(documents):
     assert total > 100 and right / total > 0.97
 
 
+def test_calibrated_model_leaves_random_text_undecided(spark, documents):
+    part = F.conv(F.substring(F.sha1(F.col("doc_id").cast("string")), 1, 2), 16, 10).cast("int")
+    plain = LanguageModel.train(documents.where(part < 128))
+    model = plain.calibrated(documents.where((part >= 128) & (part < 192)))
+    unseen = documents.where((part >= 192) & (F.length("text") >= 100))
+    rows = model.add_language(unseen, "text", column="guess").select("guess", "lang").collect()
+    decided = [r for r in rows if r["guess"] is not None]
+    assert len(rows) > 100 and len(decided) / len(rows) > 0.9
+    assert sum(r["guess"] == r["lang"] for r in decided) / len(decided) > 0.98
+    draw = random.Random(1)
+    noise = spark.createDataFrame(
+        [("".join(draw.choices("bcdfghjklmnpqrstvwxz ", k=n)),) for n in (60, 200, 1000, 5000) for _ in range(25)],
+        "text STRING")
+    got = [r["guess"] for r in model.add_language(noise, "text", column="guess").collect()]
+    assert sum(g is None for g in got) > 95
+    assert all(r["guess"] for r in plain.add_language(noise, "text", column="guess").collect())
+
+
+def test_calibration_needs_a_text_placed_right(spark, documents):
+    with pytest.raises(ValueError):
+        LanguageModel.train(documents).calibrated(documents.limit(0))
+
+
 def test_first_text_long_enough_decides(spark, documents):
     model = LanguageModel.train(documents)
     english = documents.where("lang = 'en'").orderBy("doc_id").first()["text"][:300]
