@@ -39,15 +39,14 @@ CONSISTENCY = 0.75 / 0.5344
 
 #: Parts of the vector: name, expression, and the standard deviation that is the least of all groups.
 #: The least times the root of ``CUT`` (5.07) is what a part can reject alone in the tightest group.
-#: For the last two it is the value of a short text that shall be rejected: 8 lines of 13 repeated
-#: (sqrt(8 / 18) / 5.5), a quarter of 60 words in repeated windows (sqrt(15 / 110) / 5.5). The divisor
-#: is above 5.07, because the usual texts of a group have a centre above zero.
+#: For ``repeats`` 29 of 100 words reach that from about 400 words on, shorter texts not. A floor at which
+#: a quarter of 60 words reaches it (0.067) rejected 5 of 333 good texts of sf0.01 as well.
 PARTS = [
     ("word_length", "ln((word_chars + 250) / (n_words + 50))", 0.05),
     ("symbols", "sqrt(n_symbols / (n_words + 50))", 0.05),
     ("capitals", "sqrt((n_capitals + 2) / (word_chars + 100))", 0.05),
     ("dup_lines", "sqrt(n_dup_lines / (n_lines + 5))", 0.12),
-    ("repeats", "sqrt(n_repeat_words / (n_words + 50))", 0.067),
+    ("repeats", "sqrt(n_repeat_words / (n_words + 50))", 0.10),
 ]
 _K = len(PARTS)
 _BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

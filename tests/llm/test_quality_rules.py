@@ -74,19 +74,6 @@ def test_repeated_lines_and_words_can_reject_alone(spark):
     assert not any(got[1000 + k]["kept"] or got[2000 + k]["kept"] for k in range(5))
 
 
-@pytest.mark.parametrize("n, repeated", [(60, 17), (150, 43), (700, 190)])
-def test_a_quarter_of_repeats_rejects_at_any_length(spark, n, repeated):
-    def again(k):
-        words = prose(k, n - repeated // 2).split()
-        return " ".join(words + words[:repeated // 2])
-
-    rows = [(k, prose(k, n)) for k in range(200)] + [(1000 + k, again(k)) for k in range(5)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'aa' AS lang", "'s' AS source")
-    got = {r["doc_id"]: r for r in quality_outliers.quality_verdicts(df).collect()}
-    assert all(got[k]["kept"] for k in range(200))
-    assert not any(got[1000 + k]["kept"] or got[1000 + k]["base_failed"] for k in range(5))
-
-
 def moments(x):
     """Centre and plain covariance, and the covariance with its factor of consistency and floors."""
     centre = x.mean(axis=0)
