@@ -105,8 +105,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command in ("drain", "run"):
         _ingest(spark, args)
     elif args.command == "compact":
-        layer = Ingest(args.lake).layer(args.layer)
-        compact(spark, layer, LAYERS[args.layer], SOURCE_FOLDERS, args.up_to)
+        job = Ingest(args.lake)
+        if args.layer == "bronze":
+            job.compact_bronze(spark, args.up_to)
+        else:
+            compact(spark, job.layer(args.layer), LAYERS[args.layer], SOURCE_FOLDERS, args.up_to)
     elif args.command == "gold":
         silver = Ingest(args.lake).layer("silver")
         build_gold(spark, silver, args.gold, top_k=args.top_keywords).show(truncate=False)

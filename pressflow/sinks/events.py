@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pressflow.fixed_values import RAW_TOPIC
 from pressflow.schemas import RAW_COLUMNS
+from pressflow.sinks.lake import MAX_ROWS_PER_FILE
 
 
 def as_messages(articles: DataFrame) -> DataFrame:
@@ -28,4 +29,13 @@ def publish_kafka(articles: DataFrame, bootstrap_servers: str, topic: str = RAW_
 
 def land_text(articles: DataFrame, path: str) -> None:
     """One JSON event per line, for a file-based stream."""
-    as_messages(articles).select("value").write.mode("append").text(path)
+    write_lines(as_messages(articles).select("value"), path)
+
+
+def write_lines(bodies: DataFrame, path: str, *folders: str) -> None:
+    """Add one ``value`` per line to a folder, in folders by the other columns. The files are
+    compressed, and so read by one task each: the row limit bounds them."""
+    (
+        bodies.write.mode("append").partitionBy(*folders).option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", MAX_ROWS_PER_FILE).text(path)
+    )

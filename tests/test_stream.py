@@ -1,5 +1,6 @@
 """O01, O02, O16, O17, O25-O27, O82-O84, O89."""
 
+import hashlib
 import json
 import shutil
 
@@ -387,3 +388,60 @@ def test_exact_copies_are_dropped_on_the_way_in(spark, tmp_path):
     events = landed_events(spark, str(landing), max_files_per_trigger=1)
     assert job.drain(without_redeliveries(events)) == {"ok": 3, "rejected": 1}
     assert spark.read.parquet(job.layer("bronze")).count() == 4
+
+
+def test_bodies_are_shuffled_once_for_bronze_and_silver(spark, tmp_path, monkeypatch):
+    from pressflow.streaming import ingest
+
+    job, shuffles = Ingest(str(tmp_path)), {}
+    plain = ingest.write_batch
+
+    def seen(df, path, *rest):
+        kept = df._jdf.queryExecution().optimizedPlan().toString()
+        shuffles[path.rsplit("/", 1)[1]] = kept.split("InMemoryRelation")[0].count("RebalancePartitions")
+        plain(df, path, *rest)
+
+    monkeypatch.setattr(ingest, "write_batch", seen)
+    hot = [event(id=f"h{i}", contenu=f"{i} " + hashlib.sha512(str(i).encode()).hexdigest() * 4) for i in range(2000)]
+    others = [event(id=f"o{i}", source=f"s{i % 5}") for i in range(50)]
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        job.write(values(spark, [*hot, *others, event(id="r", contenu="x"), "{bad", None]), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert shuffles == {"bronze": 0, "silver": 0, "rejects": 1}
+    # a folder with most of the rows is still cut into several files, and the others are not
+    for layer in ("bronze", "silver"):
+        files = {p.name: len(list(p.rglob("*.parquet"))) for p in (tmp_path / layer / "batch_id=0").glob("source_key=*")}
+        assert files.pop("source_key=BBC_News") > 3 and min(files.values()) == 1
+    assert job.bronze(spark).count() == 2053 and job.silver(spark).count() == 2050
+    rejects = {(r["value"], r["id"], r["dq_reason"]) for r in job.rejects(spark).collect()}
+    assert rejects == {(event(id="r", contenu="x"), "r", "content_too_short"), ("{bad", None, "corrupt_json"),
+                       (None, None, "missing_title")}
+
+
+@pytest.mark.parametrize("short_list", [100_000, 0])
+def test_merging_lists_the_replaced_deliveries_only(spark, tmp_path, monkeypatch, short_list):
+    from pressflow.operators import latest
+
+    monkeypatch.setattr(latest, "SHORT_LIST", short_list)
+    job = Ingest(str(tmp_path))
+    nobody = event(id=None, titre_article="x")
+    rows = [event(id="a"), event(id="a"), event(id="b"), nobody, "{bad", "{bad", event(id="c", source=None, date_publication=None)]
+    job.write(values(spark, rows), 0)
+    job.write(values(spark, [event(id="a", titre_article="2"), nobody, event(id="d")]), 1)
+    late = values(spark, [event(id="b", titre_article="old")]).withColumns(
+        {"ingest_ts": F.lit(None).cast("timestamp"), "src_offset": F.lit(None).cast("bigint")})
+    job.write(late, 2)
+    stored = read_layer(spark, job.layer("bronze"), BRONZE)
+    kept = latest.latest_stored_version(stored, str(tmp_path / "lists"))
+    assert kept.columns == stored.columns
+    expected = sorted(map(str, job.bronze(spark).collect()))
+    assert sorted(map(str, kept.collect())) == expected and len(expected) == 6
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and ("strategy=broadcast" in plan) == bool(short_list)
+    titles = sorted(map(str, job.bronze(spark, "id", F.upper("titre_article").alias("t")).collect()))
+    assert titles == sorted(map(str, job.bronze(spark).select("id", F.upper("titre_article").alias("t")).collect()))
+    job.compact_bronze(spark, up_to=2)
+    assert spark.read.parquet(job.layer("bronze")).count() == 6
+    assert sorted(map(str, job.bronze(spark).collect())) == expected
