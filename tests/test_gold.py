@@ -112,3 +112,15 @@ def test_invariants_on_the_sample(spark):
     assert max(Counter(r["day"] for r in top).values()) <= 50
     from pressflow.fixed_values import STOPWORDS
     assert not {r["keyword"] for r in top} & set(STOPWORDS)
+
+
+def test_articles_are_chosen_before_their_texts_are_cleaned(spark):
+    from pressflow.plans import queries
+    from tests_paths import SMALL
+
+    chosen = queries._gold(spark, SMALL, "articles")
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("ArrowEvalPython") < plan.index("Window")
+    cleaned_first = gold.articles(queries._view(spark, SMALL))
+    assert chosen.count() == cleaned_first.count() > 0
+    assert chosen.exceptAll(cleaned_first).isEmpty()

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,11 @@ from pressflow.operators.language import (
     BUCKETS,
     FACTORS,
     LanguageModel,
+    _buckets,
     language_profile,
+    letter_table,
+    letters_only,
+    prepared,
     trigram_counts,
 )
 
@@ -92,3 +97,29 @@ def test_too_many_labels_are_refused(spark):
 def test_nothing_to_learn_from_is_refused(spark):
     with pytest.raises(ValueError):
         LanguageModel.train(spark.createDataFrame([], "text STRING, lang STRING"))
+
+
+def test_letters_found_in_the_task_are_those_of_spark(spark):
+    points = [p for p in range(1, 0x110000) if not 0xD800 <= p < 0xE000]
+    texts = ["".join(map(chr, points[at:at + 500])) for at in range(0, len(points), 500)]
+    texts += ["", " ", "a", "ΟΔΟΣ ΣΑΣ, Σ", "İstanbul I ı", "é E\u0301!x", "  two  (words) ", "1ª №7 ǅ Ⅷ", None]
+    draw = random.Random(2)
+    texts += ["".join(draw.choices("aÄß .,Σİ\u0301قX", k=n)) for n in range(60)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    broken = spark.sql("SELECT -1 AS i, cast(unhex('61FF2062C3') AS STRING) AS t")
+    found = rows.union(broken).select("t", letters_only(F.col("t")).alias("letters"), prepared(F.col("t")).alias("p"))
+    table = letter_table(spark).value
+    for r in found.select("letters", "p").collect():
+        if r["letters"] is None:
+            assert r["p"] is None
+            continue
+        c = np.array([ord(x) for x in r["letters"]], np.uint32)
+        expected = (c[:-2] * FACTORS[0] + c[1:-1] * FACTORS[1] + c[2:]) & (BUCKETS - 1)
+        assert _buckets(r["p"], table).tolist() == expected.tolist(), r["p"][:50]
+
+
+def test_texts_are_not_searched_for_letters_by_a_pattern(documents):
+    """Only texts with characters of unusual case are."""
+    model = LanguageModel.train(documents)
+    plan = model.add_language(documents, "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan.replace("THEN regexp_replace", "")
