@@ -7,6 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from pressflow.functions.text import packed, unpacked
 from pressflow.operators import quality
 from pressflow.operators.gold import articles_per_day, silver_view
 from pressflow.operators.silver import to_silver
@@ -420,6 +421,40 @@ def test_bodies_are_shuffled_once_for_bronze_and_silver(spark, tmp_path, monkeyp
                        (None, None, "missing_title")}
 
 
+def test_silver_is_read_without_shuffling_its_texts(spark, tmp_path):
+    job = Ingest(str(tmp_path))
+    rows = [event(id="a"), event(id="a", titre_article="same batch"), event(id="b"), event(id=None), event(id=None)]
+    job.write(values(spark, rows), 0)
+    late = values(spark, [event(id="b", titre_article="2"), event(id="c")]).withColumn("src_offset", F.lit(1).cast("bigint"))
+    job.write(late, 1)
+    silver = job.silver(spark)
+    assert silver.columns == scan_silver(spark, job.layer("silver")).columns
+    plan = silver._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "strategy=broadcast" in plan
+    assert sorted((r["id"] or "", r["titre_article"]) for r in silver.where("id is null or id != 'a'").collect()) == [
+        ("", "t"), ("b", "2"), ("c", "t")]
+    assert silver.where("id = 'a'").count() == 1
+
+
+def test_bodies_are_shuffled_compressed(spark, tmp_path):
+    from pressflow.sinks.lake import gathered
+
+    rows = spark.createDataFrame([(None, 1), (b"", 1), (b"\xff{\x00", 2), ("é " .encode() * 5000, 2)], "value binary, k int")
+    texts = rows.withColumn("value", F.col("value").cast("string"))
+    dealt = gathered(texts, ["k"])
+    again = dealt.select(F.col("value").cast("binary").alias("value"), "k").collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows.collect())) and dealt.schema["value"] == texts.schema["value"]
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("unpack(") < plan.index("RebalancePartitions") < plan.index("pack(", plan.index("RebalancePartitions"))
+    assert rows.select(F.max(F.length(packed(F.col("value"))))).first()[0] < 100
+    assert rows.where(unpacked(packed(F.col("value"))).cast("binary").eqNullSafe(F.col("value"))).count() == 4
+
+
+def test_whole_articles_are_the_same_rows(spark):
+    plain, whole = sample.articles_raw(spark, SMALL), sample.articles_raw(spark, SMALL, whole=True)
+    assert plain.schema == whole.schema and plain.exceptAll(whole).isEmpty() and whole.exceptAll(plain).isEmpty()
+
+
 @pytest.mark.parametrize("short_list", [100_000, 0])
 def test_merging_lists_the_replaced_deliveries_only(spark, tmp_path, monkeypatch, short_list):
     from pressflow.operators import latest
