@@ -18,19 +18,20 @@ shortest. A pair seen once has one table, so only the others are seated. Over th
 burn-in the words' predictive probabilities, and the tables of pairs and of their restaurants, are
 averaged; scores and perplexities are made of the averages.
 
-Words are counted over the whole corpus. Texts are not shuffled: each task numbers the words of a
-block of texts, the numbers get their counts and probabilities by joins of words, and come back to
-the block's texts, which hold numbers only. Pairs are summed within a block and then by buckets of
-their words' keys; a block gets back a number for each of its pairs, in the order it sent them.
+Words are counted over the whole corpus. Texts are read once: each task numbers the words of a block
+of texts and stores the block as numbers, with the keys of its words. Pairs are summed within a block
+and then by buckets of their words' keys; a block gets back a number for each of its pairs, in the
+order it sent them. The vocabulary is cut into parts by key. Buckets and blocks ask each part for
+what their words have there, and buckets tell it their tables, as packed columns, so no row is made
+of a pair or of a block's word but to count the vocabulary.
 """
 
 from __future__ import annotations
 
-import hashlib
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -41,7 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressflow.llm.support import discard, shared, stored, text_of
+from pressflow.llm import support
+from pressflow.llm.support import discard, shared, text_of
 
 SWEEPS, BURN_IN, SEED = 3, 1, 11
 #: Strength of all restaurants; discounts of the contexts by their length.
@@ -49,12 +51,11 @@ STRENGTH = 1.0
 CONTEXT_DISCOUNTS = (0.5, 0.5, 0.6, 0.7)
 #: Rounds in which a context's restaurants are seated within a sweep.
 ROUNDS = 2
-#: Bytes of text whose words are numbered together.
-BLOCK_BYTES = 32_000_000
-#: The token that ends a text, and stands before its first word; no word is empty.
-END = b""
+#: Bytes of text whose words are numbered together; a row counts as some more, and words are found
+#: in smaller parts.
+BLOCK_BYTES, ROW_BYTES, PART_BYTES = 16_000_000, 64, 4_000_000
 #: Buckets of pairs for each block, and the share of all tokens from which a word's pairs are spread.
-BUCKETS_A_BLOCK = 4
+BUCKETS_A_BLOCK = 2
 SPREAD_SHARE = 0.001
 
 CLASSES, SYMBOLS = 32, 257
@@ -178,68 +179,180 @@ class Spelling:
     parents: np.ndarray
     root: np.ndarray
 
+    @cached_property
+    def seen_logs(self) -> np.ndarray:
+        return np.log(self._unseen(self.cells) + self.own)
+
+    def _unseen(self, cells: np.ndarray) -> np.ndarray:
+        context, symbol = np.divmod(cells, SYMBOLS)
+        return self.left[context] * self.parents[context % CLASSES ** 2, symbol]
+
     def log_probability(self, words: list[bytes]) -> np.ndarray:
         if not words:
             return np.empty(0)
         cells, starts = spelled(words)
-        context, symbol = np.divmod(cells, SYMBOLS)
-        p = self.left[context] * self.parents[context % CLASSES ** 2, symbol]
-        if len(self.cells):
-            at = np.minimum(np.searchsorted(self.cells, cells), len(self.cells) - 1)
-            p += np.where(self.cells[at] == cells, self.own[at], 0.0)
-        return np.add.reduceat(np.log(p), starts)
+        if not len(self.cells):
+            return np.add.reduceat(np.log(self._unseen(cells)), starts)
+        at = np.minimum(np.searchsorted(self.cells, cells), len(self.cells) - 1)
+        logs = self.seen_logs[at]
+        other = np.flatnonzero(self.cells[at] != cells)
+        logs[other] = np.log(self._unseen(cells[other]))
+        return np.add.reduceat(logs, starts)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return support.stored(df, name, tidy=True)
 
 
 def _rng(*key: int) -> np.random.Generator:
     return np.random.default_rng([SEED, *key])
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]):
-    """Blocks of texts: block number, its words in order of appearance, and its texts as numbers."""
-    task, block, size = TaskContext.get().partitionId(), 0, 0
-    numbers: defaultdict[bytes, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
-    rows = []
-    for batch in batches:
-        for i, data in enumerate(batch.column("data").to_pylist()):
-            if size >= BLOCK_BYTES:
-                yield task << 20 | block, numbers, rows
-                block, size, rows = block + 1, 0, []
-                numbers = defaultdict()
-                numbers.default_factory = numbers.__len__
-            found = list(map(numbers.__getitem__, [*data.lower().split(), END]))
-            rows.append((batch, i, np.array(found, np.int32)))
-            size += len(data) + 1
-    if rows:
-        yield task << 20 | block, numbers, rows
+#: What separates words, and bytes in lower case.
+_GAP, _LOWER = np.zeros(256, bool), np.arange(256, dtype=np.uint8)
+_GAP[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER[ord("A"):ord("Z") + 1] += 32
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
-def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, numbers, rows in _numbered(batches):
-        n = np.zeros(len(numbers), np.int64)
-        for batch, i, ids in rows:
-            if not batch.column("held_out")[i].as_py():
-                n += np.bincount(ids, minlength=len(n))
-        words = list(numbers)
-        for at in range(0, len(words), 50_000):
-            part = words[at:at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(part), block, np.int64)),
-                 pa.array(np.arange(at, at + len(part), dtype=np.int32)),
-                 pa.array(part, pa.binary()), pa.array(n[at:at + len(part)])],
-                ["block", "number", "word", "n"])
+def _pack(values: np.ndarray) -> bytes:
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(
+        np.ascontiguousarray(values).tobytes(), asbytes=True)
+
+
+def _unpack(blob: bytes, kind) -> np.ndarray:
+    size = int.from_bytes(blob[:8], "little") * np.dtype(kind).itemsize
+    return np.frombuffer(pa.Codec("zstd").decompress(blob[8:], size, asbytes=True), kind)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    for _ in range(2):
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _words(texts: list[bytes]):
+    """The words of texts in lower case, and each text's end as an empty word: the bytes they lie in,
+    where each begins, its length and its key (63 bits that are mixed of all its bytes), and how many
+    each text has."""
+    raw = _LOWER[np.frombuffer(b" ".join([*texts, bytes(8)]), np.uint8)]
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    gap = _GAP[raw]
+    gap[-9:] = True
+    edges = np.flatnonzero(np.diff(gap, prepend=True, append=True))
+    begins, n = edges[0::2], edges[1::2] - edges[0::2]
+    after = np.searchsorted(begins, np.cumsum(lengths + 1))  # words up to the end of each text
+    place = np.arange(len(begins)) + np.repeat(np.arange(len(texts)), np.diff(after, prepend=0))
+    starts, sizes = np.zeros((2, len(begins) + len(texts)), np.int64)
+    starts[place], sizes[place] = begins, n
+    eights = np.ndarray(len(raw) - 7, "<u8", raw.data, strides=(1,))
+    keys = _mixed(sizes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    at, here = 0, np.flatnonzero(sizes)
+    while len(here):
+        left = np.minimum(sizes[here] - at, 8)
+        keys[here] = _mixed(keys[here] ^ (eights[starts[here] + at] & _LOW_BYTES[left]))
+        at, here = at + 8, here[left == 8]
+        here = here[sizes[here] > at]
+    return raw, starts, sizes, (keys >> np.uint64(1)).astype(np.int64), np.diff(after, prepend=0) + 1
+
+
+def _cut_out(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of bytes one after the other, and where they begin and end."""
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    return raw[np.repeat(starts - ends[:-1], sizes) + np.arange(int(ends[-1]))], ends
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]):
+    """Runs of rows whose texts make a block: the columns ``doc`` and ``held_out``, and the texts."""
+    docs, held_out, texts, size = [], [], [], 0
+    for batch in batches:
+        for doc, held, data in zip(batch.column("doc"), batch.column("held_out").to_pylist(),
+                                   batch.column("data").to_pylist(), strict=True):
+            if size >= BLOCK_BYTES:
+                yield docs, held_out, texts
+                docs, held_out, texts, size = [], [], [], 0
+            docs.append(doc)
+            held_out.append(held)
+            texts.append(data)
+            size += len(data) + ROW_BYTES
+    if docs:
+        yield docs, held_out, texts
+
+
+def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Runs of texts whose words are found together."""
+    at, size = 0, 0
+    for k, text in enumerate(texts):
+        size += len(text)
+        if size >= PART_BYTES:
+            yield texts[at:k + 1]
+            at, size = k + 1, 0
+    if at < len(texts):
+        yield texts[at:]
+
+
+#: The number and the key of a text's end, which is an empty word and has no place in a block's words.
+END, _END_KEY = 0, _words([b""])[3][0]
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each block: its words, and its texts as numbers of words.
+
+    Numbers are given in the order of appearance, so that frequent words have small ones."""
+    task = TaskContext.get().partitionId()
+    for k, (docs, held_out, texts) in enumerate(_blocks(batches)):
+        known, ids, sizes, words = np.array([_END_KEY]), [], [], []
+        for part in _parts(texts):
+            raw, starts, lengths, found, per_text = _words(part)
+            numbers, distinct = pd.factorize(found)
+            firsts = np.empty(len(distinct), np.int64)
+            firsts[numbers[::-1]] = np.arange(len(numbers))[::-1]
+            where = pd.Index(known).get_indexer(distinct)
+            new = np.flatnonzero(where < 0)
+            where[new] = len(known) + np.arange(len(new))
+            words.append(_cut_out(raw, starts[firsts[new]], lengths[firsts[new]] + 1)[0])  # with what ends them
+            known = np.concatenate((known, distinct[new]))
+            ids.append(where[numbers].astype(np.int32))
+            sizes.append(per_text)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([task << 20 | k], pa.int64()), *(pa.array([_pack(np.concatenate(x))]) for x in (words, ids, sizes)),
+             pa.array([_pack(np.array(held_out, bool))]),
+             pa.array([[doc.as_py() for doc in docs]], pa.list_(docs[0].type))],
+            ["block", "words", "ids", "sizes", "held", "docs"])
 
 
-def _key(words) -> np.ndarray:
-    """Keys of words: 60 bits of their digest, as ``_KEY`` has them."""
-    return np.array([int(hashlib.md5(w).hexdigest()[:15], 16) for w in words], np.int64)
+def _named(row: dict):
+    """A block's words: the bytes they lie in, where each begins, its length and its key."""
+    raw, starts, lengths, keys, _ = _words([_unpack(row["words"], np.uint8).tobytes()])
+    return raw, *(np.concatenate((x[-1:], x[:-1])) for x in (starts, lengths, keys))  # the end comes first
 
 
-_KEY = "cast(conv(substring(md5(word), 1, 15), 16, 10) as bigint) AS key"
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        raw, starts, lengths, keys = _named(row)
+        learned = np.repeat(~_unpack(row["held"], bool), _unpack(row["sizes"], np.int64))
+        n = np.bincount(_unpack(row["ids"], np.int32), learned, len(keys)).astype(np.int64)
+        for at in range(0, len(keys), 50_000):
+            here = slice(at, at + 50_000)
+            values, ends = _cut_out(raw, starts[here], lengths[here])
+            words = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+                None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[here]), words, pa.array(n[here])], ["key", "word", "n"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Wide rows, one at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
 
 
-def _before(ids: np.ndarray, end: int) -> np.ndarray:
-    return np.concatenate(([end], ids[:-1])).astype(np.int64)
+def _codes(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Keys of a block's words, its texts as numbers, and each token with the one before it as a
+    number; a text's first word comes after an end."""
+    keys, ids = _named(row)[3], _unpack(row["ids"], np.int32)
+    before = np.concatenate(([END], ids[:-1])).astype(np.int64)
+    return keys, ids, before * len(keys) + ids
 
 
 def _ordered_pairs(codes: np.ndarray, keys: np.ndarray, spread: np.ndarray, buckets: int):
@@ -248,7 +361,7 @@ def _ordered_pairs(codes: np.ndarray, keys: np.ndarray, spread: np.ndarray, buck
     A pair's bucket follows from its first word, and from both if that is one of ``spread``.
     """
     first, second = np.divmod(codes, max(len(keys), 1))
-    mixed = keys[first] + np.where(np.isin(keys[first], spread), keys[second] * 31, 0)
+    mixed = keys[first] + np.where(np.isin(keys, spread)[first], keys[second] * 31, 0)
     bucket = ((mixed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
     return bucket, np.argsort(bucket, kind="stable")
 
@@ -256,97 +369,200 @@ def _ordered_pairs(codes: np.ndarray, keys: np.ndarray, spread: np.ndarray, buck
 def _block_pairs(spread: np.ndarray, buckets: int):
     """Distinct pairs of each block: keys of both words and how often they are learned, by bucket."""
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, numbers, rows in _numbered(batches):
-            keys, end = _key(numbers), numbers[END]
-            codes = np.concatenate([_before(ids, end) * len(keys) + ids for _, _, ids in rows])
-            learned = np.repeat([not b.column("held_out")[i].as_py() for b, i, _ in rows],
-                                [len(ids) for _, _, ids in rows])
-            found, where = np.unique(codes, return_inverse=True)
-            n = np.bincount(where, learned, len(found)).astype(np.int64)
-            bucket, order = _ordered_pairs(found, keys, spread, buckets)
-            first, second = np.divmod(found[order], len(keys))
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for k in range(buckets):
+        for row in _rows(batches):
+            keys, _, codes = _codes(row)
+            learned = np.repeat(~_unpack(row["held"], bool), _unpack(row["sizes"], np.int64))
+            codes = np.sort(codes * 2 + learned)
+            starts = np.flatnonzero(np.diff(codes >> 1, prepend=-1))
+            n, codes = np.add.reduceat(codes & 1, starts), codes[starts] >> 1
+            bucket, order = _ordered_pairs(codes, keys, spread, buckets)
+            first, second = np.divmod(codes[order], len(keys))
+            n, cuts = n[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for k in np.flatnonzero(np.diff(cuts)):
                 part = slice(cuts[k], cuts[k + 1])
-                if cuts[k] < cuts[k + 1]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([block]), pa.array([k], pa.int32()),
-                         pa.array([zlib.compress(keys[first[part]].tobytes(), 1)]),
-                         pa.array([keys[second[part]].tobytes()]),
-                         pa.array([zlib.compress(n[order][part].tobytes(), 1)])],
-                        ["block", "bucket", "first", "second", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["block"]], pa.int64()), pa.array([k], pa.int32()),
+                     pa.array([_pack(keys[first[part]])]), pa.array([keys[second[part]].tobytes()]),
+                     pa.array([_pack(n[part])])], ["block", "bucket", "first", "second", "n"])
 
     return pairs
 
 
-_PAIRS = "block bigint, index binary, bucket int, rank int, first bigint, second bigint, c bigint"
+_PAIRS = ("block bigint, index binary, bucket int, keys binary, first binary, second binary, c binary, "
+          "ones bigint, twos bigint, part int, own binary")
+_SEATED = ("bucket int, keys binary, first binary, second binary, c binary, t binary, t_sum binary, "
+           "part int, own binary")
+
+
+def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by their part of the vocabulary, and where each part begins in it."""
+    part = keys % parts
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _table(rows: list[dict], ddl: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    return pa.Table.from_pylist(rows, pa.schema(
+        [(name, kinds[kind]) for name, kind in map(str.split, ddl.split(","))]))
+
 
+def _told(keys: np.ndarray, own: np.ndarray, c: np.ndarray, parts: int) -> list[dict]:
+    """Tables that words have and are served at, as rows for each part of the vocabulary."""
+    order, cuts = _by_part(keys, parts)
+    return [{"part": int(k), "keys": keys[here].tobytes(), "own": _pack(own[here]), "c": _pack(c[here])}
+            for k in np.flatnonzero(np.diff(cuts)) for here in [order[cuts[k]:cuts[k + 1]]]]
 
-def _merged(rows: pa.Table) -> pa.Table:
+
+def _merged(parts: int):
     """The pairs of a bucket, summed over the blocks.
 
-    Three kinds of rows: pairs seen twice or more with their rank; for each word how many pairs seen
-    once it begins (no ``second``) or ends (no ``first``); and for each block the places of its pairs:
-    0 if never learned, 1 if seen once, else 2 and the rank.
+    Three kinds of rows: a row with the pairs seen twice or more, which name their words by their
+    place in ``keys``; for each part of the vocabulary how many pairs seen once its words begin
+    (``own``) and end (``c``); and for each block the places of its pairs: 0 if never learned, 1 if
+    seen once, else 2 and the pair's place in the bucket's row.
     """
-    unpacked = [[np.frombuffer(zlib.decompress(x) if packed else x, np.int64) for x in rows.column(name).to_pylist()]
-                for name, packed in (("first", True), ("second", False), ("n", True))]
-    first, second, n = (np.concatenate(x) for x in unpacked)
-    order = np.lexsort((second, first))
-    a, b = first[order], second[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    group = np.cumsum(new) - 1
-    c = np.bincount(group, n[order]).astype(np.int64)
-    a, b = a[new], b[new]
-    often = c >= 2
-    place = np.where(often, 1 + np.cumsum(often), np.minimum(c, 1)).astype(np.int32)
-    where = np.empty(len(order), np.int64)
-    where[order] = group
-    ends = np.cumsum([len(x) for x in unpacked[0]])
-    index = [zlib.compress(place[where[e - len(x):e]].tobytes(), 1) for e, x in zip(ends, unpacked[0], strict=True)]
-    begun, begun_n = np.unique(a[c == 1], return_counts=True)
-    ended, ended_n = np.unique(b[c == 1], return_counts=True)
-    k, m, bucket = len(index), int(often.sum()), rows.column("bucket")[0].as_py()
-    rest = k + m + len(begun) + len(ended)
-
-    def filled(kind, *parts):
-        return pa.concat_arrays([pa.nulls(p, kind) if isinstance(p, int) else pa.array(p, kind) for p in parts])
-
-    return pa.table({
-        "block": filled(pa.int64(), rows.column("block").to_pylist(), rest - k),
-        "index": filled(pa.binary(), index, rest - k),
-        "bucket": pa.array(np.full(rest, bucket, np.int32)),
-        "rank": filled(pa.int32(), k, np.arange(m, dtype=np.int32), rest - k - m),
-        "first": filled(pa.int64(), k, a[often], begun, len(ended)),
-        "second": filled(pa.int64(), k, b[often], len(begun), ended),
-        "c": filled(pa.int64(), k, c[often], begun_n.astype(np.int64), ended_n.astype(np.int64))})
-
-
-def _seat_pairs(discount: float, sweep: int):
-    """Seat the pairs, given their restaurants' tables ``others`` and the words' probability ``base``."""
-    def seated(batches):
-        for k, batch in enumerate(batches):
-            c, t = batch.column("c").to_numpy(), batch.column("t").to_numpy()
-            first, second = batch.column("first").to_numpy(), batch.column("second").to_numpy()
-            rng = _rng(sweep, k, *((int(first[0]), int(second[0])) if len(c) else ()), len(c))
-            others = np.maximum(batch.column("others").to_numpy() - t, 0)
-            t = seat(rng, c, batch.column("base").to_numpy(), others, STRENGTH, discount)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(x) for x in ("bucket", "rank", "first", "second", "c")), pa.array(t),
-                 batch.column("t_sum")], ["bucket", "rank", "first", "second", "c", "t", "t_sum"])
+    def merged(rows: pa.Table) -> pa.Table:
+        unpacked = [[_unpack(x, np.int64) if packed else np.frombuffer(x, np.int64)
+                     for x in rows.column(name).to_pylist()]
+                    for name, packed in (("first", True), ("second", False), ("n", True))]
+        first, second, n = (np.concatenate(x) for x in unpacked)
+        order = np.lexsort((second, first))
+        a, b = first[order], second[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        group = np.cumsum(new) - 1
+        c = np.bincount(group, n[order]).astype(np.int64)
+        a, b = a[new], b[new]
+        often = c >= 2
+        place = np.where(often, 1 + np.cumsum(often), np.minimum(c, 1)).astype(np.int32)
+        where = np.empty(len(order), np.int32)
+        where[order] = place[group]
+        ends = np.cumsum([len(x) for x in unpacked[0]])
+        out = [{"block": block, "bucket": bucket, "index": _pack(where[e - len(x):e])} for block, bucket, e, x in zip(
+            rows.column("block").to_pylist(), rows.column("bucket").to_pylist(), ends, unpacked[0], strict=True)]
+        keys, named = np.unique(np.concatenate((a[often], b[often])), return_inverse=True)
+        m = int(often.sum())
+        out.append({
+            "bucket": rows.column("bucket")[0].as_py(), "keys": keys.tobytes(), "c": _pack(c[often]),
+            "first": _pack(named[:m].astype(np.int32)), "second": _pack(named[m:].astype(np.int32)),
+            "ones": int((c == 1).sum()), "twos": int((c == 2).sum())})
+        once, named = np.unique(np.concatenate((a[c == 1], b[c == 1])), return_inverse=True)
+        half = len(named) // 2
+        out += _told(once, np.bincount(named[:half], minlength=len(once)),
+                     np.bincount(named[half:], minlength=len(once)), parts)
+        return _table(out, _PAIRS)
+
+    return merged
+
+
+def _asked(parts: int):
+    """Rows with an ``asker`` and the keys of its words, cut by part of the vocabulary."""
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            keys = np.frombuffer(row["keys"], np.int64) if "keys" in row else _named(row)[3]
+            order, cuts = _by_part(keys, parts)
+            for k in np.flatnonzero(np.diff(cuts)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["asker"]], pa.int64()), pa.array([k], pa.int32()),
+                     pa.array([keys[order[cuts[k]:cuts[k + 1]]].tobytes()])], ["asker", "part", "keys"])
+
+    return asked
+
+
+#: How columns of the vocabulary are sent; probabilities need no more than seven digits.
+_SENT = {"c": np.int64, "own": np.float64, "p": np.float32, "base": np.float32}
+
+
+def _looked_up(names: list[str]):
+    """What each asker's words have in columns of the vocabulary, packed."""
+    schema = "asker bigint, part int, " + ", ".join(f"{name} binary" for name in names)
+
+    def looked_up(asked: pa.Table, words: pa.Table) -> pa.Table:
+        known, rows = words.column("key").to_numpy(), []
+        order = np.argsort(known)
+        known, columns = known[order], [words.column(name).to_numpy().astype(_SENT[name])[order] for name in names]
+        for asker, part, keys in zip(*(asked.column(x).to_pylist() for x in ("asker", "part", "keys")), strict=True):
+            at = np.searchsorted(known, np.frombuffer(keys, np.int64))
+            rows.append({"asker": asker, "part": part} | {
+                name: _pack(values[at]) for name, values in zip(names, columns, strict=True)})
+        return _table(rows, schema)
+
+    return looked_up
+
+
+def _answers(asked: DataFrame, words: DataFrame, parts: int, *names: str) -> DataFrame:
+    """``asker``, ``part`` and what the asker's words have in columns of ``words``, by part."""
+    placed = words.select("key", *names, F.expr(f"cast(pmod(key, {parts}) as int) AS part"))
+    return asked.groupBy("part").cogroup(placed.groupBy("part")).applyInArrow(
+        _looked_up(list(names)), "asker bigint, part int, " + ", ".join(f"{name} binary" for name in names))
+
+
+def _in_order(keys: np.ndarray, parts: int, answers: pa.Table, name: str) -> np.ndarray:
+    """An answered column in the order of the asker's keys."""
+    found = sorted(zip(answers.column("part").to_pylist(), answers.column(name).to_pylist(), strict=True))
+    out = np.empty(len(keys))
+    out[_by_part(keys, parts)[0]] = np.concatenate([np.empty(0), *(_unpack(x, _SENT[name]) for _, x in found)])
+    return out
+
+
+def _pair_tables(row: dict, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of a bucket's pairs, one each before the first sweep, and their sum so far."""
+    if row["t"] is None:
+        return np.ones(n, np.int64), np.zeros(n, np.int64)
+    return _unpack(row["t"], np.int64), _unpack(row["t_sum"], np.int64)
+
+
+def _seat_pairs(discount: float, sweep: int, parts: int, counts: bool):
+    """Seat a bucket's pairs, given their restaurants' tables ``own`` and the words' probability
+    ``base``; the tables are told to the words too. ``t_sum`` are those of the sweeps that count."""
+    def seated(seen: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for row in seen.to_pylist():
+            keys = np.frombuffer(row["keys"], np.int64)
+            first, second = _unpack(row["first"], np.int32), _unpack(row["second"], np.int32)
+            c = _unpack(row["c"], np.int64)
+            before, t_sum = _pair_tables(row, len(c))
+            own, base = (_in_order(keys, parts, answers, name) for name in ("own", "base"))
+            others = np.maximum(own[first].astype(np.int64) - before, 0)
+            t = seat(_rng(sweep, row["bucket"], len(c)), c, base[second], others, STRENGTH, discount)
+            out.append(row | {"t": _pack(t), "t_sum": _pack(t_sum + before if counts else t_sum)})
+            out += _told(keys, np.bincount(first, t, len(keys)).astype(np.int64),
+                         np.bincount(second, t, len(keys)).astype(np.int64), parts)
+        return _table(out, _SEATED)
 
     return seated
 
 
-def _tables(pairs: DataFrame, single: DataFrame) -> DataFrame:
-    """``key``, ``own`` (tables of the word's restaurant) and ``c`` (tables that serve the word)."""
-    zero = F.lit(0).cast("bigint")
-    sides = [rows.where(f"{side} IS NOT NULL").select(
-        F.col(side).alias("key"), *((n, zero) if side == "first" else (zero, n)))
-        for rows, n in ((pairs, F.col("t")), (single, F.col("c"))) for side in ("first", "second")]
-    both = sides[0].union(sides[1]).union(sides[2]).union(sides[3]).toDF("key", "own", "c")
-    return both.groupBy("key").agg(F.sum("own").alias("own"), F.sum("c").alias("c"))
+def _tables_first(parts: int):
+    """Before the first sweep each pair has one table."""
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            n = len(row["keys"]) // 8
+            out = _told(np.frombuffer(row["keys"], np.int64), *(
+                np.bincount(_unpack(row[side], np.int32), minlength=n) for side in ("first", "second")), parts)
+            yield from _table(out, "part int, keys binary, own binary, c binary").to_batches()
+
+    return first
+
+
+def _summed(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    found = [np.frombuffer(x, np.int64) for x in rows.column("keys").to_pylist()]
+    keys, where = np.unique(np.concatenate(found), return_inverse=True)
+    return keys, *(np.bincount(where, np.concatenate([_unpack(x, np.int64) for x in rows.column(name).to_pylist()]),
+                               len(keys)).astype(np.int64) for name in ("own", "c"))
+
+
+def _summed_part(rows: pa.Table) -> pa.Table:
+    """What is told to a part of the vocabulary, as one row."""
+    keys, own, c = _summed(rows)
+    return _table([{"part": rows.column("part")[0].as_py(), "keys": keys.tobytes(), "own": _pack(own), "c": _pack(c)}],
+                  "part int, keys binary, own binary, c binary")
+
+
+def _summed_rows(rows: pa.Table) -> pa.Table:
+    """The same as a row for each word."""
+    return pa.table(dict(zip(("key", "own", "c"), _summed(rows), strict=True)))
 
 
 def _seat_words(spelling, total_tables: int, discount: float, sweep: int):
@@ -423,29 +639,38 @@ def _discount(ones: int, twos: int) -> float:
     return min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
 
 
-def _sampled(vocabulary: DataFrame, pairs: DataFrame, sweeps: int, burn_in: int) -> tuple[DataFrame, DataFrame, float]:
-    """Words (``word``, ``key``, ``c``, ``p``, ``own``), pairs seen again, and the discount of pairs.
+def _sampled(vocabulary: DataFrame, pairs: DataFrame, parts: int, sweeps: int,
+             burn_in: int) -> tuple[DataFrame, DataFrame, float]:
+    """Words (``key``, ``c``, ``p``, ``own``), pairs seen again, and the discount of pairs.
 
     ``vocabulary`` has ``word``, ``key`` and ``n``; ``pairs`` is what ``_merged`` makes. ``p`` is the
     averaged predictive probability and ``own`` the averaged tables of the word's restaurant. Pairs
-    have ``bucket``, ``rank`` and ``value``: what is left of their customers after the discount.
+    have ``bucket`` and packed ``c``, ``t`` and ``t_sum``, see ``_seat_pairs``.
     Words with ``c`` zero all have the averaged probability of an unknown word.
     """
-    spark, zero = vocabulary.sparkSession, F.lit(0).cast("bigint")
-    single = pairs.where("index IS NULL AND rank IS NULL")
-    seen = pairs.where("rank IS NOT NULL").select(
-        "bucket", "rank", "first", "second", "c", F.lit(1).cast("bigint").alias("t"), zero.alias("t_sum"))
-    kinds = single.agg(F.sum(F.when(F.col("second").isNull(), F.col("c")))).first()[0] or 0
-    pair_discount = _discount(kinds, seen.where("c = 2").count())
-
-    def counted(words, name, p, own_sum):
-        tables = words.join(_tables(seen, single), "key", "left").select(
+    spark, zero, told = vocabulary.sparkSession, F.lit(0).cast("bigint"), ["part", "keys", "own", "c"]
+    single = stored(pairs.where("part IS NOT NULL").select(*told).groupBy("part").applyInArrow(
+        _summed_part, "part int, keys binary, own binary, c binary"), "single")
+    seen = pairs.where("block IS NULL AND part IS NULL")
+    ones, twos = seen.agg(F.sum("ones"), F.sum("twos")).first()
+    pair_discount = _discount(ones or 0, twos or 0)
+    none, columns = F.lit(None).cast("binary"), ["bucket", "keys", "first", "second", "c", "t", "t_sum"]
+    seen = seen.withColumns({"t": none, "t_sum": none}).select(*columns)
+    asked = stored(seen.select(F.col("bucket").cast("bigint").alias("asker"), "keys").mapInArrow(
+        _asked(parts), "asker bigint, part int, keys binary"), "pairs-asked")
+
+    def counted(words, tables, name, p, own_sum):
+        summed = tables.unionByName(single).groupBy("part").applyInArrow(
+            _summed_rows, "key bigint, own bigint, c bigint")
+        tables = words.join(summed, "key", "left").select(
             "word", "key", "n", F.coalesce("own", zero).alias("own"), F.coalesce("c", zero).alias("c"),
             p.alias("p"), own_sum.alias("own_sum"))
         return stored(tables.withColumn("t", F.least("c", F.lit(1)).cast("bigint")), name)
 
-    unknown = []
-    state = counted(vocabulary, "seating-0", F.lit(0.0), zero)
+    unknown, mixed = [], None
+    state = counted(vocabulary, seen.select("keys", "first", "second").mapInArrow(
+        _tables_first(parts), "part int, keys binary, own binary, c binary"), "seating-0", F.lit(0.0), zero)
+    discard(vocabulary)
     spelling = _spelling(state, np.full(SYMBOLS, 1 / SYMBOLS), 0)
     for sweep in range(1, sweeps + 1):
         tables, total, ones, twos = state.agg(
@@ -454,42 +679,43 @@ def _sampled(vocabulary: DataFrame, pairs: DataFrame, sweeps: int, burn_in: int)
         step = _seat_words(shared(spark, spelling), tables, discount, sweep)
         before, state = state, stored(state.mapInArrow(step, _STATE), f"seating-{sweep}")
         discard(before)
+        before = state
         tables, served = state.agg(F.sum("t"), F.sum(F.when(F.col("c") > 0, F.col("spelled")))).first()
         new = STRENGTH + discount * (tables or 0)
         now = (F.col("c") - discount * F.col("t") + new * F.col("spelled")) / (STRENGTH + total)
         if sweep > burn_in:
             unknown.append(new * max(1 - (served or 0.0), 0.0) / (STRENGTH + total))
             state = state.withColumn("p", F.col("p") + now).withColumn("own_sum", F.col("own_sum") + F.col("own"))
-            seen = seen.withColumn("t_sum", F.col("t_sum") + F.col("t"))
         if sweep < sweeps:
             spelling = _spelling(state, spelling.root, sweep)
-            told = seen.join(state.select(F.col("key").alias("second"), now.alias("base")), "second") \
-                .join(state.select(F.col("key").alias("first"), F.col("own").alias("others")), "first") \
-                .select("bucket", "rank", "first", "second", "c", "t", "t_sum", "base", "others") \
-                .sortWithinPartitions("first", "second")
-            earlier, seen = seen, stored(told.mapInArrow(
-                _seat_pairs(pair_discount, sweep),
-                "bucket int, rank int, first bigint, second bigint, c bigint, t bigint, t_sum bigint"), f"pairs-{sweep}")
-            if sweep > 1:
+            answers = _answers(asked, state.select("key", "own", now.alias("base")), parts, "own", "base")
+            earlier, mixed = mixed, stored(seen.groupBy("bucket").cogroup(
+                answers.withColumn("bucket", F.col("asker").cast("int")).groupBy("bucket")).applyInArrow(
+                _seat_pairs(pair_discount, sweep, parts, sweep > burn_in), _SEATED), f"pairs-{sweep}")
+            if earlier is not None:
                 discard(earlier)
-            before, state = state, counted(state.drop("own", "c"), f"counted-{sweep}", F.col("p"), F.col("own_sum"))
+            seen = mixed.where("part IS NULL").select(*columns)
+            state = counted(
+                state.drop("own", "c"), mixed.where("part IS NOT NULL").select(*told), f"counted-{sweep}",
+                F.col("p"), F.col("own_sum"))
             discard(before)
     m = len(unknown)
     known = F.when(F.col("n") > 0, F.col("p") / m).otherwise(sum(unknown) / m)
-    return (state.select("word", "key", F.col("n").alias("c"), known.alias("p"), (F.col("own_sum") / m).alias("own")),
-            seen.select("bucket", "rank", (F.col("c") - pair_discount * F.col("t_sum") / m).alias("value")),
-            pair_discount)
+    model = stored(state.select("key", F.col("n").alias("c"), known.alias("p"), (F.col("own_sum") / m).alias("own")), "model")
+    for table in (before, asked, single):
+        discard(table)
+    return model, seen.select("bucket", "c", "t", "t_sum"), pair_discount
 
 
-def _values(single: float):
-    """What each pair of a block has of its own, in the block's order."""
+def _values(discount: float, m: int):
+    """What each pair of a block has of its own, in the block's order: customers less the discount of
+    the tables, as they are on average."""
     def values(index: pa.Table, seen: pa.Table) -> pa.Table:
-        of = np.zeros(seen.num_rows + 2, np.float32)
-        of[1] = single
-        of[seen.column("rank").to_numpy() + 2] = seen.column("value").to_numpy()
-        return pa.table({"block": index.column("block"), "number": index.column("bucket"), "values": pa.array(
-            [zlib.compress(of[np.frombuffer(zlib.decompress(x), np.int32)].tobytes(), 1)
-             for x in index.column("index").to_pylist()], pa.binary())})
+        row = seen.to_pylist()[0]
+        c = _unpack(row["c"], np.int64)
+        of = np.concatenate(([0, 1 - discount], c - discount * sum(_pair_tables(row, len(c))) / m)).astype(np.float32)
+        return pa.table({"asker": index.column("block"), "number": index.column("bucket"), "values": pa.array(
+            [_pack(of[_unpack(x, np.int32)]) for x in index.column("index").to_pylist()], pa.binary())})
 
     return values
 
@@ -505,86 +731,65 @@ def score_texts(df: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
     every token is the unknown word, with probability one. Rows stay as they are, repeated ones
     too; other columns are left out; an empty table gives an empty table.
 
-    ``df`` is read twice and has to give the same rows in the same partitions, as a table scan does;
-    a difference is noticed and raises an error.
+    ``df`` is read once.
     """
+    id_type = df.schema[doc_id].dataType
     texts = df.select(F.col(doc_id).alias("doc"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                       text_of(text).cast("binary").alias("data"))
-    words = stored(texts.select("held_out", "data").mapInArrow(
-        _block_words, "block bigint, number int, word binary, n bigint"), "block-words")
-    vocabulary = stored(words.groupBy("word").agg(F.sum("n").alias("n")).selectExpr("word", _KEY, "n"), "vocabulary")
+    blocks = stored(texts.mapInArrow(_coded, T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("words", T.BinaryType()), T.StructField("ids", T.BinaryType()),
+        T.StructField("sizes", T.BinaryType()), T.StructField("held", T.BinaryType()),
+        T.StructField("docs", T.ArrayType(id_type))])), "blocks")
+    coded = blocks.drop("docs")
+    vocabulary = stored(coded.mapInArrow(_block_words, "key bigint, word binary, n bigint").groupBy("key", "word").agg(
+        F.sum("n").alias("n")).select("word", "key", "n"), "vocabulary")
     total, kinds = vocabulary.where("n > 0").agg(F.sum("n"), F.count("*")).first()
     total = total or 0
     often = vocabulary.where(F.col("n") > max(total * SPREAD_SHARE, 1)).select("key").collect()  # 1000 at most
     spread = np.array([r["key"] for r in often], np.int64)
-    buckets = BUCKETS_A_BLOCK * max(words.select("block").distinct().count(), 1)
-    pairs = stored(texts.select("held_out", "data").mapInArrow(
+    n_blocks = blocks.count()
+    parts, buckets = max(n_blocks // 2, 1), BUCKETS_A_BLOCK * max(n_blocks, 1)
+    pairs = stored(coded.mapInArrow(
         _block_pairs(spread, buckets), "block bigint, bucket int, first binary, second binary, n binary")
-        .groupBy("bucket").applyInArrow(_merged, _PAIRS), "pairs")
-    model, seen, pair_discount = _sampled(vocabulary, pairs, sweeps, burn_in)
-    values = pairs.where("index IS NOT NULL").select("block", "bucket", "index").groupBy("bucket").cogroup(
-        seen.groupBy("bucket")).applyInArrow(_values(1 - pair_discount), "block bigint, number int, values binary")
-    known = words.select("block", "number", "word").join(model, "word").select(
-        "block", "number", "key", "c", "p", "own", F.lit(None).cast("binary").alias("values"))
-    known = known.unionByName(values, allowMissingColumns=True)
-    id_type = df.schema[doc_id].dataType
-
-    def numbers(batches):
-        for block, found, rows in _numbered(batches):
-            for at in range(0, len(rows), 1000):
-                part = rows[at:at + 1000]
-                kind = part[0][0].schema.field("doc").type
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(part), pa.int64()), pa.array([len(found)] * len(part), pa.int32()),
-                     pa.array([b.column("doc")[i].as_py() for b, i, _ in part], kind),
-                     pa.array([b.column("held_out")[i].as_py() for b, i, _ in part], pa.bool_()),
-                     pa.array([zlib.compress(ids.tobytes(), 1) for _, _, ids in part], pa.binary())],
-                    ["block", "words", "doc", "held_out", "ids"])
-
-    coded = texts.mapInArrow(numbers, T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("words", T.IntegerType()),
-        T.StructField("doc", id_type), T.StructField("held_out", T.BooleanType()),
-        T.StructField("ids", T.BinaryType())]))
-
-    def scored(docs: pa.Table, dictionary: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            raise RuntimeError("the texts were read differently the second time")
-        n = docs.column("words")[0].as_py()
-        is_word = dictionary.column("values").is_null()
-        parts, dictionary = dictionary.filter(pc.invert(is_word)), dictionary.filter(is_word)
-        order = np.argsort(dictionary.column("number").to_numpy())
-        if len(order) != n:
-            raise RuntimeError("the texts were read differently the second time")
-        keys, c, p, own = (dictionary.column(x).to_numpy()[order] for x in ("key", "c", "p", "own"))
+        .groupBy("bucket").applyInArrow(_merged(parts), _PAIRS), "pairs")
+    model, seen, pair_discount = _sampled(vocabulary, pairs, parts, sweeps, burn_in)
+    values = pairs.where("block IS NOT NULL").select("block", "bucket", "index").groupBy("bucket").cogroup(
+        seen.groupBy("bucket")).applyInArrow(
+        _values(pair_discount, sweeps - burn_in), "asker bigint, number int, values binary")
+    asked = coded.select(F.col("block").alias("asker"), "words").mapInArrow(
+        _asked(parts), "asker bigint, part int, keys binary")
+    answers = stored(_answers(asked, model, parts, "c", "p", "own").unionByName(values, allowMissingColumns=True), "answers")
+    for table in (pairs, seen, model):
+        discard(table)
+
+    def scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        row = rows.drop_columns(["docs"]).to_pylist()[0]
+        is_word = answers.column("values").is_null()
+        sent, answers = answers.filter(pc.invert(is_word)), answers.filter(is_word)
+        keys, ids, codes = _codes(row)
+        c, p, own = (_in_order(keys, parts, answers, name) for name in ("c", "p", "own"))
         base = np.log10((c + 0.5) / (total + 0.5 * (kinds + 1)))
-        texts_ = [np.frombuffer(zlib.decompress(blob.as_buffer()), np.int32) for blob in docs.column("ids")]
-        end = texts_[0][-1]
-        codes, where = np.unique(np.concatenate([_before(ids, end) * n + ids for ids in texts_]), return_inverse=True)
+        codes, where = np.unique(codes, return_inverse=True)
         _, by_bucket = _ordered_pairs(codes, keys, spread, buckets)
-        sent = [np.frombuffer(zlib.decompress(x), np.float32) for _, x in sorted(
-            zip(parts.column("number").to_pylist(), parts.column("values").to_pylist(), strict=True))]
         value = np.empty(len(codes))
-        if sum(map(len, sent)) != len(codes):
-            raise RuntimeError("the texts were read differently the second time")
-        value[by_bucket] = np.concatenate(sent)
-        first, second = np.divmod(codes, n)
+        value[by_bucket] = np.concatenate([_unpack(x, np.float32) for _, x in sorted(
+            zip(sent.column("number").to_pylist(), sent.column("values").to_pylist(), strict=True))])
+        first, second = np.divmod(codes, len(keys))
         chance = (value + (STRENGTH + pair_discount * own[first]) * p[second]) / (STRENGTH + c[first])
         logs = np.log10(np.maximum(chance, 1e-300))[where]
-        out, at = [], 0
-        for ids in texts_:
-            out.append((len(ids), int((c[ids] > 0).sum()), float(base[ids].sum()), float(logs[at:at + len(ids)].sum())))
-            at += len(ids)
-        columns = list(zip(*out, strict=True))
+        sizes = _unpack(row["sizes"], np.int64)
+        starts = np.cumsum(sizes) - sizes
         return pa.table({
-            "doc": docs.column("doc"), "held_out": docs.column("held_out"),
-            "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()),
-            "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64())})
+            "doc": rows.column("docs").combine_chunks().flatten(), "held_out": pa.array(_unpack(row["held"], bool)),
+            "n_tokens": pa.array(sizes), "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64)[ids], starts)),
+            "base_score": pa.array(np.add.reduceat(base[ids], starts)),
+            "score": pa.array(np.add.reduceat(logs, starts))})
 
     schema = T.StructType([
         T.StructField("doc", id_type), T.StructField("held_out", T.BooleanType()),
         T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
         T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    result = coded.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(scored, schema)
+    result = blocks.groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(scored, schema)
     return result.select(
         F.col("doc").alias(doc_id), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

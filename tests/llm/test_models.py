@@ -54,6 +54,58 @@ def test_scores_depend_on_the_order_of_words(spark, tmp_path):
     assert got[100]["score"] > got[101]["score"] + 20
 
 
+ODD = [b"", b" ", b"Word", b"a\x0bb\x0c C\r\nD\t", b"\x00 \x00\x00 \x1f", "É é\u00a0x \u2003".encode(), b"exactly8 exactly8b",
+       b"x" * 1000 + b" " + b"x" * 1001 + b" " + b"x" * 999 + b"Y", b"12345678" * 2 + b" 12345678", b" a  b "]
+
+
+def test_words_of_texts():
+    raw, starts, sizes, keys, counts = pitman_yor._words(ODD)
+    expected = [[*text.lower().split(), b""] for text in ODD]
+    found = [raw[a:a + n].tobytes() for a, n in zip(starts, sizes, strict=True)]
+    assert found == sum(expected, []) and counts.tolist() == list(map(len, expected))
+    assert len(set(zip(found, keys.tolist()))) == len(set(found)) == len(set(keys.tolist()))
+
+
+@pytest.mark.parametrize("part_bytes", [1, 1 << 20])
+def test_blocks_are_one_row_each(spark, monkeypatch, part_bytes):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(pitman_yor, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(pitman_yor, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    texts = ODD * 3
+    batch = pa.RecordBatch.from_pydict(
+        {"doc": list(range(len(texts))), "held_out": [k % 4 == 1 for k in range(len(texts))], "data": texts})
+    rows = list(pitman_yor._rows(pitman_yor._coded(iter([batch]))))
+    assert [r["block"] for r in rows] == [3 << 20] and rows[0]["docs"] == list(range(len(texts)))
+    raw, starts, sizes, _ = pitman_yor._named(rows[0])
+    words = [raw[a:a + n].tobytes() for a, n in zip(starts, sizes, strict=True)]
+    ids = pitman_yor._unpack(rows[0]["ids"], np.int32)
+    assert [words[i] for i in ids] == [w for t in texts for w in [*t.lower().split(), b""]]
+    counts = {w.as_py(): n.as_py() for b in pitman_yor._block_words(pa.Table.from_pylist(rows).to_batches())
+              for w, n in zip(b.column("word"), b.column("n"), strict=True)}
+    learned = [w for k, t in enumerate(texts) if k % 4 != 1 for w in [*t.lower().split(), b""]]
+    assert counts == {w: learned.count(w) for w in words}
+
+
+def test_texts_are_read_once(spark, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "BLOCK_BYTES", 300)
+
+    def shuffled(batches):  # other rows in other order at each reading
+        import pyarrow as pa
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        order = np.random.default_rng().permutation(len(rows))
+        yield pa.RecordBatch.from_pylist([rows[k] for k in order], pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+
+    rows = [(k, " ".join(f"w{k * j % 37}" for j in range(k % 23))) for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).mapInArrow(shuffled, "doc_id long, text string")
+    got = pitman_yor.score_texts(df, F.col("doc_id") % 5 == 1).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {k: len(text.split()) + 1 for k, text in rows}
+    expected = base_scores(rows, lambda k: k % 5 == 1)
+    assert all(r["base_score"] == pytest.approx(expected[r["doc_id"]][4]) for r in got)
+
+
 def test_next_words_sum_to_one(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(pitman_yor, "BLOCK_BYTES", 400)
     rng = np.random.default_rng(5)
