@@ -13,7 +13,9 @@ shard, for each query:
   blocks are skipped.
 
 Bounds are never below a score, so the result is that of scoring every document. A shard gives at
-most k documents for a query; the k best of all shards are the answer.
+most k documents for a query; the k best of all shards are the answer. A block is answered first by
+some of the shards, as many as the root of their number. The others then give only documents that
+come before the k-th of these, so answers on the way grow with that root, not with the shards.
 """
 
 from __future__ import annotations
@@ -36,12 +38,12 @@ from pressflow.session import working_dir
 K1, B = 1.2, 0.75
 TOP = 10
 #: A shard's documents and characters at most; documents in a block of upper bounds.
-SHARD_DOCS, SHARD_CHARS = 60_000, 64_000_000
+SHARD_DOCS, SHARD_CHARS = 60_000, 16_000_000
 BLOCK = 64
 #: A term is frequent in a shard if one of so many documents has it.
 FREQUENT_SHARE = 16
 #: Characters of queries that are broadcast together, and queries that a shard answers at once.
-QUERY_CHARS = 32_000_000
+QUERY_CHARS = 10_000_000
 TOGETHER = 64
 #: Sums in another order differ by less than this.
 _SLACK = 1e-9
@@ -53,26 +55,33 @@ def terms(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _shard(texts: list[str]) -> tuple[int, bytes]:
-    """Number of terms, and postings by term: documents in order, how often, and their lengths."""
-    numbers: defaultdict[str, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
-    term_ids, docs, counts, lengths = [], [], [], []
-    for doc, text in enumerate(texts):
+class _Postings:
+    """Postings of the documents added so far; of their texts nothing else is kept."""
+
+    def __init__(self):
+        self.numbers: defaultdict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.term_ids, self.counts, self.lengths, self.chars = [], [], [], 0
+
+    def add(self, text: str) -> None:
         found = terms(text)
-        lengths.append(len(found))
-        ids, n = np.unique(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)),
+        ids, n = np.unique(np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found)),
                            return_counts=True)
-        term_ids.append(ids)
-        docs.append(np.full(len(ids), doc, np.int32))
-        counts.append(n)
-    flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (term_ids, docs, counts)]
-    order = np.argsort(flat[0], kind="stable")
-    ends = np.cumsum(np.bincount(flat[0], minlength=len(numbers)))
-    small = np.uint16 if not len(order) or flat[2].max() < 65_536 else np.uint32
-    return sum(lengths), pickle.dumps(
-        (list(numbers), ends, flat[1][order].astype(np.uint16), flat[2][order].astype(small),
-         np.array(lengths, np.int64)), protocol=5)
+        self.term_ids.append(ids)
+        self.counts.append(n.astype(np.int32))
+        self.lengths.append(len(found))
+        self.chars += len(text)
+
+    def packed(self) -> tuple[int, bytes]:
+        """Number of terms, and postings by term: documents in order, how often, and their lengths."""
+        docs = np.repeat(np.arange(len(self.lengths), dtype=np.uint16), [len(ids) for ids in self.term_ids])
+        term_ids, counts = np.concatenate(self.term_ids), np.concatenate(self.counts)
+        order = np.argsort(term_ids, kind="stable")
+        ends = np.cumsum(np.bincount(term_ids, minlength=len(self.numbers)))
+        small = np.uint16 if not len(order) or counts.max() < 65_536 else np.uint32
+        return sum(self.lengths), pickle.dumps(
+            (list(self.numbers), ends, docs[order], counts[order].astype(small), np.array(self.lengths, np.int64)),
+            protocol=5)
 
 
 def build_index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -85,25 +94,24 @@ def build_index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         T.StructField("n_terms", T.LongType()), T.StructField("postings", T.BinaryType())])
     id_type = pa.list_(_arrow(df.schema[doc_id].dataType))
 
-    def row(ids, texts):
-        n_terms, blob = _shard(texts)
+    def row(ids, postings):
+        n_terms, blob = postings.packed()
         return pa.RecordBatch.from_arrays(
             [pa.array([ids], id_type), pa.array([len(ids)], pa.int64()),
              pa.array([n_terms], pa.int64()), pa.array([blob], pa.binary())],
             ["ids", "n_docs", "n_terms", "postings"])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, chars = [], [], 0
+        ids, postings = [], _Postings()
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids.append(i)
-                texts.append(t)
-                chars += len(t)
-                if len(ids) >= SHARD_DOCS or chars >= SHARD_CHARS:
-                    yield row(ids, texts)
-                    ids, texts, chars = [], [], 0
+            for i, t in zip(batch.column(0), batch.column(1), strict=True):
+                ids.append(i.as_py())
+                postings.add(t.as_py())
+                if len(ids) >= SHARD_DOCS or postings.chars >= SHARD_CHARS:
+                    yield row(ids, postings)
+                    ids, postings = [], _Postings()
         if ids:
-            yield row(ids, texts)
+            yield row(ids, postings)
 
     return df.select(F.col(doc_id), text_of(text).alias("text")).mapInArrow(shards, schema)
 
@@ -117,54 +125,56 @@ def _arrow(data_type: T.DataType) -> pa.DataType:
 class ShardSearch:
     """A shard prepared for the terms of a block of queries.
 
-    ``weights`` maps a term to its number in the block and its inverse document frequency.
+    ``numbers`` numbers the block's terms, and ``idf`` has their inverse document frequencies.
     """
 
-    def __init__(self, blob: bytes, weights: dict[str, tuple[int, float]], mean_length: float):
+    def __init__(self, blob: bytes, numbers: dict[str, int], idf: np.ndarray, mean_length: float):
         names, ends, docs, counts, lengths = pickle.loads(blob)
         self.n = n = len(lengths)
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
-        starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-        self.rare: dict[int, tuple[int, int]] = {}
-        frequent, at = [], 0
-        parts_doc, parts_impact = [], []
-        for name, a, b in zip(names, starts.tolist(), ends.tolist(), strict=True):
-            known = weights.get(name)
-            if known is None:
-                continue
-            doc, tf = docs[a:b].astype(np.int64), counts[a:b].astype(np.float64)
-            impact = known[1] * tf * (K1 + 1) / (tf + norm[doc])
-            if (b - a) * FREQUENT_SHARE >= n:
-                frequent.append((known[0], doc, impact))
-            else:
-                self.rare[known[0]] = at, at + b - a
-                at += b - a
-                parts_doc.append(doc)
-                parts_impact.append(impact)
-        self.docs = np.concatenate(parts_doc) if parts_doc else np.empty(0, np.int64)
-        self.impacts = np.concatenate(parts_impact) if parts_impact else np.empty(0)
+        sizes = np.diff(ends, prepend=0)
+        number = np.fromiter((numbers.get(name, -1) for name in names), np.int64, len(names))
+        often = sizes * FREQUENT_SHARE >= n
+
+        def chosen(here):
+            """Postings of some of the shard's terms: documents and impacts."""
+            at = _places(ends[here] - sizes[here], sizes[here])
+            doc, tf = docs[at].astype(np.int64), counts[at].astype(np.float64)
+            return doc, np.repeat(idf[number[here]], sizes[here]) * tf * (K1 + 1) / (tf + norm[doc])
+
+        rare = np.flatnonzero((number >= 0) & ~often)
+        self.docs, self.impacts = chosen(rare)
+        self.sizes, self.starts = np.zeros((2, len(idf)), np.int64)
+        self.sizes[number[rare]] = sizes[rare]
+        self.starts[number[rare]] = np.cumsum(sizes[rare]) - sizes[rare]
+        frequent = np.flatnonzero((number >= 0) & often)
         self.blocks = -(-n // BLOCK)
-        self.frequent = {number: i for i, (number, _, _) in enumerate(frequent)}
+        self.frequent = np.full(len(idf), -1, np.int32)
+        self.frequent[number[frequent]] = np.arange(len(frequent))
         self.dense = np.zeros((self.blocks * BLOCK, len(frequent)))
-        for i, (_, doc, impact) in enumerate(frequent):
-            self.dense[doc, i] = impact
+        doc, impact = chosen(frequent)
+        self.dense[doc, np.repeat(np.arange(len(frequent)), sizes[frequent])] = impact
         self.bound = self.dense.reshape(self.blocks, BLOCK, len(frequent)).max(axis=1)
 
-    def search(self, queries: list[list[int]], k: int) -> list[list[tuple[float, int]]]:
-        """The k best documents with a positive score for each query, as score and place here.
+    def search(self, queries: list[np.ndarray], k: int, floors: np.ndarray) -> list[list[tuple[float, int]]]:
+        """The k best documents with a positive score for each query, as score and place here; those
+        below the query's floor may be missing.
 
         Upper bounds of all blocks and queries are one product of matrices. So are the frequent
         terms' scores, of those blocks that a query has to look into.
         """
-        common = np.zeros((len(self.frequent), len(queries)))
+        common = np.zeros((self.dense.shape[1], len(queries)))
         for q, query in enumerate(queries):
-            common[[self.frequent[t] for t in query if t in self.frequent], q] = 1
+            at = self.frequent[query]
+            common[at[at >= 0], q] = 1
         bounds = self.bound @ common
         rare = [self._rare_scores(query) for query in queries]
-        least, needed = [0.0] * len(queries), np.zeros(bounds.shape, bool)
+        least, needed = floors.tolist(), np.zeros(bounds.shape, bool)
         for q, score in enumerate(rare):
-            if self.n > k:
-                bound = score + np.repeat(bounds[:, q], BLOCK)[:self.n]
+            bound = score + np.repeat(bounds[:, q], BLOCK)[:self.n]
+            if least[q] > 0:
+                needed[np.flatnonzero(bound >= least[q]) // BLOCK, q] = True
+            elif self.n > k:
                 probes = np.argpartition(bound, self.n - k)[self.n - k:]
                 least[q] = max((score[probes] + self.dense[probes] @ common[:, q]).min() - _SLACK, 0.0)
                 needed[np.flatnonzero(bound >= least[q]) // BLOCK, q] = True
@@ -176,12 +186,9 @@ class ShardSearch:
         full = self.dense[looked_at] @ common
         return [self._best(rare[q][looked_at] + full[:, q], looked_at, least[q], k) for q in range(len(queries))]
 
-    def _rare_scores(self, query: list[int]) -> np.ndarray:
-        ranges = [self.rare[t] for t in query if t in self.rare]
-        if not ranges:
-            return np.zeros(self.n)
-        return np.bincount(np.concatenate([self.docs[a:b] for a, b in ranges]),
-                           np.concatenate([self.impacts[a:b] for a, b in ranges]), self.n)
+    def _rare_scores(self, query: np.ndarray) -> np.ndarray:
+        at = _places(self.starts[query], self.sizes[query])
+        return np.bincount(self.docs[at], self.impacts[at], self.n)
 
     @staticmethod
     def _best(score: np.ndarray, places: np.ndarray, least: float, k: int) -> list[tuple[float, int]]:
@@ -192,19 +199,29 @@ class ShardSearch:
         return list(zip(score[near].tolist(), places[near].tolist(), strict=True))
 
 
-def _block_terms(rows) -> tuple[list, list[list[int]], dict[str, int]]:
-    """Keys of the queries, the numbers of their distinct terms, and the numbering."""
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _block_terms(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, int]]:
+    """Keys of the queries, the numbers of their distinct terms one after the other, where each query
+    ends there, and the numbering."""
     numbers: dict[str, int] = {}
-    queries = [[numbers.setdefault(t, len(numbers)) for t in dict.fromkeys(terms(r["text"]))] for r in rows]
-    return [r["query"] for r in rows], queries, numbers
+    queries = [np.array([numbers.setdefault(t, len(numbers)) for t in dict.fromkeys(terms(r["text"]))], np.int32)
+               for r in rows]
+    ends = np.cumsum([len(query) for query in queries], dtype=np.int64)
+    return (np.array([r["query"] for r in rows], np.int64), np.concatenate([np.empty(0, np.int32), *queries]),
+            ends, numbers)
 
 
 def _frequencies(index: DataFrame, numbers) -> DataFrame:
     def counted(batches):
         known = numbers.value
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                names, ends = pickle.loads(blob)[:2]
+            for blob in batch.column(0):
+                names, ends = pickle.loads(blob.as_py())[:2]
                 df = np.diff(ends, prepend=0).tolist()
                 found = [(known[t], n) for t, n in zip(names, df, strict=True) if t in known]
                 yield pa.RecordBatch.from_arrays(
@@ -216,19 +233,24 @@ def _frequencies(index: DataFrame, numbers) -> DataFrame:
 
 
 def _answers(index: DataFrame, block, schema: T.StructType, k: int) -> DataFrame:
+    """Answers of shards, at most ``k`` for each query, that come before the query's last one so far."""
     kinds = [_arrow(f.dataType) for f in schema]
 
     def searched(batches):
-        keys, queries, weights, mean_length = block.value
+        keys, flat, ends, numbers, idf, mean_length, last = block.value
+        floors = np.array([0.0 if key not in last else -last[key][0] - 1e-6 - _SLACK for key in keys.tolist()])
+        keys, queries = keys.tolist(), np.split(flat, ends[:-1])[:len(keys)]
         for batch in batches:
-            for ids, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                shard = ShardSearch(blob, weights, mean_length)
+            for ids, blob in zip(batch.column(0), batch.column(1), strict=True):
+                ids, shard = ids.as_py(), ShardSearch(blob.as_py(), numbers, idf, mean_length)
                 out = [], [], []
                 for at in range(0, len(queries), TOGETHER):
-                    answers = shard.search(queries[at:at + TOGETHER], k)
+                    answers = shard.search(queries[at:at + TOGETHER], k, floors[at:at + TOGETHER])
                     for key, found in zip(keys[at:at + TOGETHER], answers, strict=True):
                         best = sorted((-round(s, 6), ids[d] is None, ids[d] if ids[d] is not None else 0, d)
                                       for s, d in found)[:k]
+                        if key in last:
+                            best = [x for x in best if x[:3] < last[key]]
                         for s, missing, i, _ in best:
                             out[0].append(key)
                             out[1].append(None if missing else i)
@@ -251,7 +273,9 @@ def search(df: DataFrame, queries: DataFrame, doc_id: str = "doc_id", text: str
     columns are left out. Each block's answers are written before the next block is broadcast.
     """
     spark = df.sparkSession
-    index = stored(build_index(df, doc_id, text), "index")
+    index = stored(build_index(df, doc_id, text).withColumn("shard", F.monotonically_increasing_id()), "index")
+    shards = sorted(r["shard"] for r in index.select("shard").collect())
+    early = F.col("shard").isin(shards[::math.isqrt(len(shards)) or 1])
     total = index.agg(F.sum("n_docs").alias("n"), F.sum("n_terms").alias("terms")).first()
     asked = queries.select(F.col(query_id).alias("query_id"), text_of(query_text).alias("text")).distinct()
     asked = stored(asked.withColumn("query", F.monotonically_increasing_id()), "queries")
@@ -260,18 +284,24 @@ def search(df: DataFrame, queries: DataFrame, doc_id: str = "doc_id", text: str
     schema = T.StructType([T.StructField("query", T.LongType()), T.StructField("doc_id", df.schema[doc_id].dataType),
                            T.StructField("score", T.DoubleType())])
     folder = working_dir(spark, "answers")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     for number in range(n_blocks):
-        keys, query_terms, numbers = _block_terms(
+        keys, flat, ends, numbers = _block_terms(
             asked.where(F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == number).collect())
         sent = spark.sparkContext.broadcast(numbers)
-        df_of = {r["term"]: r["df"] for r in _frequencies(index, sent).collect()}
+        idf = np.zeros(len(numbers))
+        for r in _frequencies(index, sent).collect():
+            idf[r["term"]] = math.log(1 + (n - r["df"] + 0.5) / (r["df"] + 0.5))
         sent.unpersist()
-        weights = {t: (i, math.log(1 + (n - df_of[i] + 0.5) / (df_of[i] + 0.5)))
-                   for t, i in numbers.items() if i in df_of}
-        sent = spark.sparkContext.broadcast((keys, query_terms, weights, total["terms"] / n))
-        _answers(index, sent, schema, k).write.mode("append").parquet(folder)
-        sent.unpersist()
-    found = spark.read.schema(schema).parquet(folder) if n_blocks else spark.createDataFrame([], schema)
-    best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+        last = {}
+        for here, name in ((early, "early"), (~early, "late")):
+            sent = spark.sparkContext.broadcast((keys, flat, ends, numbers, idf, total["terms"] / n, last))
+            _answers(index.where(here), sent, schema, k).write.parquet(f"{folder}/{number}/{name}")
+            sent.unpersist()
+            if name == "early":
+                so_far = spark.read.schema(schema).parquet(f"{folder}/{number}/early")
+                last = {r["query"]: (-r["score"], r["doc_id"] is None, 0 if r["doc_id"] is None else r["doc_id"])
+                        for r in so_far.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).collect()}
+    found = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder) if n_blocks else spark.createDataFrame([], schema)
     top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return top.join(asked.select("query", "query_id"), "query").select("query_id", "doc_id", "score", "rank")

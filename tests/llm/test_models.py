@@ -185,6 +185,35 @@ def test_search_in_small_shards(spark, monkeypatch, shard_docs):
         assert [i for _, i in found] == [i for i, _ in bm25(rows, rows[q][1], 7)]
 
 
+def test_shards_and_blocks_of_queries_stay_small(spark):
+    rows = [(k, prose(k, 20_000, 400)) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = df.withColumn("doc_id", F.explode(F.expr("transform(sequence(0, 5), k -> k * 40 + doc_id)"))).coalesce(1)
+    assert 6 * sum(len(text) for _, text in rows) > 20_000_000  # in one partition
+    shards = search.build_index(df).select("ids", "n_docs").collect()
+    assert len(shards) > 1 and sorted(i for r in shards for i in r["ids"]) == list(range(240))
+    queries = [{"query": k, "text": f"word{k % 50} word{k % 70} other{k}"} for k in range(1000)] + [{"query": 9, "text": ""}]
+    keys, flat, ends, numbers = search._block_terms(queries)
+    assert flat.nbytes + ends.nbytes + keys.nbytes < 50_000 and len(keys) == len(ends) == 1001
+    names = {i: t for t, i in numbers.items()}
+    for row, terms in zip(queries, np.split(flat, ends[:-1]), strict=True):
+        assert [names[i] for i in terms] == list(dict.fromkeys(search.terms(row["text"])))
+
+
+def test_answers_on_the_way_grow_less_than_the_shards(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(search, "SHARD_DOCS", 3)
+    monkeypatch.setattr(search, "working_dir", lambda spark, name: str(tmp_path / name))
+    rows = [(k, prose(k % 250, 5 + k % 40, 60)) for k in range(300)]  # with ties
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    queries = df.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query_text"))
+    got = search.search(df, queries, k=3).collect()
+    for q in range(0, 300, 50):
+        found = sorted((r["rank"], r["doc_id"]) for r in got if r["query_id"] == q)
+        assert [i for _, i in found] == [i for i, _ in bm25(rows, rows[q][1], 3)]
+    on_the_way = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "answers")).count()
+    assert on_the_way < 6 * 3 * 3 * 10  # the queries, k, and three times the root of 100 shards
+
+
 def test_repeated_queries_are_one(spark, monkeypatch):
     monkeypatch.setattr(search, "QUERY_CHARS", 40)
     rows = [(k, prose(k, 20, 30)) for k in range(60)]
