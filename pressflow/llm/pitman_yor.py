@@ -53,7 +53,9 @@ CONTEXT_DISCOUNTS = (0.5, 0.5, 0.6, 0.7)
 ROUNDS = 2
 #: Bytes of text whose words are numbered together; a row counts as some more, and words are found
 #: in smaller parts.
-BLOCK_BYTES, ROW_BYTES, PART_BYTES = 16_000_000, 64, 4_000_000
+BLOCK_BYTES, ROW_BYTES, PART_BYTES = 16_000_000, 64, 2_000_000
+#: Words that are seated or counted together, and their bytes.
+RUN_WORDS, RUN_BYTES = 60_000, 1_000_000
 #: Buckets of pairs for each block, and the share of all tokens from which a word's pairs are spread.
 BUCKETS_A_BLOCK = 2
 SPREAD_SHARE = 0.001
@@ -225,6 +227,34 @@ def _unpack(blob: bytes, kind) -> np.ndarray:
     return np.frombuffer(pa.Codec("zstd").decompress(blob[8:], size, asbytes=True), kind)
 
 
+def _order(values: np.ndarray) -> np.ndarray:
+    """The stable order of numbers from 0 on. Where they leave room for their places, both are sorted
+    as one number, which is faster than to sort places."""
+    bits = max(len(values) - 1, 0).bit_length()
+    if int(values.max(initial=0)).bit_length() + bits > 63:
+        return np.argsort(values, kind="stable")
+    return np.sort(values.astype(np.int64) << bits | np.arange(len(values))) & ((1 << bits) - 1)
+
+
+def _grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of numbers from 0 on, sorted, and the place there of each."""
+    order = _order(values)
+    values = values[order]
+    new = np.diff(values, prepend=-1) != 0
+    where = np.empty(len(order), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return values[new], where
+
+
+def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the place there of each; for keys that recur often."""
+    at, distinct = pd.factorize(keys)
+    order = np.argsort(distinct)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return distinct[order], rank[at]
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     for _ in range(2):
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -267,14 +297,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
     docs, held_out, texts, size = [], [], [], 0
     for batch in batches:
         for doc, held, data in zip(batch.column("doc"), batch.column("held_out").to_pylist(),
-                                   batch.column("data").to_pylist(), strict=True):
+                                   batch.column("data"), strict=True):
             if size >= BLOCK_BYTES:
                 yield docs, held_out, texts
                 docs, held_out, texts, size = [], [], [], 0
             docs.append(doc)
             held_out.append(held)
-            texts.append(data)
-            size += len(data) + ROW_BYTES
+            texts.append(data.as_py())
+            size += len(texts[-1]) + ROW_BYTES
     if docs:
         yield docs, held_out, texts
 
@@ -352,18 +382,27 @@ def _codes(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     number; a text's first word comes after an end."""
     keys, ids = _named(row)[3], _unpack(row["ids"], np.int32)
     before = np.concatenate(([END], ids[:-1])).astype(np.int64)
-    return keys, ids, before * len(keys) + ids
+    return keys, ids, _joined(before, ids, len(keys))
+
+
+def _joined(first: np.ndarray, second: np.ndarray, n: int) -> np.ndarray:
+    """Pairs of places below ``n`` as one number each."""
+    return first.astype(np.int64) << n.bit_length() | second
+
+
+def _parted(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    return codes >> n.bit_length(), codes & ((1 << n.bit_length()) - 1)
 
 
 def _ordered_pairs(codes: np.ndarray, keys: np.ndarray, spread: np.ndarray, buckets: int):
-    """Bucket of each pair, and the order by bucket; ``codes`` are sorted numbers of pairs.
+    """Both words of each pair, its bucket, and the order by bucket; ``codes`` are sorted numbers of pairs.
 
     A pair's bucket follows from its first word, and from both if that is one of ``spread``.
     """
-    first, second = np.divmod(codes, max(len(keys), 1))
+    first, second = _parted(codes, len(keys))
     mixed = keys[first] + np.where(np.isin(keys, spread)[first], keys[second] * 31, 0)
     bucket = ((mixed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
-    return bucket, np.argsort(bucket, kind="stable")
+    return first, second, bucket, _order(bucket)
 
 
 def _block_pairs(spread: np.ndarray, buckets: int):
@@ -375,8 +414,8 @@ def _block_pairs(spread: np.ndarray, buckets: int):
             codes = np.sort(codes * 2 + learned)
             starts = np.flatnonzero(np.diff(codes >> 1, prepend=-1))
             n, codes = np.add.reduceat(codes & 1, starts), codes[starts] >> 1
-            bucket, order = _ordered_pairs(codes, keys, spread, buckets)
-            first, second = np.divmod(codes[order], len(keys))
+            first, second, bucket, order = _ordered_pairs(codes, keys, spread, buckets)
+            first, second = first[order], second[order]
             n, cuts = n[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
             for k in np.flatnonzero(np.diff(cuts)):
                 part = slice(cuts[k], cuts[k + 1])
@@ -397,7 +436,7 @@ _SEATED = ("bucket int, keys binary, first binary, second binary, c binary, t bi
 def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of keys by their part of the vocabulary, and where each part begins in it."""
     part = keys % parts
-    order = np.argsort(part, kind="stable")
+    order = _order(part)
     return order, np.searchsorted(part[order], np.arange(parts + 1))
 
 
@@ -427,30 +466,37 @@ def _merged(parts: int):
                      for x in rows.column(name).to_pylist()]
                     for name, packed in (("first", True), ("second", False), ("n", True))]
         first, second, n = (np.concatenate(x) for x in unpacked)
-        order = np.lexsort((second, first))
-        a, b = first[order], second[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        words, named = _ranked(np.concatenate((first, second)))
+        pair = _joined(named[:len(first)], named[len(first):], len(words))
+        del first, second, named
+        order = _order(pair)
+        pair = pair[order]
+        new = np.diff(pair, prepend=-1) != 0
         group = np.cumsum(new) - 1
         c = np.bincount(group, n[order]).astype(np.int64)
-        a, b = a[new], b[new]
+        a, b = _parted(pair[new], len(words))
         often = c >= 2
         place = np.where(often, 1 + np.cumsum(often), np.minimum(c, 1)).astype(np.int32)
+
+        def named_by(these):
+            """The keys of some pairs' words, and the places there of the first and the second ones."""
+            used = np.zeros(len(words), bool)
+            used[a[these]] = used[b[these]] = True
+            at = np.cumsum(used) - 1
+            return words[used], at[a[these]], at[b[these]]
+
         where = np.empty(len(order), np.int32)
         where[order] = place[group]
         ends = np.cumsum([len(x) for x in unpacked[0]])
         out = [{"block": block, "bucket": bucket, "index": _pack(where[e - len(x):e])} for block, bucket, e, x in zip(
             rows.column("block").to_pylist(), rows.column("bucket").to_pylist(), ends, unpacked[0], strict=True)]
-        keys, named = np.unique(np.concatenate((a[often], b[often])), return_inverse=True)
-        m = int(often.sum())
+        keys, firsts, seconds = named_by(often)
         out.append({
             "bucket": rows.column("bucket")[0].as_py(), "keys": keys.tobytes(), "c": _pack(c[often]),
-            "first": _pack(named[:m].astype(np.int32)), "second": _pack(named[m:].astype(np.int32)),
+            "first": _pack(firsts.astype(np.int32)), "second": _pack(seconds.astype(np.int32)),
             "ones": int((c == 1).sum()), "twos": int((c == 2).sum())})
-        once, named = np.unique(np.concatenate((a[c == 1], b[c == 1])), return_inverse=True)
-        half = len(named) // 2
-        out += _told(once, np.bincount(named[:half], minlength=len(once)),
-                     np.bincount(named[half:], minlength=len(once)), parts)
+        once, firsts, seconds = named_by(c == 1)
+        out += _told(once, np.bincount(firsts, minlength=len(once)), np.bincount(seconds, minlength=len(once)), parts)
         return _table(out, _PAIRS)
 
     return merged
@@ -548,7 +594,7 @@ def _tables_first(parts: int):
 
 def _summed(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     found = [np.frombuffer(x, np.int64) for x in rows.column("keys").to_pylist()]
-    keys, where = np.unique(np.concatenate(found), return_inverse=True)
+    keys, where = _ranked(np.concatenate(found))
     return keys, *(np.bincount(where, np.concatenate([_unpack(x, np.int64) for x in rows.column(name).to_pylist()]),
                                len(keys)).astype(np.int64) for name in ("own", "c"))
 
@@ -565,10 +611,23 @@ def _summed_rows(rows: pa.Table) -> pa.Table:
     return pa.table(dict(zip(("key", "own", "c"), _summed(rows), strict=True)))
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of words joined to longer ones: a round of seating costs much the same for a few words."""
+    held, n, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n, size = n + batch.num_rows, size + batch.column("word").nbytes
+        if n >= RUN_WORDS or size >= RUN_BYTES:
+            yield pa.concat_batches(held)
+            held, n, size = [], 0, 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _seat_words(spelling, total_tables: int, discount: float, sweep: int):
     """Seat the words of stored rows; ``spelled`` is their probability in the spelling model."""
     def seated(batches):
-        for k, batch in enumerate(batches):
+        for k, batch in enumerate(_runs(batches)):
             words, c = batch.column("word").to_pylist(), batch.column("c").to_numpy()
             t = batch.column("t").to_numpy()
             base = np.exp(spelling().log_probability(words))
@@ -583,7 +642,7 @@ def _seat_words(spelling, total_tables: int, discount: float, sweep: int):
 
 def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often the words' tables spell each cell, by batch."""
-    for batch in batches:
+    for batch in _runs(batches):
         t = batch.column("t").to_numpy()
         used = np.flatnonzero(t)
         words = batch.column("word").take(pa.array(used)).to_pylist()
@@ -769,12 +828,11 @@ def score_texts(df: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
         keys, ids, codes = _codes(row)
         c, p, own = (_in_order(keys, parts, answers, name) for name in ("c", "p", "own"))
         base = np.log10((c + 0.5) / (total + 0.5 * (kinds + 1)))
-        codes, where = np.unique(codes, return_inverse=True)
-        _, by_bucket = _ordered_pairs(codes, keys, spread, buckets)
+        codes, where = _grouped(codes)
+        first, second, _, by_bucket = _ordered_pairs(codes, keys, spread, buckets)
         value = np.empty(len(codes))
         value[by_bucket] = np.concatenate([_unpack(x, np.float32) for _, x in sorted(
             zip(sent.column("number").to_pylist(), sent.column("values").to_pylist(), strict=True))])
-        first, second = np.divmod(codes, len(keys))
         chance = (value + (STRENGTH + pair_discount * own[first]) * p[second]) / (STRENGTH + c[first])
         logs = np.log10(np.maximum(chance, 1e-300))[where]
         sizes = _unpack(row["sizes"], np.int64)

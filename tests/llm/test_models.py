@@ -126,6 +126,35 @@ def test_next_words_sum_to_one(spark, tmp_path, monkeypatch):
     assert max(abs(np.linalg.eigvals(chances))) == pytest.approx(1, abs=1e-5)
 
 
+def test_orders_and_groups():
+    rng = np.random.default_rng(2)
+    for values in (rng.integers(0, 50, 3000), rng.integers(0, 2 ** 62, 3000), np.empty(0, np.int64), np.array([7])):
+        assert pitman_yor._order(values).tolist() == np.argsort(values, kind="stable").tolist()
+        for found in (pitman_yor._grouped(values), pitman_yor._ranked(values)):
+            expected = np.unique(values, return_inverse=True)
+            assert all(x.tolist() == y.tolist() for x, y in zip(found, expected, strict=True))
+    first, second = rng.integers(0, 9, (2, 100))
+    assert np.array_equal(pitman_yor._parted(pitman_yor._joined(first, second, 9), 9), (first, second))
+
+
+def test_words_are_seated_in_long_runs(monkeypatch):
+    import pyarrow as pa
+
+    rows = [{"word": b"w%d" % k, "c": k % 40, "t": min(k % 40, 1), **dict.fromkeys(("key", "n", "own", "own_sum"), k), "p": 0.0}
+            for k in range(1000)]
+    batches = pa.Table.from_pylist(rows).to_batches(max_chunksize=50)
+    calls, seat = [], pitman_yor.seat
+    monkeypatch.setattr(pitman_yor, "seat", lambda *a: calls.append(len(a[1])) or seat(*a))
+    flat = np.full(257, 1 / 257)
+    spelling = pitman_yor.Spelling(np.empty(0, np.int64), np.empty(0), np.ones(32 ** 3), np.tile(flat, (1024, 1)), flat)
+    step = pitman_yor._seat_words(lambda: spelling, 900, 0.5, 1)
+    out = pa.Table.from_batches(step(iter(batches))).to_pylist()
+    assert calls == [1000] and [r["word"] for r in out] == [r["word"] for r in rows]
+    assert all(min(r["c"], 1) <= r["t"] <= r["c"] for r in out)
+    monkeypatch.setattr(pitman_yor, "RUN_BYTES", 1)
+    assert [b.num_rows for b in pitman_yor._runs(iter(batches))] == [50] * 20
+
+
 def test_spelling_sums_to_one():
     rng = np.random.default_rng(1)
     counts = np.zeros((1024, 257), np.int64)
