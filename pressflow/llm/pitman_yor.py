@@ -92,7 +92,18 @@ def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return context * SYMBOLS + symbols, starts
 
 
-def seat(rng: np.random.Generator, customers: np.ndarray, base: np.ndarray, others: np.ndarray,
+class Draws:
+    """Random numbers for dishes of several batches, each batch's from a generator of its own."""
+
+    def __init__(self, rngs: list[np.random.Generator], lengths: list[int]):
+        self.rngs, self.ends = rngs, np.cumsum(lengths)
+
+    def at(self, here: np.ndarray) -> np.ndarray:
+        cuts = np.searchsorted(here, self.ends).tolist()
+        return np.concatenate([rng.random(b - a) for rng, a, b in zip(self.rngs, [0, *cuts], cuts) if b > a])
+
+
+def seat(rng: np.random.Generator | Draws, customers: np.ndarray, base: np.ndarray, others: np.ndarray,
          strength: float, discount: float) -> np.ndarray:
     """Tables that the customers of each dish take, seated one by one.
 
@@ -101,12 +112,13 @@ def seat(rng: np.random.Generator, customers: np.ndarray, base: np.ndarray, othe
     its customers less the discount. After the first customers, the number of the one who takes the
     next new table is drawn at once, from the continuous form of its distribution.
     """
+    draws = rng.at if isinstance(rng, Draws) else lambda here: rng.random(len(here))
     tables = np.minimum(customers, 1).astype(np.int64)
     for seated in range(1, min(_SINGLE, int(customers.max(initial=0)))):
         here = np.flatnonzero(customers > seated)
         t = tables[here]
         new = (strength + discount * (others[here] + t)) * base[here]
-        tables[here] += rng.random(len(here)) * (seated - discount * t + new) < new
+        tables[here] += draws(here) * (seated - discount * t + new) < new
     here = np.flatnonzero(customers > _SINGLE)
     at = np.full(len(here), float(_SINGLE))
     while len(here):
@@ -114,7 +126,7 @@ def seat(rng: np.random.Generator, customers: np.ndarray, base: np.ndarray, othe
         new = np.maximum((strength + discount * (others[here] + t)) * base[here], 1e-300)
         shift = (new - 1) / 2 - discount * t
         with np.errstate(over="ignore"):
-            at = np.maximum(np.ceil((at + shift) * rng.random(len(here)) ** (-1 / new) - shift), at)
+            at = np.maximum(np.ceil((at + shift) * draws(here) ** (-1 / new) - shift), at)
         more = at < customers[here]
         here, at = here[more], at[more] + 1
         tables[here] += 1
@@ -611,28 +623,33 @@ def _summed_rows(rows: pa.Table) -> pa.Table:
     return pa.table(dict(zip(("key", "own", "c"), _summed(rows), strict=True)))
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of words joined to longer ones: a round of seating costs much the same for a few words."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """Batches of words joined to longer ones, with the lengths of those they are made of: a round of
+    seating costs much the same for a few words."""
     held, n, size = [], 0, 0
     for batch in batches:
         held.append(batch)
         n, size = n + batch.num_rows, size + batch.column("word").nbytes
         if n >= RUN_WORDS or size >= RUN_BYTES:
-            yield pa.concat_batches(held)
+            yield pa.concat_batches(held), [len(x) for x in held]
             held, n, size = [], 0, 0
     if held:
-        yield pa.concat_batches(held)
+        yield pa.concat_batches(held), [len(x) for x in held]
 
 
 def _seat_words(spelling, total_tables: int, discount: float, sweep: int):
     """Seat the words of stored rows; ``spelled`` is their probability in the spelling model."""
     def seated(batches):
-        for k, batch in enumerate(_runs(batches)):
+        k = 0
+        for batch, lengths in _runs(batches):
             words, c = batch.column("word").to_pylist(), batch.column("c").to_numpy()
             t = batch.column("t").to_numpy()
             base = np.exp(spelling().log_probability(words))
-            rng = _rng(sweep, k, zlib.crc32(words[0] if words else b""), len(words))
-            t = seat(rng, c, base, np.maximum(total_tables - t, 0), STRENGTH, discount)
+            ends = np.cumsum(lengths).tolist()
+            rngs = [_rng(sweep, k + i, zlib.crc32(words[end - n] if n else b""), n)
+                    for i, (n, end) in enumerate(zip(lengths, ends, strict=True))]
+            k += len(lengths)
+            t = seat(Draws(rngs, lengths), c, base, np.maximum(total_tables - t, 0), STRENGTH, discount)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(x) for x in ("word", "key", "n", "own", "c", "p", "own_sum")), pa.array(t),
                  pa.array(base)], ["word", "key", "n", "own", "c", "p", "own_sum", "t", "spelled"])
@@ -642,7 +659,7 @@ def _seat_words(spelling, total_tables: int, discount: float, sweep: int):
 
 def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often the words' tables spell each cell, by batch."""
-    for batch in _runs(batches):
+    for batch, _ in _runs(batches):
         t = batch.column("t").to_numpy()
         used = np.flatnonzero(t)
         words = batch.column("word").take(pa.array(used)).to_pylist()

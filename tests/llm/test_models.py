@@ -140,7 +140,7 @@ def test_orders_and_groups():
 def test_words_are_seated_in_long_runs(monkeypatch):
     import pyarrow as pa
 
-    rows = [{"word": b"w%d" % k, "c": k % 40, "t": min(k % 40, 1), **dict.fromkeys(("key", "n", "own", "own_sum"), k), "p": 0.0}
+    rows = [{"word": b"w%d" % k, "c": k % 80, "t": min(k % 80, 1), **dict.fromkeys(("key", "n", "own", "own_sum"), k), "p": 0.0}
             for k in range(1000)]
     batches = pa.Table.from_pylist(rows).to_batches(max_chunksize=50)
     calls, seat = [], pitman_yor.seat
@@ -152,7 +152,8 @@ def test_words_are_seated_in_long_runs(monkeypatch):
     assert calls == [1000] and [r["word"] for r in out] == [r["word"] for r in rows]
     assert all(min(r["c"], 1) <= r["t"] <= r["c"] for r in out)
     monkeypatch.setattr(pitman_yor, "RUN_BYTES", 1)
-    assert [b.num_rows for b in pitman_yor._runs(iter(batches))] == [50] * 20
+    assert [b.num_rows for b, _ in pitman_yor._runs(iter(batches))] == [50] * 20
+    assert pa.Table.from_batches(step(iter(batches))).to_pylist() == out  # each batch has draws of its own
 
 
 def test_spelling_sums_to_one():
