@@ -97,6 +97,7 @@ def links(fps: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGMENTS)
     """Pairs ``a``, ``b`` of different values of ``fp`` within ``max_bits`` bits.
 
     ``fps`` holds each value once. A pair comes once, or twice if both lie on one grid point.
+    Neither side is broadcast: Spark sizes the probes as if each point had one.
     """
     if not 4 <= segments <= 12:
         raise ValueError("4 to 12 segments")
@@ -105,8 +106,8 @@ def links(fps: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGMENTS)
     probes = points.select(F.col("a").alias("b"), "point", F.explode(reach).alias("step")).select(
         "b", (F.col("point") + F.col("step")).alias("point"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return (probes.join(points, (probes["point"] == points["point"]) & (F.col("a") != F.col("b")) & near)
-            .select("a", "b"))
+    same = probes["point"] == points["point"]
+    return probes.hint("merge").join(points, same & (F.col("a") != F.col("b")) & near).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:

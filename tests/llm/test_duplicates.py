@@ -48,6 +48,13 @@ def test_components_of_chains_and_stars(spark):
     assert 9 not in roots and got.count() == len(roots)
 
 
+def test_links_broadcast_no_probes(spark, tmp_path):
+    spark.range(2000).selectExpr("xxhash64(id) AS fp").write.parquet(f"{tmp_path}/points")
+    found = simhash.links(spark.read.parquet(f"{tmp_path}/points"))
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_simhash_of_edge_cases(spark):
     df = edge_table(spark)
     got = [(r["doc_id"], r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(df).collect()]
