@@ -165,6 +165,8 @@ def _factored(found: DataFrame) -> DataFrame:
     return found.withColumn("log_det", sum(logs[1:], logs[0]))
 
 
+#: Groups whose estimates are broadcast, some 0.7 KB each.
+SENT_GROUPS = 10_000
 #: Group of all rows; the ids of languages end in binary 10, those of a language's sources in 01.
 _ALL = 0
 
@@ -188,27 +190,40 @@ def _copied(groups: DataFrame) -> DataFrame:
     return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts(F.col("group_id")) - 1)))
 
 
-def _measured(rows: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
+def _met(rows: DataFrame, groups: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """``rows`` with what ``groups`` has of their group: broadcast if these are ``few``, or else copied
+    for every ``salt`` and merged.
+
+    It is not left to Spark, which sizes copies as if each group had one, and rows by their packed
+    files: either would go through the driver at many times its estimate.
+    """
+    if few:
+        return rows.join(F.broadcast(groups), "group_id", how)
+    return rows.join(_copied(groups).hint("merge"), ["group_id", "salt"], how)
+
+
+def _measured(rows: DataFrame, estimates: DataFrame, keys: list[str], few: bool) -> DataFrame:
     """``rows`` with ``d2``, their squared distance in their group's estimate."""
     x = [F.col(name) for name, _, _ in PARTS]
     lower = [[F.col(f"l_{i}{j}") for j in range(i + 1)] for i in range(_K)]
-    joined = rows.join(_copied(estimates), [*keys, "salt"])
+    joined = _met(rows, estimates, few)
     return joined.select(*(rows[c] for c in rows.columns),
                          _distance(x, [F.col(f"c_{i}") for i in range(_K)], lower).alias("d2"))
 
 
-def _nearest(measured: DataFrame, keys: list[str]) -> DataFrame:
+def _nearest(measured: DataFrame, keys: list[str], few: bool) -> DataFrame:
     """The share ``COVERAGE`` of each group's rows with the least ``d2``, ties included."""
     radius = measured.groupBy(*keys).agg(
         F.percentile_approx("d2", COVERAGE, 10_000).alias("radius"))
-    return measured.join(_copied(radius), [*keys, "salt"]).where("d2 <= radius").drop("d2", "radius")
+    return _met(measured, radius, few).where("d2 <= radius").drop("d2", "radius")
 
 
-def estimates(vectors: DataFrame, name: str) -> DataFrame:
+def estimates(vectors: DataFrame, name: str, few: bool) -> DataFrame:
     """Minimum-covariance-determinant estimate of each ``group_id`` of ``vectors``.
 
-    ``vectors`` holds ``group_id``, ``salt`` and the parts. One row for each group. What rows are
-    joined with is copied for every salt, so no group's rows meet in one task.
+    ``vectors`` holds ``group_id``, ``salt`` and the parts. One row for each group, which are ``few``
+    or not. What rows are joined with is broadcast or copied for every salt, so no group's rows meet
+    in one task.
     """
     keys = ["group_id"]
     names = [n for n, _, _ in PARTS]
@@ -216,16 +231,16 @@ def estimates(vectors: DataFrame, name: str) -> DataFrame:
         *(F.percentile_approx(n, [0.25, 0.5, 0.75], 10_000).alias(f"q_{n}") for n in names))
     spread = [F.greatest((F.col(f"q_{n}")[2] - F.col(f"q_{n}")[0]) / 1.349, F.lit(floor))
               for n, _, floor in PARTS]
-    near_median = vectors.join(_copied(medians), [*keys, "salt"]).select(
+    near_median = _met(vectors, medians, few).select(
         *(vectors[c] for c in vectors.columns),
         sum(((F.col(n) - F.col(f"q_{n}")[1]) / s) ** 2
             for n, s in zip(names, spread, strict=True)).alias("d2"))
-    near_mean = _measured(vectors, stored(_estimate(vectors, keys), f"{name}-mean"), keys)
+    near_mean = _measured(vectors, stored(_estimate(vectors, keys), f"{name}-mean"), keys, few)
     ends = []
     for start, measured in (("median", near_median), ("mean", near_mean)):
         for step in range(STEPS):
-            found = stored(_estimate(_nearest(measured, keys), keys), f"{name}-{start}-{step}")
-            measured = _measured(vectors, found, keys)
+            found = stored(_estimate(_nearest(measured, keys, few), keys), f"{name}-{start}-{step}")
+            measured = _measured(vectors, found, keys, few)
         ends.append(found)
     values = [c for c in ends[0].columns if c not in keys]
     return ends[0].union(ends[1]).groupBy(*keys).agg(
@@ -269,7 +284,8 @@ def _fitted(rows: DataFrame) -> DataFrame:
     names = [name for name, _, _ in PARTS]
     vectors = stored(_salted(passed.select("group_id", "lang_id", *vector("s"))
                              .select(levels.alias("group_id"), *names)), "vectors")
-    return stored(_shrunk(sizes, stored(estimates(vectors, "mcd"), "estimates")), "groups")
+    few = sizes.count() <= SENT_GROUPS
+    return stored(_shrunk(sizes, stored(estimates(vectors, "mcd", few), "estimates")), "groups")
 
 
 def _judged(rows: DataFrame, fitted: DataFrame) -> DataFrame:
@@ -281,7 +297,7 @@ def _judged(rows: DataFrame, fitted: DataFrame) -> DataFrame:
     lower = [[F.col(f"l_{i}{j}") for j in range(i + 1)] for i in range(_K)]
     d2 = _distance(vector("s"), [F.col(f"c_{i}") for i in range(_K)], lower)
     far = F.when(F.col("s.failed"), float("inf")).otherwise(0.0)
-    joined = _salted(rows).join(_copied(fitted), ["group_id", "salt"], "left")
+    joined = _met(_salted(rows), fitted, fitted.count() <= SENT_GROUPS, "left")
     return joined.select(*(rows[c] for c in rows.columns),
                          F.greatest(F.coalesce(d2, F.lit(float("inf"))), far).alias("d2")) \
         .withColumn("kept", F.col("d2") <= CUT)
@@ -312,7 +328,7 @@ def kept_documents(df: DataFrame, text: str = "text", lang: str = "lang",
     """The rows of ``df`` that pass, with all their columns and no others; see ``quality_verdicts``.
 
     The text is read twice, once for the estimates and once for the verdict, and never shuffled
-    while the estimates are small enough for Spark to broadcast.
+    while there are no more than ``SENT_GROUPS`` groups.
     """
     counts = stored(_rows(df, F.lit(0), text, lang, source).drop("row"), "counts")
     fitted = _fitted(counts)

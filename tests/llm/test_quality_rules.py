@@ -138,6 +138,24 @@ def test_rows_of_a_group_are_spread(spark):
     assert copies == {0: 256, 6: 64, 5: 32}
 
 
+def test_only_few_groups_are_broadcast_and_never_rows(spark, tmp_path, monkeypatch):
+    # files so small that Spark alone would broadcast the rows, or the copies by the size of one each
+    spark.range(3000).select((F.col("id") % 2 + 4).alias("group_id"), F.lit(1).alias("salt")).write.parquet(f"{tmp_path}/rows")
+    spark.range(4, 6).select(F.col("id").alias("group_id"), F.lit("x" * 500).alias("e")).write.parquet(f"{tmp_path}/groups")
+    rows, groups = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("rows", "groups"))
+    for few in (True, False):
+        met = quality_outliers._met(rows, groups, few)
+        assert met.count() == 3000
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "BuildLeft" not in plan and ("BroadcastHashJoin" in plan) == few
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    told = {r["doc_id"]: r for r in quality_outliers.quality_verdicts(df).collect()}
+    monkeypatch.setattr(quality_outliers, "SENT_GROUPS", 0)
+    for r in quality_outliers.quality_verdicts(df).collect():
+        assert r["kept"] == told[r["doc_id"]]["kept"]
+        assert (r["distance2"] or 0.0) == pytest.approx(told[r["doc_id"]]["distance2"] or 0.0, rel=1e-6)
+
+
 def test_small_groups_follow_their_own_language(spark):
     def rows(first, n, cut, lang):
         return [(first + k, " ".join(cut(w) for w in prose(k, 120).split()), lang, f"s{k % 8}") for k in range(n)]
