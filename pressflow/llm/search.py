@@ -1,7 +1,7 @@
 """Exact top-k search by BM25: an inverted index in shards, block-max WAND within, exact merge.
 
 Each task turns its documents into shards of bounded size: postings of each term, and the length of
-each document. The index is stored once. Queries come in blocks of bounded size; a block's terms get
+each document. The index is stored once. Queries come in blocks of bounded size; their terms get
 their document frequencies from all shards, so every shard scores with the same statistics. In a
 shard, for each query:
 
@@ -9,8 +9,10 @@ shard, for each query:
 * the others' postings are summed up: few, and they decide most scores;
 * for the frequent terms each run of ``BLOCK`` documents has an upper bound, the sum of the terms'
   greatest impacts in it. Only documents whose sum and bound reach the threshold, the least full
-  score among the documents with the highest bounds, make their block be scored in full; the other
-  blocks are skipped.
+  score among the documents with the highest bounds, make their block be looked into; the other
+  blocks are skipped;
+* in those blocks the frequent terms are summed up in single precision, and only documents that may
+  reach the threshold within its error are scored exactly.
 
 Bounds are never below a score, so the result is that of scoring every document. A shard gives at
 most k documents for a query; the k best of all shards are the answer. A block is answered first by
@@ -139,7 +141,7 @@ class ShardSearch:
         def chosen(here):
             """Postings of some of the shard's terms: documents and impacts."""
             at = _places(ends[here] - sizes[here], sizes[here])
-            doc, tf = docs[at].astype(np.int64), counts[at].astype(np.float64)
+            doc, tf = docs[at], counts[at].astype(np.float64)
             return doc, np.repeat(idf[number[here]], sizes[here]) * tf * (K1 + 1) / (tf + norm[doc])
 
         rare = np.flatnonzero((number >= 0) & ~often)
@@ -151,44 +153,66 @@ class ShardSearch:
         self.blocks = -(-n // BLOCK)
         self.frequent = np.full(len(idf), -1, np.int32)
         self.frequent[number[frequent]] = np.arange(len(frequent))
-        self.dense = np.zeros((self.blocks * BLOCK, len(frequent)))
         doc, impact = chosen(frequent)
-        self.dense[doc, np.repeat(np.arange(len(frequent)), sizes[frequent])] = impact
+        term = np.repeat(np.arange(len(frequent), dtype=np.int32), sizes[frequent])
+        #: Impacts of frequent terms, rounded; sums of them are off by this share at most.
+        self.dense = np.zeros((self.blocks * BLOCK, len(frequent)), np.float32)
+        self.dense[doc, term] = impact
+        self.off = (len(frequent) + 4) * 2.0 ** -23
         self.bound = self.dense.reshape(self.blocks, BLOCK, len(frequent)).max(axis=1)
+        order = np.argsort(doc, kind="stable")
+        self.frequent_terms, self.frequent_impacts = term[order], impact[order]
+        self.frequent_ends = np.cumsum(np.bincount(doc, minlength=n))
 
     def search(self, queries: list[np.ndarray], k: int, floors: np.ndarray) -> list[list[tuple[float, int]]]:
         """The k best documents with a positive score for each query, as score and place here; those
         below the query's floor may be missing.
 
         Upper bounds of all blocks and queries are one product of matrices. So are the frequent
-        terms' scores, of those blocks that a query has to look into.
+        terms' rounded scores, of those blocks that a query has to look into. Documents that may be
+        among the best by these are scored exactly.
         """
-        common = np.zeros((self.dense.shape[1], len(queries)))
+        common = np.zeros((self.dense.shape[1], len(queries)), np.float32)
+        rare = np.empty((len(queries), self.blocks * BLOCK))
         for q, query in enumerate(queries):
             at = self.frequent[query]
             common[at[at >= 0], q] = 1
-        bounds = self.bound @ common
-        rare = [self._rare_scores(query) for query in queries]
-        least, needed = floors.tolist(), np.zeros(bounds.shape, bool)
-        for q, score in enumerate(rare):
-            bound = score + np.repeat(bounds[:, q], BLOCK)[:self.n]
-            if least[q] > 0:
-                needed[np.flatnonzero(bound >= least[q]) // BLOCK, q] = True
-            elif self.n > k:
+            rare[q] = self._rare_scores(query)
+        bounds = (self.bound @ common).T * (1 + self.off)
+        highest = rare.reshape(len(queries), self.blocks, BLOCK).max(axis=2) + bounds
+        least = floors.tolist()
+        for q in range(len(queries)):
+            if least[q] <= 0 and self.n > k:
+                bound = (rare[q] + np.repeat(bounds[q], BLOCK))[:self.n]
                 probes = np.argpartition(bound, self.n - k)[self.n - k:]
-                least[q] = max((score[probes] + self.dense[probes] @ common[:, q]).min() - _SLACK, 0.0)
-                needed[np.flatnonzero(bound >= least[q]) // BLOCK, q] = True
-            else:
-                needed[:, q] = True
-        blocks = np.flatnonzero(needed.any(axis=1))
+                least[q] = max(self._exact(rare[q], common[:, q], probes).min() - _SLACK, 0.0)
+        blocks = np.flatnonzero((highest >= np.array(least)[:, None]).any(axis=0))
         looked_at = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         looked_at = looked_at[looked_at < self.n]
-        full = self.dense[looked_at] @ common
-        return [self._best(rare[q][looked_at] + full[:, q], looked_at, least[q], k) for q in range(len(queries))]
+        rounded = common.T @ self.dense[looked_at].T if len(looked_at) < self.n else common.T @ self.dense[:self.n].T
+        out = []
+        for q in range(len(queries)):
+            score = rare[q][looked_at] if len(looked_at) < self.n else rare[q][:self.n]
+            near = np.flatnonzero(score + rounded[q] * (1 + self.off) >= least[q])
+            if len(near) > k:
+                sure = score[near] + rounded[q, near] * (1 - self.off)
+                kth = np.partition(sure, len(near) - k)[len(near) - k] - _SLACK
+                near = near[score[near] + rounded[q, near] * (1 + self.off) >= kth]
+            places = looked_at[near]
+            out.append(self._best(self._exact(rare[q], common[:, q], places), places, least[q], k))
+        return out
 
     def _rare_scores(self, query: np.ndarray) -> np.ndarray:
         at = _places(self.starts[query], self.sizes[query])
-        return np.bincount(self.docs[at], self.impacts[at], self.n)
+        return np.bincount(self.docs.take(at), self.impacts.take(at), self.blocks * BLOCK)
+
+    def _exact(self, rare: np.ndarray, common: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Full scores of some documents."""
+        ends = self.frequent_ends[places]
+        sizes = ends - np.where(places > 0, self.frequent_ends[places - 1], 0)
+        at = _places(ends - sizes, sizes)
+        impacts = self.frequent_impacts[at] * common[self.frequent_terms[at]]
+        return rare[places] + np.bincount(np.repeat(np.arange(len(places)), sizes), impacts, len(places))
 
     @staticmethod
     def _best(score: np.ndarray, places: np.ndarray, least: float, k: int) -> list[tuple[float, int]]:
@@ -202,7 +226,9 @@ class ShardSearch:
 def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places of runs, one run after the other."""
     ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+    places = np.repeat(starts - (ends - sizes), sizes)
+    places += np.arange(len(places))
+    return places
 
 
 def _block_terms(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, int]]:
@@ -216,20 +242,28 @@ def _block_terms(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, in
             ends, numbers)
 
 
-def _frequencies(index: DataFrame, numbers) -> DataFrame:
-    def counted(batches):
-        known = numbers.value
+def _frequencies(index: DataFrame, asked: DataFrame) -> DataFrame:
+    """``block``, ``term`` and ``df`` of the terms of each block of queries that documents have. The
+    index is read once for all blocks."""
+    def listed(batches):
         for batch in batches:
             for blob in batch.column(0):
                 names, ends = pickle.loads(blob.as_py())[:2]
-                df = np.diff(ends, prepend=0).tolist()
-                found = [(known[t], n) for t, n in zip(names, df, strict=True) if t in known]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([t for t, _ in found], pa.int32()), pa.array([n for _, n in found], pa.int64())],
-                    ["term", "df"])
+                    [pa.array(names, pa.string()), pa.array(np.diff(ends, prepend=0), pa.int64())], ["term", "df"])
+
+    def wanted(batches):
+        for batch in batches:
+            found = {(b, t) for b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                     for t in terms(text)}
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int64()),
+                                              pa.array([t for _, t in found], pa.string())], ["block", "term"])
 
-    return index.select("postings").mapInArrow(counted, "term int, df bigint").groupBy("term").agg(
+    counted = index.select("postings").mapInArrow(listed, "term string, df bigint").groupBy("term").agg(
         F.sum("df").alias("df"))
+    needed = asked.select("block", "text").mapInArrow(wanted, "block bigint, term string").distinct()
+    # not left to Spark, which sizes the terms as if each query had one
+    return needed.hint("shuffle_hash").join(counted, "term").select("block", "term", "df")
 
 
 def _answers(index: DataFrame, block, schema: T.StructType, k: int) -> DataFrame:
@@ -281,18 +315,17 @@ def search(df: DataFrame, queries: DataFrame, doc_id: str = "doc_id", text: str
     asked = stored(asked.withColumn("query", F.monotonically_increasing_id()), "queries")
     chars = asked.agg(F.sum(F.length("text") + 1)).first()[0] or 0
     n, n_blocks = total["n"], -(-chars // QUERY_CHARS) if total["n"] else 0
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(max(n_blocks, 1))))
+    frequencies = stored(_frequencies(index, asked), "frequencies") if n_blocks else None
     schema = T.StructType([T.StructField("query", T.LongType()), T.StructField("doc_id", df.schema[doc_id].dataType),
                            T.StructField("score", T.DoubleType())])
     folder = working_dir(spark, "answers")
     best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     for number in range(n_blocks):
-        keys, flat, ends, numbers = _block_terms(
-            asked.where(F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == number).collect())
-        sent = spark.sparkContext.broadcast(numbers)
+        keys, flat, ends, numbers = _block_terms(asked.where(F.col("block") == number).collect())
         idf = np.zeros(len(numbers))
-        for r in _frequencies(index, sent).collect():
-            idf[r["term"]] = math.log(1 + (n - r["df"] + 0.5) / (r["df"] + 0.5))
-        sent.unpersist()
+        for r in frequencies.where(F.col("block") == number).collect():
+            idf[numbers[r["term"]]] = math.log(1 + (n - r["df"] + 0.5) / (r["df"] + 0.5))
         last = {}
         for here, name in ((early, "early"), (~early, "late")):
             sent = spark.sparkContext.broadcast((keys, flat, ends, numbers, idf, total["terms"] / n, last))

@@ -256,6 +256,40 @@ def test_repeated_queries_are_one(spark, monkeypatch):
         (k, i) for text in (rows[5][1], rows[9][1]) for k, (i, _) in enumerate(bm25(rows, text, 4), 1))
 
 
+def test_frequencies_are_counted_once_for_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERY_CHARS", 300)
+    calls, counted = [], search._frequencies
+    monkeypatch.setattr(search, "_frequencies", lambda *given: calls.append(1) or counted(*given))
+    rows = [(k, prose(k, 20, 60)) for k in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    queries = df.where("doc_id % 10 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query_text"))
+    got = search.search(df, queries, k=5).collect()
+    assert len(calls) == 1
+    for q in range(0, 120, 10):
+        found = sorted((r["rank"], r["doc_id"]) for r in got if r["query_id"] == q)
+        assert [i for _, i in found] == [i for i, _ in bm25(rows, rows[q][1], 5)]
+
+
+def test_rounded_sums_lose_no_answer():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{t}" for t in rng.integers(0, 40, 30)) for _ in range(500)] + ["w1 w2"] * 20
+    postings = search._Postings()
+    for text in texts:
+        postings.add(text)
+    blob = postings.packed()[1]
+    numbers = {f"w{t}": t for t in range(40)}
+    idf = np.full(40, 1000.0) + np.arange(40)  # sums too large for single precision
+    queries = [np.array([1, 2], np.int32), np.arange(40, dtype=np.int32), np.array([], np.int32)]
+    shard = search.ShardSearch(blob, numbers, idf, 30.0)
+    full = search.ShardSearch(blob, numbers, idf, 30.0).search(queries, len(texts), np.zeros(3))
+    for floors in (np.zeros(3), np.array([sorted((s for s, _ in a), reverse=True)[9] if a else 0.0 for a in full])):
+        for few, answers in zip(shard.search(queries, 10, floors), full, strict=True):
+            best = sorted((-s, d) for s, d in answers)
+            expected = [(s, d) for s, d in best if len(best) < 10 or s <= best[9][0] + 1e-9]
+            assert [d for _, d in sorted((-round(s, 6), d) for s, d in few)] == [
+                d for _, d in sorted((round(s, 6), d) for s, d in expected)]
+
+
 def test_search_on_edge_cases(spark):
     df = edge_table(spark)
     queries = df.select(F.col("doc_id").alias("query_id"), F.col("text").alias("query_text"), "row")
