@@ -5,7 +5,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from pressflow.plans.incremental import IncrementalGold
+from pressflow.plans.incremental import IncrementalGold, _partials
 from pressflow.plans.pipeline import gold_tables
 from pressflow.schemas import SILVER
 from pressflow.sinks.lake import compact
@@ -65,6 +65,29 @@ def test_late_and_corrected_batches(spark, tmp_path, monkeypatch):
     same_as_rebuilt(spark, job, gold)
 
 
+def test_counts_read_no_silver_again(spark, tmp_path):
+    job = Ingest(str(tmp_path / "lake"))
+    deliver(spark, job, 0, event("a", "2026-01-01"), event("b", "2026-01-02", source="CNN"))
+    partials = _partials(job.silver(spark), None, str(tmp_path / "update"))
+    for name in ("per_day", "per_theme", "per_country"):
+        files = partials[name].inputFiles()
+        assert files and all("/update/facts/" in f for f in files)
+        assert sum(r["n_articles"] for r in partials[name].collect()) == 2
+
+
+def test_update_leaves_no_lists(spark, tmp_path, monkeypatch):
+    from pressflow.plans import incremental
+
+    monkeypatch.setattr(incremental, "working_dir", lambda spark, name: str(tmp_path / name))
+    job = Ingest(str(tmp_path / "lake"))
+    gold = IncrementalGold(job.root, str(tmp_path / "gold"))
+    for batch_id in range(2):  # the second replaces the first
+        deliver(spark, job, batch_id, event("a", "2026-01-01", f"title {batch_id}"), event("", "2026-01-01"))
+        gold.update(spark)
+        same_as_rebuilt(spark, job, gold)
+    assert not (tmp_path / "update").exists()
+
+
 def test_only_touched_dates_are_read(spark, tmp_path):
     job = Ingest(str(tmp_path / "lake"))
     gold = IncrementalGold(job.root, str(tmp_path / "gold"))
